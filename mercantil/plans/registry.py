@@ -313,7 +313,8 @@ def _stream_orders(s: Source) -> DataFrame:
     path = f"{shared_dir(s.spark)}/mercantil/stream-{uuid.uuid4().hex}"
     house = Warehouse(s.spark, path, s.oltp, (R.CALENDAR_START, R.CALENDAR_END), buckets=8)
     from mercantil.sources.tables import RAW_SCHEMAS
-    raw = E.read_events(s.spark, f"{s.root}/events.parquet", "parquet",
+    # The pattern matches one file as well as a folder of files.
+    raw = E.read_events(s.spark, f"{s.root}/events*.parquet", "parquet",
                         schema=RAW_SCHEMAS["events"])
     query = house.stream(R.stream_events(raw), "orders", available_now=True)
     query.awaitTermination()
