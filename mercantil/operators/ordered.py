@@ -36,24 +36,24 @@ def with_neighbor(
     """Add struct ``name`` with ``columns`` of the previous (or following) row.
 
     The struct is null at the start (or end) of a group. ``keys`` and ``order``
-    columns are not null.
+    columns are not null. Only the first row of a chunk looks into another
+    chunk, so one row per chunk goes through the second, small window.
     """
     keys, order = list(keys), list(order)
     step = F.lead if following else F.lag
     row = F.struct(*columns)
-    marked = df.withColumn("_chunk", chunk)
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    local = marked.withColumn("_local", step(row).over(inside))
-
-    # The row of a chunk that its neighbor chunk sees.
-    edge = F.min_by if following else F.max_by
-    edges = marked.groupBy(*keys, "_chunk").agg(edge(row, F.struct(*order)).alias("_edge"))
-    across = Window.partitionBy(*keys).orderBy("_chunk")
-    carried = edges.select(*keys, "_chunk", step("_edge").over(across).alias("_carried"))
-    return (
-        local.join(carried, [*keys, "_chunk"])
-        .select(*df.columns, F.coalesce("_local", "_carried").alias(name))
+    whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    far_end = F.first if following else F.last
+    local = (
+        df.withColumn("_chunk", chunk)
+        .withColumn("_near", step(row).over(inside))
+        .withColumn("_far", far_end(row).over(whole))
     )
+    across = Window.partitionBy(*keys).orderBy("_chunk")
+    border = local.filter("_near IS NULL").withColumn("_near", step("_far").over(across))
+    inner = local.filter("_near IS NOT NULL")
+    return inner.unionByName(border).select(*df.columns, F.col("_near").alias(name))
 
 
 def with_running_levels(

@@ -1,18 +1,20 @@
-"""Data-quality checks: each returns the violating rows.
+"""Data-quality checks taken from the declared constraints.
 
-``dq_report`` counts violations per rule in one row per rule.
+A row rule is a predicate, a set rule a DataFrame of violating rows or keys;
+``dq_report`` counts the violations of both.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercantil.functions import constants as C
+from mercantil.functions.expressions import order_state_key
 
 NON_NEGATIVE = {
     "pedidos": ["subtotal", "descuento_total", "impuesto_total", "costo_envio", "total_final"],
@@ -42,26 +44,52 @@ FACT_KEYS = {
 }
 
 
-def order_total_mismatch(pedidos: DataFrame, tolerance: int = 2) -> DataFrame:
-    """Orders whose parts do not add up to the total."""
+# --- row rules: one predicate each, true for a violation ----------------------
+
+def total_mismatch(tolerance: int = 2) -> Column:
+    """The parts of an order do not add up to its total."""
     parts = (F.col("subtotal") - F.col("descuento_total") + F.col("impuesto_total")
              + F.col("costo_envio"))
-    return pedidos.filter(F.abs(F.col("total_final") - parts) > tolerance)
+    return F.abs(F.col("total_final") - parts) > tolerance
+
+
+def not_listed(table: str, column: str) -> Column:
+    """A value outside the declared list; null passes."""
+    return ~F.col(column).isin(C.ENUMERATIONS[table, column])
+
+
+def bad_sign(table: str, columns: Sequence[str]) -> Column:
+    """Negative money or stock, or a quantity that is not positive."""
+    tests = [F.col(c) < 0 for c in NON_NEGATIVE.get(table, []) if c in columns]
+    tests += [F.col(c) <= 0 for c in POSITIVE.get(table, []) if c in columns]
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
+
+
+def bad_rating() -> Column:
+    return ~F.col("calificacion").between(1, 5)
+
 
+def incoherent_version() -> Column:
+    """Flag and end of a Type 2 version disagree."""
+    return F.col("es_actual") != F.col("valido_hasta").isNull()
 
-def outside_enumeration(df: DataFrame, table: str, column: str) -> DataFrame:
-    """Rows with a value that is not in the declared list; null passes."""
-    return df.filter(~F.col(column).isin(C.ENUMERATIONS[table, column]))
 
+def violations(df: DataFrame, rule: Column) -> DataFrame:
+    """The rows that break a rule."""
+    return df.filter(rule)
 
-def negative_values(df: DataFrame, table: str) -> DataFrame:
-    """Rows with negative money or stock, or a quantity that is not positive."""
-    tests = [F.col(c) < 0 for c in NON_NEGATIVE.get(table, []) if c in df.columns]
-    tests += [F.col(c) <= 0 for c in POSITIVE.get(table, []) if c in df.columns]
-    if not tests:
-        return df.limit(0)
-    return df.filter(reduce(lambda a, b: a | b, tests))
 
+def count_violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """Violations of many row rules in one pass over the table."""
+    counts = df.agg(*[F.count_if(rule).alias(f"r{i}") for i, rule in enumerate(rules.values())])
+    pairs = F.array(*[
+        F.struct(F.lit(name).alias("regla"), F.col(f"r{i}").alias("violaciones"))
+        for i, name in enumerate(rules)
+    ])
+    return counts.select(F.explode(pairs).alias("p")).select("p.*")
+
+
+# --- set rules: DataFrames of violating rows or keys --------------------------
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys held by more than one row."""
@@ -79,11 +107,6 @@ def several_active_returns(devoluciones: DataFrame) -> DataFrame:
     return duplicate_keys(devoluciones.filter("estado <> 'rechazada'"), ["pedido_id"])
 
 
-def incoherent_versions(dim: DataFrame) -> DataFrame:
-    """Type 2 rows whose flag and end disagree."""
-    return dim.filter("es_actual <> (valido_hasta IS NULL)")
-
-
 def several_current_versions(dim: DataFrame, key: str) -> DataFrame:
     return duplicate_keys(dim.filter("es_actual"), [key])
 
@@ -93,13 +116,8 @@ def orphan_keys(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return fact.filter(F.col(key).isNotNull()).join(dim.select(key), key, "left_anti")
 
 
-def rating_out_of_range(resenas: DataFrame) -> DataFrame:
-    return resenas.filter(~F.col("calificacion").between(1, 5))
-
-
 def stale_order_state(fact_pedidos: DataFrame, pedidos: DataFrame) -> DataFrame:
     """Order facts whose state differs from the source (some changes emit no event)."""
-    from mercantil.functions.expressions import order_state_key
     source = pedidos.select("pedido_id", order_state_key("estado_actual").alias("_fuente"))
     return fact_pedidos.join(source, "pedido_id").filter(
         ~F.col("estado_pedido_sk").eqNullSafe(F.col("_fuente")))
@@ -139,11 +157,19 @@ def missing_watermarks(spark: SparkSession, watermarks: DataFrame) -> DataFrame:
         F.current_timestamp().alias("actualizado_en"))
 
 
-def dq_report(checks: Mapping[str, Callable[[], DataFrame] | DataFrame]) -> DataFrame:
-    """Number of violating rows per rule (0 for a rule that holds)."""
-    counted = []
-    for rule, rows in checks.items():
-        rows = rows if isinstance(rows, DataFrame) else rows()
-        counted.append(rows.agg(F.count("*").alias("violaciones"))
-                       .select(F.lit(rule).alias("regla"), "violaciones"))
-    return reduce(DataFrame.unionByName, counted)
+def dq_report(
+    row_rules: Mapping[str, tuple[DataFrame, Mapping[str, Column]]],
+    set_rules: Mapping[str, DataFrame],
+) -> DataFrame:
+    """Violations per rule, 0 for a rule that holds.
+
+    ``row_rules`` gives per table its rows and predicates, counted in one scan
+    of the table. ``set_rules`` gives the violating rows of rules that need a
+    shuffle.
+    """
+    parts = [count_violations(df, rules) for df, rules in row_rules.values()]
+    parts += [
+        rows.agg(F.count("*").alias("violaciones")).select(F.lit(rule).alias("regla"), "violaciones")
+        for rule, rows in set_rules.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -379,37 +379,39 @@ def _cart_links(s: Source) -> DataFrame:
 # --- quality ----------------------------------------------------------------
 
 def _dq_report(s: Source) -> DataFrame:
-    o = s.oltp
-    versions = s.customer_versions
-    checks = {
-        "C1 total de pedido": lambda: Q.order_total_mismatch(o.pedidos),
-        "C4 lineas repetidas": lambda: Q.duplicate_keys(
-            s.raw.lineitem.selectExpr(f"{R.LINE_ID} AS detalle_pedido_id"), ["detalle_pedido_id"]),
-        "C4 pedidos repetidos": lambda: Q.duplicate_keys(o.pedidos.select("pedido_id"),
-                                                         ["pedido_id"]),
-        "C5 envio activo": lambda: Q.several_active_shipments(o.envios),
-        "C6 devolucion activa": lambda: Q.several_active_returns(o.devoluciones),
-        "C7 cierre de version": lambda: Q.incoherent_versions(versions()),
-        "C7 version actual": lambda: Q.several_current_versions(versions(), "cliente_id"),
-        "C8 cliente de pedido": lambda: Q.orphan_keys(
-            s.star.fact_pedidos.select("cliente_sk"), s.star.dim_cliente, "cliente_sk"),
-        "C8 fecha de movimiento": lambda: Q.orphan_keys(
-            s.star.fact_movimientos_inventario.select("fecha_sk"), s.star.dim_fecha, "fecha_sk"),
-        # The given tables hold no reviews; item quantities stand in for ratings.
-        "C9 calificacion": lambda: Q.rating_out_of_range(
-            s.raw.lineitem.select(F.col("l_linenumber").alias("calificacion"))),
-        "C10 calendario": lambda: Q.short_calendar(D.calendar_for(s.raw.orders, "o_orderdate")),
+    o, star = s.oltp, s.star
+    listed = {
+        "clientes": ["segmento", "estado"], "pedidos": ["estado_actual", "estado_pago"],
+        "pagos": ["metodo_pago"], "envios": ["estado_envio"],
+        "movimientos_inventario": ["tipo_movimiento"], "devoluciones": ["motivo"],
     }
-    for table in ("pedidos", "detalle_pedidos", "pagos", "niveles_stock", "detalle_devoluciones"):
-        checks[f"C3 {table}"] = lambda t=table: Q.negative_values(getattr(o, t), t)
-    for table, column in (
-        ("clientes", "segmento"), ("clientes", "estado"), ("pedidos", "estado_actual"),
-        ("pedidos", "estado_pago"), ("pagos", "metodo_pago"), ("envios", "estado_envio"),
-        ("movimientos_inventario", "tipo_movimiento"), ("devoluciones", "motivo"),
-    ):
-        checks[f"C2 {table}.{column}"] = (
-            lambda t=table, c=column: Q.outside_enumeration(getattr(o, t).select(c), t, c))
-    return Q.dq_report(checks)
+    signed = ["pedidos", "detalle_pedidos", "pagos", "niveles_stock", "detalle_devoluciones"]
+    row_rules: dict[str, tuple[DataFrame, dict]] = {}
+    for table in dict.fromkeys([*listed, *signed]):
+        df = getattr(o, table)
+        rules = {f"C2 {table}.{c}": Q.not_listed(table, c) for c in listed.get(table, [])}
+        if table in signed:
+            rules[f"C3 {table}"] = Q.bad_sign(table, df.columns)
+        if table == "pedidos":
+            rules["C1 total de pedido"] = Q.total_mismatch()
+        row_rules[table] = (df, rules)
+    versions = s.customer_versions()
+    row_rules["versiones"] = (versions, {"C7 cierre de version": Q.incoherent_version()})
+    # The given tables hold no reviews; line numbers stand in for ratings.
+    ratings = s.raw.lineitem.select(F.col("l_linenumber").alias("calificacion"))
+    row_rules["resenas"] = (ratings, {"C9 calificacion": Q.bad_rating()})
+    return Q.dq_report(row_rules, {
+        "C4 lineas repetidas": Q.duplicate_keys(s.raw.lineitem, ["l_orderkey", "l_linenumber"]),
+        "C4 pedidos repetidos": Q.duplicate_keys(o.pedidos, ["pedido_id"]),
+        "C5 envio activo": Q.several_active_shipments(o.envios),
+        "C6 devolucion activa": Q.several_active_returns(o.devoluciones),
+        "C7 version actual": Q.several_current_versions(versions, "cliente_id"),
+        "C8 cliente de pedido": Q.orphan_keys(
+            star.fact_pedidos, star.dim_cliente, "cliente_sk"),
+        "C8 fecha de movimiento": Q.orphan_keys(
+            star.fact_movimientos_inventario, F.broadcast(star.dim_fecha), "fecha_sk"),
+        "C10 calendario": Q.short_calendar(D.calendar_for(s.raw.orders, "o_orderdate")),
+    })
 
 
 # Prices are looked at for every variant that was sold.

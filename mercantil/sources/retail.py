@@ -20,16 +20,17 @@ CALENDAR_END = dt.date(2030, 12, 31)
 CHANNEL = """CASE o_orderpriority WHEN '1-URGENT' THEN 'call_center' WHEN '2-HIGH' THEN 'mobile'
  WHEN '3-MEDIUM' THEN 'web' WHEN '4-NOT SPECIFIED' THEN 'marketplace' ELSE 'api' END"""
 ORDER_STATE = """CASE WHEN o_orderstatus = 'F' THEN 'entregado'
- WHEN o_orderstatus = 'P' THEN CASE o_orderkey % 3 WHEN 0 THEN 'enviado' WHEN 1 THEN 'cancelado'
-   ELSE 'preparando' END
- ELSE CASE o_orderkey % 4 WHEN 0 THEN 'pendiente' WHEN 1 THEN 'confirmado' WHEN 2 THEN 'pagado'
-   ELSE 'empaquetado' END END"""
+ ELSE CASE WHEN o_orderstatus = 'P' THEN CASE o_orderkey % 3 WHEN 0 THEN 'enviado'
+     WHEN 1 THEN 'cancelado' ELSE 'preparando' END
+   ELSE CASE o_orderkey % 4 WHEN 0 THEN 'pendiente' WHEN 1 THEN 'confirmado'
+     WHEN 2 THEN 'pagado' ELSE 'empaquetado' END END END"""
 FULFILLMENT = """CASE WHEN o_orderstatus = 'F' THEN 'entregado'
  WHEN o_orderstatus = 'P' THEN CASE o_orderkey % 3 WHEN 0 THEN 'enviado' WHEN 1 THEN 'pendiente'
    ELSE 'preparando' END
  ELSE CASE o_orderkey % 4 WHEN 3 THEN 'listo' ELSE 'pendiente' END END"""
-PAYMENT_STATE = """CASE o_orderstatus WHEN 'F' THEN 'pagado' WHEN 'O' THEN 'pendiente'
- ELSE 'parcial' END"""
+# Nested so that a filter on one state reaches the Parquet scan as a plain predicate.
+PAYMENT_STATE = """CASE WHEN o_orderstatus = 'F' THEN 'pagado'
+ ELSE CASE WHEN o_orderstatus = 'O' THEN 'pendiente' ELSE 'parcial' END END"""
 METHOD = """CASE o_orderkey % 5 WHEN 0 THEN 'tarjeta_credito' WHEN 1 THEN 'tarjeta_debito'
  WHEN 2 THEN 'transferencia' WHEN 3 THEN 'billetera_virtual' ELSE 'cuotas' END"""
 PROVIDER = """CASE o_orderkey % 5 WHEN 0 THEN 'Transbank' WHEN 1 THEN 'MercadoPago'
