@@ -9,24 +9,25 @@ reads, and a batch that was merged already is skipped, so replays are harmless.
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MANIFEST = "version bigint, bucket int, folder string, writer string, batch_id bigint"
-
 
 @dataclass(frozen=True)
 class KeyedTable:
     """A table of unique ``keys`` split into ``buckets`` by their hash.
 
-    Size ``buckets`` so that one is a few hundred megabytes. A manifest has at
-    most ``buckets * max_parts`` rows: a bucket that collected ``max_parts``
-    files is rewritten as one with the next insert.
+    Size ``buckets`` so that one is a few hundred megabytes. A manifest names
+    at most ``buckets * max_parts`` folders: a bucket that collected
+    ``max_parts`` of them is rewritten as one with the next insert. There is
+    one writer at a time; a second one fails when it commits.
     """
 
     spark: SparkSession
@@ -41,61 +42,25 @@ class KeyedTable:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
     def columns(self) -> list[str]:
-        return self.spark.createDataFrame([], self.schema).columns
-
-    def _latest(self) -> int:
-        """Highest complete version, 0 for none; lists folder names only."""
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_versions")
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
-            return 0
-        names = sorted((s.getPath().getName() for s in fs.listStatus(folder)), reverse=True)
-        for name in names:
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(folder, f"{name}/_SUCCESS")):
-                return int(name[1:])
-        return 0
-
-    def _manifest(self) -> list:
-        version = self._latest()
-        if not version:
-            return []
-        return self.spark.read.schema(MANIFEST).json(
-            f"{self.path}/_versions/v{version:010d}").collect()
+        return self._empty().columns
 
     def last_batch(self, writer: str) -> int:
         """Last batch merged by ``writer``, -1 for none."""
-        return max((r.batch_id for r in self._manifest() if r.writer == writer), default=-1)
+        return self._manifest()["batches"].get(writer, -1)
 
     def read(self, buckets: Sequence[int] | None = None) -> DataFrame:
         """The table, or only some buckets of it."""
         return self._read(self._manifest(), buckets)
 
-    def _read(self, manifest: list, buckets: Sequence[int] | None) -> DataFrame:
-        wanted = None if buckets is None else set(buckets)
-        folders = [
-            f"{self.path}/{r.folder}/bucket={r.bucket}" for r in manifest
-            if r.folder and (wanted is None or r.bucket in wanted)
-        ]
-        if not folders:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*folders)
-
     def merge(
         self, rows: DataFrame, writer: str, batch_id: int,
         how: Callable[[DataFrame, DataFrame], DataFrame],
     ) -> bool:
         """Replace touched buckets by ``how(their rows, incoming rows)``.
 
-        False if this batch was merged before or is empty. ``rows`` is read
-        twice, so persist it when it is costly.
+        False if this batch was merged before.
         """
-        manifest, touched = self._begin(rows, writer, batch_id)
-        if not touched:
-            return False
-        merged = how(self._read(manifest, touched), rows)
-        self._commit(manifest, merged, touched, writer, batch_id, replaced=set(touched))
-        return True
+        return self._change(rows, writer, batch_id, how, replace=True)
 
     def insert(
         self, rows: DataFrame, writer: str, batch_id: int,
@@ -106,57 +71,113 @@ class KeyedTable:
         ``keep`` returns the rows to add, such as those of unknown keys; only
         the columns it uses are read from the table.
         """
-        manifest, touched = self._begin(rows, writer, batch_id)
-        if not touched:
+        return self._change(rows, writer, batch_id, keep, replace=False)
+
+    def vacuum(self, keep: int = 10) -> int:
+        """Delete folders and manifests older than the last ``keep`` versions.
+
+        Do not run it while a writer is active or an older version is read.
+        """
+        fs, root = self._fs("")
+        names = self._manifest_names()
+        used = {folder for name in names[-keep:] for _, folder in self._load(name)["parts"]}
+        gone = 0
+        for status in fs.listStatus(root) if fs.exists(root) else []:
+            name = status.getPath().getName()
+            if name.startswith("data-") and name not in used:
+                gone += bool(fs.delete(status.getPath(), True))
+        for name in names[:-keep]:
+            fs.delete(self._fs(f"_versions/{name}")[1], False)
+        return gone
+
+    def _change(self, rows, writer, batch_id, how, replace: bool) -> bool:
+        manifest = self._manifest()
+        if batch_id <= manifest["batches"].get(writer, -1):
             return False
-        added = keep(self._read(manifest, touched), rows)
-        parts: dict[int, int] = defaultdict(int)
-        for row in manifest:
-            parts[row.bucket] += bool(row.folder)
-        full = {b for b in touched if parts[b] >= self.max_parts}
-        if full:
-            added = self._read(manifest, sorted(full)).unionByName(added)
-        self._commit(manifest, added, touched, writer, batch_id, replaced=full)
+        replaced: set[int] = set()
+        if not manifest["parts"]:
+            # The first load touches what it touches; no need to look first.
+            folder, filled = self._write(how(self._empty(), rows), manifest)
+        else:
+            # Rows are read for their buckets and again for their values.
+            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                touched = sorted(
+                    r.b for r in rows.select(self.bucket().alias("b")).distinct().collect())
+                result = how(self._read(manifest, touched), rows)
+                parts = Counter(bucket for bucket, _ in manifest["parts"])
+                replaced = set(touched) if replace else {
+                    b for b in touched if parts[b] >= self.max_parts}
+                if replaced and not replace:
+                    result = self._read(manifest, sorted(replaced)).unionByName(
+                        result.select(*self.columns()))
+                folder, filled = self._write(result, manifest) if touched else ("", set())
+            finally:
+                rows.unpersist()
+        kept = [part for part in manifest["parts"] if part[0] not in replaced]
+        self._save({
+            "version": manifest["version"] + 1,
+            "batches": {**manifest["batches"], writer: batch_id},
+            "parts": kept + [[bucket, folder] for bucket in sorted(filled)],
+        })
         return True
 
-    def _begin(self, rows: DataFrame, writer: str, batch_id: int) -> tuple[list, list[int]]:
-        manifest = self._manifest()
-        done = max((r.batch_id for r in manifest if r.writer == writer), default=-1)
-        if batch_id <= done:
-            return manifest, []
-        buckets = rows.select(self.bucket().alias("b")).distinct().collect()
-        return manifest, [row.b for row in buckets]
-
-    def _commit(self, manifest, rows, touched, writer, batch_id, replaced) -> None:
-        version = max((r.version for r in manifest), default=0) + 1
-        folder = f"data-{version:010d}-{uuid.uuid4().hex[:8]}"
+    def _empty(self) -> DataFrame:
+        return self.spark.createDataFrame([], self.schema)
+
+    def _read(self, manifest: dict, buckets: Sequence[int] | None) -> DataFrame:
+        wanted = None if buckets is None else set(buckets)
+        folders = [
+            f"{self.path}/{folder}/bucket={bucket}" for bucket, folder in manifest["parts"]
+            if wanted is None or bucket in wanted
+        ]
+        if not folders:
+            return self._empty()
+        return self.spark.read.schema(self.schema).parquet(*folders)
+
+    def _write(self, rows: DataFrame, manifest: dict) -> tuple[str, set[int]]:
+        folder = f"data-{manifest['version'] + 1:010d}-{uuid.uuid4().hex[:8]}"
         spread = F.pmod(F.xxhash64(*self.keys, F.lit(1)), F.lit(self.tasks_per_bucket))
         (
             rows.select(*self.columns()).withColumn("bucket", self.bucket())
             .repartition("bucket", spread)
             .write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
         )
-        # Buckets that ended up empty have no folder to read.
-        jvm = self.spark._jvm
-        made = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
-        fs = made.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        filled = {
-            int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(made)
-            if s.getPath().getName().startswith("bucket=")
-        }
-        kept = [
-            (version, r.bucket, None if r.bucket in replaced else r.folder, r.writer, r.batch_id)
-            for r in manifest
-        ]
-        # One row per writer keeps its batch number when its folder is gone.
-        last: dict[str, int] = {}
-        for _, _, _, name, batch in kept:
-            last[name] = max(last.get(name, -1), batch)
-        marks = [(version, -1, None, name, batch) for name, batch in last.items()]
-        kept = [row for row in kept if row[2]] + marks
-        kept.append((version, -1, None, writer, batch_id))
-        kept += [(version, b, folder, writer, batch_id) for b in touched if b in filled]
-        (
-            self.spark.createDataFrame(kept, MANIFEST).coalesce(1)
-            .write.json(f"{self.path}/_versions/v{version:010d}")
-        )
+        fs, made = self._fs(folder)
+        names = [status.getPath().getName() for status in fs.listStatus(made)]
+        return folder, {int(n.split("=")[1]) for n in names if n.startswith("bucket=")}
+
+    # --- manifest: one small file per version -------------------------------
+
+    def _fs(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _manifest_names(self) -> list[str]:
+        fs, folder = self._fs("_versions")
+        if not fs.exists(folder):
+            return []
+        names = [status.getPath().getName() for status in fs.listStatus(folder)]
+        return sorted(name for name in names if name.startswith("v"))
+
+    def _manifest(self) -> dict:
+        names = self._manifest_names()
+        return self._load(names[-1]) if names else {"version": 0, "batches": {}, "parts": []}
+
+    def _load(self, name: str) -> dict:
+        fs, path = self._fs(f"_versions/{name}")
+        stream = fs.open(path)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _save(self, manifest: dict) -> None:
+        """Write aside and rename, so that a manifest is seen whole or not at all."""
+        fs, aside = self._fs(f"_versions/.{uuid.uuid4().hex}")
+        stream = fs.create(aside, False)
+        stream.write(bytearray(json.dumps(manifest).encode()))
+        stream.close()
+        _, final = self._fs(f"_versions/v{manifest['version']:010d}")
+        if fs.exists(final) or not fs.rename(aside, final):
+            raise RuntimeError(f"another writer changed {self.path}")

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from mercantil.functions import constants as C
 from mercantil.functions.payload import CORRUPT, parse_payload
 from mercantil.operators import dims as D
 from mercantil.operators import facts as L
-from mercantil.operators.merge import new_rows
+from mercantil.operators.merge import merge_upsert, new_rows
 from mercantil.operators.scd2 import scd2_apply
 from mercantil.sources.snapshots import KeyedTable
 from mercantil.sources.star import constant_dims
@@ -46,6 +47,8 @@ class Warehouse:
     missing_days: int | None = None
     extra: dict[str, tuple[str, Loader]] = field(default_factory=dict)
     extra_schemas: dict[str, tuple[str, list[str]]] = field(default_factory=dict)
+    # Tables loaded at the same time; their jobs share the cluster.
+    parallel: int = 4
 
     def table(self, name: str) -> KeyedTable:
         if name in self.extra_schemas:
@@ -110,10 +113,15 @@ class Warehouse:
         })
         ctx = L.LoadContext(self.oltp, dims, self.calendar, self.missing_days)
 
+        steps: list[Callable[[], object]] = []
+
         def insert(name: str, rows: DataFrame) -> None:
             table = self.table(name)
-            table.insert(rows, writer, batch_id,
-                         lambda old, new: new_rows(old, new, table.keys))
+            steps.append(lambda: table.insert(
+                rows, writer, batch_id, lambda old, new: new_rows(old, new, table.keys)))
+
+        def merge(name: str, rows: DataFrame, how) -> None:
+            steps.append(lambda: self.table(name).merge(rows, writer, batch_id, how))
 
         if "order_created" in present:
             insert("fact_pedidos", L.load_fact_orders(good, ctx))
@@ -121,54 +129,63 @@ class Warehouse:
         if present & {"order_updated", "order_cancelled", "payment"}:
             fold = L.fold_orders(L.order_contributions(good, self.oltp.pagos))
             # Folds add up when read, so a batch only appends its own.
-            self.table("pedidos_plegados").insert(fold, writer, batch_id, lambda old, new: new)
+            steps.append(lambda: self.table("pedidos_plegados").insert(
+                fold, writer, batch_id, lambda old, new: new))
         if "payment" in present:
             insert("fact_pagos", L.load_fact_payments(good, ctx))
         if "stock" in present:
             insert("fact_movimientos_inventario", L.load_fact_stock(good, ctx))
         if present & {"shipment_delivered", "shipment_returned"}:
-            self.table("fact_envios").merge(
-                L.load_fact_shipments(good, ctx), writer, batch_id, L.merge_shipments)
+            merge("fact_envios", L.load_fact_shipments(good, ctx), L.merge_shipments)
         if "return" in present:
             insert("fact_devoluciones", L.load_fact_returns(good, ctx))
         if "cart" in present:
-            self.table("fact_carritos").merge(
-                L.load_fact_carts(good, ctx), writer, batch_id, L.merge_carts)
+            merge("fact_carritos", L.load_fact_carts(good, ctx), L.merge_carts)
         for event, (table, loader) in self.extra.items():
             if event in present:
                 insert(table, loader(good, ctx))
+        *others, retries = self._control_steps(routed, batch_id, writer, now)
+        self._run(steps + others)
+        # Last of all: a run repeated before this point sees the same retries again.
+        retries()
 
-        self._load_control(routed, batch_id, writer, now)
+    def _run(self, steps: list[Callable[[], object]]) -> None:
+        """Run independent table loads side by side and wait for all."""
+        with ThreadPoolExecutor(self.parallel) as pool:
+            for done in [pool.submit(inheritable_thread_target(self.spark)(step)) for step in steps]:
+                done.result()
 
-    def _load_control(self, routed: DataFrame, batch_id: int, writer: str, now: Column) -> None:
+    def _control_steps(self, routed, batch_id, writer, now: Column) -> list[Callable[[], object]]:
         """Dead letters, retries and watermarks."""
         failed = E.failed_events(routed)
         letters = E.dlq_unhandled(routed, now).unionByName(E.dlq_failed(failed, now))
-        self.table("dlq_eventos").insert(
-            letters, writer, batch_id, lambda old, new: new_rows(old, new, ["evento_id"]))
-        # A retried event leaves the retry table by turning not pending.
-        tried = routed.filter("intentos_olap > 0").select("evento_negocio_id").withColumn(
-            "_tried", F.lit(True))
+
+        def put() -> None:
+            self.table("dlq_eventos").insert(
+                letters, writer, batch_id, lambda old, new: new_rows(old, new, ["evento_id"]))
+
+        def mark() -> None:
+            self.table("marcas_agua").merge(
+                E.watermarks(routed, now), writer, batch_id, E.update_watermarks)
+
+        # An event that was tried again is settled unless it failed once more.
         columns = self.table("reintentos").columns()
-        left = E.to_retry(failed).withColumn("pendiente", F.lit(True)).select(*columns)
-
-        def settle(old: DataFrame, new: DataFrame) -> DataFrame:
-            stale = old.join(new.select("evento_negocio_id"), "evento_negocio_id", "left_anti")
-            stale = stale.join(tried, "evento_negocio_id", "left")
-            return stale.withColumn(
-                "pendiente", F.col("pendiente") & F.col("_tried").isNull()
-            ).select(*columns).unionByName(new.filter("pendiente IS NOT NULL"))
-
-        done = routed.filter("intentos_olap > 0").join(
-            left.select("evento_negocio_id"), "evento_negocio_id", "left_anti")
-        closing = done.select(
-            *[F.col(c) if c in done.columns else F.lit(None).alias(c) for c in columns])
-        self.table("reintentos").merge(
-            left.unionByName(closing.withColumn("pendiente", F.lit(False))
-                             .withColumn("error_olap", F.lit(None).cast("string"))),
-            writer, batch_id, settle)
-        self.table("marcas_agua").merge(
-            E.watermarks(routed, now), writer, batch_id, E.update_watermarks)
+        waiting = E.to_retry(failed).withColumn("pendiente", F.lit(True)).select(*columns)
+        settled = (
+            routed.filter("intentos_olap > 0")
+            .join(waiting.select("evento_negocio_id"), "evento_negocio_id", "left_anti")
+            .withColumn("error_olap", F.lit(None).cast("string"))
+            .withColumn("pendiente", F.lit(False)).select(*columns)
+        )
+        retries = waiting.unionByName(settled)
+        changed = [c for c in columns if c != "evento_negocio_id"]
+
+        def retry() -> None:
+            self.table("reintentos").merge(
+                retries, writer, batch_id,
+                lambda old, new: merge_upsert(old, new, ["evento_negocio_id"], replace=changed))
+
+        return [put, mark, retry]
 
     def _load_dims(self, good, present, batch_id, writer, now) -> None:
         """Bring dimension versions up to date for the ids the batch touches."""
@@ -218,11 +235,14 @@ class Warehouse:
                 incoming, writer, batch_id,
                 lambda old, new: scd2_apply(old, new, key, sk, tracked, now))
 
-        if customers:
+        steps: list[Callable[[], object]] = []
+
+        def load_customers() -> None:
             ids = touched(customers, "cliente_id")
             merge("dim_cliente", D.customer_snapshot(oltp).join(ids, "cliente_id", "left_semi"),
                   "cliente_id", "cliente_sk", D.CUSTOMER_TRACKED)
-        if variants:
+
+        def load_variants() -> None:
             ids = touched(variants, "variante_id")
             products = oltp.variantes_producto.join(ids, "variante_id", "left_semi").select(
                 "producto_id").distinct()
@@ -232,13 +252,22 @@ class Warehouse:
             merge("dim_variante",
                   D.variant_snapshot(oltp, current).join(ids, "variante_id", "left_semi"),
                   "variante_id", "variante_sk", D.VARIANT_TRACKED)
-        if warehouses:
+
+        def load_warehouses() -> None:
             ids = touched(warehouses, "almacen_id")
             known = oltp.almacenes.join(ids, "almacen_id", "left_semi")
             self.table("dim_almacen").insert(
                 D.dim_warehouse(known), writer, batch_id,
                 lambda old, new: new_rows(old, new, ["almacen_id"]))
 
+        if customers:
+            steps.append(load_customers)
+        if variants:
+            steps.append(load_variants)
+        if warehouses:
+            steps.append(load_warehouses)
+        self._run(steps)
+
     # --- streaming ----------------------------------------------------------
 
     def stream(
@@ -251,9 +280,15 @@ class Warehouse:
         deduplication, which drops events later than that.
         """
         source = E.dedup_stream(events, dedup_delay) if dedup_delay else events
+
+        def load(batch: DataFrame, batch_id: int) -> None:
+            # Batch numbers start again with a new checkpoint, and so does the query id.
+            run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            self.load_batch(batch, batch_id, f"{name}:{run}")
+
         writer = (
             source.writeStream.queryName(name)
-            .foreachBatch(lambda df, batch_id: self.load_batch(df, batch_id, name))
+            .foreachBatch(load)
             .option("checkpointLocation", f"{self.path}/_checkpoints/{name}")
         )
         if available_now:
