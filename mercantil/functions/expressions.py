@@ -112,7 +112,9 @@ def delivery_days(sent: Column | str, delivered: Column | str, missing: int | No
 
     ``missing`` is the value used when either instant is unknown.
     """
-    days = F.greatest(F.datediff(_col(delivered), _col(sent)), F.lit(0))
+    days = F.datediff(_col(delivered), _col(sent))
+    # Not greatest(), which would turn an unknown span into 0.
+    days = F.when(days < 0, 0).otherwise(days)
     return days if missing is None else F.coalesce(days, F.lit(missing))
 
 
