@@ -1,11 +1,12 @@
 """Ordered computations inside a group of any size.
 
 A plain window sorts a whole group in one task, so one key holding a third of
-the rows would hold up the job. Here every group is cut into value-based
-chunks (a time span, an id range): windows run inside ``keys + chunk``, one
-summary row per chunk is carried across chunks, and both are joined back. The
-result equals the plain window. The chunk must follow the order: a row of an
-earlier chunk sorts before every row of a later one, and no row is in two
+the rows would hold up the job. Here the few largest keys are found first, by
+a count that combines map-side. Other keys take the plain window. A hot key is
+cut into value-based chunks (a time span, an id range): windows run inside
+``keys + chunk``, and only one summary row per chunk is carried across chunks.
+The result equals the plain window. The chunk must follow the order: a row of
+an earlier chunk sorts before every row of a later one, and no row is in two
 chunks.
 """
 
@@ -16,10 +17,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DAY_SECONDS = 86_400
+# Rows of one key that a single task sorts without trouble.
+HOT_ROWS = 5_000_000
+# Bound of the broadcast list. A key beyond it holds at most 1/10000 of all rows.
+MOST_HOT_KEYS = 10_000
+HOUR = 3600
 
 
-def time_chunk(moment: str, seconds: int = 30 * DAY_SECONDS) -> Column:
+def time_chunk(moment: str, seconds: int = HOUR) -> Column:
     """Chunk number of an instant; narrower spans give smaller tasks."""
     return F.floor(F.unix_seconds(F.col(moment)) / seconds).cast("bigint")
 
@@ -29,62 +34,108 @@ def id_chunk(column: str, size: int = 1_000_000) -> Column:
     return F.floor(F.col(column) / size).cast("bigint")
 
 
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS,
+) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows, or None when there are none.
+
+    Runs one small job over the key columns; the list is bounded by
+    ``MOST_HOT_KEYS``.
+    """
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)
+    found = counts.orderBy(F.desc("_rows")).limit(MOST_HOT_KEYS).select(*keys)
+    rows = found.collect()
+    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+
+
+def _with_chunk(df: DataFrame, keys: list[str], chunk: Column, hot: DataFrame) -> DataFrame:
+    """Add ``_chunk``: the chunk for rows of hot keys, null for all others."""
+    marks = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    return df.join(marks, keys, "left").select(
+        *df.columns, F.when(F.col("_hot"), chunk).alias("_chunk"))
+
+
 def with_neighbor(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column,
-    columns: Sequence[str], name: str, following: bool = False,
+    columns: Sequence[str], name: str, hot: DataFrame | None, following: bool = False,
 ) -> DataFrame:
     """Add struct ``name`` with ``columns`` of the previous (or following) row.
 
     The struct is null at the start (or end) of a group. ``keys`` and ``order``
-    columns are not null. Only the first row of a chunk looks into another
-    chunk, so one row per chunk goes through the second, small window.
+    columns are not null. ``hot`` is the result of ``hot_keys``. Only the first
+    row of a chunk looks into another chunk, so one row per chunk goes through
+    the second, small window.
     """
     keys, order = list(keys), list(order)
-    step = F.lead if following else F.lag
+    step, far_end = (F.lead, F.first) if following else (F.lag, F.last)
     row = F.struct(*columns)
+    if hot is None:
+        return df.withColumn(name, step(row).over(Window.partitionBy(*keys).orderBy(*order)))
+
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    far_end = F.first if following else F.last
-    local = (
-        df.withColumn("_chunk", chunk)
-        .withColumn("_near", step(row).over(inside))
-        .withColumn("_far", far_end(row).over(whole))
-    )
     across = Window.partitionBy(*keys).orderBy("_chunk")
-    border = local.filter("_near IS NULL").withColumn("_near", step("_far").over(across))
-    inner = local.filter("_near IS NOT NULL")
-    return inner.unionByName(border).select(*df.columns, F.col("_near").alias(name))
+    near = _with_chunk(df, keys, chunk, hot).withColumn("_near", step(row).over(inside))
+    plain = near.filter("_chunk IS NULL")
+    split = near.filter("_chunk IS NOT NULL").withColumn("_far", far_end(row).over(whole))
+    border = split.filter("_near IS NULL").withColumn("_near", step("_far").over(across))
+    inner = split.filter("_near IS NOT NULL")
+    first, *others = [
+        part.select(*df.columns, F.col("_near").alias(name)) for part in (plain, inner, border)]
+    for part in others:
+        first = first.unionByName(part)
+    return first
 
 
 def with_running_levels(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column,
-    deltas: dict[str, tuple[str, str | None]], floor_at_zero: bool = True,
+    deltas: dict[str, tuple[str, str | None]], hot: DataFrame | None,
+    floor_at_zero: bool = True,
 ) -> DataFrame:
     """Add running levels of signed movements.
 
     ``deltas`` maps an output name to ``(delta column, opening level column)``.
     With ``floor_at_zero`` each step is clamped, ``level = max(level + delta, 0)``,
     in closed form: with prefix sums S the level is ``S + max(opening, -min(S))``.
-    Both S and its running minimum combine across chunks.
+    Both S and its running minimum combine across chunks. ``hot`` is the result
+    of ``hot_keys``.
     """
     keys, order = list(keys), list(order)
-    marked = df.withColumn("_chunk", chunk)
-    whole = (Window.partitionBy(*keys, "_chunk").orderBy(*order)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = marked
+    local = df if hot is None else _with_chunk(df, keys, chunk, hot)
+    upto = (Window.partitionBy(*keys, *(["_chunk"] if hot is not None else [])).orderBy(*order)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     for name, (delta, _) in deltas.items():
-        local = local.withColumn(f"_s_{name}", F.sum(delta).over(whole))
-    for name in deltas:
-        local = local.withColumn(f"_m_{name}", F.min(f"_s_{name}").over(whole))
-
-    # One row per chunk: its total and its lowest prefix.
-    totals = local.groupBy(*keys, "_chunk").agg(*[
-        expr
-        for name, (delta, _) in deltas.items()
-        for expr in (F.sum(delta).alias(f"_t_{name}"), F.min(f"_s_{name}").alias(f"_l_{name}"))
-    ])
+        local = local.withColumn(f"_s_{name}", F.sum(delta).over(upto))
+    if floor_at_zero:
+        for name in deltas:
+            local = local.withColumn(f"_m_{name}", F.min(f"_s_{name}").over(upto))
+
+    def levels(rows: DataFrame, carried: bool) -> DataFrame:
+        """Levels from local sums, plus what earlier chunks carry over."""
+        made = []
+        for name, (_, opening) in deltas.items():
+            start = F.coalesce(F.col(opening), F.lit(0)) if opening else F.lit(0)
+            base = F.col(f"_b_{name}") if carried else F.lit(0)
+            total = base + F.col(f"_s_{name}")
+            if not floor_at_zero:
+                made.append((total + start).alias(name))
+                continue
+            lowest = base + F.col(f"_m_{name}")
+            if carried:
+                # least() skips nulls, so the first chunk needs no special case.
+                lowest = F.least(F.col(f"_n_{name}"), lowest)
+            made.append((total + F.greatest(start, -lowest)).alias(name))
+        return rows.select(*df.columns, *made)
+
+    if hot is None:
+        return levels(local, carried=False)
+    # Hot keys: one row per chunk with its total and its lowest prefix.
+    split = local.filter("_chunk IS NOT NULL")
     before = (Window.partitionBy(*keys).orderBy("_chunk")
               .rowsBetween(Window.unboundedPreceding, -1))
+    totals = split.groupBy(*keys, "_chunk").agg(*[
+        F.sum(delta).alias(f"_t_{name}") for name, (delta, _) in deltas.items()
+    ], *[F.min(f"_s_{name}").alias(f"_l_{name}") for name in deltas])
     for name in deltas:
         totals = totals.withColumn(
             f"_b_{name}", F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0)))
@@ -93,16 +144,5 @@ def with_running_levels(
         totals = totals.withColumn(f"_n_{name}", lowest)
     carried = totals.select(
         *keys, "_chunk", *[f"_{p}_{name}" for name in deltas for p in ("b", "n")])
-
-    joined = local.join(carried, [*keys, "_chunk"])
-    levels = []
-    for name, (_, opening) in deltas.items():
-        start = F.coalesce(F.col(opening), F.lit(0)) if opening else F.lit(0)
-        total = F.col(f"_b_{name}") + F.col(f"_s_{name}")
-        if floor_at_zero:
-            # greatest/least skip nulls, so the first chunk needs no special case.
-            lowest = F.least(F.col(f"_n_{name}"), F.col(f"_b_{name}") + F.col(f"_m_{name}"))
-            levels.append((total + F.greatest(start, -lowest)).alias(name))
-        else:
-            levels.append((total + start).alias(name))
-    return joined.select(*df.columns, *levels)
+    plain = levels(local.filter("_chunk IS NULL"), carried=False)
+    return plain.unionByName(levels(split.join(carried, [*keys, "_chunk"]), carried=True))

@@ -22,7 +22,7 @@ from mercantil.operators import pricing as P
 from mercantil.operators import quality as Q
 from mercantil.operators import scd2 as S
 from mercantil.operators import stock as K
-from mercantil.operators.ordered import id_chunk, time_chunk
+from mercantil.operators.ordered import id_chunk
 from mercantil.plans import bi, views
 from mercantil.session import configure, shared_dir
 from mercantil.sources import retail as R
@@ -85,7 +85,7 @@ class Source:
 
     def customer_versions(self) -> DataFrame:
         return S.scd2_history(self.customer_changes(), "cliente_id", "cliente_sk", ["segmento"],
-                              "cambiado_en", "cambio_id", time_chunk("cambiado_en", 365 * 86_400))
+                              "cambiado_en", "cambio_id")
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -349,7 +349,7 @@ def _allocated(s: Source) -> DataFrame:
 def _oversold(s: Source) -> DataFrame:
     return K.mark_oversold(
         _allocated(s), s.oltp.niveles_stock, ["pedido_id", "detalle_pedido_id"],
-        id_chunk("pedido_id", 4096)).select(
+        id_chunk("pedido_id")).select(
         "detalle_pedido_id", "almacen_id", "demanda_acumulada", "excede_stock")
 
 
@@ -512,7 +512,7 @@ QUERIES: dict[str, Callable[[Source], DataFrame]] = {
         s.oltp.ordenes_compra, s.oltp.variantes_producto),
     "lifecycle_due": _lifecycle,
     "fulfillment_status": lambda s: O.fulfillment_status(s.oltp.pedidos),
-    "state_history": lambda s: O.state_history(s.good(), time_chunk("ocurrido_en", 86_400)),
+    "state_history": lambda s: O.state_history(s.good()),
     "payment_candidates": lambda s: O.payment_candidates(s.oltp.pedidos, at(NOW)),
     "cancel_refunds": lambda s: O.cancel_refunds(s.oltp.pedidos, s.oltp.pagos),
     "return_candidates": lambda s: O.return_candidates(s.oltp.pedidos, s.oltp.devoluciones),

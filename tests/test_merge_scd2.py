@@ -84,7 +84,7 @@ def test_history_from_changes(spark, days):
         (1, None, ts("2024-02-02"), 7),
     ], "cliente_id bigint, segmento string, cuando timestamp, id bigint")
     dim = S.scd2_history(log, "cliente_id", "cliente_sk", ["segmento"], "cuando", "id",
-                         time_chunk("cuando", days * 86_400))
+                         time_chunk("cuando", days * 86_400), hot_rows=3)
     check_invariants(dim)
     assert rows(dim, "cliente_id", "segmento", "valido_desde", "valido_hasta") == rows(
         spark.createDataFrame([

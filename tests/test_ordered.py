@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from helpers import rows
-from mercantil.operators.ordered import id_chunk, with_neighbor, with_running_levels
+from mercantil.operators.ordered import hot_keys, id_chunk, with_neighbor, with_running_levels
 from mercantil.operators.topn import first_per_key, last_per_key, top_n_per_group
 
 
@@ -20,23 +20,32 @@ def moves(spark):
     return data, spark.createDataFrame(data, "k int, t bigint, id bigint, d bigint")
 
 
-@pytest.mark.parametrize("size", [1, 50, 700, 100_000])
+# Rows from which a key is hot: all keys, only the largest, none.
+HOT = [0, 500, 10_000]
+
+
+@pytest.mark.parametrize("size", [1, 700, 100_000])
+@pytest.mark.parametrize("hot", HOT)
 @pytest.mark.parametrize("following", [False, True])
-def test_neighbor_equals_window(moves, size, following):
+def test_neighbor_equals_window(moves, size, hot, following):
     _, df = moves
-    got = with_neighbor(df, ["k"], ["t", "id"], id_chunk("t", size), ["d", "id"], "n", following)
+    got = with_neighbor(
+        df, ["k"], ["t", "id"], id_chunk("t", size), ["d", "id"], "n",
+        hot_keys(df, ["k"], hot), following)
     step = F.lead if following else F.lag
     plain = df.withColumn(
         "n", step(F.struct("d", "id")).over(Window.partitionBy("k").orderBy("t", "id")))
     assert rows(got) == rows(plain)
 
 
-@pytest.mark.parametrize("size", [1, 50, 700, 100_000])
-def test_clamped_levels_equal_a_loop(moves, size):
+@pytest.mark.parametrize("size", [1, 700, 100_000])
+@pytest.mark.parametrize("hot", HOT)
+def test_clamped_levels_equal_a_loop(moves, size, hot):
     data, df = moves
     df = df.withColumn("x0", F.col("k") % 4)
     got = with_running_levels(
-        df, ["k"], ["t", "id"], id_chunk("t", size), {"level": ("d", "x0"), "free": ("d", None)})
+        df, ["k"], ["t", "id"], id_chunk("t", size), {"level": ("d", "x0"), "free": ("d", None)},
+        hot_keys(df, ["k"], hot))
     wanted, level, free = {}, {}, {}
     for k, t, id_, d in sorted(data, key=lambda r: (r[0], r[1], r[2])):
         level[k] = max(level.get(k, k % 4) + d, 0)
@@ -45,10 +54,12 @@ def test_clamped_levels_equal_a_loop(moves, size):
     assert {r.id: (r.level, r.free) for r in got.collect()} == wanted
 
 
-def test_running_sum_without_floor(moves):
+@pytest.mark.parametrize("hot", HOT)
+def test_running_sum_without_floor(moves, hot):
     data, df = moves
     got = with_running_levels(
-        df, ["k"], ["t", "id"], id_chunk("t", 300), {"s": ("d", None)}, floor_at_zero=False)
+        df, ["k"], ["t", "id"], id_chunk("t", 300), {"s": ("d", None)},
+        hot_keys(df, ["k"], hot), floor_at_zero=False)
     total, wanted = {}, {}
     for k, t, id_, d in sorted(data, key=lambda r: (r[0], r[1], r[2])):
         total[k] = total.get(k, 0) + d

@@ -92,7 +92,7 @@ def test_allocation_equals_a_search_over_all_warehouses(spark):
 def test_oversold_lines_are_marked(spark, oltp):
     lines = table(spark, "detalle_pedidos", [line(i, i, 100, 1, 3) for i in (1, 2, 3)])
     for size in (1, 2, 100):
-        got = K.mark_oversold(lines, oltp.niveles_stock, ["pedido_id"], id_chunk("pedido_id", size))
+        got = K.mark_oversold(lines, oltp.niveles_stock, ["pedido_id"], id_chunk("pedido_id", size), hot_rows=1)
         assert rows(got, "detalle_pedido_id", "demanda_acumulada", "excede_stock") == [
             (1, 3, False), (2, 6, False), (3, 9, True)]
 
@@ -142,7 +142,8 @@ def test_ledger_equals_a_loop(spark, days):
         kind = rng.choice(kinds)
         n = rng.randrange(1, 9)
         items.append((kind, -n if kind == "venta" or (kind == "ajuste" and n % 2) else n))
-    got = K.stock_ledger(moves(spark, *items), chunk=time_chunk("fecha_movimiento", days * 86_400))
+    got = K.stock_ledger(moves(spark, *items), chunk=time_chunk("fecha_movimiento", days * 86_400),
+                         hot_rows=50)
     physical = reserved = 0
     wanted = {}
     for i, (kind, n) in enumerate(items, start=1):
