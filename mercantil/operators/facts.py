@@ -73,9 +73,9 @@ def touched_ids(events: DataFrame, loader: str, column: str) -> DataFrame:
 def load_fact_orders(events: DataFrame, ctx: LoadContext) -> DataFrame:
     """One row per created order; ``num_items`` counts its lines."""
     ids = touched_ids(events, "order_created", "pedido_id")
-    lines = ctx.oltp.detalle_pedidos.groupBy("pedido_id").agg(F.count("*").alias("lineas"))
+    lines = ctx.oltp.rows_for("detalle_pedidos", ids).groupBy("pedido_id").agg(F.count("*").alias("lineas"))
     orders = (
-        ctx.oltp.pedidos.join(ids, "pedido_id", "left_semi")
+        ctx.oltp.rows_for("pedidos", ids).join(ids, "pedido_id", "left_semi")
         .join(lines, "pedido_id", "left")
         .join(ctx.customer_keys(), "cliente_id", "left")
     )
@@ -96,12 +96,13 @@ def load_fact_order_lines(events: DataFrame, ctx: LoadContext) -> DataFrame:
     """One row per line of each created order, dated by the order."""
     ids = touched_ids(events, "order_created", "pedido_id")
     orders = (
-        ctx.oltp.pedidos.select("pedido_id", "cliente_id", F.col("creado_en").alias("pedido_en"))
+        ctx.oltp.rows_for("pedidos", ids)
+        .select("pedido_id", "cliente_id", F.col("creado_en").alias("pedido_en"))
         .join(ids, "pedido_id", "left_semi")
         .join(ctx.customer_keys(), "cliente_id", "left")
     )
     lines = (
-        ctx.oltp.detalle_pedidos.join(orders, "pedido_id")
+        ctx.oltp.rows_for("detalle_pedidos", ids).join(orders, "pedido_id")
         .join(ctx.variant_keys(), "variante_id", "left")
     )
     return lines.select(
@@ -179,13 +180,17 @@ def fold_orders(contributions: DataFrame) -> DataFrame:
     return contributions.groupBy("pedido_id").agg(*picks)
 
 
-def merge_folds(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Fold of two folds, in any order."""
+def refold(folds: DataFrame) -> DataFrame:
+    """One fold out of the rows of several, in any order."""
     picks = []
     for column in FOLDED:
         mark = F.col(f"{column}_en")
         picks += [F.max_by(column, mark).alias(column), F.max(mark).alias(f"{column}_en")]
-    return left.unionByName(right).groupBy("pedido_id").agg(*picks)
+    return folds.groupBy("pedido_id").agg(*picks)
+
+
+def merge_folds(left: DataFrame, right: DataFrame) -> DataFrame:
+    return refold(left.unionByName(right))
 
 
 def apply_fold(orders: DataFrame, fold: DataFrame) -> DataFrame:
@@ -206,10 +211,12 @@ def load_fact_payments(events: DataFrame, ctx: LoadContext) -> DataFrame:
             "pago_id", F.col("cliente_id").alias("cliente_evento"),
             F.col("pedido_id").alias("pedido_evento"), *EVENT_ORDER),
         ["pago_id"], EVENT_ORDER)
-    owners = ctx.oltp.pedidos.select(
+    orders = named.select(F.col("pedido_evento").alias("pedido_id"))
+    owners = ctx.oltp.rows_for("pedidos", orders).select(
         F.col("pedido_id").alias("pedido_evento"), F.col("cliente_id").alias("cliente_pedido"))
     payments = (
-        ctx.oltp.pagos.join(named.select("pago_id", "cliente_evento", "pedido_evento"), "pago_id")
+        ctx.oltp.rows_for("pagos", named.select("pago_id"))
+        .join(named.select("pago_id", "cliente_evento", "pedido_evento"), "pago_id")
         .join(owners, "pedido_evento", "left")
         .withColumn("cliente_id", F.coalesce("cliente_evento", "cliente_pedido"))
         .join(ctx.customer_keys(), "cliente_id", "left")
@@ -237,10 +244,9 @@ def movement_facts(movements: DataFrame, ctx: LoadContext) -> DataFrame:
 
 def load_fact_stock(events: DataFrame, ctx: LoadContext) -> DataFrame:
     """Movements named by stock events."""
-    ids = touched_ids(events, "stock", "movimiento_id")
-    movements = ctx.oltp.movimientos_inventario.join(
-        ids.withColumnRenamed("movimiento_id", "movimiento_inventario_id"),
-        "movimiento_inventario_id", "left_semi")
+    key = "movimiento_inventario_id"
+    ids = touched_ids(events, "stock", "movimiento_id").withColumnRenamed("movimiento_id", key)
+    movements = ctx.oltp.rows_for("movimientos_inventario", ids).join(ids, key, "left_semi")
     return movement_facts(movements, ctx)
 
 
@@ -260,8 +266,10 @@ def load_fact_shipments(events: DataFrame, ctx: LoadContext) -> DataFrame:
         .agg(F.max_by("tipo_evento", F.struct(*EVENT_ORDER)).alias("ultimo"),
              F.bool_or(F.col("tipo_evento").isin(delivered)).alias("_entregado"))
     )
-    shipments = ctx.oltp.envios.join(named, "envio_id").join(
-        ctx.warehouse_keys(), "almacen_id", "left")
+    shipments = (
+        ctx.oltp.rows_for("envios", named.select("envio_id")).join(named, "envio_id")
+        .join(ctx.warehouse_keys(), "almacen_id", "left")
+    )
     return shipments.select(
         "envio_id", "pedido_id", "almacen_sk",
         ctx.date_key("enviado_en").alias("fecha_envio_sk"),
@@ -287,13 +295,16 @@ def load_fact_returns(events: DataFrame, ctx: LoadContext) -> DataFrame:
     """Returns with variant and quantity of their first detail row."""
     ids = touched_ids(events, "return", "devolucion_id")
     first = first_per_key(
-        ctx.oltp.detalle_devoluciones.select(
+        ctx.oltp.rows_for("detalle_devoluciones", ids).select(
             "devolucion_id", "detalle_devolucion_id", "variante_id", "cantidad_devuelta"),
         ["devolucion_id"], ["detalle_devolucion_id"])
-    owners = ctx.oltp.pedidos.select("pedido_id", "cliente_id").join(
-        ctx.customer_keys(), "cliente_id", "left")
+    found = ctx.oltp.rows_for("devoluciones", ids).join(ids, "devolucion_id", "left_semi")
+    owners = (
+        ctx.oltp.rows_for("pedidos", found.select("pedido_id")).select("pedido_id", "cliente_id")
+        .join(ctx.customer_keys(), "cliente_id", "left")
+    )
     returns = (
-        ctx.oltp.devoluciones.join(ids, "devolucion_id", "left_semi")
+        found
         .join(first, "devolucion_id", "left")
         .join(ctx.variant_keys(), "variante_id", "left")
         .join(owners, "pedido_id", "left")
@@ -308,11 +319,11 @@ def load_fact_returns(events: DataFrame, ctx: LoadContext) -> DataFrame:
 def load_fact_carts(events: DataFrame, ctx: LoadContext) -> DataFrame:
     """Carts with lines counted and valued; the stored state decides."""
     ids = touched_ids(events, "cart", "carrito_id")
-    lines = ctx.oltp.detalle_carritos.groupBy("carrito_id").agg(
+    lines = ctx.oltp.rows_for("detalle_carritos", ids).groupBy("carrito_id").agg(
         F.count("*").alias("lineas"),
         F.sum(F.col("cantidad") * F.col("precio_unitario")).alias("valor"))
     carts = (
-        ctx.oltp.carritos.join(ids, "carrito_id", "left_semi")
+        ctx.oltp.rows_for("carritos", ids).join(ids, "carrito_id", "left_semi")
         .join(lines, "carrito_id", "left")
         .join(ctx.customer_keys(), "cliente_id", "left")
     )

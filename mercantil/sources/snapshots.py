@@ -19,10 +19,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mercantil.sources.tables import Catalog
+
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """A table of unique ``keys`` split into ``buckets`` by their hash.
+    """A table split into ``buckets`` by the hash of ``keys``.
 
     Size ``buckets`` so that one is a few hundred megabytes. A manifest names
     at most ``buckets * max_parts`` folders: a bucket that collected
@@ -52,6 +54,10 @@ class KeyedTable:
         """The table, or only some buckets of it."""
         return self._read(self._manifest(), buckets)
 
+    def read_for(self, ids: DataFrame) -> DataFrame:
+        """The buckets that hold the keys in ``ids``, found by a small job."""
+        return self.read([r.b for r in ids.select(self.bucket().alias("b")).distinct().collect()])
+
     def merge(
         self, rows: DataFrame, writer: str, batch_id: int,
         how: Callable[[DataFrame, DataFrame], DataFrame],
@@ -65,13 +71,15 @@ class KeyedTable:
     def insert(
         self, rows: DataFrame, writer: str, batch_id: int,
         keep: Callable[[DataFrame, DataFrame], DataFrame],
+        compact: Callable[[DataFrame], DataFrame] | None = None,
     ) -> bool:
         """Add ``keep(their rows, incoming rows)`` to touched buckets.
 
         ``keep`` returns the rows to add, such as those of unknown keys; only
-        the columns it uses are read from the table.
+        the columns it uses are read from the table. ``compact`` may condense
+        the rows of buckets that are rewritten.
         """
-        return self._change(rows, writer, batch_id, keep, replace=False)
+        return self._change(rows, writer, batch_id, keep, replace=False, compact=compact)
 
     def vacuum(self, keep: int = 10) -> int:
         """Delete folders and manifests older than the last ``keep`` versions.
@@ -90,7 +98,7 @@ class KeyedTable:
             fs.delete(self._fs(f"_versions/{name}")[1], False)
         return gone
 
-    def _change(self, rows, writer, batch_id, how, replace: bool) -> bool:
+    def _change(self, rows, writer, batch_id, how, replace: bool, compact=None) -> bool:
         manifest = self._manifest()
         if batch_id <= manifest["batches"].get(writer, -1):
             return False
@@ -111,6 +119,7 @@ class KeyedTable:
                 if replaced and not replace:
                     result = self._read(manifest, sorted(replaced)).unionByName(
                         result.select(*self.columns()))
+                    result = compact(result) if compact else result
                 folder, filled = self._write(result, manifest) if touched else ("", set())
             finally:
                 rows.unpersist()
@@ -181,3 +190,29 @@ class KeyedTable:
         _, final = self._fs(f"_versions/v{manifest['version']:010d}")
         if fs.exists(final) or not fs.rename(aside, final):
             raise RuntimeError(f"another writer changed {self.path}")
+
+
+class KeyedCatalog(Catalog):
+    """Keyed tables as a catalog; loaders then read only the buckets they need.
+
+    Place each source table by the id its rows are looked up with: orders and
+    their lines by ``pedido_id``, prices by ``variante_id``, addresses by
+    ``cliente_id``, details of returns by ``devolucion_id``.
+    """
+
+    def __init__(self, tables: dict[str, KeyedTable]):
+        super().__init__({name: table.read for name, table in tables.items()})
+        self._tables = tables
+
+    def rows_for(self, name: str, ids: DataFrame) -> DataFrame:
+        table = self._tables.get(name)
+        if table is None or list(table.keys) != ids.columns:
+            return getattr(self, name)
+        return table.read_for(ids)
+
+    def replace(self, **tables) -> Catalog:
+        # A replaced table is no longer found by key, the others still are.
+        changed = KeyedCatalog(self._tables)
+        changed._builders.update(tables)
+        changed._tables = {n: t for n, t in self._tables.items() if n not in tables}
+        return changed

@@ -46,9 +46,22 @@ class Catalog:
     def names(self) -> list[str]:
         return list(self._builders)
 
-    def replace(self, **tables: DataFrame) -> Catalog:
+    def replace(self, **tables: DataFrame | Callable[[], DataFrame]) -> Catalog:
         return Catalog({**self._builders, **tables})
 
+    def rows_for(self, name: str, ids: DataFrame) -> DataFrame:
+        """A table holding at least the rows whose key is among ``ids``.
+
+        Here it is the whole table; a catalog that can find rows by key reads
+        less. ``ids`` has the key as its only column.
+        """
+        return getattr(self, name)
+
+    def narrowed(self, ids: DataFrame, *names: str) -> Catalog:
+        """This catalog with some tables cut down by ``rows_for``."""
+        return self.replace(**{
+            name: (lambda n=name: self.rows_for(n, ids)) for name in names if name in self})
+
 
 def raw_catalog(spark: SparkSession, root: str) -> Catalog:
     """The given Parquet tables under ``root``."""

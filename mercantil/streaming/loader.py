@@ -79,8 +79,7 @@ class Warehouse:
     def orders(self) -> DataFrame:
         """Created orders with the folded state of all events seen so far."""
         fold = self.table("pedidos_plegados").read()
-        return L.apply_fold(self.table("fact_pedidos").read(),
-                            L.merge_folds(fold, fold.limit(0)))
+        return L.apply_fold(self.table("fact_pedidos").read(), L.refold(fold))
 
     # --- loading ------------------------------------------------------------
 
@@ -106,12 +105,7 @@ class Warehouse:
         present = {row.cargador for row in newest}
         # Versions start at the newest event of the batch, so a replay repeats them.
         start = F.lit(max((row.t for row in newest), default=None)).cast("timestamp")
-        self._load_dims(good, present, batch_id, writer, start)
-        dims = Catalog({
-            name: (lambda n=name: self.table(n).read())
-            for name in ("dim_cliente", "dim_producto", "dim_variante", "dim_almacen")
-        })
-        ctx = L.LoadContext(self.oltp, dims, self.calendar, self.missing_days)
+        ctx = self._load_dims(good, present, batch_id, writer, start)
 
         steps: list[Callable[[], object]] = []
 
@@ -127,10 +121,12 @@ class Warehouse:
             insert("fact_pedidos", L.load_fact_orders(good, ctx))
             insert("fact_detalle_pedidos", L.load_fact_order_lines(good, ctx))
         if present & {"order_updated", "order_cancelled", "payment"}:
-            fold = L.fold_orders(L.order_contributions(good, self.oltp.pagos))
+            payments = good.select("pago_id").filter("pago_id IS NOT NULL").distinct()
+            fold = L.fold_orders(L.order_contributions(
+                good, self.oltp.rows_for("pagos", payments)))
             # Folds add up when read, so a batch only appends its own.
             steps.append(lambda: self.table("pedidos_plegados").insert(
-                fold, writer, batch_id, lambda old, new: new))
+                fold, writer, batch_id, lambda old, new: new, compact=L.refold))
         if "payment" in present:
             insert("fact_pagos", L.load_fact_payments(good, ctx))
         if "stock" in present:
@@ -187,86 +183,102 @@ class Warehouse:
 
         return [put, mark, retry]
 
-    def _load_dims(self, good, present, batch_id, writer, now) -> None:
-        """Bring dimension versions up to date for the ids the batch touches."""
+    def _load_dims(self, good, present, batch_id, writer, start: Column) -> L.LoadContext:
+        """Bring dimension versions up to date for the ids the batch touches.
+
+        Returns what the fact loaders look values up in, cut down to those ids.
+        """
         oltp = self.oltp
+
+        def rows(name: str, ids: DataFrame) -> DataFrame:
+            return oltp.rows_for(name, ids).join(ids.distinct(), ids.columns, "left_semi")
+
         customers, variants, warehouses = [], [], []
         if "order_created" in present:
-            orders = L.touched_ids(good, "order_created", "pedido_id")
-            customers.append(oltp.pedidos.join(orders, "pedido_id", "left_semi")
-                             .select("cliente_id"))
-            variants.append(oltp.detalle_pedidos.join(orders, "pedido_id", "left_semi")
-                            .select("variante_id"))
+            ids = L.touched_ids(good, "order_created", "pedido_id")
+            customers.append(rows("pedidos", ids).select("cliente_id"))
+            variants.append(rows("detalle_pedidos", ids).select("variante_id"))
         if "payment" in present:
             payments = L.events_for(good, "payment")
-            owners = oltp.pedidos.join(
-                payments.select("pedido_id").distinct(), "pedido_id", "left_semi")
-            customers += [payments.select("cliente_id"), owners.select("cliente_id")]
+            customers.append(payments.select("cliente_id"))
+            customers.append(rows("pedidos", payments.select("pedido_id")).select("cliente_id"))
         if "stock" in present:
             ids = L.touched_ids(good, "stock", "movimiento_id").withColumnRenamed(
                 "movimiento_id", "movimiento_inventario_id")
-            moves = oltp.movimientos_inventario.join(ids, "movimiento_inventario_id", "left_semi")
+            moves = rows("movimientos_inventario", ids)
             variants.append(moves.select("variante_id"))
             warehouses.append(moves.select("almacen_id"))
         if present & {"shipment_delivered", "shipment_returned"}:
-            ids = good.filter("envio_id IS NOT NULL").select("envio_id").distinct()
-            warehouses.append(oltp.envios.join(ids, "envio_id", "left_semi").select("almacen_id"))
+            ids = good.filter("envio_id IS NOT NULL").select("envio_id")
+            warehouses.append(rows("envios", ids).select("almacen_id"))
         if "return" in present:
             ids = L.touched_ids(good, "return", "devolucion_id")
-            returns = oltp.devoluciones.join(ids, "devolucion_id", "left_semi")
-            customers.append(oltp.pedidos.join(
-                returns.select("pedido_id").distinct(), "pedido_id", "left_semi")
-                .select("cliente_id"))
-            variants.append(oltp.detalle_devoluciones.join(ids, "devolucion_id", "left_semi")
-                            .select("variante_id"))
+            orders = rows("devoluciones", ids).select("pedido_id")
+            customers.append(rows("pedidos", orders).select("cliente_id"))
+            variants.append(rows("detalle_devoluciones", ids).select("variante_id"))
         if "cart" in present:
             ids = L.touched_ids(good, "cart", "carrito_id")
-            customers.append(oltp.carritos.join(ids, "carrito_id", "left_semi")
-                             .select("cliente_id"))
+            customers.append(rows("carritos", ids).select("cliente_id"))
+
+        dims = {name: self.table(name).read for name in
+                ("dim_cliente", "dim_producto", "dim_variante", "dim_almacen")}
+        cached: list[DataFrame] = []
 
         def touched(parts: list[DataFrame], key: str) -> DataFrame:
+            """Distinct ids of one dimension; they are read several times."""
             whole = parts[0]
             for part in parts[1:]:
                 whole = whole.unionByName(part)
-            return whole.filter(F.col(key).isNotNull()).distinct()
+            ids = whole.filter(F.col(key).isNotNull()).distinct().persist(
+                StorageLevel.MEMORY_AND_DISK)
+            cached.append(ids)
+            return ids
 
-        def merge(name: str, incoming: DataFrame, key: str, sk: str, tracked: list[str]) -> None:
+        def merge(name: str, incoming: DataFrame, ids: DataFrame, sk: str, tracked: list[str]):
+            key = ids.columns[0]
             self.table(name).merge(
-                incoming, writer, batch_id,
-                lambda old, new: scd2_apply(old, new, key, sk, tracked, now))
+                incoming.join(ids, key, "left_semi"), writer, batch_id,
+                lambda old, new: scd2_apply(old, new, key, sk, tracked, start))
+            dims[name] = self.table(name).read_for(ids)
 
-        steps: list[Callable[[], object]] = []
+        narrow = {"oltp": oltp}
 
         def load_customers() -> None:
             ids = touched(customers, "cliente_id")
-            merge("dim_cliente", D.customer_snapshot(oltp).join(ids, "cliente_id", "left_semi"),
-                  "cliente_id", "cliente_sk", D.CUSTOMER_TRACKED)
+            source = oltp.narrowed(ids, "clientes", "direcciones_cliente")
+            merge("dim_cliente", D.customer_snapshot(source), ids, "cliente_sk", D.CUSTOMER_TRACKED)
 
         def load_variants() -> None:
             ids = touched(variants, "variante_id")
-            products = oltp.variantes_producto.join(ids, "variante_id", "left_semi").select(
-                "producto_id").distinct()
-            merge("dim_producto", D.product_snapshot(oltp).join(products, "producto_id", "left_semi"),
-                  "producto_id", "producto_sk", D.PRODUCT_TRACKED)
-            current = self.table("dim_producto").read()
-            merge("dim_variante",
-                  D.variant_snapshot(oltp, current).join(ids, "variante_id", "left_semi"),
-                  "variante_id", "variante_sk", D.VARIANT_TRACKED)
+            source = oltp.narrowed(ids, "variantes_producto", "precios_producto")
+            narrow["oltp"] = oltp.narrowed(ids, "variantes_producto")
+            products = touched([source.variantes_producto.join(ids, "variante_id", "left_semi")
+                                .select("producto_id")], "producto_id")
+            merge("dim_producto", D.product_snapshot(oltp.narrowed(products, "productos")),
+                  products, "producto_sk", D.PRODUCT_TRACKED)
+            merge("dim_variante", D.variant_snapshot(source, dims["dim_producto"]),
+                  ids, "variante_sk", D.VARIANT_TRACKED)
 
         def load_warehouses() -> None:
             ids = touched(warehouses, "almacen_id")
-            known = oltp.almacenes.join(ids, "almacen_id", "left_semi")
+            known = oltp.rows_for("almacenes", ids).join(ids, "almacen_id", "left_semi")
             self.table("dim_almacen").insert(
                 D.dim_warehouse(known), writer, batch_id,
                 lambda old, new: new_rows(old, new, ["almacen_id"]))
 
+        steps: list[Callable[[], object]] = []
         if customers:
             steps.append(load_customers)
         if variants:
             steps.append(load_variants)
         if warehouses:
             steps.append(load_warehouses)
-        self._run(steps)
+        try:
+            self._run(steps)
+        finally:
+            for ids in cached:
+                ids.unpersist()
+        return L.LoadContext(narrow["oltp"], Catalog(dims), self.calendar, self.missing_days)
 
     # --- streaming ----------------------------------------------------------
 

@@ -245,3 +245,47 @@ def test_unfinished_write_is_invisible(spark, tmp_path):
     table.insert(data, "w", 0, lambda old, new: new)
     table._write(spark.createDataFrame([(2, "b")], schema), table._manifest())
     assert rows(table.read()) == [(1, "a")]
+
+
+def test_keyed_source_tables_are_read_by_bucket(spark, tmp_path):
+    from mercantil.sources.snapshots import KeyedCatalog
+    from shop import SCHEMAS
+    placed = {
+        "clientes": "cliente_id", "direcciones_cliente": "cliente_id", "marcas": "marca_id",
+        "categorias": "categoria_id", "productos": "producto_id", "variantes_producto": "variante_id",
+        "precios_producto": "variante_id", "almacenes": "almacen_id", "pedidos": "pedido_id",
+        "detalle_pedidos": "pedido_id", "pagos": "pago_id",
+        "movimientos_inventario": "movimiento_inventario_id", "envios": "envio_id",
+        "devoluciones": "devolucion_id", "detalle_devoluciones": "devolucion_id",
+        "carritos": "carrito_id", "detalle_carritos": "carrito_id",
+    }
+    plain = shop(spark)
+    tables = {}
+    for name, key in placed.items():
+        tables[name] = KeyedTable(spark, str(tmp_path / "src" / name), SCHEMAS[name], [key], buckets=8)
+        tables[name].insert(getattr(plain, name), "copy", 0, lambda old, new: new)
+    keyed = KeyedCatalog(tables)
+    one_id = spark.createDataFrame([(1,)], "pedido_id bigint")
+    assert keyed.rows_for("pedidos", one_id).count() < 3
+    assert keyed.rows_for("pagos", one_id).count() == 2
+    w = Warehouse(spark, str(tmp_path / "k"), keyed, CALENDAR, buckets=3)
+    for i, chunk in enumerate((LOG[:6], LOG[6:])):
+        w.load_batch(frame(spark, chunk), i)
+    whole = house(spark, tmp_path, "plain")
+    for i, chunk in enumerate((LOG[:6], LOG[6:])):
+        whole.load_batch(frame(spark, chunk), i)
+    assert state(w) == state(whole)
+
+
+def test_folds_are_condensed(spark, tmp_path):
+    from mercantil.operators import facts as L
+    table = KeyedTable(spark, str(tmp_path / "f"), schemas.CONTROL["pedidos_plegados"],
+                       ["pedido_id"], buckets=1, max_parts=2)
+    for i in range(5):
+        batch = parse_payload(frame(spark, [event(
+            100 + i, "pedido_actualizado", '{"pedido_id":1,"estado_nuevo":"pagado"}',
+            f"2024-01-{i + 1:02d}T00:00:00")]))
+        table.insert(L.fold_orders(L.status_contributions(batch)), "w", i,
+                     lambda old, new: new, compact=L.refold)
+    assert table.read().count() <= 2
+    assert one(L.refold(table.read()), "true").estado_pedido_sk_en.evento_negocio_id == 104
