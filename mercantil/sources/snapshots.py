@@ -38,7 +38,6 @@ class KeyedTable:
     keys: Sequence[str]
     buckets: int = 64
     max_parts: int = 16
-    tasks_per_bucket: int = 1
 
     def bucket(self):
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
@@ -146,10 +145,10 @@ class KeyedTable:
 
     def _write(self, rows: DataFrame, manifest: dict) -> tuple[str, set[int]]:
         folder = f"data-{manifest['version'] + 1:010d}-{uuid.uuid4().hex[:8]}"
-        spread = F.pmod(F.xxhash64(*self.keys, F.lit(1)), F.lit(self.tasks_per_bucket))
         (
             rows.select(*self.columns()).withColumn("bucket", self.bucket())
-            .repartition("bucket", spread)
+            # AQE splits buckets beyond the advisory size, so a hot key is no single task.
+            .hint("rebalance", "bucket")
             .write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
         )
         fs, made = self._fs(folder)

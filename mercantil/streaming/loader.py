@@ -21,6 +21,7 @@ from mercantil.functions import constants as C
 from mercantil.functions.payload import CORRUPT, parse_payload
 from mercantil.operators import dims as D
 from mercantil.operators import facts as L
+from mercantil.operators import quality as Q
 from mercantil.operators.merge import merge_upsert, new_rows
 from mercantil.operators.scd2 import scd2_apply
 from mercantil.sources.snapshots import KeyedTable
@@ -81,6 +82,32 @@ class Warehouse:
         fold = self.table("pedidos_plegados").read()
         return L.apply_fold(self.table("fact_pedidos").read(), L.refold(fold))
 
+    # --- start-up -----------------------------------------------------------
+
+    def contract(self, required: dict[str, str] | None = None) -> DataFrame:
+        """Source tables and columns that are missing or of another type.
+
+        ``required`` maps tables to DDL text; by default all tables that
+        loaders read.
+        """
+        if required is None:
+            required = {n: d for n, d in schemas.SOURCES.items() if n != "niveles_stock"}
+        wanted = {n: self.spark.createDataFrame([], d).schema for n, d in required.items()}
+        found = {n: getattr(self.oltp, n).schema for n in required if n in self.oltp}
+        return Q.contract_violations(self.spark, found, wanted)
+
+    def verify(self) -> list[str]:
+        """Problems that keep loads from working; adds missing watermark rows."""
+        problems = [
+            f"{r.problema}: {r.tabla}{'.' + r.columna if r.columna else ''}"
+            for r in self.contract().collect()]
+        if Q.short_calendar(self.star().dim_fecha).count():
+            problems.append("calendario corto")
+        marks = self.table("marcas_agua")
+        missing = Q.missing_watermarks(self.spark, marks.read())
+        marks.merge(missing, "verify", marks.last_batch("verify") + 1, E.update_watermarks)
+        return problems
+
     # --- loading ------------------------------------------------------------
 
     def load_batch(self, batch: DataFrame, batch_id: int, writer: str = "stream") -> None:

@@ -3,51 +3,9 @@
 from decimal import Decimal as D
 
 from helpers import ts
+from mercantil.schemas import SOURCES as SCHEMAS
 from mercantil.sources.tables import Catalog
 
-SCHEMAS = {
-    "clientes": "cliente_id bigint, correo string, nombre string, apellido string, "
-                "segmento string, estado string",
-    "direcciones_cliente": "direccion_id bigint, cliente_id bigint, codigo_pais string, "
-                           "ciudad string, provincia string, es_predeterminada boolean",
-    "marcas": "marca_id bigint, nombre string",
-    "categorias": "categoria_id bigint, categoria_padre_id bigint, nombre string",
-    "productos": "producto_id bigint, marca_id bigint, categoria_id bigint, nombre string, "
-                 "estado_producto string",
-    "variantes_producto": "variante_id bigint, producto_id bigint, proveedor_id bigint, sku string, "
-                          "color string, talla string, precio_costo decimal(12,2), activa boolean",
-    "precios_producto": "precio_id bigint, variante_id bigint, precio_lista decimal(12,2), "
-                        "vigente_desde timestamp",
-    "almacenes": "almacen_id bigint, codigo string, nombre string, ciudad string, codigo_pais string",
-    "pedidos": "pedido_id bigint, numero_pedido string, cliente_id bigint, canal_venta string, "
-               "estado_actual string, subtotal decimal(12,2), descuento_total decimal(12,2), "
-               "impuesto_total decimal(12,2), costo_envio decimal(12,2), total_final decimal(12,2), "
-               "estado_pago string, estado_fulfillment string, creado_en timestamp, "
-               "actualizado_en timestamp",
-    "detalle_pedidos": "detalle_pedido_id bigint, pedido_id bigint, variante_id bigint, "
-                       "almacen_id bigint, cantidad int, precio_unitario decimal(12,2), "
-                       "descuento_linea decimal(12,2), impuesto_linea decimal(12,2), "
-                       "total_linea decimal(12,2), creado_en timestamp",
-    "pagos": "pago_id bigint, pedido_id bigint, proveedor_pago string, metodo_pago string, "
-             "monto decimal(12,2), estado string, creado_en timestamp",
-    "movimientos_inventario": "movimiento_inventario_id bigint, almacen_id bigint, "
-                              "variante_id bigint, tipo_movimiento string, cantidad int, "
-                              "tipo_referencia string, referencia_id bigint, "
-                              "fecha_movimiento timestamp",
-    "envios": "envio_id bigint, pedido_id bigint, almacen_id bigint, estado_envio string, "
-              "transportista string, enviado_en timestamp, entregado_en timestamp",
-    "devoluciones": "devolucion_id bigint, pedido_id bigint, motivo string, estado string, "
-                    "creado_en timestamp",
-    "detalle_devoluciones": "detalle_devolucion_id bigint, devolucion_id bigint, "
-                            "detalle_pedido_id bigint, variante_id bigint, cantidad_devuelta int",
-    "carritos": "carrito_id bigint, cliente_id bigint, estado string, creado_en timestamp",
-    "detalle_carritos": "detalle_carrito_id bigint, carrito_id bigint, variante_id bigint, "
-                        "cantidad int, precio_unitario decimal(12,2)",
-    "niveles_stock": "almacen_id bigint, variante_id bigint, cantidad_fisica int, "
-                     "cantidad_reservada int, cantidad_disponible int, punto_reorden int",
-}
-
-
 def order(id_, client=1, state="pendiente", paid="pendiente", day="2024-01-05", total=100):
     return (id_, f"P{id_}", client, "web", state, D(total), D(0), D(0), D(0), D(total), paid,
             "pendiente", ts(day), ts(day))

@@ -6,7 +6,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import one, rows, ts
+from helpers import one, rows
 from mercantil import schemas
 from mercantil.functions.payload import parse_payload
 from mercantil.operators import dims as D

@@ -3,7 +3,6 @@
 import datetime as dt
 import json
 
-import pytest
 from pyspark.sql import functions as F
 
 from helpers import one, rows, ts
@@ -289,3 +288,18 @@ def test_folds_are_condensed(spark, tmp_path):
                      lambda old, new: new, compact=L.refold)
     assert table.read().count() <= 2
     assert one(L.refold(table.read()), "true").estado_pedido_sk_en.evento_negocio_id == 104
+
+
+def test_start_up_check(spark, tmp_path):
+    w = house(spark, tmp_path)
+    assert w.verify() == [] and w.verify() == []
+    marks = w.star().marcas_agua
+    assert marks.count() == 8
+    w.load_batch(frame(spark, LOG[:1]), 0)
+    assert one(w.star().marcas_agua, "tabla_fuente = 'pedidos'").ultima_carga == ts("2024-01-05")
+    assert w.star().marcas_agua.count() == 8
+    short = Warehouse(spark, str(tmp_path / "s"), w.oltp.replace(
+        pagos=w.oltp.pagos.drop("monto"), carritos=w.oltp.carritos.withColumn("estado", F.lit(1))),
+        (dt.date(2024, 1, 1), dt.date(2024, 2, 1)))
+    assert sorted(short.verify()) == ["calendario corto", "falta columna: pagos.monto",
+                                      "otro tipo: carritos.estado"]
