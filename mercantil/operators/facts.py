@@ -118,26 +118,24 @@ def load_fact_order_lines(events: DataFrame, ctx: LoadContext) -> DataFrame:
 FOLDED = ["estado_pedido_sk", "estado_fulfillment", "estado_pago"]
 
 
-def status_contributions(events: DataFrame) -> DataFrame:
-    """State and fulfillment set by update events; null where nothing is set."""
-    return (
-        events_for(events, "order_updated")
-        .filter("pedido_id IS NOT NULL AND estado_nuevo IS NOT NULL")
-        .select("pedido_id", *EVENT_ORDER,
-                X.order_state_key("estado_nuevo").alias("estado_pedido_sk"),
-                X.fulfillment_of("estado_nuevo").alias("estado_fulfillment"),
-                F.lit(None).cast("string").alias("estado_pago"))
-    )
-
+def state_contributions(
+    events: DataFrame, loaders: tuple[str, ...] = ("order_updated", "order_cancelled"),
+) -> DataFrame:
+    """What update and cancel events set; null where nothing is set.
 
-def cancel_contributions(events: DataFrame) -> DataFrame:
-    """A cancelled order is refunded and pending, whether or not it was paid."""
+    A cancelled order is refunded and pending, whether or not it was paid.
+    """
+    kinds = [kind for loader in loaders for kind in C.EVENTS_BY_LOADER[loader]]
+    cancelled = F.col("tipo_evento").isin(C.EVENTS_BY_LOADER["order_cancelled"])
+    state = F.when(cancelled, "cancelado").otherwise(F.col("estado_nuevo"))
     return (
-        events_for(events, "order_cancelled").filter("pedido_id IS NOT NULL")
+        events.filter(F.col("tipo_evento").isin(kinds) & F.col("pedido_id").isNotNull())
+        .select("pedido_id", *EVENT_ORDER, state.alias("estado"), cancelled.alias("cancelado"))
+        .filter("estado IS NOT NULL")
         .select("pedido_id", *EVENT_ORDER,
-                X.order_state_key(F.lit("cancelado")).alias("estado_pedido_sk"),
-                F.lit("pendiente").alias("estado_fulfillment"),
-                F.lit("reembolsado").alias("estado_pago"))
+                X.order_state_key("estado").alias("estado_pedido_sk"),
+                X.fulfillment_of("estado").alias("estado_fulfillment"),
+                F.when(F.col("cancelado"), "reembolsado").alias("estado_pago"))
     )
 
 
@@ -159,11 +157,7 @@ def payment_contributions(events: DataFrame, pagos: DataFrame) -> DataFrame:
 
 
 def order_contributions(events: DataFrame, pagos: DataFrame) -> DataFrame:
-    return (
-        status_contributions(events)
-        .unionByName(cancel_contributions(events))
-        .unionByName(payment_contributions(events, pagos))
-    )
+    return state_contributions(events).unionByName(payment_contributions(events, pagos))
 
 
 def fold_orders(contributions: DataFrame) -> DataFrame:

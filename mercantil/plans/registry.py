@@ -469,8 +469,8 @@ QUERIES: dict[str, Callable[[Source], DataFrame]] = {
     "load_fact_orders": lambda s: _drop_stamp(s.created_orders()),
     "load_fact_order_lines": lambda s: _drop_stamp(
         L.load_fact_order_lines(s.parsed("orders"), s.ctx)),
-    "fold_order_status": lambda s: _fold(s, L.status_contributions(s.good())),
-    "fold_order_cancel": lambda s: _fold(s, L.cancel_contributions(s.good())),
+    "fold_order_status": lambda s: _fold(s, L.state_contributions(s.good(), ("order_updated",))),
+    "fold_order_cancel": lambda s: _fold(s, L.state_contributions(s.good(), ("order_cancelled",))),
     "fold_orders": lambda s: _fold(s, L.order_contributions(s.good(), s.oltp.pagos)),
     "load_fact_payments": lambda s: _drop_stamp(
         L.load_fact_payments(s.parsed("payments"), s.ctx)),

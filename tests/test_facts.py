@@ -112,10 +112,10 @@ def test_cancelling_refunds_without_a_payment(spark, ctx):
 def test_folds_merge_like_one(spark, ctx):
     items = [update(i, s, f"2024-01-{10 + i % 3}T00:00:00") for i, s in enumerate(
         ["pendiente", "pagado", "enviado", "devuelto", "confirmado", "x"], start=1)]
-    whole = L.fold_orders(L.status_contributions(events(spark, *items)))
+    whole = L.fold_orders(L.state_contributions(events(spark, *items)))
     for cut in range(1, len(items)):
-        left = L.fold_orders(L.status_contributions(events(spark, *items[:cut])))
-        right = L.fold_orders(L.status_contributions(events(spark, *items[cut:])))
+        left = L.fold_orders(L.state_contributions(events(spark, *items[:cut])))
+        right = L.fold_orders(L.state_contributions(events(spark, *items[cut:])))
         assert rows(L.merge_folds(right, left)) == rows(whole)
 
 

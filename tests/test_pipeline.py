@@ -284,7 +284,7 @@ def test_folds_are_condensed(spark, tmp_path):
         batch = parse_payload(frame(spark, [event(
             100 + i, "pedido_actualizado", '{"pedido_id":1,"estado_nuevo":"pagado"}',
             f"2024-01-{i + 1:02d}T00:00:00")]))
-        table.insert(L.fold_orders(L.status_contributions(batch)), "w", i,
+        table.insert(L.fold_orders(L.state_contributions(batch)), "w", i,
                      lambda old, new: new, compact=L.refold)
     assert table.read().count() <= 2
     assert one(L.refold(table.read()), "true").estado_pedido_sk_en.evento_negocio_id == 104
