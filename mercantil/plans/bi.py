@@ -15,13 +15,21 @@ splitting skewed keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercantil.functions.expressions import average, percent
 from mercantil.sources.tables import Catalog
 
 
+def _mean(column: str) -> Column:
+    """Mean of a money column, sharing the sum that the query computes anyway.
+
+    It keeps many digits, so that rounding it once more cannot tip a half.
+    """
+    return average(F.sum(column), F.count(column))
+
+
 def _calendar(star: Catalog, *columns: str) -> DataFrame:
     return F.broadcast(star.dim_fecha.select("fecha_sk", *columns))
 
@@ -50,7 +58,7 @@ def daily_sales(star: Catalog) -> DataFrame:
         .groupBy("fecha_sk")
         .agg(F.count("pedido_id").alias("total_pedidos"),
              F.sum("total_final").alias("ventas_netas"),
-             F.avg("total_final").alias("ticket_promedio"),
+             _mean("total_final").cast("decimal(16,6)").alias("ticket_promedio"),
              F.sum("descuento_total").alias("descuentos_otorgados"))
     )
     return (
@@ -70,7 +78,7 @@ def top_products(star: Catalog, n: int = 10, restate: bool = False) -> DataFrame
         .groupBy(*names)
         .agg(F.sum("cantidad").alias("unidades_vendidas"),
              F.sum("total_linea").alias("ingresos_totales"),
-             F.avg("precio_unitario").alias("precio_promedio"),
+             _mean("precio_unitario").cast("decimal(16,6)").alias("precio_promedio"),
              F.countDistinct("pedido_id").alias("pedidos_distintos"))
         .orderBy(F.desc_nulls_first("ingresos_totales"), *names)
         .limit(n)
@@ -141,10 +149,10 @@ def ticket_by_channel(star: Catalog) -> DataFrame:
         .groupBy("canal_sk")
         .agg(F.count("pedido_id").alias("total_pedidos"),
              F.sum("total_final").alias("ventas_totales"),
-             F.round(F.avg("total_final"), 0).alias("ticket_promedio_clp"),
+             F.round(_mean("total_final"), 0).alias("ticket_promedio_clp"),
              F.round(F.avg(F.col("num_items").cast("decimal(12,0)")), 1)
              .alias("items_promedio_por_pedido"),
-             F.round(F.avg("descuento_total"), 0).alias("descuento_promedio_clp"))
+             F.round(_mean("descuento_total"), 0).alias("descuento_promedio_clp"))
     )
     return (
         paid.join(F.broadcast(star.dim_canal), "canal_sk").drop("canal_sk")
@@ -160,7 +168,7 @@ def payment_methods(star: Catalog) -> DataFrame:
         star.fact_pagos.filter("estado = 'capturado'")
         .groupBy("metodo_pago_sk")
         .agg(F.count("*").alias("total_transacciones"), F.sum("monto").alias("monto_total_clp"),
-             F.round(F.avg("monto"), 0).alias("monto_promedio_clp"))
+             F.round(_mean("monto"), 0).alias("monto_promedio_clp"))
         .join(F.broadcast(star.dim_metodo_pago), "metodo_pago_sk")
     )
     # At most seven rows reach this window.
@@ -247,7 +255,7 @@ def cohort_retention(star: Catalog, by_customer: bool = False) -> DataFrame:
         per_customer.groupBy(F.date_format("fecha", "yyyy-MM").alias("mes_cohort"))
         .agg(F.count("*").alias("clientes_nuevos"),
              F.round(F.avg(F.col("pedidos").cast("decimal(20,0)")), 1).alias("promedio_pedidos"),
-             F.round(F.avg("valor"), 0).alias("ltv_promedio_clp"),
+             F.round(_mean("valor"), 0).alias("ltv_promedio_clp"),
              repeat.alias("clientes_recurrentes"),
              percent(repeat, F.count("*"), 1).alias("tasa_recurrencia_pct"))
         .orderBy("mes_cohort")
@@ -277,7 +285,7 @@ def kpi_carts(star: Catalog) -> DataFrame:
 def kpi_payments(star: Catalog) -> DataFrame:
     """Amount captured, mean per transaction and number of transactions."""
     return star.fact_pagos.filter("estado = 'capturado'").agg(
-        F.sum("monto").alias("monto_capturado"), F.round(F.avg("monto"), 0).alias("monto_promedio"),
+        F.sum("monto").alias("monto_capturado"), F.round(_mean("monto"), 0).alias("monto_promedio"),
         F.count("*").alias("transacciones"))
 
 
@@ -290,4 +298,4 @@ def kpi_retention(star: Catalog) -> DataFrame:
     repeat = F.count_if(F.col("pedidos") > 1)
     return per_customer.agg(
         percent(repeat, F.count("*"), 2).alias("tasa_recurrencia_pct"),
-        F.round(F.avg("valor"), 0).alias("ltv_promedio"))
+        F.round(_mean("valor"), 0).alias("ltv_promedio"))
