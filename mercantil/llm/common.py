@@ -7,7 +7,11 @@ text counts as empty; a null id is carried along and sorts after all others.
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,12 +24,31 @@ BROADCAST_LIMIT = 64 << 20
 LAST_ID = (1 << 63) - 1
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable on the executors, once per application."""
+    root = Path(__file__).resolve().parents[2]
+    known = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
+    context = spark.sparkContext
+    if str(root) in known or context.applicationId in _SHIPPED:
+        return
+    target = Path(tempfile.mkdtemp(prefix="mercantil-")) / "mercantil.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for path in sorted((root / "mercantil").rglob("*.py")):
+            archive.write(path, path.relative_to(root))
+    context.addPyFile(str(target))  # the driver serves it to the executors
+    _SHIPPED.add(context.applicationId)
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/documents.parquet")
 
 
 def texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only ``_id`` (long) and ``_t`` (string, never null)."""
+    ship(df.sparkSession)
     return df.select(F.col(f"`{id_col}`").cast("long").alias("_id"),
                      F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_t"))
 

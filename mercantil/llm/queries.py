@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercantil.llm import byte_bpe, exact_dedup, unigram_count
+from mercantil.llm import byte_bpe, exact_dedup, quality, toxicity, unigram_count
 from mercantil.llm.common import documents
 from mercantil.session import configure
 
@@ -23,6 +23,27 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _labels(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder.rstrip('/')}/labels.parquet")
+
+
+def _judged(scores: DataFrame, held_out, threshold: float) -> DataFrame:
+    return scores.select("doc_id", held_out.alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, held_out = documents(spark, folder), toxicity.fold_number(F.col("doc_id"), 5) == 0
+    net = quality.learn(docs, _labels(spark, folder).filter(~held_out))
+    return _judged(quality.quality_scores(docs, net), held_out, quality.THRESHOLD)
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, held_out = documents(spark, folder), toxicity.fold_number(F.col("doc_id"), 4) == 2
+    lexicon = toxicity.learn(docs, _labels(spark, folder).filter(~held_out))
+    return _judged(toxicity.toxicity_scores(docs, lexicon), held_out, toxicity.THRESHOLD)
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(configure(spark), folder))
 
@@ -34,6 +55,8 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op6_quality": op6_quality,
+    "op7_toxicity": op7_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_counts": op10_token_counts,
 }
