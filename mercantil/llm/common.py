@@ -53,13 +53,18 @@ def texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_t"))
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     Cuts the lineage with a table every executor can reach, so a lost executor
     costs a read instead of a new computation.
     """
-    path = f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}/{name}"
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

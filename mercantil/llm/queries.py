@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercantil.llm import byte_bpe, exact_dedup, quality, toxicity, unigram_count
-from mercantil.llm.common import documents
+from mercantil.llm import byte_bpe, exact_dedup, quality, token_files, toxicity, unigram_count
+from mercantil.llm.common import documents, scratch
 from mercantil.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,12 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch(spark, "token_files")
+    token_files.write_ids(documents(spark, folder), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_files.file_report(spark, path)
+
+
 def _labels(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/labels.parquet")
 
@@ -55,6 +61,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op5_token_files": op5_token_files,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
