@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercantil.llm import byte_bpe, exact_dedup, quality, token_files, toxicity, unigram_count
+from mercantil.llm import byte_bpe, exact_dedup, jaccard_join, quality, token_files, toxicity, unigram_count
 from mercantil.llm.common import documents, scratch
 from mercantil.session import configure
 
@@ -23,6 +23,10 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_classes(documents(configure(spark), folder))
+
+
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch(spark, "token_files")
     token_files.write_ids(documents(spark, folder), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
@@ -61,6 +65,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_token_files": op5_token_files,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
