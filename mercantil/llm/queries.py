@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercantil.llm import byte_bpe, exact_dedup, jaccard_join, quality, token_files, toxicity, unigram_count
+from mercantil.llm import byte_bpe, exact_dedup, jaccard_join, quality, suffix_dedup, token_files, toxicity, unigram_count
 from mercantil.llm.common import documents, scratch
 from mercantil.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.without_repeats(documents(configure(spark), folder)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     tokens = byte_bpe.bpe_tokens(documents(spark, folder), path, pattern)
@@ -64,6 +69,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_token_files": op5_token_files,
