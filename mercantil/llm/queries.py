@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercantil.llm import byte_bpe, exact_dedup, jaccard_join, quality, suffix_dedup, token_files, toxicity, unigram_count
+from mercantil.llm import (
+    byte_bpe, decontaminate, exact_dedup, jaccard_join, licenses, quality, suffix_dedup, token_files, toxicity,
+    unigram_count,
+)
 from mercantil.llm.common import documents, scratch
 from mercantil.session import configure
 
@@ -28,6 +31,11 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{folder.rstrip('/')}/benchmark.parquet")
+    return decontaminate.leaks(documents(spark, folder), benchmark)
+
+
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_classes(documents(configure(spark), folder))
 
@@ -59,6 +67,11 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return _judged(toxicity.toxicity_scores(docs, lexicon), held_out, toxicity.THRESHOLD)
 
 
+def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    pages = spark.read.parquet(f"{folder.rstrip('/')}/pages.parquet")
+    return licenses.license_scan(pages, "page_id", "html", licenses.url_path(F.col("url")), html=True)
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(configure(spark), folder))
 
@@ -71,10 +84,12 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_decontaminate": op3_decontaminate,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_token_files": op5_token_files,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
+    "op8_licenses": op8_licenses,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_counts": op10_token_counts,
 }

@@ -295,7 +295,8 @@ def _packed(rows: DataFrame) -> DataFrame:
 def _covered(texts_: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
     """``_id, _th, _spans``: covered windows as pairs of 32-bit start and end; several rows a document."""
     wanted = anchors.groupBy("_id").agg(F.collect_set("_h").alias("_hs"))
-    rows = texts_.join(wanted, "_id").select("_id", "_th", "_z", "_hs")
+    # All columns stay, so that this shuffle of the texts also serves the last join.
+    rows = texts_.join(wanted, "_id").select("_id", "_th", "_z", "_hs", "_null")
     schema = "_at long, _n long, _data binary, _id long, _th long, _spans binary"
 
     def known(key, th, spans):
@@ -414,15 +415,16 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     packed = _packed(rows)
     spans = (_covered(packed, _repeated_anchors(rows, buckets), buckets)
-             .groupBy("_id", "_th").agg(F.collect_list("_spans").alias("_spans")))
+             .groupBy("_id").agg(F.collect_list(F.struct("_th", "_spans")).alias("_spans")))
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             n_bytes, removed, n_spans, kept = [], [], [], []
-            for z, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for th, z, found in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
                 data = unpack.decompress(z)
                 n_bytes.append(len(data))
+                spans = [x["_spans"] for x in found or () if x["_th"] == th]  # rows may share an id
                 if not spans:
                     removed.append(0)
                     n_spans.append(0)
@@ -439,6 +441,6 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield pa.record_batch([batch.column(0), *(pa.array(x, pa.int64()) for x in (n_bytes, removed, n_spans)),
                                    pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return (packed.join(spans, ["_id", "_th"], "left")
-            .select(F.when(~F.col("_null"), F.col("_id")).alias("doc_id"), "_z", "_spans")
+    return (packed.join(spans, "_id", "left")
+            .select(F.when(~F.col("_null"), F.col("_id")).alias("doc_id"), "_th", "_z", "_spans")
             .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))

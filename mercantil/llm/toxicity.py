@@ -22,6 +22,7 @@ from collections import Counter
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -253,8 +254,6 @@ def toxicity_scores(df: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", tex
 
 def drop_toxic(df: DataFrame, lexicon: Lexicon, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``df`` whose score is below ``threshold``, with all their columns."""
-    import pandas as pd
-
     shared = lexicon.dumps()
 
     @F.pandas_udf("double")
