@@ -18,12 +18,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from mercantil.llm.common import Memo, file_bytes, texts
+from mercantil.llm.common import Memo, file_bytes, sliced, texts
 
 #: Characters in a leaf of the tree over a text.
 BLOCK = 4096
 #: Entries of a worker's cache of encoded pieces.
-CACHE = 600_000
+CACHE = 150_000
 #: Characters the pattern may look at from a piece's start to decide on it ('re, 've, 'll).
 REACH = 3
 
@@ -41,9 +41,9 @@ class ByteBpe:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.find = regex.compile(pattern).findall
-        self.pairs = Memo(lambda p: self.merged(p[0] + p[1]) == [p[0], p[1]], cache)
-        self.windows = Memo(self.merged, cache)
-        self.spans = Memo(self._span, cache)
+        self.pairs = Memo(lambda p: self.merged(p[0] + p[1]) == [p[0], p[1]], cache // 3)
+        self.windows = Memo(self.merged, cache // 3)
+        self.spans = Memo(self._span, cache // 3)
         self.pieces = Memo(self._piece, cache)
 
     # Bytes of one piece.
@@ -181,7 +181,7 @@ def bpe_tokens(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
 
     def run(batches):
         bpe = _encoder(shared.value, pattern)
-        for batch in batches:
+        for batch in sliced(batches):
             ids = [bpe.encode(t) for t in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
                                    pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
@@ -198,7 +198,7 @@ def bpe_texts(tokens: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     def run(batches):
         bpe = _encoder(shared.value, pattern)
-        for batch in batches:
+        for batch in sliced(batches):
             decoded = [bpe.decode(memoryview(x or b"").cast("I")) for x in batch.column(2).to_pylist()]
             yield pa.record_batch([*batch.columns, pa.array(decoded, pa.binary())],
                                   names=["doc_id", "n_tokens", "ids", "decoded"])

@@ -78,6 +78,13 @@ def file_bytes(path: str) -> bytes:
     return data
 
 
+def sliced(batches, rows: int = 1000):
+    """Arrow batches in pieces of at most ``rows`` rows, so that few texts are held as objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 class Memo(dict):
     """Cache of ``make(key)``; emptied when it holds ``limit`` entries."""
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercantil.llm.common import LAST_ID, Memo, stored, texts
+from mercantil.llm.common import LAST_ID, Memo, sliced, stored, texts
 from mercantil.llm.components import components
 
 SHINGLE = 5
@@ -42,7 +42,7 @@ _MULTIPLY = _RNG.integers(1, 1 << 63, VALUES, dtype=np.uint64) | np.uint64(1)
 _ADD = _RNG.integers(0, 1 << 63, VALUES, dtype=np.uint64)
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) | 1 for k in range(SHINGLE)], dtype=np.uint64)
 #: One worker's cache of word hashes.
-_WORDS = Memo(lambda w: xxhash.xxh64_intdigest(w.encode()), 1_000_000)
+_WORDS = Memo(lambda w: xxhash.xxh64_intdigest(w.encode()), 150_000)
 
 
 def shingles(text: str) -> np.ndarray:
@@ -79,7 +79,7 @@ def set_key(found: np.ndarray) -> tuple[int, int]:
 def _embedded(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``_row, _id, _k1, _k2, _size, _mins`` for every row, stored."""
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
             keys = [set_key(s) for s in sets]
             mins = np.stack([embedding(s) for s in sets]) if sets else np.zeros((0, VALUES), np.uint32)
@@ -300,7 +300,7 @@ def _exact(df: DataFrame, reps: DataFrame, labels: DataFrame, id_col: str, text_
                       F.pmod(F.xxhash64("_rep"), blocks).alias("_block")))
 
     def sets(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             found, keep = [], []
             keys = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
             for i, (text, own) in enumerate(zip(batch.column(0).to_pylist(), keys)):

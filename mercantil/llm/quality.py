@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercantil.llm.common import texts
+from mercantil.llm.common import sliced, texts
 from mercantil.llm.toxicity import sampled
 
 #: Largest number of positives and of unlabelled rows a model is fitted on.
@@ -171,7 +171,7 @@ def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     everyone = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.lit(0).alias("quality"))
 
     def vectors(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             x = [features(t) for t in batch.column(0).to_pylist()]
             yield pa.record_batch([pa.array(x, pa.list_(pa.float64()))], names=["x"])
 
@@ -195,7 +195,7 @@ def quality_scores(df: DataFrame, net: Network | None, id_col: str = "doc_id", t
 
     def run(batches):
         own = Network.loads(shared) if shared else None
-        for batch in batches:
+        for batch in sliced(batches):
             found = batch.column(1).to_pylist()
             scores = own.scores(np.array([features(t) for t in found]).reshape(-1, len(NAMES))) if own else np.zeros(len(found))
             yield pa.record_batch([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])

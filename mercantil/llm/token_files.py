@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mercantil.llm.common import LAST_ID, Memo, file_bytes, stored, texts
+from mercantil.llm.common import LAST_ID, Memo, file_bytes, sliced, stored, texts
 
 MAGIC = b"RANS0001"
 BLOCK_IDS = 1 << 17
@@ -43,7 +43,7 @@ class WordTokenizer:
     is marked as a word end, which is where the ids of a joined call are cut.
     """
 
-    def __init__(self, data: bytes, cache: int = 600_000):
+    def __init__(self, data: bytes, cache: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -114,7 +114,7 @@ def token_ids(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "do
     def run(batches):
         tokenizer = _tokenizer(shared.value)
         end = np.array([end_id], tokenizer.type).tobytes()
-        for batch in batches:
+        for batch in sliced(batches):
             ids = [x + end for x in tokenizer.encode(batch.column(1).to_pylist())]
             yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary())], names=["_id", "_ids"])
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercantil.llm.common import texts
+from mercantil.llm.common import sliced, texts
 
 #: Largest number of labelled rows of each kind a lexicon is learned from.
 MAX_TOXIC, MAX_CLEAN = 3000, 9000
@@ -245,7 +245,7 @@ def toxicity_scores(df: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", tex
 
     def run(batches):
         own = Lexicon.loads(shared)
-        for batch in batches:
+        for batch in sliced(batches):
             yield pa.record_batch([batch.column(0), pa.array([own.score(t) for t in batch.column(1).to_pylist()],
                                                              pa.float64())], names=["doc_id", "score"])
 

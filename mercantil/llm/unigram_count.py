@@ -23,11 +23,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from mercantil.llm.common import Memo, file_bytes, texts
+from mercantil.llm.common import Memo, file_bytes, sliced, texts
 
 #: What the vocabulary writes for a blank.
 SPACE = "▁"
-CACHE = 500_000
+CACHE = 150_000
 UNKNOWN_PENALTY = 10.0
 SCALE = 1024.0
 
@@ -117,7 +117,7 @@ def token_counts(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
 
     def run(batches):
         counter = _counter(shared.value)
-        for batch in batches:
+        for batch in sliced(batches):
             found = [counter.count(t) for t in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array([n for n, _ in found], pa.int64()),
                                    pa.array([s for _, s in found], pa.float64())],
