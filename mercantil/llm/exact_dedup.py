@@ -21,7 +21,10 @@ BLANKS = " \t\n\x0b\x0c\r"
 BUCKET_BITS = 32768
 #: Rows meant for one bucket: 16 bits for each, two of them set.
 BUCKET_ROWS = 2048
-HIGH = F.lit(Decimal(1 << 64)).cast("decimal(20,0)")
+
+
+def _number(value: int) -> Column:
+    return F.lit(Decimal(value)).cast("decimal(20,0)")
 
 
 def normalized(text: Column) -> Column:
@@ -64,15 +67,15 @@ def _groups(rows: DataFrame) -> DataFrame:
     same = (tested.filter("_maybe").groupBy("_id", "_sha", "_n")
             .agg(F.count(F.lit(1)).alias("_same")))
     # Longest text, then smallest id, as one number that aggregates by hash.
-    rank = (F.col("_n").cast("decimal(20,0)") * HIGH
-            + (F.lit(Decimal(LAST_ID)).cast("decimal(20,0)")
+    rank = (F.col("_n").cast("decimal(20,0)") * _number(1 << 64)
+            + (_number(LAST_ID)
                - F.coalesce("_id", F.lit(LAST_ID)).cast("decimal(20,0)"))).cast("decimal(38,0)")
     best = (same.groupBy("_sha").agg(F.sum("_same").alias("_size"), F.max(rank).alias("_best")))
-    keep = F.lit(Decimal(LAST_ID)).cast("decimal(20,0)") - F.col("_best") % HIGH
+    keep = _number(LAST_ID) - F.col("_best") % _number(1 << 64)
     repeated = same.join(best, "_sha").select(
         "_id", "_sha", "_n", "_same", "_size",
         F.when(keep == LAST_ID, F.lit(None)).otherwise(keep).cast("long").alias("_keep_id"),
-        F.floor(F.col("_best") / HIGH).cast("int").alias("_keep_n"))
+        F.floor(F.col("_best") / _number(1 << 64)).cast("int").alias("_keep_n"))
     single = tested.filter("NOT _maybe").select(
         "_id", "_sha", "_n", F.lit(1).cast("long").alias("_same"), F.lit(1).cast("long").alias("_size"),
         F.col("_id").alias("_keep_id"), F.col("_n").alias("_keep_n"))
@@ -84,7 +87,8 @@ def _narrow(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         "_id", digest(F.col("_t")).alias("_sha"), F.char_length("_t").alias("_n")), "hashes")
 
 
-IS_KEPT = F.col("_id").eqNullSafe(F.col("_keep_id")) & (F.col("_n") == F.col("_keep_n"))
+def _is_kept() -> Column:
+    return F.col("_id").eqNullSafe(F.col("_keep_id")) & (F.col("_n") == F.col("_keep_n"))
 
 
 def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -98,7 +102,7 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return (_groups(_narrow(df, id_col, text_col))
             .select("*", F.explode(F.sequence(F.lit(1).cast("long"), "_same")).alias("_copy"))
             .select(F.col("_id").alias("doc_id"), F.col("_keep_id").alias("keep_id"),
-                    F.col("_size").alias("group_size"), (IS_KEPT & (F.col("_copy") == 1)).alias("kept"),
+                    F.col("_size").alias("group_size"), (_is_kept() & (F.col("_copy") == 1)).alias("kept"),
                     F.lower(F.hex("_sha")).alias("text_sha256")))
 
 
@@ -107,7 +111,7 @@ def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     from pyspark.sql import Window
 
     acted = (_groups(_narrow(df, id_col, text_col))
-             .withColumn("_act", F.when(~IS_KEPT, "drop").when(F.col("_same") > 1, "thin"))
+             .withColumn("_act", F.when(~_is_kept(), "drop").when(F.col("_same") > 1, "thin"))
              .filter("_act IS NOT NULL").select("_id", "_sha", "_n", "_act"))
     names = df.columns
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
