@@ -175,11 +175,15 @@ def cart_funnel(carts: DataFrame, links: DataFrame, orders: DataFrame) -> DataFr
 
 
 def sample_rows(
-    df: DataFrame, fraction: float, seed: int, condition: str | None = None,
+    df: DataFrame, key: str, fraction: float, seed: int, condition: str | None = None,
 ) -> DataFrame:
-    """Bernoulli sample of the rows that meet ``condition``."""
+    """Sample of the rows that meet ``condition``: those whose keys hash below ``fraction``.
+
+    The choice depends on the key and the seed only, not on files or partitions.
+    """
     rows = df if condition is None else df.filter(condition)
-    return rows.sample(withReplacement=False, fraction=fraction, seed=seed)
+    digest = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
+    return rows.filter(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") < int(fraction * 2**32))
 
 
 def backlog_by_state(orders: DataFrame) -> DataFrame:

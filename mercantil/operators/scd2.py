@@ -49,9 +49,16 @@ def scd2_apply(
     a column of ``incoming``. A current version whose tracked columns are
     unchanged stays as it is (untracked columns included); a changed one is
     closed at ``ts`` and a new one opened. Keys absent from ``incoming`` stay.
+    A change that is not later than the current version's start opens a
+    microsecond after it, so intervals never overlap and keys stay distinct.
     """
-    opened = new_versions(incoming, key, sk, ts).withColumn("_in", F.lit(True))
     current = dim.filter("es_actual")
+    open_since = current.select(F.col(key).alias("_k"), F.col("valido_desde").alias("_open"))
+    start = F.col(ts) if isinstance(ts, str) else ts
+    later = F.greatest(start.cast("timestamp"), F.timestamp_micros(micros("_open") + 1))
+    timed = incoming.join(open_since, F.col(key) == F.col("_k"), "left").withColumn("_start", later)
+    opened = (new_versions(timed.drop("_k", "_open"), key, sk, "_start").drop("_start")
+              .withColumn("_in", F.lit(True)))
     closed_before = dim.filter("NOT es_actual")
 
     joined = current.alias("o").join(

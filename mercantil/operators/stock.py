@@ -93,8 +93,15 @@ def cancel_release(orders: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
-def return_movements(returns: DataFrame, return_lines: DataFrame, lines: DataFrame) -> DataFrame:
-    """'devolucion' movements; the quantity must lie between 1 and the ordered one."""
+def return_movements(
+    returns: DataFrame, return_lines: DataFrame, lines: DataFrame, levels: DataFrame,
+) -> DataFrame:
+    """'devolucion' movements; the quantity must lie between 1 and the ordered one.
+
+    A line without warehouse goes where a delivery of it would have come from.
+    """
+    best = _best_warehouse(levels, "cantidad_reservada")
+    fallback = F.when(F.col("_nivel") >= F.col("_pedida"), F.col("_almacen")).otherwise(F.lit(1))
     ordered = lines.select(
         "detalle_pedido_id", F.col("cantidad").alias("_pedida"), "almacen_id")
     return (
@@ -103,7 +110,9 @@ def return_movements(returns: DataFrame, return_lines: DataFrame, lines: DataFra
         .join(returns.select("devolucion_id"), "devolucion_id", "left_semi")
         .join(ordered, "detalle_pedido_id")
         .filter(F.col("cantidad_devuelta").between(F.lit(1), F.col("_pedida")))
-        .select("almacen_id", "variante_id", F.lit("devolucion").alias("tipo_movimiento"),
+        .join(best, "variante_id", "left")
+        .select(F.coalesce("almacen_id", fallback).alias("almacen_id"), "variante_id",
+                F.lit("devolucion").alias("tipo_movimiento"),
                 F.col("cantidad_devuelta").alias("cantidad"),
                 F.lit("devolucion").alias("tipo_referencia"),
                 F.col("devolucion_id").alias("referencia_id"))

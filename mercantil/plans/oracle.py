@@ -58,8 +58,8 @@ def one_of(values: list[str]) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
-UNIQUE = ("SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, "
-          f"l_linenumber ORDER BY {cols(R.LINE_ORDER)}) AS rn FROM lineitem) WHERE rn = 1")
+NUMBERED = ("SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber "
+            f"ORDER BY {cols(R.LINE_ORDER)}) - 1 AS l_copy FROM lineitem")
 
 CTES: dict[str, str] = {
     "dim_fecha": "SELECT date_diff('day', DATE '1995-01-01', CAST(d AS DATE)) + 1 AS fecha_sk, "
@@ -88,7 +88,7 @@ CTES: dict[str, str] = {
             AS BIGINT) AS cantidad_reservada
         FROM lineitem GROUP BY 1, 2)""",
     "pedidos": f"SELECT {cols(R.PEDIDOS)} FROM orders LEFT JOIN descuentos ON l_orderkey = o_orderkey",
-    "lineas": UNIQUE,
+    "lineas": NUMBERED,
     "detalle": f"SELECT {cols(R.DETALLE_PEDIDOS)} FROM lineas",
     "pagos": f"SELECT {cols(R.PAGOS)} FROM orders JOIN (VALUES (0), (1), (2)) v(k) "
         "ON k <= o_orderkey % 3",
@@ -96,13 +96,13 @@ CTES: dict[str, str] = {
     "envios": f"SELECT {cols(R.ENVIOS)} FROM lineas JOIN orders ON l_orderkey = o_orderkey",
     "devoluciones": f"SELECT {cols(R.DEVOLUCIONES)} FROM lineas WHERE l_returnflag = 'R'",
     "detalle_dev": f"SELECT {cols(R.DETALLE_DEVOLUCIONES)} FROM lineas, (VALUES (0), (1)) v(k) "
-        "WHERE l_returnflag = 'R' AND l_quantity > 5",
+        "WHERE l_returnflag = 'R'",
     "carritos": f"SELECT user_id * 100000 + {DAY} AS carrito_id, user_id AS cliente_id, "
         "CASE WHEN bool_or(event_type = 'purchase') THEN 'convertido' ELSE 'abandonado' END AS estado, "
         "MIN(ts) AS creado_en FROM events GROUP BY 1, 2",
     "detalle_car": f"SELECT event_id AS detalle_carrito_id, user_id * 100000 + {DAY} AS carrito_id, "
         "1 + event_id % 3 AS cantidad, CAST(value AS DECIMAL(12,2)) AS precio_unitario FROM events",
-    "compras": f"SELECT {cols(R.ORDENES_COMPRA)} FROM lineas WHERE l_linenumber IN (1, 2)",
+    "compras": f"SELECT {cols(R.ORDENES_COMPRA)} FROM lineas",
     # events
     "eventos": f"SELECT {cols(R.stream_columns(K, DAY))} FROM events",
     "leidos": """SELECT *, CASE WHEN payload = '{bad' THEN payload END AS documento_malo,
@@ -417,13 +417,13 @@ SQL: dict[str, str] = {
           estado_pedido_sk, CAST(NULL AS BIGINT) AS promocion_sk,
           {money('subtotal', 'descuento_total', 'impuesto_total', 'costo_envio', 'total_final')},
           num_items, estado_pago, estado_fulfillment, {text('creado_en', 'creado_en')}
-        FROM f_creados WHERE pedido_id % 10 <> 9""",
+        FROM f_creados""",
     "load_fact_order_lines": f"""SELECT detalle_pedido_id, d.pedido_id, variante_sk, producto_sk,
           cliente_sk, {fecha_sk('p.creado_en')} AS fecha_sk, {big('cantidad')},
           {money('precio_unitario', 'descuento_linea', 'impuesto_linea', 'total_linea')},
           {text('d.creado_en', 'creado_en')}
         FROM detalle d JOIN pedidos p USING (pedido_id) LEFT JOIN sk_cliente USING (cliente_id)
-          {VARIANT_JOIN} WHERE d.pedido_id % 10 <> 9""",
+          {VARIANT_JOIN}""",
     "fold_order_status": folded("'a'"),
     "fold_order_cancel": folded("'c'"),
     "fold_orders": folded("'a', 'c', 'p'"),
@@ -448,7 +448,7 @@ SQL: dict[str, str] = {
           transportista, greatest(date_diff('day', CAST(enviado_en AS DATE),
             CAST(entregado_en AS DATE)), 0) AS dias_entrega
         FROM envios LEFT JOIN sk_almacen USING (almacen_id)
-        WHERE entregado_en IS NOT NULL AND (envio_id % 3 <> 0 OR estado_envio = 'devuelto')""",
+        WHERE entregado_en IS NOT NULL""",
     "load_fact_returns": f"""SELECT v0.devolucion_id, v0.pedido_id, variante_sk, producto_sk,
           cliente_sk, {fecha_sk('v0.creado_en')} AS fecha_sk, motivo, estado,
           CAST(coalesce(cantidad_devuelta, 0) AS BIGINT) AS cantidad_devuelta
@@ -501,11 +501,11 @@ SQL: dict[str, str] = {
     "stream_orders": "SELECT * REPLACE (" + money("total_final") + ") FROM ("
         + fold("'a', 'c', 'p'") + ")",
     # merges
-    "merge_insert_only": f"""SELECT {R.LINE_ID} AS detalle_pedido_id, l_partkey, l_suppkey, l_quantity,
+    "merge_insert_only": f"""SELECT {R.LINE_KEY} AS detalle_pedido_id, l_partkey, l_suppkey, l_quantity,
           l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
-          {text('l_shipdate', 'l_shipdate')} FROM lineas WHERE l_orderkey % 2 = 0
-        UNION ALL SELECT {R.LINE_ID}, 0, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
-        FROM lineas WHERE l_orderkey % 2 = 1""",
+          {text('l_shipdate', 'l_shipdate')} FROM lineas WHERE l_copy = 0 AND l_orderkey % 2 = 0
+        UNION ALL SELECT {R.LINE_KEY}, 0, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+        FROM lineas WHERE l_copy = 0 AND l_orderkey % 2 = 1""",
     "merge_upsert": f"""SELECT carrito_id, cliente_sk, fecha_sk,
           CASE WHEN fecha_sk < 10602 THEN 'activo' ELSE estado END AS estado,
           CASE WHEN fecha_sk <= 10607 THEN 0 ELSE n END AS num_items,
@@ -632,8 +632,14 @@ SQL: dict[str, str] = {
              'pedido' AS tipo_referencia, d.pedido_id AS referencia_id, cantidad
            FROM detalle d JOIN pedidos USING (pedido_id)
            WHERE estado_actual IN ('pendiente', 'confirmado') AND almacen_id IS NOT NULL"""),
+    "sample_rows": """SELECT pedido_id, estado_actual FROM pedidos
+        WHERE estado_actual IN ('pendiente', 'confirmado') AND CAST('0x' || substr(md5(
+          CAST(pedido_id AS VARCHAR) || '|42'), 1, 8) AS BIGINT) < CAST(0.05 * 4294967296 AS BIGINT)""",
     "return_movements": counted(
-        """SELECT almacen_id, r.variante_id, 'devolucion' AS tipo_movimiento,
+        """SELECT coalesce(almacen_id, (SELECT n.almacen_id FROM niveles n
+             WHERE n.variante_id = r.variante_id AND n.cantidad_reservada >= cantidad
+             ORDER BY n.cantidad_reservada DESC, n.almacen_id LIMIT 1), 1) AS almacen_id,
+             r.variante_id, 'devolucion' AS tipo_movimiento,
              'devolucion' AS tipo_referencia, devolucion_id AS referencia_id,
              cantidad_devuelta AS cantidad
            FROM detalle_dev r JOIN detalle USING (detalle_pedido_id)

@@ -211,7 +211,7 @@ def _shipments_returned(s: Source) -> DataFrame:
         *R._event("'envio_entregado'", "entregado_en", "envio_id * 8 + 6", "envio_id")))
     delivered = L.load_fact_shipments(
         everything, L.LoadContext(
-            s.oltp.replace(envios=s.oltp.envios.filter("envio_id % 3 <> 0").withColumn(
+            s.oltp.replace(envios=s.oltp.envios.withColumn(
                 "estado_envio", F.lit("entregado"))), s.dims, s.ctx.calendar))
     returned = L.load_fact_shipments(
         s.parsed("shipments").filter("tipo_evento = 'envio_devuelto'"), s.ctx)
@@ -223,8 +223,9 @@ def _shipments_returned(s: Source) -> DataFrame:
 def _merge_insert(s: Source) -> DataFrame:
     """Raw lines merged into a table that holds those of odd orders."""
     rows = s.raw.lineitem.select(
-        F.expr(R.LINE_ID).alias("detalle_pedido_id"), *[F.col(c) for c in R.LINE_ORDER])
-    known = s.oltp.detalle_pedidos.filter("pedido_id % 2 = 1").select(
+        F.expr(R.LINE_KEY).alias("detalle_pedido_id"), *[F.col(c) for c in R.LINE_ORDER])
+    known = s.raw.lineitem.filter("l_orderkey % 2 = 1").select(
+        F.expr(R.LINE_KEY).alias("detalle_pedido_id")).distinct().select(
         "detalle_pedido_id", F.lit(0).cast("bigint").alias("l_partkey"),
         *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in R.LINE_ORDER[1:]])
     return M.merge_insert_only(known, rows, ["detalle_pedido_id"], R.LINE_ORDER)
@@ -520,12 +521,13 @@ QUERIES: dict[str, Callable[[Source], DataFrame]] = {
     "cart_order_link": _cart_links,
     "payment_attempts": lambda s: O.payment_attempts(s.oltp.pagos),
     "sample_rows": lambda s: O.sample_rows(
-        s.oltp.pedidos.select("pedido_id", "estado_actual"), 0.05, 42,
+        s.oltp.pedidos.select("pedido_id", "estado_actual"), "pedido_id", 0.05, 42,
         "estado_actual IN ('pendiente', 'confirmado')"),
     "cancel_release": lambda s: _movement_columns(
         K.cancel_release(s.oltp.pedidos, s.oltp.detalle_pedidos)),
     "return_movements": lambda s: _movement_columns(K.return_movements(
-        s.oltp.devoluciones, s.oltp.detalle_devoluciones, s.oltp.detalle_pedidos)),
+        s.oltp.devoluciones, s.oltp.detalle_devoluciones, s.oltp.detalle_pedidos,
+        s.oltp.niveles_stock)),
     "shipping_address": lambda s: O.shipping_address(s.oltp.direcciones_cliente),
     "shipments_to_create": lambda s: O.shipments_to_create(s.oltp.pedidos, s.oltp.envios),
     "payment_event_log": lambda s: O.payment_event_log(s.oltp.pagos),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercantil.sources.tables import Catalog
@@ -52,7 +52,9 @@ GROSS = f"CAST({PRICE} * {QUANTITY} AS DECIMAL(12,2))"
 LINE_DISCOUNT = f"CAST({GROSS} * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(12,2))"
 LINE_TOTAL = f"CAST({GROSS} - {LINE_DISCOUNT} AS DECIMAL(12,2))"
 LINE_TAX = f"CAST({LINE_TOTAL} * CAST(0.19 AS DECIMAL(3,2)) AS DECIMAL(12,2))"
-LINE_ID = "l_orderkey * 10 + l_linenumber"
+# Natural key of a line, and an id for every row: lines that share the key are numbered.
+LINE_KEY = "l_orderkey * 100 + l_linenumber"
+LINE_ID = f"({LINE_KEY}) * 1000 + l_copy"
 VARIANT = "l_partkey * 2 + l_linenumber % 2"
 
 CLIENTES = [
@@ -266,27 +268,22 @@ def stream_events(events: DataFrame) -> DataFrame:
     return read.selectExpr(*stream_columns("k", "day"))
 
 
-def unique_lines(lineitem: DataFrame) -> DataFrame:
-    """One row per (order, line number).
-
-    ``min`` of a struct combines map-side, so copies of one line never meet
-    in a single task.
-    """
-    first = F.min(F.struct(*LINE_ORDER)).alias("first")
-    return (
-        lineitem.groupBy("l_orderkey", "l_linenumber").agg(first)
-        .select("l_orderkey", "l_linenumber", "first.*")
-    )
+def numbered_lines(lineitem: DataFrame) -> DataFrame:
+    """Every line, with its number among those of the same order and line number."""
+    same = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*LINE_ORDER)
+    return lineitem.select(
+        "l_orderkey", "l_linenumber", *LINE_ORDER,
+        (F.row_number().over(same) - 1).cast("bigint").alias("l_copy"))
 
 
 def source_catalog(raw: Catalog) -> Catalog:
     """The retail source tables as views over the given tables."""
     lines: dict[str, DataFrame] = {}
 
-    def unique() -> DataFrame:
-        if "u" not in lines:
-            lines["u"] = unique_lines(raw.lineitem)
-        return lines["u"]
+    def numbered() -> DataFrame:
+        if "n" not in lines:
+            lines["n"] = numbered_lines(raw.lineitem)
+        return lines["n"]
 
     def variants() -> DataFrame:
         return raw.part.withColumn("k", F.explode(F.array(F.lit(0), F.lit(1))))
@@ -298,7 +295,7 @@ def source_catalog(raw: Catalog) -> Catalog:
 
     def lines_with_orders() -> DataFrame:
         orders = raw.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-        return unique().join(orders, "l_orderkey")
+        return numbered().join(orders, "l_orderkey")
 
     def stock_levels() -> DataFrame:
         quantity = F.col("l_quantity").cast("bigint")
@@ -343,17 +340,17 @@ def source_catalog(raw: Catalog) -> Catalog:
             .selectExpr(*ALMACENES)),
         "niveles_stock": stock_levels,
         "pedidos": lambda: orders_with_discount().selectExpr(*PEDIDOS),
-        "detalle_pedidos": lambda: unique().selectExpr(*DETALLE_PEDIDOS),
+        "detalle_pedidos": lambda: numbered().selectExpr(*DETALLE_PEDIDOS),
         "pagos": lambda: (
             raw.orders.withColumn(
                 "k", F.explode(F.sequence(F.lit(0), (F.col("o_orderkey") % 3).cast("int"))))
             .selectExpr(*PAGOS)),
-        "movimientos_inventario": lambda: unique().selectExpr(*MOVIMIENTOS),
+        "movimientos_inventario": lambda: numbered().selectExpr(*MOVIMIENTOS),
         "envios": lambda: lines_with_orders().selectExpr(*ENVIOS),
         "devoluciones": lambda: (
-            unique().filter("l_returnflag = 'R'").selectExpr(*DEVOLUCIONES)),
+            numbered().filter("l_returnflag = 'R'").selectExpr(*DEVOLUCIONES)),
         "detalle_devoluciones": lambda: (
-            unique().filter("l_returnflag = 'R' AND l_quantity > 5")
+            numbered().filter("l_returnflag = 'R'")
             .withColumn("k", F.explode(F.array(F.lit(0), F.lit(1))))
             .selectExpr(*DETALLE_DEVOLUCIONES)),
         "carritos": carts,
@@ -362,8 +359,7 @@ def source_catalog(raw: Catalog) -> Catalog:
             f"user_id * 100000 + {SPARK_DAY} AS carrito_id",
             "1 + event_id % 3 AS cantidad",
             "CAST(value AS DECIMAL(12,2)) AS precio_unitario"),
-        "ordenes_compra": lambda: (
-            unique().filter("l_linenumber IN (1, 2)").selectExpr(*ORDENES_COMPRA)),
+        "ordenes_compra": lambda: numbered().selectExpr(*ORDENES_COMPRA),
         "eventos_negocio": lambda: stream_events(raw.events),
     })
 
@@ -385,14 +381,13 @@ def _event(kind: str, at: str, number: str, *fields: str) -> list[str]:
 def event_log(oltp: Catalog) -> Catalog:
     """The events that lead to the source tables, one catalog entry per kind.
 
-    Orders whose number ends in 9 have no creation event. Numbers are unique
-    over all entries.
+    Numbers are unique over all entries.
     """
     movement = "tipo_movimiento"
     stock_kind = (f"CASE WHEN {movement} IN ('ingreso', 'reposicion') THEN 'stock_repuesto' "
                   f"WHEN {movement} = 'reserva' THEN 'stock_reservado' ELSE 'stock_vendido' END")
     return Catalog({
-        "orders": lambda: oltp.pedidos.filter("pedido_id % 10 <> 9").selectExpr(
+        "orders": lambda: oltp.pedidos.selectExpr(
             *_event("'pedido_creado'", "creado_en", "pedido_id * 8", "pedido_id")),
         "payments": lambda: oltp.pagos.selectExpr(
             *_event("CASE estado WHEN 'capturado' THEN 'pago_capturado' ELSE 'pago_fallido' END",

@@ -57,7 +57,14 @@ def poll(events: DataFrame, n: int = C.POLL_BATCH) -> DataFrame:
 
 
 def dedup_events(events: DataFrame) -> DataFrame:
-    """One row per event id: the earliest, then by content."""
+    """One row per event id: most attempts, then the earliest, then by content.
+
+    A delivery of an event that waits for its retry does not reset its attempts.
+    """
+    if "intentos_olap" in events.columns:
+        events = events.withColumn("_left", -F.col("intentos_olap"))
+        rest = [c for c in events.columns if c not in ("evento_negocio_id", "_left", "ocurrido_en")]
+        return first_per_key(events, ["evento_negocio_id"], ["_left", "ocurrido_en", *rest]).drop("_left")
     rest = [c for c in events.columns if c not in ("evento_negocio_id", "ocurrido_en")]
     return first_per_key(events, ["evento_negocio_id"], ["ocurrido_en", *rest])
 

@@ -49,6 +49,17 @@ def test_tracked_change_opens_a_version(spark):
     assert old.valido_hasta == new.valido_desde == ts("2024-01-02")
 
 
+def test_equal_and_late_changes_keep_intervals_apart(spark):
+    dim = first(spark, (1, "a", "nuevo", "N"))
+    dim = apply(dim, snap(spark, (1, "a", "vip", "N")), T3)
+    for day, segment in ((T3, "plata"), (T2, "oro")):
+        dim = apply(dim, snap(spark, (1, "a", segment, "N")), day)
+        check_invariants(dim)
+    ordered = sorted(dim.collect(), key=lambda r: r.valido_desde)
+    assert [r.segmento for r in ordered] == ["nuevo", "vip", "plata", "oro"]
+    assert all(a.valido_desde < a.valido_hasta == b.valido_desde for a, b in zip(ordered, ordered[1:]))
+
+
 def test_untracked_change_opens_none(spark):
     dim = first(spark, (1, "a", "vip", "RM"))
     assert rows(apply(dim, snap(spark, (1, "new", "vip", "RM")), T2)) == rows(dim)

@@ -303,3 +303,12 @@ def test_start_up_check(spark, tmp_path):
         (dt.date(2024, 1, 1), dt.date(2024, 2, 1)))
     assert sorted(short.verify()) == ["calendario corto", "falta columna: pagos.monto",
                                       "otro tipo: carritos.estado"]
+
+
+def test_a_delivery_keeps_the_attempts_of_its_event(spark):
+    from mercantil.streaming.events import dedup_events
+
+    rows = spark.createDataFrame([(1, "2024-01-01", 0), (1, "2024-01-02", 2), (2, "2024-01-01", 0)],
+                                 "evento_negocio_id long, ocurrido_en string, intentos_olap int")
+    found = {r.evento_negocio_id: r.intentos_olap for r in dedup_events(rows).collect()}
+    assert found == {1: 2, 2: 0}

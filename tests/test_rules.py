@@ -114,7 +114,8 @@ def test_cancel_release(spark):
 
 def test_return_quantity_is_bounded_by_the_line(spark, oltp):
     detail = table(spark, "detalle_devoluciones", [(1, 1, 11, 100, 2), (2, 1, 11, 100, 3), (3, 1, 12, 101, 0)])
-    got = K.return_movements(oltp.devoluciones, detail, oltp.detalle_pedidos)
+    got = K.return_movements(oltp.devoluciones, detail, oltp.detalle_pedidos, oltp.niveles_stock)
+    assert not got.filter("almacen_id IS NULL").count()
     assert rows(got, "variante_id", "cantidad", "tipo_movimiento") == [(100, 2, "devolucion")]
 
 
