@@ -11,7 +11,9 @@ task is simply run again; each block decodes without any other.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 import struct
 import zlib
 
@@ -35,59 +37,130 @@ HEADER = struct.Struct("<8s16sIIIIIIIII")
 
 # Tokens.
 
+class Recent:
+    """Cache of two generations: when the newer is full, the older one goes."""
+
+    def __init__(self, limit: int):
+        self.limit, self.newer, self.older = limit, {}, {}
+
+    def get(self, key: str) -> bytes | None:
+        found = self.newer.get(key)
+        if found is None and (found := self.older.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key: str, value: bytes) -> None:
+        if len(self.newer) >= self.limit:
+            self.newer, self.older = {}, self.newer
+        self.newer[key] = value
+
+
+#: The splitter and normalizers under which a text's ids are those of its words.
+WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+#: Letters that the normalizers only lower.
+LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
 class WordTokenizer:
-    """The library's tokenizer behind a cache of words.
+    """The library's tokenizer behind caches of words and of their letters.
 
     Its splitter never crosses a blank, so a text's ids are those of its words. Missing
     words go to the library together: letters only are one piece each, whose last token
-    is marked as a word end, which is where the ids of a joined call are cut.
+    is marked as a word end, which is where the ids of a joined call are cut. Lowered
+    Latin letters are what the normalizers and the splitter would give, so they go to
+    the library's model without those two steps. A tokenizer of other steps encodes
+    whole texts.
     """
 
     def __init__(self, data: bytes, cache: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_buffer(data)
+        self.by_word = self._splits_words(json.loads(data))
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.type = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         self.last = np.zeros(self.size, bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.last[i] = token.endswith("</w>")
         self.words: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         self.limit = cache
+        self.cores = Recent(cache)
         self.tails = Memo(self._direct, 10_000)
 
+    @staticmethod
+    def _splits_words(config: dict) -> bool:
+        steps = ((config.get("normalizer") or {}).get("normalizers", []),
+                 (config.get("pre_tokenizer") or {}).get("pretokenizers", []))
+        kinds = [[x["type"] for x in found] for found in steps]
+        return (kinds == [NORMALIZERS, ["Split", "ByteLevel"]]
+                and steps[1][0]["pattern"].get("Regex") == WORD_SPLIT
+                and config["model"].get("end_of_word_suffix") == "</w>")
+
     def _direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
 
+    def _joined(self, tokenizer, names: list[str]) -> list[bytes]:
+        """Ids of each of ``names``, all letters, by calls for a thousand at once."""
+        found = []
+        for at in range(0, len(names), 1000):
+            part = names[at:at + 1000]
+            coded = tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0]
+            ids = np.array(coded.ids, np.int64)
+            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
+            if len(ends) == len(part):
+                joined, width = ids.astype(self.type).tobytes(), self.type.itemsize
+                found += [joined[b * width:e * width] for b, e in zip([0, *ends], ends)]
+            else:
+                found += map(self._direct, part)
+        return found
+
     def _learn(self, missing: set[str]) -> None:
-        cores: dict[str, list[tuple[str, str]]] = {}
+        latin, others, waiting = {}, {}, []
+        before, letters, known = self.older.get, LATIN.fullmatch, self.cores.get
         for word in missing:
+            own = before(word)
+            if own is not None:
+                self.words[word] = own
+                continue
             core = word.rstrip(".,;:!?|*#%$&()")
-            if core.isalpha():
-                cores.setdefault(core, []).append((word, word[len(core):]))
+            if letters(core):
+                group, key = latin, core.lower()
+            elif core.isalpha():
+                group, key = others, core
             else:
                 self.words[word] = self._direct(word)
-        names = list(cores)
-        for at in range(0, len(names), 1000):
-            part = names[at:at + 1000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.int64)
-            ends = np.flatnonzero(self.last[ids]) + 1
-            found = ([x.tobytes() for x in np.split(ids.astype(self.type), ends[:-1])] if len(ends) == len(part)
-                     else list(map(self._direct, part)))
-            for core, own in zip(part, found):
-                for word, tail in cores[core]:
-                    self.words[word] = own + self.tails[tail] if tail else own
+                continue
+            own = known(key)
+            if own is None:
+                group[key] = b""
+                waiting.append((word, key, len(core), group))
+            else:
+                self.words[word] = own + self.tails[word[len(core):]] if len(core) < len(word) else own
+        for tokenizer, group in ((self.letters, latin), (self.tokenizer, others)):
+            names = list(group)
+            for key, own in zip(names, self._joined(tokenizer, names)):
+                group[key] = own
+                self.cores.put(key, own)
+        for word, key, n, group in waiting:
+            self.words[word] = group[key] + self.tails[word[n:]] if n < len(word) else group[key]
 
     def encode(self, found: list[str]) -> list[bytes]:
         """Ids of each text as little-endian integers of ``type``."""
+        if not self.by_word:
+            return list(map(self._direct, found))
         out = []
         for at in range(0, len(found), 128):
             split = [t.replace("\n", " ").split(" ") for t in found[at:at + 128]]
             needed = set().union(*split)
-            missing = needed - self.words.keys()
+            missing = needed.difference(self.words)
             if len(self.words) + len(missing) > self.limit:
-                self.words, missing = {"": b""}, needed - {""}
+                self.older, self.words, missing = self.words, {"": b""}, needed - {""}
             if missing:
                 self._learn(missing)
             get = self.words.__getitem__
