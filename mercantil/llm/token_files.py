@@ -27,9 +27,9 @@ from mercantil.llm.common import LAST_ID, Memo, file_bytes, sliced, stored, text
 
 MAGIC = b"RANS0001"
 BLOCK_IDS = 1 << 17
-LANES = 256
+LANES = 1024
 #: Steps between two checkpoints; a step codes one id in each lane.
-CHECK_STEPS = 128
+CHECK_STEPS = 64
 LOW = np.uint64(1 << 31)
 WORD = np.uint64(32)
 HEADER = struct.Struct("<8s16sIIIIIIIII")
