@@ -339,9 +339,9 @@ def crc32_joined(first: int, second: int, size: int) -> int:
 def _count(ids: DataFrame, size: int, width: str) -> np.ndarray:
     def run(batches):
         total = np.zeros(size, np.int64)
-        for batch in batches:
-            for x in batch.column(0).to_pylist():
-                total += np.bincount(np.frombuffer(x, width), minlength=size)
+        for batch in sliced(batches):
+            joined = b"".join(batch.column(0).to_pylist())
+            total += np.bincount(np.frombuffer(joined, width), minlength=size)
         used = np.flatnonzero(total)
         yield pa.record_batch([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["s", "n"])
 
