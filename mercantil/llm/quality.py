@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -62,9 +63,9 @@ def features(text: str) -> list[float]:
     raw = text.encode()
     return [
         math.log1p(n), math.log1p(size), (size - n) / n, sum(len(w) > 14 for w in distinct) / len(distinct),
-        len(distinct) / n, repeats / max(1, n - 1), max(map(words.count, words[:3])) / n,
+        len(distinct) / n, repeats / max(1, n - 1), max(Counter(words).values()) / n,
         len(set(lines)) / max(1, len(lines)), math.log1p(len(lines)), math.log1p(n / max(1, len(lines))), upper / n,
-        sum(map(str.isupper, text[:: max(1, size // 2000)])) / len(text[:: max(1, size // 2000)]),
+        sum(map(str.isupper, text)) / size,
         sum(text.count(d) for d in "0123456789") / size, sum(symbols) / n, symbols[0] / n, symbols[1] / n,
         ends / len(distinct), text.count(".") / n, text.count(",") / n, text.count(" ") / size,
         float(-(share * np.log(share)).sum()), len(zlib.compress(raw, 1)) / len(raw),
