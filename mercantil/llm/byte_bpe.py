@@ -2,10 +2,11 @@
 
 A text is cut into blocks. Blocks are split by the pattern, neighbours are joined by
 splitting a window around the border anew, and the window grows until the pieces
-outside provably stand. Each piece is encoded the same way on bytes: halves first,
-then the border is encoded anew until both outer pairs of tokens are stable. A token
-sequence is the encoding if and only if each adjacent pair is the encoding of its own
-bytes, so the join may stop there. Decoding concatenates byte strings up the tree.
+outside provably stand. Each piece is encoded the same way on bytes, down to leaves of
+a few bytes: halves first, then the border is encoded anew until both outer pairs of
+tokens are stable. A token sequence is the encoding if and only if each adjacent pair
+is the encoding of its own bytes, so the join may stop there. Decoding concatenates
+byte strings up the tree.
 """
 
 from __future__ import annotations
@@ -22,8 +23,12 @@ from mercantil.llm.common import Memo, file_bytes, sliced, texts
 
 #: Characters in a leaf of the tree over a text.
 BLOCK = 4096
+#: Bytes in a leaf of the tree over a piece.
+LEAF = 8
+#: Longest window that is encoded by passes over all its pairs.
+SHORT = 24
 #: Entries of a worker's cache of encoded pieces.
-CACHE = 150_000
+CACHE = 400_000
 #: Characters the pattern may look at from a piece's start to decide on it ('re, 've, 'll).
 REACH = 3
 
@@ -41,9 +46,9 @@ class ByteBpe:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.find = regex.compile(pattern).findall
-        self.pairs = Memo(lambda p: self.merged(p[0] + p[1]) == [p[0], p[1]], cache // 3)
-        self.windows = Memo(self.merged, cache // 3)
-        self.spans = Memo(self._span, cache // 3)
+        self.pairs = Memo(lambda p: self.merged(p[0] + p[1]) == [p[0], p[1]], cache // 8)
+        self.windows = Memo(self.merged, cache // 8)
+        self.leaves = Memo(self.merged, cache // 8)
         self.pieces = Memo(self._piece, cache)
 
     # Bytes of one piece.
@@ -51,6 +56,19 @@ class ByteBpe:
     def merged(self, data: bytes) -> list[bytes]:
         """Encode a window directly: lowest rank first, then leftmost."""
         ranks, n = self.ranks, len(data)
+        if n <= SHORT:
+            rank, none = ranks.get, len(self.tokens)
+            parts = [data[i:i + 1] for i in range(n)]
+            found = [rank(data[i:i + 2], none) for i in range(n - 1)]
+            while found and (least := min(found)) < none:
+                i = found.index(least)
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+                del found[i]
+                if i:
+                    found[i - 1] = rank(parts[i - 1] + parts[i], none)
+                if i < len(found):
+                    found[i] = rank(parts[i] + parts[i + 1], none)
+            return parts
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(ranks[data[i:i + 2]], i, i + 2) for i in range(n - 1) if data[i:i + 2] in ranks]
         heapq.heapify(heap)
@@ -83,15 +101,12 @@ class ByteBpe:
             if not right_ok:
                 j = min(len(right), 2 * j)
 
-    def _span(self, data: bytes) -> list[bytes]:
-        if len(data) == 1:
-            return [data]
+    def span(self, data: bytes) -> list[bytes]:
+        if len(data) <= LEAF:
+            return self.leaves[data]
         half = len(data) // 2
         return self.join(self.span(data[:half]), self.span(data[half:]))
 
-    def span(self, data: bytes) -> list[bytes]:
-        return self.spans[data] if len(data) <= 8 else self._span(data)
-
     def _piece(self, piece: str) -> bytes:
         data = piece.encode()
         if (rank := self.ranks.get(data)) is not None:
