@@ -76,19 +76,30 @@ def set_key(found: np.ndarray) -> tuple[int, int]:
     return (xxhash.xxh64_intdigest(data) - (1 << 63), xxhash.xxh64_intdigest(data, 1) - (1 << 63))
 
 
+def _hashed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``_id, _t, _h1, _h2``: an id may be null or repeated, so id and both hashes of the text name a row."""
+    return texts(df, id_col, text_col).select("_id", "_t", *_hashes(F.col("_t")))
+
+
+def _hashes(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("_h1"), F.xxhash64(F.lit(1), text).alias("_h2")]
+
+
 def _embedded(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``_row, _id, _k1, _k2, _size, _mins`` for every row, stored."""
+    """``_row, _id, _h1, _h2, _k1, _k2, _size, _mins`` for every row, stored."""
     def run(batches):
         for batch in sliced(batches):
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
             keys = [set_key(s) for s in sets]
             mins = np.stack([embedding(s) for s in sets]) if sets else np.zeros((0, VALUES), np.uint32)
             yield pa.record_batch([
-                batch.column(0), pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64()),
+                *(batch.column(k) for k in (0, 2, 3)),
+                pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64()),
                 pa.array([len(s) for s in sets], pa.int64()), pa.array([m.tobytes() for m in mins], pa.binary())],
-                names=["_id", "_k1", "_k2", "_size", "_mins"])
+                names=["_id", "_h1", "_h2", "_k1", "_k2", "_size", "_mins"])
 
-    rows = texts(df, id_col, text_col).mapInArrow(run, "_id long, _k1 long, _k2 long, _size long, _mins binary")
+    rows = _hashed(df, id_col, text_col).mapInArrow(
+        run, "_id long, _h1 long, _h2 long, _k1 long, _k2 long, _size long, _mins binary")
     return stored(rows.withColumn("_row", F.monotonically_increasing_id()), "embedded")
 
 
@@ -292,28 +303,29 @@ def unit_links(sets: list[np.ndarray], weights: np.ndarray, side: np.ndarray):
 
 def _exact(df: DataFrame, reps: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``_rep, _texts, _rows, _root``: partial counts of links and forest, by unit; stored."""
-    members = reps.select("_rep", "_id", "_k1", "_k2", "_size", "_m").join(labels, F.col("_rep") == F.col("node"))
+    members = reps.select("_rep", "_id", "_h1", "_h2", "_size", "_m").join(labels, F.col("_rep") == F.col("node"))
     totals = members.groupBy("label").agg(F.count(F.lit(1)).alias("_c"), F.sum("_size").alias("_s"))
     blocks = F.greatest(F.ceil(F.col("_c") / BLOCK_ROWS), F.ceil(F.col("_s") / BLOCK_SHINGLES))
     placed = (members.join(totals, "label")
-              .select("_id", "_k1", "_k2", "_rep", "_m", "label", blocks.alias("_blocks"),
+              .select("_id", "_h1", "_h2", "_rep", "_m", "label", blocks.alias("_blocks"),
                       F.pmod(F.xxhash64("_rep"), blocks).alias("_block")))
 
     def sets(batches):
+        seen = set()  # rows equal in id and text meet in one task: one of them is enough
         for batch in sliced(batches):
             found, keep = [], []
-            keys = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
-            for i, (text, own) in enumerate(zip(batch.column(0).to_pylist(), keys)):
-                s = shingles(text)
-                if set_key(s) == own:  # another row may have the same id
-                    found.append(s.tobytes())
+            for i, (text, rep) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                if rep not in seen:
+                    seen.add(rep)
+                    found.append(shingles(text).tobytes())
                     keep.append(i)
             rest = batch.take(pa.array(keep, pa.int64()))
-            yield pa.record_batch([*(rest.column(k) for k in range(3, 8)), pa.array(found, pa.binary())],
+            yield pa.record_batch([*(rest.column(k) for k in range(1, 6)), pa.array(found, pa.binary())],
                                   names=["_rep", "_m", "label", "_blocks", "_block", "_set"])
 
-    with_sets = (_keyed(texts(df, id_col, text_col)).join(_keyed(placed).drop("_id"), "_key")
-                 .select("_t", "_k1", "_k2", "_rep", "_m", "label", "_blocks", "_block")
+    rows, wanted = _hashed(df, id_col, text_col), placed.withColumnsRenamed({"_id": "_i", "_h1": "_x1", "_h2": "_x2"})
+    with_sets = (rows.join(wanted, _same_row())
+                 .select("_t", "_rep", "_m", "label", "_blocks", "_block")
                  .mapInArrow(sets, "_rep long, _m long, label long, _blocks long, _block long, _set binary"))
     units = with_sets.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).alias("_other")).select(
         "label", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"),
@@ -336,64 +348,91 @@ def _exact(df: DataFrame, reps: DataFrame, labels: DataFrame, id_col: str, text_
                   .mapInArrow(run, "_rep long, _texts long, _rows long, _root long"), "exact")
 
 
-def _keyed(df: DataFrame) -> DataFrame:
-    return df.withColumn("_key", F.coalesce("_id", F.lit(LAST_ID)))
+def _same_row() -> Column:
+    return (F.col("_h1") == F.col("_x1")) & (F.col("_h2") == F.col("_x2")) & F.col("_id").eqNullSafe(F.col("_i"))
+
 
+def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows, sets and classes; texts without words are among the rows only.
 
-def _classes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``_row, _id, _k1, _k2, _class, _links, _texts, _kept`` for every row of ``df``."""
+    Rows are those of ``_embedded``. Sets: ``_k1, _k2, _label, _m, _texts, _near``. Classes:
+    ``_label, _first``, the latter id (null last) and text hashes of the row that comes first.
+    """
     rows = _embedded(df, id_col, text_col)
-    groups = stored(rows.groupBy("_k1", "_k2").agg(
-        F.min("_row").alias("_rep"), F.min(F.coalesce("_id", F.lit(LAST_ID))).alias("_first"),
-        F.count(F.lit(1)).alias("_m")), "groups")
+    first = F.struct(F.col("_id").isNull().alias("_null"), "_id", "_h1", "_h2")
+    groups = stored(rows.filter("_size > 0").groupBy("_k1", "_k2").agg(
+        F.min("_row").alias("_rep"), F.min(first).alias("_first"), F.count(F.lit(1)).alias("_m")), "groups")
     reps = stored(rows.filter("_size > 0").join(groups.select("_rep", "_m"), F.col("_row") == F.col("_rep"))
-                  .select("_rep", "_id", "_k1", "_k2", "_size", "_mins", "_m"), "representatives")
+                  .select("_rep", "_id", "_h1", "_h2", "_size", "_mins", "_m"), "representatives")
     exact = _exact(df, reps, components(likely_links(reps)), id_col, text_col)
     counts = exact.groupBy("_rep").agg(F.sum("_texts").alias("_texts"), F.sum("_rows").alias("_rows"))
     forest = components(exact.filter("_rep <> _root").select(F.col("_rep").alias("a"), F.col("_root").alias("b")))
-    own = (groups.join(counts, "_rep", "left").join(forest, F.col("_rep") == F.col("node"), "left")
-           .select("_k1", "_k2", "_rep", "_first", "_m", F.coalesce("label", "_rep").alias("_label"),
-                   F.coalesce("_texts", F.lit(0)).alias("_texts"), F.coalesce("_rows", F.lit(0)).alias("_near")))
-    firsts = own.groupBy("_label").agg(F.min("_first").alias("_class"))
-    full = stored(own.join(firsts, "_label"), "classes")
-    return (rows.select("_row", "_id", "_k1", "_k2", "_size")
-            .join(full.select("_k1", "_k2", "_class", "_m", "_texts", "_near"), ["_k1", "_k2"])
-            .select("_row", "_id", "_k1", "_k2", "_size", "_class", "_texts",
-                    F.when(F.col("_size") > 0, F.col("_m") - 1 + F.col("_near")).otherwise(0).alias("_links")))
+    sets = stored(groups.join(counts, "_rep", "left").join(forest, F.col("_rep") == F.col("node"), "left")
+                  .select("_k1", "_k2", "_first", "_m", F.coalesce("label", "_rep").alias("_label"),
+                          F.coalesce("_texts", F.lit(0)).alias("_texts"), F.coalesce("_rows", F.lit(0)).alias("_near")),
+                  "sets")
+    return rows, sets.drop("_first"), sets.groupBy("_label").agg(F.min("_first").alias("_first"))
+
+
+def _named(classes: DataFrame) -> DataFrame:
+    """``_label, _class`` for classes ``_label, _first``: a number that no other class has.
+
+    It is the smallest id. A class without ids, and all but one of those with the same
+    smallest id, take the smallest row number, counted from the least long.
+    """
+    number = F.col("_label") + F.lit(-LAST_ID - 1)
+    with_id = classes.filter("_first._id IS NOT NULL").select("_label", "_first._id", "_first._h1", "_first._h2")
+    shared = (with_id.groupBy("_id").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("_h1", "_h2", "_label")).alias("_s"))
+              .filter("_n > 1").select("_id", F.col("_s._label").alias("_holder")))
+    return (with_id.join(shared, "_id", "left")
+            .select("_label", F.when(F.col("_holder") != F.col("_label"), number).otherwise(F.col("_id")).alias("_class"))
+            .unionByName(classes.filter("_first._id IS NULL").select("_label", number.alias("_class"))))
 
 
 def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, class_id, n_links, n_text_links`` for every row.
 
     A link joins two rows whose shingle sets have a Jaccard similarity of 0.8 or more.
-    Classes are connected by links; ``class_id`` is the smallest id in the class (null
-    counts as the largest long). ``n_links`` counts linked rows, copies included,
+    Classes are connected by links; ``class_id`` is the smallest id in the class. A class
+    without ids, or whose smallest id is that of another class too, has a negative number
+    of its own (see ``_named``). ``n_links`` counts linked rows, copies included,
     ``n_text_links`` linked sets that differ. Texts without words have no links, each
     is its own class.
     """
-    return _classes(df, id_col, text_col).select(
-        F.col("_id").alias("doc_id"),
-        F.when(F.col("_size") > 0, F.col("_class")).otherwise(F.coalesce("_id", F.lit(LAST_ID))).alias("class_id"),
-        F.col("_links").alias("n_links"), F.col("_texts").alias("n_text_links"))
+    rows, sets, classes = _classes(df, id_col, text_col)
+    bare = rows.filter("_size = 0")
+    alone = bare.select(F.col("_row").alias("_label"),
+                        F.struct(F.col("_id").isNull().alias("_null"), "_id", "_h1", "_h2").alias("_first"))
+    names = stored(_named(classes.unionByName(alone)), "names")
+    linked = rows.filter("_size > 0").select("_id", "_k1", "_k2").join(sets.join(names, "_label"), ["_k1", "_k2"]).select(
+        F.col("_id").alias("doc_id"), F.col("_class").alias("class_id"),
+        (F.col("_m") - 1 + F.col("_near")).alias("n_links"), F.col("_texts").alias("n_text_links"))
+    none = F.lit(0).cast("long")
+    return linked.unionByName(bare.select("_id", "_row").join(names, F.col("_row") == F.col("_label")).select(
+        F.col("_id").alias("doc_id"), F.col("_class").alias("class_id"),
+        none.alias("n_links"), none.alias("n_text_links")))
 
 
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that stay: of each class the one with the smallest id, and texts without words.
 
-    Rows that tie on the smallest id stay once.
+    A null id comes after all others. Rows that tie on the smallest id stay once.
     """
-    classes = _classes(df, id_col, text_col).filter("_size > 0").select("_row", "_id", "_class")
-    lost = classes.filter(~(F.coalesce("_id", F.lit(LAST_ID)) == F.col("_class"))).select(
-        F.coalesce("_id", F.lit(LAST_ID)).alias("_key")).distinct()
+    rows, sets, classes = _classes(df, id_col, text_col)
+    judged = (rows.filter("_size > 0").select("_id", "_h1", "_h2", "_k1", "_k2")
+              .join(sets.join(classes, "_label").select("_k1", "_k2", "_first"), ["_k1", "_k2"]))
+    first = (F.col("_id").eqNullSafe(F.col("_first._id")) & (F.col("_h1") == F.col("_first._h1"))
+             & (F.col("_h2") == F.col("_first._h2")))
+    # Rows equal in id and text are in one class, so they fare alike: all go, or one stays.
+    acted = stored(judged.groupBy(F.col("_id").alias("_i"), F.col("_h1").alias("_x1"), F.col("_h2").alias("_x2"))
+                   .agg(F.bool_or(first).alias("_thin"), F.count(F.lit(1)).alias("_n"))
+                   .filter("NOT _thin OR _n > 1").drop("_n"), "acted")
     names = df.columns
     own = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_own"),
-                    F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID)).alias("_key"))
-    kept = own.join(lost, "_key", "left_anti")
-    # Ids that occur more than once among the rows that stay in a class.
-    ties = (classes.filter(F.coalesce("_id", F.lit(LAST_ID)) == F.col("_class")).groupBy("_class")
-            .agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(F.col("_class").alias("_key")))
-    single = kept.join(ties, "_key", "left_anti").select("_own.*")
-    one = Window.partitionBy("_key").orderBy(F.to_json("_own"))
-    tied = (kept.join(ties, "_key", "left_semi").withColumn("_rank", F.row_number().over(one))
+                    F.col(f"`{id_col}`").cast("long").alias("_id"),
+                    *_hashes(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))))
+    single = own.join(acted, _same_row(), "left_anti").select("_own.*")
+    one = Window.partitionBy("_id", "_h1", "_h2").orderBy(F.to_json("_own"))
+    tied = (own.join(acted.filter("_thin"), _same_row(), "left_semi").withColumn("_rank", F.row_number().over(one))
             .filter("_rank = 1").select("_own.*"))
     return single.unionByName(tied)

@@ -181,6 +181,29 @@ def test_jaccard_classes(spark, monkeypatch):
     assert jaccard_join.near_classes(frame(spark, EMPTY)).count() == 0
 
 
+def test_near_copies_by_row(spark):
+    """Rows without id and rows that share one are judged by their own text."""
+    rng = random.Random(11)
+    a, b, c, d, e, f = (" ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=120)) for _ in range(6))
+    rows = [(None, a), (None, b), (1, c), (None, c + " tail"), (None, ""), (None, " "),
+            (2, d), (7, d + " tail"), (7, e), (9, f), (9, "other " + a[::-1]), (9, f), (9, f + " tail"),
+            (10, ""), (10, ""), (None, b + " tail")]
+    kept = [(r.doc_id, r.text) for r in jaccard_join.drop_near_copies(frame(spark, rows)).collect()]
+    one_b = [x for x in kept if x[0] is None and x[1].startswith(b)]
+    one_f = [x for x in kept if x[0] == 9 and x[1].startswith(f)]
+    assert len(one_b) == len(one_f) == 1
+    assert sorted(map(str, kept)) == sorted(map(str, one_b + one_f + [
+        (None, a), (1, c), (None, ""), (None, " "), (2, d), (7, e), (9, "other " + a[::-1]), (10, ""), (10, "")]))
+    found = jaccard_join.near_classes(frame(spark, rows)).collect()
+    classes = {}
+    for r in found:
+        classes.setdefault(r.class_id, []).append(r.doc_id)
+    assert sorted(map(str, classes.values())) == sorted(map(str, [
+        [None], [None, None], [1, None] if [1, None] in classes.values() else [None, 1], [None], [None],
+        [2, 7] if [2, 7] in classes.values() else [7, 2], [7], [9, 9, 9], [9], [10], [10]]))
+    assert {r.class_id for r in found if r.doc_id == 1} == {1} and {r.class_id for r in found if r.doc_id == 2} == {2}
+
+
 def test_token_blocks():
     rng = np.random.default_rng(3)
     for size in (1, 255, 256, 257, 70_000):
