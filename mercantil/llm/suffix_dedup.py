@@ -10,8 +10,11 @@ Adjacent common prefixes of 50 bytes or more form groups; a window is covered wh
 group holds a document with a smaller id.
 
 A batch sends each anchor, and later each different run, once, with its smallest id;
-for the other copies it already knows the answer. So a string that a third of all
-documents share costs a bucket one row per batch.
+for the other copies it already knows the answer. So a run inside a string that a third
+of all documents share costs a bucket one row per batch. A run that straddles the edge of
+such a string carries the document's own bytes, so it differs in each of them. Anchors
+with very many different runs are found first, and their runs are split into windows that
+go to the bucket of their own hash: equal windows still meet, and no anchor fills a bucket.
 """
 
 from __future__ import annotations
@@ -31,6 +34,9 @@ ANCHOR = 16
 #: Bytes of text meant for one bucket.
 BUCKET_BYTES = 2 << 20
 MASK = np.uint64((1 << 48) - 1)
+#: Different runs (of about 70 bytes) from which an anchor is split into windows. They are
+#: counted on one text in SAMPLE; what is split changes where windows meet, not the result.
+HOT_RUNS, SAMPLE = 16384, 16
 _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -189,6 +195,55 @@ def anchor_runs(data: bytes, length: int = LENGTH, anchor: int = ANCHOR):
     return h[starts], starts, np.append(starts[1:], len(h))
 
 
+def split_runs(data: bytes, wanted: np.ndarray, hot: np.ndarray):
+    """``(run, key, start, end)`` for the runs of the ``wanted`` anchors; those of ``hot`` ones window by window.
+
+    ``key`` is the anchor, or the hash of the window. Both arrays are sorted.
+    """
+    found = anchor_runs(data)
+    if found is None:
+        return
+    h, starts, ends = found
+    own = h & MASK
+    for i in np.flatnonzero(_among(own, wanted)).tolist():
+        s, e = int(starts[i]), int(ends[i])
+        if _among(own[i:i + 1], hot)[0]:
+            for at in range(s, e):
+                window = data[at:at + LENGTH]
+                yield window, xxhash.xxh64_intdigest(window) & int(MASK), at, at + 1
+        else:
+            yield data[s:e + LENGTH - 1], int(own[i]), s, e
+
+
+def _among(values: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    if not len(listed):
+        return np.zeros(len(values), bool)
+    return listed[np.minimum(np.searchsorted(listed, values), len(listed) - 1)] == values
+
+
+def hot_anchors(rows: DataFrame, size: int) -> np.ndarray:
+    """Sorted anchors with about HOT_RUNS different runs or more; at most one for so many runs of the input.
+
+    Beyond a terabyte (``size`` in bytes) the limit grows with the input, so the list stays small.
+    """
+    def run(batches):
+        for batch in batches:
+            seen = set()
+            for text in batch.column(0).to_pylist():
+                data = text.encode()
+                if found := anchor_runs(data):
+                    seen.update(zip((found[0] & MASK).tolist(), (
+                        xxhash.xxh64_intdigest(data[s:e + LENGTH - 1]) - (1 << 63)
+                        for s, e in zip(found[1].tolist(), found[2].tolist()))))
+            cols = list(zip(*seen)) or [[], []]
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in cols], names=["_h", "_run"])
+
+    limit = max(HOT_RUNS, size >> 26) / SAMPLE
+    found = (rows.filter(F.pmod(F.xxhash64("_t"), F.lit(SAMPLE)) == 0).select("_t").mapInArrow(run, "_h long, _run long")
+             .distinct().groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= limit).select("_h").toPandas())
+    return np.sort(found["_h"].to_numpy(dtype=np.int64).astype(np.uint64))
+
+
 def _pack(*columns: np.ndarray) -> bytes:
     raw = b"".join(np.ascontiguousarray(c).tobytes() for c in columns)
     return zstandard.ZstdCompressor(level=1).compress(raw)
@@ -293,7 +348,7 @@ def _packed(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "_id long, _th long, _z binary, _null boolean").filter("_id IS NOT NULL")
 
 
-def _covered(texts_: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
+def _covered(texts_: DataFrame, anchors: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
     """``_id, _th, _spans``: covered windows as pairs of 32-bit start and end; several rows a document."""
     wanted = anchors.groupBy("_id").agg(F.collect_set("_h").alias("_hs"))
     # All columns stay, so that this shuffle of the texts also serves the last join.
@@ -313,19 +368,11 @@ def _covered(texts_: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
             for k in range(batch.num_rows):
                 key, th = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
                 data = unpack.decompress(batch.column(2)[k].as_py())
-                found = anchor_runs(data)
-                if found is None:
-                    continue
-                h, starts, ends = found
                 hs = np.sort(batch.column(3)[k].values.to_numpy().astype(np.uint64))
-                own = h & MASK
-                place = np.minimum(np.searchsorted(hs, own), len(hs) - 1)
-                for i in np.flatnonzero(hs[place] == own).tolist():
-                    s, e = int(starts[i]), int(ends[i])
-                    run = data[s:e + LENGTH - 1]
+                for run, own, s, e in split_runs(data, hs, hot):
                     found_for.append((run, key, th, s, e))
                     if run not in runs or key < runs[run][0]:
-                        runs[run] = (key, th, s, int(own[i]))
+                        runs[run] = (key, th, s, own)
             # Runs equal inside the batch: the smallest id stands for all others.
             spans: dict = {}
             for run, key, th, s, e in found_for:
@@ -415,7 +462,7 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     size = rows.agg(F.sum(F.octet_length("_t"))).first()[0] or 0
     buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     packed = _packed(rows)
-    spans = (_covered(packed, _repeated_anchors(rows, buckets), buckets)
+    spans = (_covered(packed, _repeated_anchors(rows, buckets), hot_anchors(rows, size), buckets)
              .groupBy("_id").agg(F.collect_list(F.struct("_th", "_spans")).alias("_spans")))
 
     def run(batches):

@@ -130,6 +130,28 @@ def test_suffix_dedup(spark):
     assert suffix_dedup.without_repeats(frame(spark, EMPTY)).count() == 0
 
 
+def test_suffix_dedup_passage_edges(spark, monkeypatch):
+    """A passage in many documents: anchors at its edges would collect a run of each of them."""
+    rng = random.Random(12)
+    some = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    passage = some(200)
+    rows = [(k, some(80) + passage + some(80)) for k in range(150)]
+    monkeypatch.setattr(suffix_dedup, "HOT_RUNS", 40)
+    monkeypatch.setattr(suffix_dedup, "SAMPLE", 1)
+    hot = suffix_dedup.hot_anchors(suffix_dedup.texts(frame(spark, rows), "doc_id", "text"), 0)
+    assert 0 < len(hot) < 10
+    for listed, bounded in ((hot[:0], False), (hot, True)):
+        meet = {}
+        for _, text in rows:
+            data = text.encode()
+            anchors = np.unique(suffix_dedup.anchor_runs(data)[0] & suffix_dedup.MASK)
+            for run, key, _, _ in suffix_dedup.split_runs(data, anchors, listed):
+                meet.setdefault(key, set()).add(run)
+        assert (max(map(len, meet.values())) < 40) == bounded
+    found = suffix_dedup.without_repeats(frame(spark, rows)).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == sorted(brute_removed(rows))
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)]
