@@ -93,11 +93,16 @@ class Lexicon:
         return cls(*json.loads(data))
 
     def total(self, text: str) -> tuple[float, int]:
-        """Sum of matched weights, and the number of words."""
+        """Sum of matched weights, and the number of words. A word counts once, by its longest form."""
         if not self.found:
             return 0.0, 0
-        folded = fold(text)
-        return sum(weight for _, (_, weight) in self.found.iter(folded)), folded.count(" ") - 1
+        folded, taken, forms = fold(text), 0.0, {}
+        for end, (form, weight) in self.found.iter(folded):
+            if form in self.phrases:
+                taken += weight
+            else:  # of forms with one start, the longest ends last
+                forms[end - len(form)] = weight
+        return taken + sum(forms.values()), folded.count(" ") - 1
 
     def excess(self, text: str) -> float:
         total, words = self.total(text)
@@ -196,21 +201,20 @@ def _fit(rows: DataFrame, toxic: int, clean: int) -> Lexicon:
             evidence = bad * math.log(rate / share) + (good * math.log((1 - rate) / (1 - share)) if good else 0.0) if bad else 0.0
             if ratio >= LEAST_RATIO and evidence >= LEAST_EVIDENCE:
                 judged.append((-evidence, r["form"], round(min(8.0, math.log(ratio)), 4)))
-        # Of forms that begin alike, the one with most evidence stays.
+        # A form goes if a kept beginning matches all its uses.
         weights: dict[str, float] = {}
         for _, form, weight in sorted(judged):
-            word = form.strip()
-            if not any(word.startswith(w.strip()) or w.strip().startswith(word) for w in weights):
+            if not any(form[:n] in weights for n in range(2, len(form))):
                 weights[form] = weight
         kept = pairs.filter(F.col("form").isin(list(weights))).collect() if weights else []
     finally:
         uses.unpersist()
-    phrases = {r["phrase"]: -weights[r["form"]] for r in kept}
-    whole = _automaton(weights) if weights else None
+    # What a word's longest form has added is taken back.
+    phrases = {r["phrase"]: -weights[r["form"]] for r in sorted(kept, key=lambda r: len(r["form"]))}
+    plain = Lexicon(weights, {})
     for phrase in EXCEPTIONS:
-        folded = fold(phrase)
-        if whole and (hit := sum(w for _, (_, w) in whole.iter(folded))):
-            phrases[folded] = -hit
+        if hit := plain.total(phrase)[0]:
+            phrases[fold(phrase)] = -hit
     return _calibrated(rows, Lexicon(weights, phrases))
 
 

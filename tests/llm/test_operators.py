@@ -311,6 +311,23 @@ def test_toxicity(spark):
     assert toxicity.learn(frame(spark, rows), labels.filter("toxic = 0")).weights == {}
 
 
+def test_toxicity_longer_words(spark):
+    """A kept whole word leaves room for longer ones, and a word that two forms match counts once."""
+    rng = random.Random(13)
+    plain = ["".join(rng.choices("bcdfghlmnprst", k=7)) for _ in range(400)]
+    some = lambda: rng.sample(plain, 20)
+    bad = [" ".join([*some(), word, *some()]) for word, n in (("vok", 90), ("vokx", 25), ("vokaz", 25)) for _ in range(n)]
+    good = [" ".join(some() + some()) for _ in range(420)]
+    rows = list(enumerate(bad + good))
+    labels = spark.createDataFrame([(k, int(k < len(bad))) for k, _ in rows], "doc_id long, toxic int")
+    lexicon = toxicity.learn(frame(spark, rows), labels)
+    assert " vok " in lexicon.weights
+    for word in ("vok", "vokx", "vokaz"):
+        assert lexicon.score(" ".join([*some(), word, *some()])) >= toxicity.THRESHOLD
+    twice = toxicity.Lexicon({" vokx": 2.0, " vokx ": 3.0}, {})
+    assert [twice.total(t)[0] for t in ("a vokx b", "a vokxy b", "vokx vokx")] == [3.0, 2.0, 6.0]
+
+
 def test_quality(spark, data):
     docs, labels = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet")
     net = quality.learn(docs, labels)
