@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercantil.llm import (
-    byte_bpe, decontaminate, exact_dedup, jaccard_join, licenses, quality, suffix_dedup, token_files, toxicity,
-    unigram_count,
+    byte_bpe, decontaminate, exact_dedup, jaccard_join, licenses, periodic_runs, quality, suffix_dedup, token_files,
+    toxicity, unigram_count,
 )
 from mercantil.llm.common import documents, scratch
 from mercantil.session import configure
@@ -81,6 +81,20 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
                                       public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(periodic_runs.folded(documents(spark, folder)))
+    # Longest first, then by start and period.
+    ranked = F.transform("runs", lambda r: F.struct((-r.length).alias("less"), r.start.alias("start"), r.period.alias("period")))
+    best = F.array_min(ranked)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best.start.alias("start"),
+        (-best.less).alias("length"), best.period.alias("period"),
+        F.floor(F.lit(-1000) * best.less / best.period).cast("long").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform(lines, lambda x: F.concat(x, F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -92,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": op8_licenses,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_counts": op10_token_counts,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
