@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercantil.llm import (
-    byte_bpe, decontaminate, exact_dedup, jaccard_join, licenses, periodic_runs, quality, suffix_dedup, token_files,
-    toxicity, unigram_count,
+    byte_bpe, conversation_repair, decontaminate, exact_dedup, jaccard_join, licenses, periodic_runs, quality,
+    suffix_dedup, token_files, toxicity, unigram_count,
 )
 from mercantil.llm.common import documents, scratch
 from mercantil.session import configure
@@ -81,6 +81,18 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
                                       public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    given = configure(spark).read.parquet(f"{folder.rstrip('/')}/conversations.parquet")
+    reports, _ = conversation_repair.repair(conversation_repair.damaged(given))
+    # A conversation that lost all its rows is reported too.
+    every = given.select(F.col("conv_id").cast("long").alias("_conv")).distinct()
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.join(reports, F.col("_conv").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("_conv").alias("conv_id"), *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     found = periodic_runs.periodic_runs(periodic_runs.folded(documents(spark, folder)))
     # Longest first, then by start and period.
@@ -106,6 +118,7 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": op8_licenses,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_counts": op10_token_counts,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
