@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercantil.llm import (
-    byte_bpe, conversation_repair, decontaminate, exact_dedup, jaccard_join, licenses, periodic_runs, quality,
-    suffix_dedup, token_files, toxicity, unigram_count,
+    byte_bpe, conversation_repair, decontaminate, exact_dedup, jaccard_join, licenses, periodic_runs,
+    perplexity_rules, quality, suffix_dedup, token_files, toxicity, unigram_count,
 )
 from mercantil.llm.common import documents, scratch
 from mercantil.session import configure
@@ -81,6 +81,10 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
                                       public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_perplexity_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return perplexity_rules.quality_rules(documents(configure(spark), folder))
+
+
 def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     given = configure(spark).read.parquet(f"{folder.rstrip('/')}/conversations.parquet")
     reports, _ = conversation_repair.repair(conversation_repair.damaged(given))
@@ -118,6 +122,7 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": op8_licenses,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_perplexity_rules": op11_perplexity_rules,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
