@@ -24,9 +24,9 @@ counts and one narrow row a document.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +49,7 @@ BELOW, ABOVE = 7.0, 10.0
 LEAST_SPREAD = 0.15
 #: Histogram of the natural logarithm of perplexity.
 BIN = 1 / 1024
-#: Words or grams held by a task before they are handed on.
+#: Different words held by a task.
 HELD = 300_000
 #: Letters of a text's words looked up at once.
 LETTERS = 1 << 20
@@ -67,10 +67,52 @@ def split_rows(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> Data
                      F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("")).alias("_l"))
 
 
-def word_grams(word: str) -> list[str]:
-    """For each character of a word, and its end, the longest gram that ends there."""
-    marked = BEGIN + word + END
-    return [marked[max(0, k - ORDER):k] for k in range(2, len(marked) + 1)]
+def _different(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different key, and for every key which of them it is."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    of = np.empty(len(keys), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return order[new], of
+
+
+class Grams:
+    """For each character of some words, and each end, the longest gram that ends there.
+
+    Equal grams are found once: ``first`` has a place of each, ``of`` the gram of each place
+    that is not a word's start, ``sizes`` the grams of each word.
+    """
+
+    def __init__(self, words: list[bytes]):
+        self.text = (BEGIN.encode() + (END + BEGIN).encode().join(words) + END.encode()).decode(errors="replace")
+        points = np.frombuffer(self.text.encode("utf-32-le"), "<u4")
+        starts = np.flatnonzero(points == ord(BEGIN))
+        lengths = np.diff(starts, append=len(points))
+        self.sizes = lengths - 1
+        depth = np.arange(len(points)) - np.repeat(starts, lengths)
+        self.points, self.depth = points, np.minimum(depth + 1, ORDER)  # characters of the gram
+        # Characters by number, 0 for none: a gram is a number in that base.
+        number = np.zeros(int(points.max()) + 1, np.int64)
+        number[points] = 1
+        base = int(number.sum()) + 1
+        number[number > 0] = np.arange(1, base)
+        letters = number[points]
+        key = np.zeros(len(points), np.int64)
+        for back in range(ORDER - 1, -1, -1):
+            if base ** (ORDER - back) > 1 << 62:
+                # Too many characters for one number: what is packed so far gets a number of its own.
+                key = _different(key)[1]
+            own = np.zeros(len(points), np.int64)
+            own[back:] = letters[:max(0, len(points) - back)]
+            key = key * base + np.where(back < self.depth, own, 0)
+        places = np.flatnonzero(depth > 0)
+        first, self.of = _different(key[places])
+        self.first = places[first]
+
+    def strings(self) -> list[str]:
+        return [self.text[at + 1 - n:at + 1] for at, n in zip(self.first.tolist(), self.depth[self.first].tolist())]
 
 
 def _counted(batches) -> Iterator[pa.RecordBatch]:
@@ -78,16 +120,11 @@ def _counted(batches) -> Iterator[pa.RecordBatch]:
     words: Counter = Counter()
 
     def handed_on():
-        grams: Counter = Counter()
-        for word, n in words.items():
-            for gram in word_grams(word.decode(errors="replace")):
-                grams[gram] += n
-            if len(grams) >= HELD:
-                yield _gram_batch(grams)
-                grams = Counter()
+        for own, numbers in _pieces(list(words), list(words.values())):
+            grams = Grams(own)
+            found = np.bincount(grams.of, np.repeat(np.array(numbers, float), grams.sizes))
+            yield pa.record_batch([pa.array(grams.strings(), pa.string()), pa.array(found.astype(np.int64))], names=["gram", "n"])
         words.clear()
-        if grams:
-            yield _gram_batch(grams)
 
     for batch in sliced(batches, 200):
         for text in batch.column(0).cast(pa.binary()).to_pylist():
@@ -98,8 +135,13 @@ def _counted(batches) -> Iterator[pa.RecordBatch]:
     yield from handed_on()
 
 
-def _gram_batch(grams: Counter) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(list(grams), pa.string()), pa.array(list(grams.values()), pa.int64())], names=["gram", "n"])
+def _pieces(words: list[bytes], *others: list) -> Iterator[tuple]:
+    """Parallel lists in pieces of about LETTERS letters of words."""
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    cuts = np.flatnonzero(np.diff((ends - 1) // LETTERS)) + 1
+    for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(words)]):
+        if begin < end:
+            yield tuple(x[begin:end] for x in (words, *others))
 
 
 def model(rows: DataFrame) -> DataFrame:
@@ -194,59 +236,55 @@ class Arrays:
         found = self.hashes[np.minimum(at, len(self.hashes) - 1)] == hashes
         return np.where(found, at, len(self.hashes))
 
-    def scores(self, words: list[str], uniform: float) -> list[float]:
+    def scores(self, words: list[bytes], uniform: float) -> np.ndarray:
         """Sum over each word's characters, and its end, of the natural logarithm of their probability."""
-        out: list[float] = []
-        held, size = [], 0
-        for word in words:
-            if held and size + len(word) > LETTERS:
-                out += self._scores(held, uniform)
-                held, size = [], 0
-            held.append(word)
-            size += len(word)
-        return out + (self._scores(held, uniform) if held else [])
-
-    def _scores(self, words: list[str], uniform: float) -> list[float]:
-        points = _points(BEGIN + (END + BEGIN).join(words) + END)
-        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
-        first = np.repeat(np.cumsum(sizes) - sizes, sizes)
-        at = np.arange(len(points))
+        return np.concatenate([np.zeros(0)] + [self._scores(own, uniform) for own, in _pieces(words)])
+
+    def _scores(self, words: list[bytes], uniform: float) -> np.ndarray:
+        grams = Grams(words)
+        last, depth, points = grams.first, grams.depth[grams.first], grams.points.astype(np.uint64) + np.uint64(1)
         alpha, gamma = np.append(self.alpha, np.nan), np.append(self.gamma, np.nan)
-        hashes = np.zeros(len(points), np.uint64)  # of the empty context, which comes first
-        places = self.places(hashes)
-        p = np.full(len(points), uniform)
+        own, context = np.zeros(len(last), np.uint64), np.zeros(len(last), np.uint64)
+        p = np.full(len(last), uniform)
         for k in range(1, ORDER + 1):
-            before = places  # of the grams of length k - 1 that end at each place
-            inside = at - (k - 1) >= first
-            hashes = np.where(inside, _extended(hashes, points[np.maximum(at - (k - 1), 0)]), hashes)
-            places = np.full(len(points), len(self.hashes))
-            of = np.flatnonzero(inside)
-            places[of] = self.places(hashes[of])
-            # The context of a gram ends one place earlier.
-            context = np.empty_like(before)
-            context[1:], context[0] = before[:-1], len(self.hashes)
-            if k == 1:
-                context[:] = before
-            share = gamma[context]
-            known = inside & ~np.isnan(share) & (at > first)
-            own = np.nan_to_num(alpha[places])
-            p = np.where(known, own + share * p, p)
-        logs = np.where(at > first, np.log(p), 0.0)
-        return np.add.reduceat(logs, np.cumsum(sizes) - sizes).tolist()
-
-
-def repeated_words(words: list) -> int:
-    """Words inside a window of three that stands twice or more in the text."""
-    windows = list(zip(words, words[1:], words[2:]))
-    if len(set(windows)) == len(windows):
-        return 0
-    often = {w for w, n in Counter(windows).items() if n > 1}
-    covered, end = 0, 0
-    for k, window in enumerate(windows):
-        if window in often:
-            covered += k + 3 - max(end, k)
-            end = k + 3
-    return covered
+            inside = np.flatnonzero(depth >= k)
+            # The context goes one character less far; its gram ends one place earlier.
+            share = gamma[self.places(context[inside])]
+            letter = points[last[inside] - (k - 1)]
+            own[inside] = _extended(own[inside], letter)
+            if k < ORDER:
+                longer = inside[depth[inside] > k]
+                context[longer] = _extended(context[longer], points[last[longer] - k])
+            known = ~np.isnan(share)
+            inside, share = inside[known], share[known]
+            p[inside] = np.nan_to_num(alpha[self.places(own[inside])]) + share * p[inside]
+        return np.add.reduceat(np.log(p)[grams.of], np.cumsum(grams.sizes) - grams.sizes)
+
+
+def repeated_words(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Of each text, words inside a window of three that stands twice or more in it.
+
+    ``ids`` holds the numbers of the words of all texts, one text after the other.
+    """
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.flatnonzero(text[:-2] == text[2:])
+    # Few windows stand twice: equal hashes first, then the words themselves.
+    hashes = np.zeros(len(at), np.uint64)
+    for column in (text[at], ids[at], ids[at + 1], ids[at + 2]):
+        hashes = _mixed(hashes + (column.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.argsort(hashes)
+    equal = hashes[order[1:]] == hashes[order[:-1]]
+    inside = np.zeros(len(ids), bool)
+    if equal.any():
+        at = at[order[np.append(equal, False) | np.append(False, equal)]]
+        order = np.lexsort((ids[at + 2], ids[at + 1], ids[at], text[at]))
+        at = at[order]
+        same = text[at[1:]] == text[at[:-1]]
+        for k in range(3):
+            same &= ids[at[1:] + k] == ids[at[:-1] + k]
+        for k in range(3):
+            inside[at[1:][same] + k] = inside[at[:-1][same] + k] = True
+    return np.bincount(text, inside, len(sizes)).astype(np.int64)
 
 
 def repeated_lines(text: bytes) -> int:
@@ -255,18 +293,36 @@ def repeated_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def metrics(text: bytes, words: list[bytes]) -> tuple[int, int, int, int, int]:
-    """Words, their characters, symbols, repeated lines and words in repeated windows."""
-    letters = sum(map(len, words)) - sum(_following(text))
-    return (len(words), letters, sum(text.count(x) for x in SYMBOLS.encode()),
-            repeated_lines(text), repeated_words(words))
+class Numbers(dict):
+    """Numbers words as they come; ``new`` lists those not yet looked up."""
 
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
 
-def _following(text: bytes) -> Iterator[int]:
-    """Bytes that follow the first one of a character, as numpy counts in pieces."""
-    for at in range(0, len(text), 1 << 20):
-        part = np.frombuffer(text, np.uint8, min(1 << 20, len(text) - at), at)
-        yield int(np.count_nonzero((part & 0xC0) == 0x80))
+    def __missing__(self, word: bytes) -> int:
+        self.new.append(word)
+        number = self[word] = len(self)
+        return number
+
+
+def metrics(texts: list[bytes], numbers: Numbers) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Numbers of the words of all texts, words of each, and the five counts of each text."""
+    split = [t.split() for t in texts]
+    sizes = np.fromiter(map(len, split), np.int64, len(split))
+    ids = np.fromiter(map(numbers.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+    letters, symbols = [_chosen(t, _LETTER) for t in texts], [_chosen(t, _SYMBOL) for t in texts]
+    return ids, sizes, [sizes, np.array(letters), np.array(symbols), np.array([repeated_lines(t) for t in texts]),
+                        repeated_words(ids, sizes)]
+
+
+#: Bytes that begin a character of a word, and those of symbols.
+_LETTER = np.array([b & 0xC0 != 0x80 and not bytes([b]).isspace() for b in range(256)])
+_SYMBOL = np.isin(np.arange(256), np.frombuffer(SYMBOLS.encode(), np.uint8))
+
+
+def _chosen(text: bytes, which: np.ndarray) -> int:
+    return int(np.count_nonzero(which[np.frombuffer(text, np.uint8)]))
 
 
 def base_failed() -> Column:
@@ -283,17 +339,16 @@ def _by_arrays(rows: DataFrame, arrays: Arrays, uniform: float) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast((arrays.hashes, arrays.alpha, arrays.gamma))
 
     def run(batches):
-        held, known = Arrays(*shared.value), {}
-        for batch in sliced(batches, 200):
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            split = [t.split() for t in texts]
-            if len(known) > HELD:
-                known.clear()
-            new = list(set().union(*split) - known.keys())
-            known.update(zip(new, held.scores([w.decode(errors="replace") for w in new], uniform)))
-            out = [(*metrics(text, words), math.fsum(map(known.__getitem__, words))) for text, words in zip(texts, split)]
-            columns = [pa.array(c, pa.int64() if k < 5 else pa.float64()) for k, c in enumerate(zip(*out))]
-            yield pa.record_batch([batch.column(0), batch.column(2), *columns],
+        held, numbers, known = Arrays(*shared.value), Numbers(), np.zeros(0)
+        for batch in sliced(batches):
+            if len(numbers) > HELD:
+                numbers, known = Numbers(), np.zeros(0)
+            ids, sizes, counts = metrics(batch.column(1).cast(pa.binary()).to_pylist(), numbers)
+            known = np.append(known, held.scores(numbers.new, uniform))
+            numbers.new.clear()
+            logs = np.bincount(np.repeat(np.arange(len(sizes)), sizes), known[ids], len(sizes))
+            yield pa.record_batch([batch.column(0), batch.column(2), *[pa.array(c, pa.int64()) for c in counts],
+                                   pa.array(logs, pa.float64())],
                                   names=["_id", "_l", *[m.split()[0] for m in _METRICS.split(", ")], "logs"])
 
     return rows.mapInArrow(run, f"_id long, _l string, {_METRICS}, logs double")
@@ -324,10 +379,9 @@ def _letter_rows(batches) -> Iterator[pa.RecordBatch]:
 
 
 def _counts_only(batches) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches, 200):
-        texts = batch.column(1).cast(pa.binary()).to_pylist()
-        out = list(zip(*[metrics(t, t.split()) for t in texts]))
-        yield pa.record_batch([batch.column(3), batch.column(0), batch.column(2), *[pa.array(c, pa.int64()) for c in out]],
+    for batch in sliced(batches):
+        counts = metrics(batch.column(1).cast(pa.binary()).to_pylist(), Numbers())[2]
+        yield pa.record_batch([batch.column(3), batch.column(0), batch.column(2), *[pa.array(c, pa.int64()) for c in counts]],
                               names=["_row", "_id", "_l", *[m.split()[0] for m in _METRICS.split(", ")]])
 
 

@@ -145,15 +145,30 @@ def test_lines_and_windows():
     rng = random.Random(8)
     for _ in range(500):
         text = "".join(rng.choices("ab \n", k=rng.randint(0, 60)))
-        data = text.encode()
-        assert perplexity_rules.metrics(data, data.split()) == brute_counts(text)
+        others = [rng.choice(["", "a b a b a", text]).encode() for _ in range(3)]
+        counts = perplexity_rules.metrics([*others, text.encode(), *others], perplexity_rules.Numbers())[2]
+        assert tuple(int(c[3]) for c in counts) == brute_counts(text)
+
+
+@pytest.mark.parametrize("letters", ["abc", "".join(map(chr, range(0x4E00, 0x4E00 + 9000)))])
+def test_grams(letters):
+    """Also with more characters than five of them fit into one number."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(3000)] + [letters]
+    grams = perplexity_rules.Grams([w.encode() for w in words])
+    strings, at = grams.strings(), 0
+    assert len(set(strings)) == len(strings)
+    for word, size in zip(words, grams.sizes.tolist()):
+        marked = " " + word + "\n"
+        assert [strings[k] for k in grams.of[at:at + size]] == [marked[max(0, k - 5):k] for k in range(2, len(marked) + 1)]
+        at += size
 
 
 def test_pieces_of_words(monkeypatch):
     """Words are scored alike, however many are looked up at once."""
     rng = random.Random(2)
     grams = ["", "a", "b", "\n", " a", "ab", "b\n"]
-    points = [perplexity_rules._points(g) for g in grams]
+    points = [perplexity_rules._points(g) for g in grams]  # of each character
     hashes = []
     for own in points:
         h = np.zeros(1, np.uint64)
@@ -163,10 +178,10 @@ def test_pieces_of_words(monkeypatch):
     order = np.argsort(hashes)
     arrays = perplexity_rules.Arrays(np.array(hashes)[order], np.array([np.nan, .3, .2, .1, .4, .5, .6])[order],
                                      np.array([.2, .3, .4, np.nan, .5, np.nan, np.nan])[order])
-    words = ["".join(rng.choices("abc", k=rng.randint(1, 9))) for _ in range(50)]
-    whole = arrays.scores(words, 0.25)
+    words = ["".join(rng.choices("abc", k=rng.randint(1, 9))).encode() for _ in range(50)]
+    whole = arrays.scores(words, 0.25).tolist()
     monkeypatch.setattr(perplexity_rules, "LETTERS", 5)
-    assert arrays.scores(words, 0.25) == whole
+    assert arrays.scores(words, 0.25).tolist() == whole
 
 
 def test_query(spark, data):
