@@ -1,11 +1,14 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Benchmark items are cut into segments of at most 256 words. Their word trigrams are
-counted over all documents; of each segment the rarest half are its seeds, so a common
-phrase starts no alignment while a leaked item, however often it is copied, keeps its
-seeds. A document that holds a seed is aligned with the segment around the place the
-seed points to, word by word, which finds edited and shortened copies too. The score is
-the alignment's share of the best possible one.
+Benchmark items are cut into segments of about 256 words. Seeds are three words in a row
+and three words with a gap (the first, second and fourth of four), so some survive where
+every third word is edited. They are counted over all documents; a document that holds many of
+a segment's seeds is a copy and doesn't make them common. Of the seeds that occur at all,
+a segment uses the rare ones, and of each quarter the rarest ones however common, so a
+common phrase starts no alignment while a leaked item, however often it is copied and
+whichever half of it is left, keeps its seeds. A document that holds a seed is aligned with
+the segment around the place the seed points to, word by word, which finds edited and
+shortened copies too. The score is the alignment's share of the best possible one.
 
 The benchmark is the stated query set: it goes to the tasks in blocks of at most
 ``BLOCK_WORDS`` words, one pass over the documents for each block. Documents are never
@@ -14,7 +17,6 @@ shuffled; of each block's seeds only counts come back.
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 
@@ -26,12 +28,19 @@ from pyspark.sql import functions as F
 
 from mercantil.llm.common import texts
 
-SEED = 3
+#: Offsets of a seed's words.
+SEEDS = ((0, 1, 2), (0, 1, 3))
 SEGMENT_WORDS, BLOCK_WORDS = 256, 200_000
-RARE_SHARE = 0.5
+#: A seed is rare in up to this share of the documents, or this many of them.
+RARE_SHARE, RARE_DOCUMENTS = 0.0005, 20
+#: Share of a segment's seeds in a document that make it a copy.
+COPY_SHARE = 0.2
+#: Rarest seeds that each quarter of a segment uses in any case.
+LEAST_SEEDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
-#: Segments with fewer words are not looked for: they occur anywhere.
+#: Shorter items occur in other words too: they count as exact copies only. Those of one
+#: or two words count only as a whole document.
 LEAST_WORDS = 8
 
 _FIND = re.compile(r"\w+").findall
@@ -41,62 +50,98 @@ def words(text: str) -> list[str]:
     return _FIND(text.lower())
 
 
+def cut(found: list[str]) -> list[list[str]]:
+    """Segments of an item; a short tail stays with the words before it."""
+    ends = list(range(SEGMENT_WORDS, len(found) - LEAST_WORDS + 1, SEGMENT_WORDS))
+    return [found[a:b] for a, b in zip([0, *ends], [*ends, len(found)])]
+
+
 class Index:
     """Segments of a block of items, as word numbers, with their seeds."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int | None, str]]):
         self.items, self.segments = [], []
+        self.whole: dict[tuple[str, ...], list] = {}
         vocabulary: dict[str, int] = {}
         for item, text in items:
             found = words(text)
-            for at in range(0, len(found), SEGMENT_WORDS):
-                part = found[at:at + SEGMENT_WORDS]
-                if len(part) >= LEAST_WORDS:
+            if 0 < len(found) < 3:
+                self.whole.setdefault(tuple(found), []).append(item)
+            elif found:
+                for part in cut(found):
                     self.items.append(item)
                     self.segments.append(np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in part]))
+        self.needed = [1.0 if len(s) < LEAST_WORDS else THRESHOLD for s in self.segments]
         self.vocabulary, self.base = vocabulary, len(vocabulary) + 1
-        grams = [self.grams(s) for s in self.segments]
-        self.keys = np.unique(np.concatenate(grams)) if grams else np.zeros(0, np.int64)
+        self.grams_of = [self.grams(s) for s in self.segments]
+        self.keys = np.unique(np.concatenate([g for own in self.grams_of for g in own])) if self.segments else np.zeros(0, np.int64)
+        pairs = {(int(p), k) for k, own in enumerate(self.grams_of) for g in own for p in np.searchsorted(self.keys, g)}
+        self.places, self.segment_of = (np.array(x, np.int64) for x in zip(*sorted(pairs))) if pairs else (np.zeros(0, np.int64),) * 2
+        self.seeds = np.bincount(self.segment_of, minlength=len(self.segments))
         self.use()
 
-    def grams(self, numbers: np.ndarray) -> np.ndarray:
-        """Trigrams as numbers; 0 where a word is not in the vocabulary."""
-        if len(numbers) < SEED:
-            return np.zeros(0, np.int64)
-        a, b, c = numbers[:-2], numbers[1:-1], numbers[2:]
-        return np.where((a > 0) & (b > 0) & (c > 0), (a * self.base + b) * self.base + c, 0)
-
-    def numbers(self, text: str) -> np.ndarray:
+    def common(self, places: np.ndarray) -> np.ndarray:
+        """Of the seeds in a document, those of no segment of which it is a copy."""
+        low, high = np.searchsorted(self.places, places), np.searchsorted(self.places, places, "right")
+        of = np.repeat(np.arange(len(places)), high - low)
+        at = np.arange(len(of)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + low[of]
+        segments = self.segment_of[at]
+        copied = np.bincount(segments, minlength=len(self.segments)) >= COPY_SHARE * self.seeds
+        return places[np.bincount(of, copied[segments], len(places)) == 0]
+
+    def grams(self, numbers: np.ndarray) -> list[np.ndarray]:
+        """Seeds of each kind by their first word; 0 where a word is not in the vocabulary."""
+        out = []
+        for kind, offsets in enumerate(SEEDS):
+            n = max(0, len(numbers) - offsets[-1])
+            a, b, c = (numbers[k:k + n] for k in offsets)
+            out.append(np.where((a > 0) & (b > 0) & (c > 0), ((kind * self.base + a) * self.base + b) * self.base + c, 0))
+        return out
+
+    def numbers(self, found: list[str]) -> np.ndarray:
         get = self.vocabulary.get
-        found = words(text)
         return np.fromiter((get(w, 0) for w in found), np.int64, len(found))
 
     def hits(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of known trigrams and their places in ``keys``."""
-        grams = self.grams(numbers)
-        at = np.flatnonzero(grams)
-        if not len(at) or not len(self.keys):
-            return at[:0], at[:0]
-        place = np.minimum(np.searchsorted(self.keys, grams[at]), len(self.keys) - 1)
-        known = self.keys[place] == grams[at]
-        return at[known], place[known]
-
-    def use(self, counts: np.ndarray | None = None) -> None:
-        """Where each trigram seeds an alignment: (segment, offset). With ``counts`` the rarest ones only."""
+        """Positions of known seeds and their places in ``keys``."""
+        positions, places = [], []
+        for grams in self.grams(numbers) if len(self.keys) else []:
+            at = np.flatnonzero(grams)
+            place = np.minimum(np.searchsorted(self.keys, grams[at]), len(self.keys) - 1)
+            known = self.keys[place] == grams[at]
+            positions.append(at[known])
+            places.append(place[known])
+        none = np.zeros(0, np.int64)
+        return np.concatenate([none, *positions]), np.concatenate([none, *places])
+
+    def use(self, found: np.ndarray | None = None, counts: np.ndarray | None = None, documents: int = 0) -> None:
+        """Where each seed starts an alignment: (segment, offset).
+
+        ``found`` tells which seeds occur at all, ``counts`` in how many documents that are no
+        copy. Used are the rare ones, and the rarest of each quarter of a segment.
+        """
         self.where: dict[int, list[tuple[int, int]]] = {}
+        rare = max(RARE_DOCUMENTS, RARE_SHARE * documents)
         for k, segment in enumerate(self.segments):
-            place = np.searchsorted(self.keys, self.grams(segment))
-            if counts is not None:
-                ranked = np.argsort(counts[place], kind="stable")
-                offsets = ranked[:max(1, math.ceil(len(ranked) * RARE_SHARE))]
-            else:
-                offsets = np.arange(len(place))
-            for offset in offsets.tolist():
-                self.where.setdefault(int(place[offset]), []).append((k, offset))
-
-    def matches(self, text: str) -> list[tuple[int, float, int, int]]:
+            for grams in self.grams_of[k]:
+                place = np.searchsorted(self.keys, grams)
+                used = np.ones(len(place), bool)
+                if counts is not None and len(place):
+                    seen, occurs = counts[place], found[place]
+                    used = occurs & (seen <= rare)
+                    quarter = np.arange(len(place)) * 4 // len(place)
+                    ranked = np.lexsort((seen, quarter))
+                    ranked = ranked[occurs[ranked]]
+                    begin = np.searchsorted(quarter[ranked], quarter[ranked])
+                    used[ranked[np.arange(len(ranked)) - begin < LEAST_SEEDS]] = True
+                for offset in np.flatnonzero(used).tolist():
+                    self.where.setdefault(int(place[offset]), []).append((k, offset))
+
+    def matches(self, text: str) -> list[tuple[int | None, float, int, int]]:
         """(item, score, first word, last word + 1) of the best alignment with each item."""
-        numbers = self.numbers(text)
+        found = words(text)
+        numbers = self.numbers(found)
+        best = {item: (1.0, 0, len(found)) for item in self.whole.get(tuple(found), ())} if len(found) < 3 else {}
         at, place = self.hits(numbers)
         windows: dict[int, list[tuple[int, int]]] = {}
         for position, key in zip(at.tolist(), place.tolist()):
@@ -104,19 +149,18 @@ class Index:
                 size = len(self.segments[k])
                 begin = position - offset
                 windows.setdefault(k, []).append((max(0, begin - size // 2), begin + size + size // 2))
-        best: dict[int, tuple[float, int, int]] = {}
         for k, spans in windows.items():
-            segment = self.segments[k]
+            segment, needed = self.segments[k], self.needed[k]
             for begin, end in merged(sorted(spans)):
                 own = numbers[begin:end]
                 # No alignment can score more than the words in common allow.
-                if np.isin(own, segment).sum() < THRESHOLD * len(segment):
+                if np.isin(own, segment).sum() < needed * len(segment):
                     continue
                 score, first, last = align(segment, own)
-                found = (score / (MATCH * len(segment)), begin + first, begin + last)
-                if found[0] >= THRESHOLD and found[0] > best.get(self.items[k], (0,))[0]:
-                    best[self.items[k]] = found
-        return [(item, *found) for item, found in best.items()]
+                share = score / (MATCH * len(segment))
+                if share >= needed and share > best.get(self.items[k], (0,))[0]:
+                    best[self.items[k]] = (share, begin + first, begin + last)
+        return [(item, *match) for item, match in best.items()]
 
 
 def merged(spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
@@ -158,10 +202,14 @@ def align(query: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
-    """Items in blocks of at most BLOCK_WORDS words; a longer item is a block of its own."""
+def blocks(benchmark: DataFrame, item_col: str, text_col: str, named: bool = True) -> Iterator[list[tuple[int | None, str]]]:
+    """Items in blocks of at most BLOCK_WORDS words; a longer item is a block of its own.
+
+    With ``named`` only those with an id.
+    """
     held, size = [], 0
-    rows = benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t")).filter("i IS NOT NULL AND t IS NOT NULL")
+    rows = benchmark.select(F.col(f"`{item_col}`").alias("i"), F.col(f"`{text_col}`").alias("t")).filter("t IS NOT NULL")
+    rows = rows.filter("i IS NOT NULL") if named else rows
     for row in rows.toLocalIterator():
         n = len(words(row["t"]))
         if held and size + n > BLOCK_WORDS:
@@ -173,22 +221,28 @@ def blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[
         yield held
 
 
-def seeded(rows: DataFrame, items: list[tuple[int, str]]) -> Index:
+def seeded(rows: DataFrame, items: list[tuple[int | None, str]]) -> Index:
     """Index of a block whose seeds are rare over all of ``rows`` (_id, _t)."""
     index = Index(items)
 
     def run(batches):
-        total = np.zeros(len(index.keys), np.int64)
+        total, seen, documents = np.zeros(len(index.keys), np.int64), np.zeros(len(index.keys), bool), 0
         for batch in batches:
+            documents += batch.num_rows
             for text in batch.column(0).to_pylist():
-                total[np.unique(index.hits(index.numbers(text))[1])] += 1
-        used = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["k", "n"])
+                places = np.unique(index.hits(index.numbers(words(text)))[1])
+                if len(places):
+                    seen[places] = True
+                    total[index.common(places)] += 1
+        used = np.flatnonzero(seen)
+        yield pa.record_batch([pa.array(np.append(used, -1), pa.int64()), pa.array(np.append(total[used], documents), pa.int64())],
+                              names=["k", "n"])
 
     found = rows.select("_t").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(len(index.keys), np.int64)
-    counts[found.k.to_numpy(dtype=int)] = found.n.to_numpy(dtype=int)
-    index.use(counts)
+    at = found.k.to_numpy(dtype=int)
+    counts, occurs = np.zeros(len(index.keys) + 1, np.int64), np.zeros(len(index.keys) + 1, bool)  # the last: all documents
+    counts[at], occurs[at] = found.n.to_numpy(dtype=int), True
+    index.use(occurs[:-1], counts[:-1], int(counts[-1]))
     return index
 
 
@@ -197,8 +251,9 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
     """``doc_id, item_id, score, first_word, last_word`` for each document and item that align.
 
     Only scores of THRESHOLD or more are returned, one row for each such pair of a row
-    and an item. Null texts hold nothing; items that are null or have fewer than
-    LEAST_WORDS words are not looked for.
+    and an item, so repeated rows are each reported. Null texts hold nothing; items without
+    text or id are not looked for. Items of fewer than LEAST_WORDS words match as exact copies,
+    those of one or two words a whole document. Empty tables give no rows.
     """
     rows, out = texts(df, id_col, text_col), None
     schema = "doc_id long, item_id long, score double, first_word long, last_word long"
@@ -221,9 +276,13 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
 
 def drop_leaks(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                item_text: str = "text") -> DataFrame:
-    """The rows of ``df`` that align with no item, with all their columns."""
+    """The rows of ``df`` that align with no item, with all their columns.
+
+    Items without id count here. Rows with a null text stay, repeated rows stay or go together,
+    and an empty benchmark keeps all.
+    """
     rows, out = texts(df.select(F.lit(0).alias("_id"), F.col(f"`{text_col}`").alias("_t")), "_id", "_t"), df
-    for items in blocks(benchmark, item_col, item_text):
+    for items in blocks(benchmark, item_col, item_text, named=False):
         clean = _clean(seeded(rows, items))
         out = out.filter(clean(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))))
     return out

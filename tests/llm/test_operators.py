@@ -282,6 +282,7 @@ def test_alignment_and_leaks(spark):
             (6, item[1].upper()), (6, item[1]), (None, item[3]), (7, " ".join(item[3].split()[:10]))]
     bench = spark.createDataFrame(list(enumerate(item)) + [(9, None), (10, "too short")], "item_id long, text string")
     found = decontaminate.leaks(frame(spark, rows), bench).collect()
+    # The first ten words of an item are no copy of it; "too short" is only found as a whole document.
     assert sorted((str(r.doc_id), r.item_id) for r in found) == sorted(
         [("2", 0), ("5", 2), ("6", 1), ("6", 1), ("None", 3)])
     kept = decontaminate.drop_leaks(frame(spark, rows), bench)
@@ -367,3 +368,45 @@ def test_pipeline(spark, data):
         if name != corpus_pipeline.STAGES[-1][0]:
             assert docs.columns == names
     assert docs.columns == ["doc_id", "n_tokens", "ids"]
+
+
+def brute_leaks(rows, items):
+    """Every row against every segment of every item."""
+    out = set()
+    for key, text in rows:
+        found = decontaminate.words(text or "")
+        for item, own in items:
+            own = decontaminate.words(own or "")
+            if 0 < len(own) < 3:
+                hit = own == found
+            else:
+                hit = any(brute_align(part, found) >= (2 if len(part) < 8 else 1) * len(part) for part in decontaminate.cut(own) if part)
+            if hit:
+                out.add((key, item))
+    return out
+
+
+def test_leaks_equal_aligning_everything(spark):
+    """Edited at every third to sixth word, halves, short items, tails, common phrases and many copies."""
+    rng = random.Random(21)
+    pool = [f"w{i}" for i in range(400)]
+    some = lambda n: rng.choices(pool, k=n)
+    items = [(k, some(rng.randint(16, 60))) for k in range(12)]
+    items += [(20, some(7)), (21, some(3)), (22, some(1)), (23, some(262)), (24, "one of the many".split() * 4), (None, some(30))]
+    rows = [some(80) for _ in range(20)]
+    for _, own in items:
+        for step in (3, 4, 5, 6, 1000):
+            edited = [w if k % step else "edited" for k, w in enumerate(own, 1)]
+            rows.append(some(30) + edited + some(30))
+        half = len(own) * 11 // 20
+        rows += [some(20) + own[:half] + some(9), some(20) + own[-half:], own, own[:-1], own[256:] + some(5)]
+    rows += [some(5) + items[0][1] + some(5) for _ in range(60)] + ["one of the many people".split() + some(40) for _ in range(60)]
+    rows = [(k, " ".join(r)) for k, r in enumerate(rows)]
+    texts = [(k, " ".join(w)) for k, w in items]
+    bench = spark.createDataFrame(texts, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame(spark, rows), bench).collect()}
+    wanted = brute_leaks(rows, texts)
+    assert found == {x for x in wanted if x[1] is not None} and len(found) > 150
+    kept = {r.doc_id for r in decontaminate.drop_leaks(frame(spark, rows), bench).collect()}
+    assert kept == {k for k, _ in rows} - {k for k, _ in wanted}
+    assert decontaminate.leaks(frame(spark, []), bench).count() == 0
