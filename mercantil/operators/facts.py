@@ -73,7 +73,8 @@ def touched_ids(events: DataFrame, loader: str, column: str) -> DataFrame:
 def load_fact_orders(events: DataFrame, ctx: LoadContext) -> DataFrame:
     """One row per created order; ``num_items`` counts its lines."""
     ids = touched_ids(events, "order_created", "pedido_id")
-    lines = ctx.oltp.rows_for("detalle_pedidos", ids).groupBy("pedido_id").agg(F.count("*").alias("lineas"))
+    lines = (ctx.oltp.rows_for("detalle_pedidos", ids).join(ids, "pedido_id", "left_semi")
+             .groupBy("pedido_id").agg(F.count("*").alias("lineas")))
     orders = (
         ctx.oltp.rows_for("pedidos", ids).join(ids, "pedido_id", "left_semi")
         .join(lines, "pedido_id", "left")
@@ -160,42 +161,46 @@ def order_contributions(events: DataFrame, pagos: DataFrame) -> DataFrame:
     return state_contributions(events).unionByName(payment_contributions(events, pagos))
 
 
-def fold_orders(contributions: DataFrame) -> DataFrame:
-    """Last value per order and column, with the event that set it.
+def fold(contributions: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Last value per key and column, with the event that set it.
 
     Ties on time are broken by the event id. The fold is associative: it
-    combines map-side, and two folds merge with ``merge_folds``.
+    combines map-side, and the rows of several folds merge with ``refold``.
     """
     at = F.struct(*EVENT_ORDER)
     picks = []
-    for column in FOLDED:
+    for column in columns:
         mark = F.when(F.col(column).isNotNull(), at)
         picks += [F.max_by(column, mark).alias(column), F.max(mark).alias(f"{column}_en")]
-    return contributions.groupBy("pedido_id").agg(*picks)
+    return contributions.groupBy(key).agg(*picks)
 
 
-def refold(folds: DataFrame) -> DataFrame:
+def refold(folds: DataFrame, key: str = "pedido_id", columns: list[str] = FOLDED) -> DataFrame:
     """One fold out of the rows of several, in any order."""
     picks = []
-    for column in FOLDED:
+    for column in columns:
         mark = F.col(f"{column}_en")
         picks += [F.max_by(column, mark).alias(column), F.max(mark).alias(f"{column}_en")]
-    return folds.groupBy("pedido_id").agg(*picks)
-
-
-def merge_folds(left: DataFrame, right: DataFrame) -> DataFrame:
-    return refold(left.unionByName(right))
+    return folds.groupBy(key).agg(*picks)
 
 
-def apply_fold(orders: DataFrame, fold: DataFrame) -> DataFrame:
-    """Order facts with folded values over the created ones."""
-    values = fold.select("pedido_id", *[F.col(c).alias(f"_{c}") for c in FOLDED])
-    joined = orders.join(values, "pedido_id", "left")
+def apply_fold(facts: DataFrame, folded: DataFrame, key: str = "pedido_id", columns: list[str] = FOLDED) -> DataFrame:
+    """Facts with folded values over the first ones."""
+    values = folded.select(key, *[F.col(c).alias(f"_{c}") for c in columns])
+    joined = facts.join(values, key, "left")
     return joined.select(*[
-        F.coalesce(f"_{c}", c).alias(c) if c in FOLDED else F.col(c) for c in orders.columns
+        F.coalesce(f"_{c}", c).alias(c) if c in columns else F.col(c) for c in facts.columns
     ])
 
 
+def fold_orders(contributions: DataFrame) -> DataFrame:
+    return fold(contributions, "pedido_id", FOLDED)
+
+
+def merge_folds(left: DataFrame, right: DataFrame) -> DataFrame:
+    return refold(left.unionByName(right))
+
+
 # --- payments and stock -----------------------------------------------------
 
 def load_fact_payments(events: DataFrame, ctx: LoadContext) -> DataFrame:
@@ -276,6 +281,26 @@ def load_fact_shipments(events: DataFrame, ctx: LoadContext) -> DataFrame:
     )
 
 
+SHIPMENT_FOLDED = ["estado_envio", "fecha_entrega_sk", "dias_entrega"]
+
+
+def shipment_contributions(events: DataFrame, ctx: LoadContext) -> DataFrame:
+    """What each shipment event sets: a return the state, a delivery state, date and days.
+
+    Folded by event time, so neither the order nor the batches of the events matter.
+    """
+    delivered, returned = C.EVENTS_BY_LOADER["shipment_delivered"], C.EVENTS_BY_LOADER["shipment_returned"]
+    named = events.filter(F.col("tipo_evento").isin(delivered + returned) & F.col("envio_id").isNotNull()).select(
+        "envio_id", *EVENT_ORDER, F.col("tipo_evento").isin(delivered).alias("_entregado"))
+    found = ctx.oltp.rows_for("envios", named.select("envio_id")).join(named, "envio_id")
+    came = F.col("_entregado")
+    return found.select(
+        "envio_id", *EVENT_ORDER,
+        F.when(came, F.col("estado_envio")).otherwise("devuelto").alias("estado_envio"),
+        F.when(came, ctx.date_key("entregado_en")).alias("fecha_entrega_sk"),
+        F.when(came, X.delivery_days("enviado_en", "entregado_en", ctx.missing_days)).alias("dias_entrega"))
+
+
 def merge_shipments(fact: DataFrame, rows: DataFrame) -> DataFrame:
     """State is replaced; a delivery also fills date and days unless null."""
     return merge_upsert(
@@ -313,7 +338,8 @@ def load_fact_returns(events: DataFrame, ctx: LoadContext) -> DataFrame:
 def load_fact_carts(events: DataFrame, ctx: LoadContext) -> DataFrame:
     """Carts with lines counted and valued; the stored state decides."""
     ids = touched_ids(events, "cart", "carrito_id")
-    lines = ctx.oltp.rows_for("detalle_carritos", ids).groupBy("carrito_id").agg(
+    # Only the carts named: a value that overflows elsewhere is no concern of this batch.
+    lines = ctx.oltp.rows_for("detalle_carritos", ids).join(ids, "carrito_id", "left_semi").groupBy("carrito_id").agg(
         F.count("*").alias("lineas"),
         F.sum(F.col("cantidad") * F.col("precio_unitario")).alias("valor"))
     carts = (
@@ -329,6 +355,16 @@ def load_fact_carts(events: DataFrame, ctx: LoadContext) -> DataFrame:
     )
 
 
+CART_FOLDED = ["estado", "convertido"]
+
+
+def cart_contributions(events: DataFrame, ctx: LoadContext) -> DataFrame:
+    """What each cart event sets: the stored state, and whether it is a conversion."""
+    named = events_for(events, "cart").filter("carrito_id IS NOT NULL").select("carrito_id", *EVENT_ORDER)
+    found = ctx.oltp.rows_for("carritos", named.select("carrito_id")).join(named, "carrito_id")
+    return found.select("carrito_id", *EVENT_ORDER, "estado", (F.col("estado") == "convertido").alias("convertido"))
+
+
 def merge_carts(fact: DataFrame, rows: DataFrame) -> DataFrame:
     """A known cart changes state and conversion only."""
     return merge_upsert(fact, rows, ["carrito_id"], replace=["estado", "convertido"])

@@ -115,6 +115,24 @@ CONTROL = {
     "pedidos_plegados": f"pedido_id bigint, estado_pedido_sk bigint, estado_pedido_sk_en {_MARK}, "
                         f"estado_fulfillment string, estado_fulfillment_en {_MARK}, "
                         f"estado_pago string, estado_pago_en {_MARK}",
+    "envios_plegados": f"envio_id bigint, estado_envio string, estado_envio_en {_MARK}, "
+                       f"fecha_entrega_sk bigint, fecha_entrega_sk_en {_MARK}, "
+                       f"dias_entrega int, dias_entrega_en {_MARK}",
+    "carritos_plegados": f"carrito_id bigint, estado string, estado_en {_MARK}, "
+                         f"convertido boolean, convertido_en {_MARK}",
+}
+
+# Declared constraints of the fact tables, by the source column a loader copies (fixed values).
+REQUIRED = {
+    "pagos": ["pedido_id"], "envios": ["pedido_id"], "devoluciones": ["pedido_id"],
+}
+LENGTHS = {
+    "pedidos": {"numero_pedido": 30, "estado_pago": 20, "estado_fulfillment": 20},
+    "pagos": {"estado": 20, "proveedor_pago": 50},
+    "movimientos_inventario": {"tipo_movimiento": 30, "tipo_referencia": 30},
+    "envios": {"estado_envio": 30, "transportista": 100},
+    "devoluciones": {"motivo": 50, "estado": 20},
+    "carritos": {"estado": 20},
 }
 
 KEYS = {
@@ -125,5 +143,6 @@ KEYS = {
     "fact_envios": ["envio_id"], "fact_carritos": ["carrito_id"],
     "fact_devoluciones": ["devolucion_id"], "dlq_eventos": ["evento_id"],
     "marcas_agua": ["tabla_fuente"], "reintentos": ["evento_negocio_id"],
-    "pedidos_plegados": ["pedido_id"],
+    "pedidos_plegados": ["pedido_id"], "envios_plegados": ["envio_id"],
+    "carritos_plegados": ["carrito_id"], "eventos_vistos": ["dia"],
 }

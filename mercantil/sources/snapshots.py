@@ -49,6 +49,10 @@ class KeyedTable:
         """Last batch merged by ``writer``, -1 for none."""
         return self._manifest()["batches"].get(writer, -1)
 
+    def is_empty(self) -> bool:
+        """Whether no batch has written any row."""
+        return not self._manifest()["parts"]
+
     def read(self, buckets: Sequence[int] | None = None) -> DataFrame:
         """The table, or only some buckets of it."""
         return self._read(self._manifest(), buckets)

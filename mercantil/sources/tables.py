@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RAW_SCHEMAS = {
@@ -63,6 +64,34 @@ class Catalog:
             name: (lambda n=name: self.rows_for(n, ids)) for name in names if name in self})
 
 
+class TypedCatalog(Catalog):
+    """A catalog whose tables have the declared types; a value that doesn't fit is null.
+
+    ``streaming.row_errors`` finds these values, so that one of them fails its event and
+    not the batch. Columns of the declared type pass unchanged.
+    """
+
+    def __init__(self, base: Catalog, declared: Mapping[str, str]):
+        super().__init__({name: (lambda n=name: self._typed(n, getattr(base, n))) for name in base.names()})
+        self._base, self._declared = base, declared
+
+    def _typed(self, name: str, df: DataFrame) -> DataFrame:
+        wanted = {f.name: f.dataType for f in T.StructType.fromDDL(self._declared.get(name, "")).fields}
+        return df.select(*[
+            F.col(f.name).try_cast(wanted[f.name]).alias(f.name)
+            if f.name in wanted and f.dataType != wanted[f.name] else F.col(f.name)
+            for f in df.schema.fields])
+
+    def untyped(self) -> Catalog:
+        return self._base
+
+    def rows_for(self, name: str, ids: DataFrame) -> DataFrame:
+        return self._typed(name, self._base.rows_for(name, ids))
+
+    def replace(self, **tables: DataFrame | Callable[[], DataFrame]) -> Catalog:
+        return TypedCatalog(self._base.replace(**tables), self._declared)
+
+
 def raw_catalog(spark: SparkSession, root: str) -> Catalog:
     """The given Parquet tables under ``root``."""
     def reader(name: str) -> Callable[[], DataFrame]:

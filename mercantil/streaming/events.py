@@ -43,12 +43,6 @@ def read_events(
     return reader.load(path)
 
 
-def read_events_batch(
-    spark: SparkSession, path: str, fmt: str = "json", schema: str = schemas.EVENTS,
-) -> DataFrame:
-    return spark.read.format(fmt).schema(schema).load(path)
-
-
 def poll(events: DataFrame, n: int = C.POLL_BATCH) -> DataFrame:
     """The oldest unprocessed events with attempts left, as one poll takes them."""
     pending = events.filter(
@@ -73,12 +67,21 @@ def dedup_stream(events: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Drop repeated ids that arrive within ``delay``, with bounded state.
 
     Optional: it also drops events later than ``delay``. The loader is safe
-    without it, since a batch is deduplicated by id and all tables by key.
+    without it, since a batch is deduplicated by id, and across batches by the
+    ledger of settled ids, which keeps late events.
     """
     return events.withWatermark("ocurrido_en", delay).dropDuplicatesWithinWatermark(
         ["evento_negocio_id"])
 
 
+def with_heartbeat(events: DataFrame) -> DataFrame:
+    """The stream with a clock beside it that brings batches, but no rows."""
+    beat = events.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load()
+    empty = beat.filter("value < 0").select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema.fields])
+    return events.unionByName(empty)
+
+
 def route_events(events: DataFrame, extra: Mapping[str, str] | None = None) -> DataFrame:
     """Add ``cargador``, the loader in charge; null when there is none."""
     table = {**LOADER_BY_EVENT, **(extra or {})}
@@ -98,15 +101,24 @@ def dlq_unhandled(routed: DataFrame, at: Column | None = None) -> DataFrame:
     return _dead(routed.filter("cargador IS NULL"), C.DLQ_NO_HANDLER, F.lit(None), at)
 
 
+def is_good(events: DataFrame) -> Column:
+    """Whether a routed event has a loader and neither a payload nor a row error."""
+    good = F.col("cargador").isNotNull() & F.col(CORRUPT).isNull()
+    return good & F.col("error_fila").isNull() if "error_fila" in events.columns else good
+
+
 def failed_events(routed: DataFrame) -> DataFrame:
-    """Events of a known type whose payload cannot be read, with the error.
+    """Events of a known type whose payload or source rows cannot be used, with the error.
 
-    ``intentos_olap`` counts the attempts including this one.
+    ``error_fila`` holds row errors where they were looked for. ``intentos_olap`` counts
+    the attempts including this one.
     """
     attempts = F.col("intentos_olap") if "intentos_olap" in routed.columns else F.lit(0)
     error = F.concat(F.lit("payload ilegible: "), F.col(CORRUPT))
+    if "error_fila" in routed.columns:
+        error = F.coalesce(error, "error_fila")
     return (
-        routed.filter(F.col("cargador").isNotNull() & F.col(CORRUPT).isNotNull())
+        routed.filter(F.col("cargador").isNotNull() & ~is_good(routed))
         .withColumn("intentos_olap", (attempts + 1).cast("int"))
         .withColumn("error_olap", F.substring(error, 1, C.ERROR_LENGTH))
     )
@@ -132,7 +144,7 @@ def dlq_put(dlq: DataFrame, letters: DataFrame) -> DataFrame:
 def watermarks(routed: DataFrame, at: Column | None = None) -> DataFrame:
     """Per source: newest event loaded, and when."""
     at = F.current_timestamp() if at is None else at
-    loaded = routed.filter(F.col("cargador").isNotNull() & F.col(CORRUPT).isNull())
+    loaded = routed.filter(is_good(routed))
     source = lookup(SOURCE_BY_LOADER, "cargador").alias("tabla_fuente")
     return (
         loaded.select(source, "ocurrido_en").filter("tabla_fuente IS NOT NULL")

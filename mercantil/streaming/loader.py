@@ -8,6 +8,7 @@ running a batch again after a failure changes nothing.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from mercantil import schemas
 from mercantil.functions import constants as C
-from mercantil.functions.payload import CORRUPT, parse_payload
+from mercantil.functions.payload import parse_payload
 from mercantil.operators import dims as D
 from mercantil.operators import facts as L
 from mercantil.operators import quality as Q
@@ -26,8 +27,10 @@ from mercantil.operators.merge import merge_upsert, new_rows
 from mercantil.operators.scd2 import scd2_apply
 from mercantil.sources.snapshots import KeyedTable
 from mercantil.sources.star import constant_dims
-from mercantil.sources.tables import Catalog
+from mercantil.sources.tables import Catalog, TypedCatalog
 from mercantil.streaming import events as E
+from mercantil.streaming.ledger import EventLedger
+from mercantil.streaming.row_errors import with_row_errors
 
 Loader = Callable[[DataFrame, L.LoadContext], DataFrame]
 
@@ -61,17 +64,22 @@ class Warehouse:
         buckets = 1 if name == "marcas_agua" else self.buckets
         return KeyedTable(self.spark, f"{self.path}/{name}", schema, keys, buckets)
 
+    def ledger(self) -> EventLedger:
+        """Ids of the events that are settled."""
+        return EventLedger(self.table("eventos_vistos"))
+
     # --- reading ------------------------------------------------------------
 
     def star(self) -> Catalog:
         """The star schema as loaded so far."""
         stored = [
             "dim_cliente", "dim_producto", "dim_variante", "dim_almacen", "fact_detalle_pedidos",
-            "fact_pagos", "fact_movimientos_inventario", "fact_envios", "fact_carritos",
-            "fact_devoluciones", "dlq_eventos", "marcas_agua",
+            "fact_pagos", "fact_movimientos_inventario", "fact_devoluciones", "dlq_eventos", "marcas_agua",
         ]
         tables = {name: (lambda n=name: self.table(n).read()) for name in stored}
         tables["fact_pedidos"] = self.orders
+        tables["fact_envios"] = self.shipments
+        tables["fact_carritos"] = self.carts
         for name in ("niveles_stock", "variantes_producto"):
             if name in self.oltp:
                 tables[name] = (lambda n=name: getattr(self.oltp, n))
@@ -79,8 +87,18 @@ class Warehouse:
 
     def orders(self) -> DataFrame:
         """Created orders with the folded state of all events seen so far."""
-        fold = self.table("pedidos_plegados").read()
-        return L.apply_fold(self.table("fact_pedidos").read(), L.refold(fold))
+        return self._folded("fact_pedidos", "pedidos_plegados", "pedido_id", L.FOLDED)
+
+    def shipments(self) -> DataFrame:
+        """Shipments with the state that all their events seen so far lead to."""
+        return self._folded("fact_envios", "envios_plegados", "envio_id", L.SHIPMENT_FOLDED)
+
+    def carts(self) -> DataFrame:
+        return self._folded("fact_carritos", "carritos_plegados", "carrito_id", L.CART_FOLDED)
+
+    def _folded(self, fact: str, folds: str, key: str, columns: list[str]) -> DataFrame:
+        once = L.refold(self.table(folds).read(), key, columns)
+        return L.apply_fold(self.table(fact).read(), once, key, columns)
 
     # --- start-up -----------------------------------------------------------
 
@@ -110,28 +128,49 @@ class Warehouse:
 
     # --- loading ------------------------------------------------------------
 
-    def load_batch(self, batch: DataFrame, batch_id: int, writer: str = "stream") -> None:
-        """Load one batch of event envelopes."""
+    def load_batch(self, batch: DataFrame, batch_id: int, writer: str = "stream") -> bool:
+        """Load one batch of event envelopes, and try the waiting events again.
+
+        False, and nothing done, if ``writer`` has finished a batch of this or a higher
+        number. Events settled by an earlier batch are left out.
+        """
+        if batch_id <= self.table("reintentos").last_batch(writer):
+            return False
         now = F.current_timestamp()
-        pending = self.table("reintentos").read().filter("pendiente")
-        fresh = batch.select(*[c.split()[0] for c in schemas.EVENTS.split(", ")])
-        both = fresh.withColumn("intentos_olap", F.lit(0)).unionByName(
-            pending.drop("error_olap", "pendiente"))
-        routed = E.route_events(
-            parse_payload(E.dedup_events(both)), {event: event for event in self.extra})
-        routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
+        waiting = self.table("reintentos").read().filter("pendiente").drop("error_olap", "pendiente")
+        fresh = batch.select(*[c.split()[0] for c in schemas.EVENTS.split(", ")]).withColumn("intentos_olap", F.lit(0))
+        both = self.ledger().unseen(E.dedup_events(fresh.unionByName(waiting)))
+        read = E.route_events(parse_payload(both), {event: event for event in self.extra})
+        read = read.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._load(routed, batch_id, writer, now)
+            # At most one row per loader.
+            newest = read.filter(E.is_good(read)).groupBy("cargador").agg(F.max("ocurrido_en").alias("t")).collect()
+            routed = with_row_errors(read, self.oltp, {r.cargador for r in newest}).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                self._load(routed, {r.cargador: r.t for r in newest}, batch_id, writer, now)
+            finally:
+                routed.unpersist()
         finally:
-            routed.unpersist()
+            read.unpersist()
+        return True
 
-    def _load(self, routed: DataFrame, batch_id: int, writer: str, now: Column) -> None:
-        good = routed.filter(F.col("cargador").isNotNull() & F.col(CORRUPT).isNull())
-        # At most one row per loader.
-        newest = good.groupBy("cargador").agg(F.max("ocurrido_en").alias("t")).collect()
-        present = {row.cargador for row in newest}
+    def drain(self) -> int:
+        """Try the waiting events again until none is left; returns the rounds it took.
+
+        Each round is an attempt, so ``MAX_ATTEMPTS`` rounds settle everything: an event
+        loads once its cause is mended, or becomes a dead letter.
+        """
+        run = uuid.uuid4().hex
+        for k in range(C.MAX_ATTEMPTS):
+            if self.table("reintentos").read().filter("pendiente").isEmpty():
+                return k
+            self.load_batch(self.spark.createDataFrame([], schemas.EVENTS), k, f"drain:{run}")
+        return C.MAX_ATTEMPTS
+
+    def _load(self, routed: DataFrame, newest: dict, batch_id: int, writer: str, now: Column) -> None:
+        good, present = routed.filter(E.is_good(routed)), set(newest)
         # Versions start at the newest event of the batch, so a replay repeats them.
-        start = F.lit(max((row.t for row in newest), default=None)).cast("timestamp")
+        start = F.lit(max((t for t in newest.values() if t), default=None)).cast("timestamp")
         ctx = self._load_dims(good, present, batch_id, writer, start)
 
         steps: list[Callable[[], object]] = []
@@ -141,35 +180,38 @@ class Warehouse:
             steps.append(lambda: table.insert(
                 rows, writer, batch_id, lambda old, new: new_rows(old, new, table.keys)))
 
-        def merge(name: str, rows: DataFrame, how) -> None:
-            steps.append(lambda: self.table(name).merge(rows, writer, batch_id, how))
+        def fold(name: str, key: str, columns: list[str], contributions: DataFrame) -> None:
+            # Folds add up when read, so a batch only appends its own.
+            rows = L.fold(contributions, key, columns)
+            steps.append(lambda: self.table(name).insert(
+                rows, writer, batch_id, lambda old, new: new, compact=lambda all_: L.refold(all_, key, columns)))
 
         if "order_created" in present:
             insert("fact_pedidos", L.load_fact_orders(good, ctx))
             insert("fact_detalle_pedidos", L.load_fact_order_lines(good, ctx))
         if present & {"order_updated", "order_cancelled", "payment"}:
             payments = good.select("pago_id").filter("pago_id IS NOT NULL").distinct()
-            fold = L.fold_orders(L.order_contributions(
-                good, self.oltp.rows_for("pagos", payments)))
-            # Folds add up when read, so a batch only appends its own.
-            steps.append(lambda: self.table("pedidos_plegados").insert(
-                fold, writer, batch_id, lambda old, new: new, compact=L.refold))
+            fold("pedidos_plegados", "pedido_id", L.FOLDED,
+                 L.order_contributions(good, ctx.oltp.rows_for("pagos", payments)))
         if "payment" in present:
             insert("fact_pagos", L.load_fact_payments(good, ctx))
         if "stock" in present:
             insert("fact_movimientos_inventario", L.load_fact_stock(good, ctx))
         if present & {"shipment_delivered", "shipment_returned"}:
-            merge("fact_envios", L.load_fact_shipments(good, ctx), L.merge_shipments)
+            insert("fact_envios", L.load_fact_shipments(good, ctx))
+            fold("envios_plegados", "envio_id", L.SHIPMENT_FOLDED, L.shipment_contributions(good, ctx))
         if "return" in present:
             insert("fact_devoluciones", L.load_fact_returns(good, ctx))
         if "cart" in present:
-            merge("fact_carritos", L.load_fact_carts(good, ctx), L.merge_carts)
+            insert("fact_carritos", L.load_fact_carts(good, ctx))
+            fold("carritos_plegados", "carrito_id", L.CART_FOLDED, L.cart_contributions(good, ctx))
         for event, (table, loader) in self.extra.items():
             if event in present:
                 insert(table, loader(good, ctx))
-        *others, retries = self._control_steps(routed, batch_id, writer, now)
+        *others, ledger, retries = self._control_steps(routed, batch_id, writer, now)
         self._run(steps + others)
-        # Last of all: a run repeated before this point sees the same retries again.
+        # A run repeated before this point sees the same events again, and then the same retries.
+        ledger()
         retries()
 
     def _run(self, steps: list[Callable[[], object]]) -> None:
@@ -179,7 +221,7 @@ class Warehouse:
                 done.result()
 
     def _control_steps(self, routed, batch_id, writer, now: Column) -> list[Callable[[], object]]:
-        """Dead letters, retries and watermarks."""
+        """Dead letters, watermarks, settled ids and retries."""
         failed = E.failed_events(routed)
         letters = E.dlq_unhandled(routed, now).unionByName(E.dlq_failed(failed, now))
 
@@ -203,19 +245,23 @@ class Warehouse:
         retries = waiting.unionByName(settled)
         changed = [c for c in columns if c != "evento_negocio_id"]
 
+        def remember() -> None:
+            done = routed.join(waiting.select("evento_negocio_id"), "evento_negocio_id", "left_anti")
+            self.ledger().settle(done, writer, batch_id)
+
         def retry() -> None:
             self.table("reintentos").merge(
                 retries, writer, batch_id,
                 lambda old, new: merge_upsert(old, new, ["evento_negocio_id"], replace=changed))
 
-        return [put, mark, retry]
+        return [put, mark, remember, retry]
 
     def _load_dims(self, good, present, batch_id, writer, start: Column) -> L.LoadContext:
         """Bring dimension versions up to date for the ids the batch touches.
 
         Returns what the fact loaders look values up in, cut down to those ids.
         """
-        oltp = self.oltp
+        oltp = TypedCatalog(self.oltp, schemas.SOURCES)
 
         def rows(name: str, ids: DataFrame) -> DataFrame:
             return oltp.rows_for(name, ids).join(ids.distinct(), ids.columns, "left_semi")
@@ -316,9 +362,13 @@ class Warehouse:
         """Start the stream; its checkpoint lives beside the tables.
 
         Late events are always applied. ``dedup_delay`` adds stateful
-        deduplication, which drops events later than that.
+        deduplication, which drops events later than that. A running stream gets a
+        heartbeat, so that waiting events are tried again when no new file comes; after
+        ``available_now`` call ``drain``.
         """
         source = E.dedup_stream(events, dedup_delay) if dedup_delay else events
+        if not available_now:
+            source = E.with_heartbeat(source)
 
         def load(batch: DataFrame, batch_id: int) -> None:
             # Batch numbers start again with a new checkpoint, and so does the query id.

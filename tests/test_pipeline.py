@@ -312,3 +312,76 @@ def test_a_delivery_keeps_the_attempts_of_its_event(spark):
                                  "evento_negocio_id long, ocurrido_en string, intentos_olap int")
     found = {r.evento_negocio_id: r.intentos_olap for r in dedup_events(rows).collect()}
     assert found == {1: 2, 2: 0}
+
+
+def test_row_errors(spark):
+    """Each fault of a source row is told for the events that name it, and for no other."""
+    from mercantil.streaming.row_errors import with_row_errors
+    shop_ = shop(spark)
+    text = lambda df, c, value, key: df.withColumn(c, F.when(F.col(key) == 1, F.lit(value)).otherwise(F.col(c).cast("string")))
+    lines = shop_.detalle_carritos.withColumn("precio_unitario", F.col("precio_unitario").cast("decimal(30,2)") * 100_000_000)
+    source = shop_.replace(
+        pedidos=text(shop_.pedidos, "creado_en", "pronto", "pedido_id"),
+        pagos=shop_.pagos.withColumn("pedido_id", F.when(F.col("pago_id") == 2, F.col("pedido_id"))),
+        devoluciones=shop_.devoluciones.withColumn("motivo", F.repeat("motivo", 20)),
+        envios=text(shop_.envios, "pedido_id", "99999999999999999999", "envio_id"),
+        detalle_carritos=lines)
+    routed = E.route_events(parse_payload(frame(spark, LOG)))
+    found = {r.evento_negocio_id: r.error_fila for r in with_row_errors(routed, source).collect() if r.error_fila}
+    assert found == {
+        1: "pedidos.creado_en: valor fuera de rango o ilegible: pronto",
+        3: "pagos.pedido_id: falta",
+        7: "envios.pedido_id: valor fuera de rango o ilegible: 99999999999999999999",
+        8: "devoluciones.motivo: más de 50 caracteres",
+        9: "envios.pedido_id: valor fuera de rango o ilegible: 99999999999999999999",
+        10: "carritos.valor_total: valor fuera de rango: 10700000000.00"}
+    assert with_row_errors(routed, shop_).filter("error_fila IS NOT NULL").isEmpty()
+
+
+def test_an_overflow_fails_its_event_only_and_loads_once_mended(spark, tmp_path):
+    wide = shop(spark).detalle_carritos.withColumn("precio_unitario", F.lit("99999999999").cast("decimal(30,2)"))
+    w = house(spark, tmp_path)
+    good, w.oltp = w.oltp, w.oltp.replace(detalle_carritos=wide)
+    assert w.load_batch(frame(spark, LOG), 0) and not w.load_batch(frame(spark, LOG), 0)
+    assert rows(w.table("reintentos").read().filter("pendiente"), "evento_negocio_id") == [(10,), (12,)]
+    assert w.star().fact_carritos.count() == 0 and w.orders().count() == 2
+    w.oltp = good
+    assert w.drain() == 2
+    assert one(w.star().fact_carritos, "true").num_items == 2
+    # The unreadable one is a dead letter now, without another file.
+    assert rows(w.star().dlq_eventos, "evento_id", "motivo") == [(11, "sin_handler"), (12, "error_max_reintentos")]
+    # Settled events are known by id: delivered again, none starts over.
+    w.load_batch(frame(spark, LOG), 1)
+    assert w.table("reintentos").read().filter("pendiente").isEmpty()
+    assert w.ledger().table.read().count() == len(LOG)
+
+
+def test_shipments_and_carts_fold_in_any_order(spark, tmp_path):
+    log = [event(1, "envio_devuelto", '{"envio_id":1}', "2024-01-08T00:00:00"),
+           event(2, "envio_entregado", '{"envio_id":1}', "2024-01-09T00:00:00"),
+           event(3, "carrito_abandonado", '{"carrito_id":1}', "2024-01-09T00:00:00"),
+           event(4, "carrito_convertido", '{"carrito_id":1}', "2024-01-10T00:00:00")]
+    found = []
+    for name, parts in (("a", [log]), ("b", [log[1:], log[:1]])):
+        w = house(spark, tmp_path, name)
+        for k, part in enumerate(parts):
+            w.load_batch(frame(spark, part), k)
+        found.append((rows(w.shipments().drop("cargado_en", "almacen_sk")), rows(w.carts().drop("cargado_en", "cliente_sk"))))
+    assert found[0] == found[1]
+    assert one(w.shipments(), "true").estado_envio == "entregado"
+
+
+def test_a_running_stream_tries_again_without_new_files(spark, tmp_path):
+    import time
+    inbox = tmp_path / "inbox"
+    write_events(inbox, "1", [LOG[11]])
+    w = house(spark, tmp_path)
+    query = w.stream(E.read_events(spark, str(inbox)), "t")
+    try:
+        for _ in range(120):
+            if rows(w.star().dlq_eventos, "evento_id") == [(12,)]:
+                break
+            time.sleep(1)
+    finally:
+        query.stop()
+    assert rows(w.star().dlq_eventos, "evento_id", "motivo") == [(12, "error_max_reintentos")]
