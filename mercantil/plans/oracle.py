@@ -102,6 +102,9 @@ CTES: dict[str, str] = {
         "MIN(ts) AS creado_en FROM events GROUP BY 1, 2",
     "detalle_car": f"SELECT event_id AS detalle_carrito_id, user_id * 100000 + {DAY} AS carrito_id, "
         "1 + event_id % 3 AS cantidad, CAST(value AS DECIMAL(12,2)) AS precio_unitario FROM events",
+    "precios_altos": """SELECT carrito_id, cantidad, CAST(precio_unitario * CASE
+          WHEN detalle_carrito_id % 103 = 0 THEN 1000000000 WHEN detalle_carrito_id % 101 = 0 THEN 10000000
+          ELSE 1 END AS DECIMAL(30,2)) AS precio FROM detalle_car""",
     "compras": f"SELECT {cols(R.ORDENES_COMPRA)} FROM lineas",
     # events
     "eventos": f"SELECT {cols(R.stream_columns(K, DAY))} FROM events",
@@ -500,6 +503,43 @@ SQL: dict[str, str] = {
               FROM carritos WHERE carrito_id IN (SELECT carrito_id FROM buenos))""",
     "stream_orders": "SELECT * REPLACE (" + money("total_final") + ") FROM ("
         + fold("'a', 'c', 'p'") + ")",
+    "stream_payments": f"""SELECT pago_id, pedido_id, {fecha_sk('g.creado_en')} AS fecha_sk,
+          {position(METHODS, 'metodo_pago')} AS metodo_pago_sk, {money('monto')}, estado, proveedor_pago
+        FROM pagos g WHERE pago_id IN (SELECT pago_id FROM buenos WHERE cargador = 'payment')""",
+    "stream_shipments": f"""SELECT envio_id, pedido_id, {fecha_sk('enviado_en')} AS fecha_envio_sk,
+          {fecha_sk('entregado_en')} AS fecha_entrega_sk,
+          CASE WHEN estado_envio = 'devuelto' THEN 'devuelto' ELSE 'entregado' END AS estado_envio,
+          transportista, greatest(date_diff('day', CAST(enviado_en AS DATE),
+            CAST(entregado_en AS DATE)), 0) AS dias_entrega
+        FROM envios WHERE entregado_en IS NOT NULL""",
+    "stream_carts": f"""SELECT carrito_id, {fecha_sk('creado_en')} AS fecha_sk, estado,
+          COUNT(detalle_carrito_id) AS num_items,
+          CAST(SUM(cantidad * precio_unitario) AS DOUBLE) AS valor_total, estado = 'convertido' AS convertido
+        FROM carritos LEFT JOIN detalle_car USING (carrito_id)
+        WHERE carrito_id IN (SELECT carrito_id FROM buenos WHERE cargador = 'cart') GROUP BY ALL""",
+    "retry_stream": """SELECT evento_negocio_id AS evento_id, tipo_evento,
+          CASE WHEN cargador IS NULL THEN 'sin_handler' ELSE 'error_max_reintentos' END AS motivo,
+          CASE WHEN cargador IS NOT NULL THEN 'payload ilegible: ' || documento_malo END AS error_detalle
+        FROM leidos WHERE cargador IS NULL OR documento_malo IS NOT NULL""",
+    "dedup_stream": f"""SELECT evento_negocio_id, tipo_evento, {text('ocurrido_en', 'ocurrido_en')},
+          CAST(evento_negocio_id % 5 AS BIGINT) AS lote FROM eventos""",
+    "row_errors": """SELECT evento_id, tipo_evento, 'error_max_reintentos' AS motivo, MIN(error) AS error_detalle
+        FROM (
+          SELECT pedido_id * 8 AS evento_id, 'pedido_creado' AS tipo_evento,
+            'pedidos.creado_en: valor fuera de rango o ilegible: sin fecha' AS error
+          FROM pedidos WHERE pedido_id % 97 = 0
+          UNION ALL SELECT pago_id * 8 + 1,
+            CASE estado WHEN 'capturado' THEN 'pago_capturado' ELSE 'pago_fallido' END, 'pagos.pedido_id: falta'
+          FROM pagos WHERE pago_id % 89 = 0
+          UNION ALL SELECT carrito_id * 8 + 5, 'carrito_' || estado,
+            'detalle_carritos.precio_unitario: valor fuera de rango o ilegible: ' || CAST(precio AS VARCHAR)
+          FROM precios_altos JOIN carritos USING (carrito_id) WHERE abs(precio) >= 10000000000
+          UNION ALL SELECT carrito_id * 8 + 5, 'carrito_' || estado,
+            'carritos.valor_total: valor fuera de rango: ' || CAST(total AS VARCHAR)
+          FROM (SELECT carrito_id, SUM(cantidad * precio) AS total FROM precios_altos
+                WHERE abs(precio) < 10000000000 GROUP BY 1) JOIN carritos USING (carrito_id)
+          WHERE abs(total) >= 10000000000)
+        GROUP BY 1, 2""",
     # merges
     "merge_insert_only": f"""SELECT {R.LINE_KEY} AS detalle_pedido_id, l_partkey, l_suppkey, l_quantity,
           l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,

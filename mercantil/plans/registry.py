@@ -6,12 +6,14 @@ Library functions keep decimals, short integers, dates and timestamps;
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mercantil import schemas
 from mercantil.functions import expressions as X
 from mercantil.functions.payload import CORRUPT, NAMES, parse_payload
 from mercantil.operators import dims as D
@@ -26,10 +28,14 @@ from mercantil.operators.ordered import id_chunk
 from mercantil.plans import bi, views
 from mercantil.session import configure, shared_dir
 from mercantil.sources import retail as R
+from mercantil.sources.snapshots import KeyedTable
 from mercantil.sources.star import constant_dims, star_catalog
-from mercantil.sources.tables import Catalog, raw_catalog
+from mercantil.sources.tables import RAW_SCHEMAS, Catalog, raw_catalog
 from mercantil.streaming import events as E
 from mercantil.streaming.health import pipeline_health
+from mercantil.streaming.ledger import EventLedger
+from mercantil.streaming.loader import Warehouse
+from mercantil.streaming.row_errors import with_row_errors
 
 # Start of all versions in a first load, and the moment rules are evaluated at.
 LOAD_TIME = "1995-01-01 00:00:00"
@@ -306,24 +312,128 @@ def _health(s: Source) -> DataFrame:
         L.load_fact_carts(good, s.ctx), E.watermarks(s.routed(), at(SEEN_AT)), missing)
 
 
-def _stream_orders(s: Source) -> DataFrame:
-    """The ``events`` table run as a stream into a warehouse folder."""
-    import uuid
+def _folder(s: Source, name: str) -> str:
+    return f"{shared_dir(s.spark)}/mercantil/{name}-{uuid.uuid4().hex}"
+
+
+def _house(s: Source, name: str, oltp: Catalog | None = None) -> Warehouse:
+    return Warehouse(s.spark, _folder(s, name), oltp or s.oltp, (R.CALENDAR_START, R.CALENDAR_END), buckets=8)
+
 
-    from mercantil.streaming.loader import Warehouse
-    path = f"{shared_dir(s.spark)}/mercantil/stream-{uuid.uuid4().hex}"
-    house = Warehouse(s.spark, path, s.oltp, (R.CALENDAR_START, R.CALENDAR_END), buckets=8)
-    from mercantil.sources.tables import RAW_SCHEMAS
+def _streamed(s: Source, house: Warehouse, kinds: tuple[str, ...] | None = None) -> Warehouse:
+    """The ``events`` table, or some types of it, run as a stream into a warehouse folder."""
     # The pattern matches one file as well as a folder of files.
-    raw = E.read_events(s.spark, f"{s.root}/events*.parquet", "parquet",
-                        schema=RAW_SCHEMAS["events"])
-    query = house.stream(R.stream_events(raw), "orders", available_now=True)
-    query.awaitTermination()
-    return house.orders().select(
+    raw = E.read_events(s.spark, f"{s.root}/events*.parquet", "parquet", schema=RAW_SCHEMAS["events"])
+    events = R.stream_events(raw)
+    if kinds:
+        events = events.filter(F.col("tipo_evento").isin(*kinds))
+    house.stream(events, "events", available_now=True).awaitTermination()
+    return house
+
+
+def _in_batches(s: Source, house: Warehouse, log: DataFrame, batches: int) -> Warehouse:
+    """Events dealt to batches by a hash of their number, so that later ones come first as well."""
+    dealt = log.withColumn("tipo_entidad", F.lit("x")).withColumn("entidad_id", F.lit(None).cast("bigint"))
+    for k in range(batches):
+        house.load_batch(dealt.filter(F.pmod(F.xxhash64("evento_negocio_id"), F.lit(batches)) == k), k)
+    return house
+
+
+def _stream_orders(s: Source) -> DataFrame:
+    return _streamed(s, _house(s, "stream")).orders().select(
         "pedido_id", "numero_pedido", "estado_pedido_sk", "estado_fulfillment", "estado_pago",
         "num_items", "total_final")
 
 
+def _stream_carts(s: Source) -> DataFrame:
+    kinds = tuple(E.C.EVENTS_BY_LOADER["cart"])
+    return _streamed(s, _house(s, "carts"), kinds).carts().select(
+        "carrito_id", "fecha_sk", "estado", "num_items", "valor_total", "convertido")
+
+
+def _stream_payments(s: Source) -> DataFrame:
+    kinds = tuple(E.C.EVENTS_BY_LOADER["payment"])
+    return _streamed(s, _house(s, "payments"), kinds).star().fact_pagos.select(
+        "pago_id", "pedido_id", "fecha_sk", "metodo_pago_sk", "monto", "estado", "proveedor_pago")
+
+
+def _stream_shipments(s: Source) -> DataFrame:
+    """Every shipment delivered, and returned an hour later if it was, in two batches without order."""
+    delivered = s.oltp.envios.filter("entregado_en IS NOT NULL").selectExpr(
+        *R._event("'envio_entregado'", "entregado_en", "envio_id * 8 + 6", "envio_id"))
+    returned = s.oltp.envios.filter("estado_envio = 'devuelto'").selectExpr(
+        *R._event("'envio_devuelto'", "entregado_en + INTERVAL '1' HOUR", "envio_id * 8 + 3", "envio_id"))
+    log = delivered.unionByName(returned)
+    # Their stored state says nothing of returns here.
+    oltp = s.oltp.replace(envios=s.oltp.envios.withColumn("estado_envio", F.lit("entregado")))
+    return _in_batches(s, _house(s, "shipments", oltp), log, 2).shipments().select(
+        "envio_id", "pedido_id", "fecha_envio_sk", "fecha_entrega_sk", "estado_envio", "transportista", "dias_entrega")
+
+
+def _retry_stream(s: Source) -> DataFrame:
+    """What becomes of the stream's faulty events, tried three times with no further file.
+
+    An event that still waited would be a row with reason 'en_espera'.
+    """
+    house = _streamed(s, _house(s, "retry"))
+    house.drain()
+    waiting = house.table("reintentos").read().filter("pendiente").select(
+        F.col("evento_negocio_id").alias("evento_id"), "tipo_evento", F.lit("en_espera").alias("motivo"),
+        F.col("error_olap").alias("error_detalle"))
+    return house.star().dlq_eventos.select("evento_id", "tipo_evento", "motivo", "error_detalle").unionByName(waiting)
+
+
+#: Deliveries of the log; a delivery repeats that of the event before it, some of which occurred days ago.
+DELIVERIES = 5
+
+
+def _dedup_stream(s: Source) -> DataFrame:
+    """The log delivered in several files, each with the rows of the one before again.
+
+    A query that stops and starts again with each file drops every event that an earlier
+    file settled; ``lote`` is the file that an event came with first.
+    """
+    inbox, path = _folder(s, "inbox"), _folder(s, "dedup")
+    ledger = EventLedger(KeyedTable(s.spark, f"{path}/eventos_vistos", schemas.CONTROL["eventos_vistos"], ["dia"], 8))
+    schema = f"{schemas.EVENTS}, lote int"
+    seen = KeyedTable(s.spark, f"{path}/eventos", schema, ["evento_negocio_id"], 8)
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        fresh = E.dedup_events(ledger.unseen(batch)).persist()
+        seen.insert(fresh, "dedup", batch_id, lambda old, new: new)
+        ledger.settle(fresh, "dedup", batch_id)
+        fresh.unpersist()
+
+    for k in range(DELIVERIES):
+        part = F.pmod(F.col("evento_negocio_id"), F.lit(DELIVERIES))
+        s.oltp.eventos_negocio.filter((part == k) | (part == k - 1)).withColumn("lote", F.lit(k)).write.parquet(
+            f"{inbox}/{k}")
+        stream = E.read_events(s.spark, f"{inbox}/*", "parquet", schema=schema)
+        (stream.writeStream.foreachBatch(load).option("checkpointLocation", f"{path}/_checkpoint")
+         .trigger(availableNow=True).start().awaitTermination())
+    return seen.read().select("evento_negocio_id", "tipo_evento", "ocurrido_en", "lote")
+
+
+def _row_errors(s: Source) -> DataFrame:
+    """Dead letters of orders, payments and carts whose source rows don't fit.
+
+    Some orders have no readable date, some payments no order, and some prices are so large
+    that they, or the value of their cart, are beyond the money type.
+    """
+    factor = F.expr("CASE WHEN detalle_carrito_id % 103 = 0 THEN 1000000000 WHEN detalle_carrito_id % 101 = 0 "
+                    "THEN 10000000 ELSE 1 END")
+    oltp = s.oltp.replace(
+        pedidos=s.oltp.pedidos.withColumn("creado_en", F.when(
+            F.col("pedido_id") % 97 == 0, "sin fecha").otherwise(F.col("creado_en").cast("string"))),
+        pagos=s.oltp.pagos.withColumn("pedido_id", F.when(F.col("pago_id") % 89 != 0, F.col("pedido_id"))),
+        detalle_carritos=s.oltp.detalle_carritos.withColumn(
+            "precio_unitario", (F.col("precio_unitario") * factor).cast("decimal(30,2)")))
+    log = s.log.orders.unionByName(s.log.payments).unionByName(s.log.carts)
+    routed = E.route_events(parse_payload(log)).withColumn("intentos_olap", F.lit(2))
+    failed = E.failed_events(with_row_errors(routed, oltp, ("order_created", "payment", "cart")))
+    return E.dlq_failed(failed, at(SEEN_AT)).select("evento_id", "tipo_evento", "motivo", "error_detalle")
+
+
 # --- rules ------------------------------------------------------------------
 
 def _price_lines(s: Source) -> DataFrame:
@@ -493,6 +603,12 @@ QUERIES: dict[str, Callable[[Source], DataFrame]] = {
     "backlog_by_state": lambda s: O.backlog_by_state(s.oltp.pedidos),
     "pipeline_health": _health,
     "stream_orders": _stream_orders,
+    "stream_payments": _stream_payments,
+    "stream_shipments": _stream_shipments,
+    "stream_carts": _stream_carts,
+    "retry_stream": _retry_stream,
+    "dedup_stream": _dedup_stream,
+    "row_errors": _row_errors,
     # merges
     "merge_insert_only": _merge_insert,
     "merge_upsert": _merge_upsert,
