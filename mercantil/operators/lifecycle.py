@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mercantil.functions import constants as C
 from mercantil.functions import expressions as X
-from mercantil.operators.ordered import HOT_ROWS, hot_keys, time_chunk, with_neighbor
+from mercantil.operators.ordered import CHUNK_ROWS, with_neighbor
 from mercantil.operators.topn import first_per_key, last_per_key, top_n_per_group
 
 
@@ -62,7 +62,7 @@ def fulfillment_status(orders: DataFrame) -> DataFrame:
 
 
 def state_history(
-    events: DataFrame, chunk: Column | None = None, hot_rows: int = HOT_ROWS,
+    events: DataFrame, chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Every state an order took, with the state before it.
 
@@ -78,9 +78,8 @@ def state_history(
         "pedido_id", "ocurrido_en", "evento_negocio_id", state.alias("estado_nuevo")
     ).filter("pedido_id IS NOT NULL AND estado_nuevo IS NOT NULL")
     linked = with_neighbor(
-        steps, ["pedido_id"], ["ocurrido_en", "evento_negocio_id"],
-        time_chunk("ocurrido_en") if chunk is None else chunk, ["estado_nuevo"], "_prev",
-        hot_keys(steps, ["pedido_id"], hot_rows))
+        steps, ["pedido_id"], ["ocurrido_en", "evento_negocio_id"], ["estado_nuevo"], "_prev",
+        chunk_rows=chunk_rows)
     return linked.select(
         "evento_negocio_id", "pedido_id", F.col("_prev.estado_nuevo").alias("estado_anterior"),
         "estado_nuevo", F.col("ocurrido_en").alias("cambiado_en"))

@@ -1,13 +1,18 @@
-"""Ordered computations inside a group of any size.
-
-A plain window sorts a whole group in one task, so one key holding a third of
-the rows would hold up the job. Here the few largest keys are found first, by
-a count that combines map-side. Other keys take the plain window. A hot key is
-cut into value-based chunks (a time span, an id range): windows run inside
-``keys + chunk``, and only one summary row per chunk is carried across chunks.
-The result equals the plain window. The chunk must follow the order: a row of
-an earlier chunk sorts before every row of a later one, and no row is in two
-chunks.
+"""Ordered computations inside a group of any size, as one lazy plan.
+
+A plain window sorts a whole group in one task, so one key holding a third of the rows
+would hold up the job. Here groups are cut into chunks of neighbouring rows: windows
+run inside ``keys + chunk``, and one summary row per chunk is carried across chunks, as
+in a parallel prefix scan. The result equals the plain window.
+
+Chunks come from the order itself. A row has a position (the microsecond of an instant,
+or an id) and a unique number among rows of one position. A group of more than
+``CHUNK_ROWS`` rows is cut by the high digits of the position; a piece that is still
+larger by the next digits, then by single positions and blocks of numbers. So rows of
+one instant are cut too, a chunk has ``CHUNK_ROWS`` rows or one block of numbers, and no
+piece has more than 65,536 parts on one level. The counts that decide are aggregates in
+the same plan, over keys and digits only: nothing runs while the plan is built, nothing
+is collected, and a small group is the case of a single chunk.
 """
 
 from __future__ import annotations
@@ -16,99 +21,97 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows of one key that a single task sorts without trouble.
-HOT_ROWS = 5_000_000
-# Bound of the broadcast list. A key beyond it holds at most 1/10000 of all rows.
-MOST_HOT_KEYS = 10_000
-HOUR = 3600
+#: Rows of a group or piece that one task sorts without trouble.
+CHUNK_ROWS = 5_000_000
+#: Positions in a piece of the first and second level, as powers of two.
+HIGH, LOW = 32, 16
+#: Numbers in a block of one position, as a power of two.
+BLOCK = 20
 
 
-def time_chunk(moment: str, seconds: int = HOUR) -> Column:
-    """Chunk number of an instant; narrower spans give smaller tasks."""
-    return F.floor(F.unix_seconds(F.col(moment)) / seconds).cast("bigint")
+def _position(df: DataFrame, column: str) -> Column:
+    """The first ordering column as a number."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(column).cast("timestamp"))
+    return F.col(column).cast("bigint")
 
 
-def id_chunk(column: str, size: int = 1_000_000) -> Column:
-    """Chunk number of a non-negative id."""
-    return F.floor(F.col(column) / size).cast("bigint")
+def _over(df: DataFrame, columns: list[str], flag: str, rows: int) -> DataFrame:
+    """Values of ``columns`` that more than ``rows`` rows share, marked by ``flag``."""
+    counts = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.filter(F.col("_rows") > rows).select(*columns, F.lit(True).alias(flag))
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS,
-) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows, or None when there are none.
-
-    Runs one small job over the key columns; the list is bounded by
-    ``MOST_HOT_KEYS``.
-    """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)
-    found = counts.orderBy(F.desc("_rows")).limit(MOST_HOT_KEYS).select(*keys)
-    rows = found.collect()
-    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
-
-
-def _with_chunk(df: DataFrame, keys: list[str], chunk: Column, hot: DataFrame) -> DataFrame:
-    """Add ``_chunk``: the chunk for rows of hot keys, null for all others."""
-    marks = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    return df.join(marks, keys, "left").select(
-        *df.columns, F.when(F.col("_hot"), chunk).alias("_chunk"))
+def with_chunk(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """Add ``_chunk``, a struct that sorts as the rows do; -1 where a level is not cut."""
+    keys = list(keys)
+    place = _position(df, order[0])
+    number = F.col(order[1]).cast("bigint") if len(order) > 1 else place
+    digits = df.withColumn("_high", F.shiftright(place, HIGH)).withColumn("_low", F.shiftright(place, LOW))
+    levels, flags = [keys, [*keys, "_high"], [*keys, "_low"]], ["_cut1", "_cut2", "_cut3"]
+    narrow = digits.select(*keys, "_high", "_low")
+    for columns, flag in zip(levels, flags):
+        cut = _over(narrow, columns, flag, rows)
+        # Deeper levels look at the rows of cut pieces only.
+        narrow = narrow.join(cut.select(*columns), columns, "left_semi")
+        digits = digits.join(cut, columns, "left")
+    none = F.lit(-1).cast("bigint")
+    chunk = F.struct(
+        F.when(F.col("_cut1"), F.col("_high")).otherwise(none).alias("a"),
+        F.when(F.col("_cut2"), F.col("_low")).otherwise(none).alias("b"),
+        F.when(F.col("_cut3"), place).otherwise(none).alias("c"),
+        F.when(F.col("_cut3"), F.shiftright(number, BLOCK)).otherwise(none).alias("d"))
+    return digits.select(*df.columns, chunk.alias("_chunk"), F.col("_cut1").isNotNull().alias("_cut"))
 
 
 def with_neighbor(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column,
-    columns: Sequence[str], name: str, hot: DataFrame | None, following: bool = False,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], name: str,
+    following: bool = False, chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Add struct ``name`` with ``columns`` of the previous (or following) row.
 
-    The struct is null at the start (or end) of a group. ``keys`` and ``order``
-    columns are not null. ``hot`` is the result of ``hot_keys``. Only the first
-    row of a chunk looks into another chunk, so one row per chunk goes through
-    the second, small window.
+    The struct is null at the start (or end) of a group. ``keys`` and ``order`` columns are
+    not null. Only the first row of a chunk of a cut group looks into another chunk, so one
+    row per chunk goes through the second, small window.
     """
     keys, order = list(keys), list(order)
     step, far_end = (F.lead, F.first) if following else (F.lag, F.last)
     row = F.struct(*columns)
-    if hot is None:
-        return df.withColumn(name, step(row).over(Window.partitionBy(*keys).orderBy(*order)))
-
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     across = Window.partitionBy(*keys).orderBy("_chunk")
-    near = _with_chunk(df, keys, chunk, hot).withColumn("_near", step(row).over(inside))
-    plain = near.filter("_chunk IS NULL")
-    split = near.filter("_chunk IS NOT NULL").withColumn("_far", far_end(row).over(whole))
-    border = split.filter("_near IS NULL").withColumn("_near", step("_far").over(across))
-    inner = split.filter("_near IS NOT NULL")
-    first, *others = [
-        part.select(*df.columns, F.col("_near").alias(name)) for part in (plain, inner, border)]
-    for part in others:
-        first = first.unionByName(part)
-    return first
+    near = (with_chunk(df, keys, order, chunk_rows)
+            .withColumn("_near", step(row).over(inside)).withColumn("_far", far_end(row).over(whole)))
+    border = F.col("_near").isNull() & F.col("_cut")
+    settled = near.filter(~border)
+    carried = near.filter(border).withColumn("_near", step("_far").over(across))
+    return (settled.unionByName(carried)).select(*df.columns, F.col("_near").alias(name))
 
 
 def with_running_levels(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column,
-    deltas: dict[str, tuple[str, str | None]], hot: DataFrame | None,
-    floor_at_zero: bool = True,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str],
+    deltas: dict[str, tuple[str, str | None]], floor_at_zero: bool = True, chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Add running levels of signed movements.
 
     ``deltas`` maps an output name to ``(delta column, opening level column)``.
     With ``floor_at_zero`` each step is clamped, ``level = max(level + delta, 0)``,
     in closed form: with prefix sums S the level is ``S + max(opening, -min(S))``.
-    Both S and its running minimum combine across chunks. ``hot`` is the result
-    of ``hot_keys``.
+    Both S and its running minimum combine across chunks.
     """
     keys, order = list(keys), list(order)
-    local = df if hot is None else _with_chunk(df, keys, chunk, hot)
-    upto = (Window.partitionBy(*keys, *(["_chunk"] if hot is not None else [])).orderBy(*order)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = with_chunk(df, keys, order, chunk_rows)
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for name, (delta, _) in deltas.items():
         local = local.withColumn(f"_s_{name}", F.sum(delta).over(upto))
-    if floor_at_zero:
-        for name in deltas:
-            local = local.withColumn(f"_m_{name}", F.min(f"_s_{name}").over(upto))
+    for name in deltas:
+        local = local.withColumn(f"_m_{name}", F.min(f"_s_{name}").over(upto))
 
     def levels(rows: DataFrame, carried: bool) -> DataFrame:
         """Levels from local sums, plus what earlier chunks carry over."""
@@ -127,22 +130,17 @@ def with_running_levels(
             made.append((total + F.greatest(start, -lowest)).alias(name))
         return rows.select(*df.columns, *made)
 
-    if hot is None:
-        return levels(local, carried=False)
-    # Hot keys: one row per chunk with its total and its lowest prefix.
-    split = local.filter("_chunk IS NOT NULL")
-    before = (Window.partitionBy(*keys).orderBy("_chunk")
-              .rowsBetween(Window.unboundedPreceding, -1))
+    # Cut groups: one row per chunk with its total and its lowest prefix.
+    split = local.filter("_cut")
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     totals = split.groupBy(*keys, "_chunk").agg(*[
         F.sum(delta).alias(f"_t_{name}") for name, (delta, _) in deltas.items()
     ], *[F.min(f"_s_{name}").alias(f"_l_{name}") for name in deltas])
     for name in deltas:
-        totals = totals.withColumn(
-            f"_b_{name}", F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0)))
+        totals = totals.withColumn(f"_b_{name}", F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0)))
     for name in deltas:
         lowest = F.min(F.col(f"_b_{name}") + F.col(f"_l_{name}")).over(before)
         totals = totals.withColumn(f"_n_{name}", lowest)
-    carried = totals.select(
-        *keys, "_chunk", *[f"_{p}_{name}" for name in deltas for p in ("b", "n")])
-    plain = levels(local.filter("_chunk IS NULL"), carried=False)
-    return plain.unionByName(levels(split.join(carried, [*keys, "_chunk"]), carried=True))
+    carried = totals.select(*keys, "_chunk", *[f"_{p}_{name}" for name in deltas for p in ("b", "n")])
+    return levels(local.filter("NOT _cut"), carried=False).unionByName(
+        levels(split.join(carried, [*keys, "_chunk"]), carried=True))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercantil.functions.expressions import micros, surrogate_key
-from mercantil.operators.ordered import HOT_ROWS, hot_keys, time_chunk, with_neighbor
+from mercantil.operators.ordered import CHUNK_ROWS, with_neighbor
 
 VALIDITY = ["valido_desde", "valido_hasta", "es_actual"]
 
@@ -97,23 +97,20 @@ def scd2_close(dim: DataFrame, ids: DataFrame, key: str, ts: Column) -> DataFram
 
 def scd2_history(
     changes: DataFrame, key: str, sk: str, tracked: Sequence[str], ts: str, event_id: str,
-    chunk: Column | None = None, hot_rows: int = HOT_ROWS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """All versions from a change log, ordered by ``(ts, event_id)``.
 
     A row that repeats the tracked values of the row before opens no version.
     """
-    chunk = time_chunk(ts) if chunk is None else chunk
     tracked = list(tracked)
-    # Change points are fewer than changes, so the same keys serve both passes.
-    hot = hot_keys(changes, [key], hot_rows)
-    seen = with_neighbor(changes, [key], [ts, event_id], chunk, tracked, "_prev", hot)
+    seen = with_neighbor(changes, [key], [ts, event_id], tracked, "_prev", chunk_rows=chunk_rows)
     now = F.struct(*tracked)
     points = seen.filter(F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(now)).drop("_prev")
     # Change points of equal time close at once and are empty spans; they stay,
     # as each of them was a version.
     spans = with_neighbor(
-        points, [key], [ts, event_id], chunk, [ts], "_next", hot, following=True)
+        points, [key], [ts, event_id], [ts], "_next", following=True, chunk_rows=chunk_rows)
     columns = [c for c in changes.columns if c not in (ts, event_id)]
     return spans.select(
         surrogate_key(key, micros(ts), event_id).alias(sk), *columns,

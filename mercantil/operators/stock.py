@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercantil.operators.ordered import HOT_ROWS, hot_keys, time_chunk, with_running_levels
+from mercantil.operators.ordered import CHUNK_ROWS, with_running_levels
 from mercantil.operators.topn import last_per_key
 
 
@@ -36,17 +36,14 @@ def allocate_warehouse(lines: DataFrame, levels: DataFrame) -> DataFrame:
 
 
 def mark_oversold(
-    lines: DataFrame, levels: DataFrame, order: list[str], chunk: Column,
-    hot_rows: int = HOT_ROWS,
+    lines: DataFrame, levels: DataFrame, order: list[str], chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Add demand so far per (warehouse, variant) and whether it passes the stock."""
     allocated = lines.filter("almacen_id IS NOT NULL").withColumn(
         "_demand", F.col("cantidad").cast("bigint"))
     running = with_running_levels(
-        allocated, ["almacen_id", "variante_id"], order, chunk,
-        {"demanda_acumulada": ("_demand", None)},
-        hot_keys(allocated, ["almacen_id", "variante_id"], hot_rows), floor_at_zero=False
-    ).drop("_demand")
+        allocated, ["almacen_id", "variante_id"], order, {"demanda_acumulada": ("_demand", None)},
+        floor_at_zero=False, chunk_rows=chunk_rows).drop("_demand")
     stock = levels.select("almacen_id", "variante_id", "cantidad_disponible")
     return (
         running.join(stock, ["almacen_id", "variante_id"], "left")
@@ -150,8 +147,7 @@ def reserved_delta(kind: Column, quantity: Column) -> Column:
 
 
 def stock_ledger(
-    movements: DataFrame, opening: DataFrame | None = None, chunk: Column | None = None,
-    hot_rows: int = HOT_ROWS,
+    movements: DataFrame, opening: DataFrame | None = None, chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Running physical, reserved and available stock after each movement.
 
@@ -174,9 +170,8 @@ def stock_ledger(
         starts = ("_f0", "_r0")
     levels = with_running_levels(
         signed, ["almacen_id", "variante_id"], ["fecha_movimiento", "movimiento_inventario_id"],
-        time_chunk("fecha_movimiento") if chunk is None else chunk,
         {"cantidad_fisica": ("_fisica", starts[0]), "cantidad_reservada": ("_reservada", starts[1])},
-        hot_keys(movements, ["almacen_id", "variante_id"], hot_rows))
+        chunk_rows=chunk_rows)
     return levels.select(
         "movimiento_inventario_id", "almacen_id", "variante_id", "tipo_movimiento", "cantidad",
         "fecha_movimiento", "cantidad_fisica", "cantidad_reservada",

@@ -24,7 +24,6 @@ from mercantil.operators import pricing as P
 from mercantil.operators import quality as Q
 from mercantil.operators import scd2 as S
 from mercantil.operators import stock as K
-from mercantil.operators.ordered import id_chunk
 from mercantil.plans import bi, views
 from mercantil.session import configure, shared_dir
 from mercantil.sources import retail as R
@@ -459,8 +458,7 @@ def _allocated(s: Source) -> DataFrame:
 
 def _oversold(s: Source) -> DataFrame:
     return K.mark_oversold(
-        _allocated(s), s.oltp.niveles_stock, ["pedido_id", "detalle_pedido_id"],
-        id_chunk("pedido_id")).select(
+        _allocated(s), s.oltp.niveles_stock, ["pedido_id", "detalle_pedido_id"]).select(
         "detalle_pedido_id", "almacen_id", "demanda_acumulada", "excede_stock")
 
 

@@ -7,7 +7,6 @@ from helpers import one, rows, ts
 from mercantil.operators import dims as D
 from mercantil.operators import merge as M
 from mercantil.operators import scd2 as S
-from mercantil.operators.ordered import time_chunk
 from mercantil.sources.tables import Catalog
 
 T1, T2, T3 = 1, 2, 3
@@ -87,15 +86,15 @@ def test_close(spark):
     assert rows(S.scd2_close(after, ids, "cliente_id", at(T3))) == rows(after)
 
 
-@pytest.mark.parametrize("days", [1, 3, 400])
-def test_history_from_changes(spark, days):
+@pytest.mark.parametrize("chunk_rows", [1, 3, 400])
+def test_history_from_changes(spark, chunk_rows):
     log = spark.createDataFrame([
         (1, "a", ts("2024-01-01"), 1), (1, "a", ts("2024-01-02"), 2), (1, "b", ts("2024-01-05"), 3),
         (1, "a", ts("2024-01-05"), 4), (2, "x", ts("2024-01-01"), 5), (1, None, ts("2024-02-01"), 6),
         (1, None, ts("2024-02-02"), 7),
     ], "cliente_id bigint, segmento string, cuando timestamp, id bigint")
     dim = S.scd2_history(log, "cliente_id", "cliente_sk", ["segmento"], "cuando", "id",
-                         time_chunk("cuando", days * 86_400), hot_rows=3)
+                         chunk_rows=chunk_rows)
     check_invariants(dim)
     assert rows(dim, "cliente_id", "segmento", "valido_desde", "valido_hasta") == rows(
         spark.createDataFrame([

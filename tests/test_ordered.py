@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from helpers import rows
-from mercantil.operators.ordered import hot_keys, id_chunk, with_neighbor, with_running_levels
+from mercantil.operators import ordered
 from mercantil.operators.topn import first_per_key, last_per_key, top_n_per_group
 
 
@@ -20,32 +20,34 @@ def moves(spark):
     return data, spark.createDataFrame(data, "k int, t bigint, id bigint, d bigint")
 
 
-# Rows from which a key is hot: all keys, only the largest, none.
-HOT = [0, 500, 10_000]
+# Rows of a chunk: every group is cut, only the largest, none.
+ROWS = [1, 20, 500, 10_000]
 
 
-@pytest.mark.parametrize("size", [1, 700, 100_000])
-@pytest.mark.parametrize("hot", HOT)
+@pytest.fixture(params=[(32, 16, 20), (9, 4, 6)], ids=["wide", "tiny"])
+def digits(request, monkeypatch):
+    """Also with few positions in a piece, so that all levels are reached."""
+    for name, value in zip(("HIGH", "LOW", "BLOCK"), request.param):
+        monkeypatch.setattr(ordered, name, value)
+
+
+@pytest.mark.parametrize("size", ROWS)
 @pytest.mark.parametrize("following", [False, True])
-def test_neighbor_equals_window(moves, size, hot, following):
+def test_neighbor_equals_window(moves, digits, size, following):
     _, df = moves
-    got = with_neighbor(
-        df, ["k"], ["t", "id"], id_chunk("t", size), ["d", "id"], "n",
-        hot_keys(df, ["k"], hot), following)
+    got = ordered.with_neighbor(df, ["k"], ["t", "id"], ["d", "id"], "n", following, size)
     step = F.lead if following else F.lag
     plain = df.withColumn(
         "n", step(F.struct("d", "id")).over(Window.partitionBy("k").orderBy("t", "id")))
     assert rows(got) == rows(plain)
 
 
-@pytest.mark.parametrize("size", [1, 700, 100_000])
-@pytest.mark.parametrize("hot", HOT)
-def test_clamped_levels_equal_a_loop(moves, size, hot):
+@pytest.mark.parametrize("size", ROWS)
+def test_clamped_levels_equal_a_loop(moves, digits, size):
     data, df = moves
     df = df.withColumn("x0", F.col("k") % 4)
-    got = with_running_levels(
-        df, ["k"], ["t", "id"], id_chunk("t", size), {"level": ("d", "x0"), "free": ("d", None)},
-        hot_keys(df, ["k"], hot))
+    got = ordered.with_running_levels(
+        df, ["k"], ["t", "id"], {"level": ("d", "x0"), "free": ("d", None)}, chunk_rows=size)
     wanted, level, free = {}, {}, {}
     for k, t, id_, d in sorted(data, key=lambda r: (r[0], r[1], r[2])):
         level[k] = max(level.get(k, k % 4) + d, 0)
@@ -54,12 +56,11 @@ def test_clamped_levels_equal_a_loop(moves, size, hot):
     assert {r.id: (r.level, r.free) for r in got.collect()} == wanted
 
 
-@pytest.mark.parametrize("hot", HOT)
-def test_running_sum_without_floor(moves, hot):
+@pytest.mark.parametrize("size", ROWS)
+def test_running_sum_without_floor(moves, digits, size):
     data, df = moves
-    got = with_running_levels(
-        df, ["k"], ["t", "id"], id_chunk("t", 300), {"s": ("d", None)},
-        hot_keys(df, ["k"], hot), floor_at_zero=False)
+    got = ordered.with_running_levels(
+        df, ["k"], ["t", "id"], {"s": ("d", None)}, floor_at_zero=False, chunk_rows=size)
     total, wanted = {}, {}
     for k, t, id_, d in sorted(data, key=lambda r: (r[0], r[1], r[2])):
         total[k] = total.get(k, 0) + d
@@ -67,6 +68,27 @@ def test_running_sum_without_floor(moves, hot):
     assert {r.id: r.s for r in got.collect()} == wanted
 
 
+def test_one_instant_is_cut(spark, monkeypatch):
+    """A third of all rows in one instant of one key: no chunk keeps them together."""
+    monkeypatch.setattr(ordered, "BLOCK", 4)
+    df = spark.range(900).select(F.lit(1).alias("k"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("t"), "id")
+    chunks = ordered.with_chunk(df, ["k"], ["t", "id"], 50).groupBy("_chunk").count().collect()
+    assert max(r["count"] for r in chunks) <= 50
+    times = df.withColumn("t", F.timestamp_micros("t"))
+    got = ordered.with_neighbor(times, ["k"], ["t", "id"], ["id"], "n", chunk_rows=50)
+    plain = times.withColumn("n", F.lag(F.struct("id")).over(Window.partitionBy("k").orderBy("t", "id")))
+    assert rows(got) == rows(plain)
+
+
+def test_no_job_runs_while_a_plan_is_built(spark, moves):
+    _, df = moves
+    tracker = spark.sparkContext.statusTracker()
+    before = tracker.getJobIdsForGroup(None)
+    ordered.with_running_levels(df, ["k"], ["t", "id"], {"s": ("d", None)})
+    ordered.with_neighbor(df, ["k"], ["t", "id"], ["d"], "n")
+    assert tracker.getJobIdsForGroup(None) == before
+
+
 def test_top_n_equals_ranking(moves):
     _, df = moves
     for n in (1, 5, 2000):
