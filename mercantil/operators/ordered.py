@@ -39,44 +39,58 @@ def _position(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("bigint")
 
 
-def _over(df: DataFrame, columns: list[str], flag: str, rows: int) -> DataFrame:
-    """Values of ``columns`` that more than ``rows`` rows share, marked by ``flag``."""
-    counts = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.filter(F.col("_rows") > rows).select(*columns, F.lit(True).alias(flag))
+def _digits(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    place = _position(df, order[0])
+    return df.withColumn("_high", F.shiftright(place, HIGH)).withColumn("_low", F.shiftright(place, LOW))
 
 
-def with_chunk(
+def cuts(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int = CHUNK_ROWS,
+) -> list[DataFrame]:
+    """Groups and pieces of more than ``rows`` rows, by level, from one aggregate.
+
+    Each list has at most one entry for so many rows of the input, so it is broadcast. Lists
+    made from more rows than a computation has serve it as well.
+    """
+    keys = list(keys)
+    n = F.sum("_rows").alias("_rows")
+    low = _digits(df, order).groupBy(*keys, "_high", "_low").agg(F.count(F.lit(1)).alias("_rows"))
+    high = low.groupBy(*keys, "_high").agg(n)
+    return [
+        F.broadcast(counts.filter(F.col("_rows") > rows).drop("_rows").withColumn(flag, F.lit(True)))
+        for counts, flag in ((high.groupBy(*keys).agg(n), "_cut1"), (high, "_cut2"), (low, "_cut3"))]
+
+
+def with_chunk(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], lists: Sequence[DataFrame],
 ) -> DataFrame:
-    """Add ``_chunk``, a struct that sorts as the rows do; -1 where a level is not cut."""
+    """Add ``_chunk``, a struct that sorts as the rows do; -1 where a level is not cut.
+
+    ``lists`` come from ``cuts``; ``_cut`` tells whether the group is cut at all.
+    """
     keys = list(keys)
     place = _position(df, order[0])
     number = F.col(order[1]).cast("bigint") if len(order) > 1 else place
-    digits = df.withColumn("_high", F.shiftright(place, HIGH)).withColumn("_low", F.shiftright(place, LOW))
-    levels, flags = [keys, [*keys, "_high"], [*keys, "_low"]], ["_cut1", "_cut2", "_cut3"]
-    narrow = digits.select(*keys, "_high", "_low")
-    for columns, flag in zip(levels, flags):
-        cut = _over(narrow, columns, flag, rows)
-        # Deeper levels look at the rows of cut pieces only.
-        narrow = narrow.join(cut.select(*columns), columns, "left_semi")
-        digits = digits.join(cut, columns, "left")
+    marked = _digits(df, order)
+    for level, found in zip(([], ["_high"], ["_high", "_low"]), lists):
+        marked = marked.join(found, [*keys, *level], "left")
     none = F.lit(-1).cast("bigint")
     chunk = F.struct(
         F.when(F.col("_cut1"), F.col("_high")).otherwise(none).alias("a"),
         F.when(F.col("_cut2"), F.col("_low")).otherwise(none).alias("b"),
         F.when(F.col("_cut3"), place).otherwise(none).alias("c"),
         F.when(F.col("_cut3"), F.shiftright(number, BLOCK)).otherwise(none).alias("d"))
-    return digits.select(*df.columns, chunk.alias("_chunk"), F.col("_cut1").isNotNull().alias("_cut"))
+    return marked.select(*df.columns, chunk.alias("_chunk"), F.col("_cut1").isNotNull().alias("_cut"))
 
 
 def with_neighbor(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], name: str,
-    following: bool = False, chunk_rows: int = CHUNK_ROWS,
+    following: bool = False, chunk_rows: int = CHUNK_ROWS, lists: Sequence[DataFrame] | None = None,
 ) -> DataFrame:
     """Add struct ``name`` with ``columns`` of the previous (or following) row.
 
     The struct is null at the start (or end) of a group. ``keys`` and ``order`` columns are
-    not null. Only the first row of a chunk of a cut group looks into another chunk, so one
+    not null. ``lists`` are those of ``cuts``, made here if not given. Only the first row of a chunk of a cut group looks into another chunk, so one
     row per chunk goes through the second, small window.
     """
     keys, order = list(keys), list(order)
@@ -85,7 +99,7 @@ def with_neighbor(
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     whole = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     across = Window.partitionBy(*keys).orderBy("_chunk")
-    near = (with_chunk(df, keys, order, chunk_rows)
+    near = (with_chunk(df, keys, order, lists or cuts(df, keys, order, chunk_rows))
             .withColumn("_near", step(row).over(inside)).withColumn("_far", far_end(row).over(whole)))
     border = F.col("_near").isNull() & F.col("_cut")
     settled = near.filter(~border)
@@ -105,7 +119,7 @@ def with_running_levels(
     Both S and its running minimum combine across chunks.
     """
     keys, order = list(keys), list(order)
-    local = with_chunk(df, keys, order, chunk_rows)
+    local = with_chunk(df, keys, order, cuts(df, keys, order, chunk_rows))
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for name, (delta, _) in deltas.items():

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercantil.functions.expressions import micros, surrogate_key
-from mercantil.operators.ordered import CHUNK_ROWS, with_neighbor
+from mercantil.operators.ordered import CHUNK_ROWS, cuts, with_neighbor
 
 VALIDITY = ["valido_desde", "valido_hasta", "es_actual"]
 
@@ -104,13 +104,15 @@ def scd2_history(
     A row that repeats the tracked values of the row before opens no version.
     """
     tracked = list(tracked)
-    seen = with_neighbor(changes, [key], [ts, event_id], tracked, "_prev", chunk_rows=chunk_rows)
+    # Change points are fewer than changes, so the same lists serve both passes.
+    lists = cuts(changes, [key], [ts, event_id], chunk_rows)
+    seen = with_neighbor(changes, [key], [ts, event_id], tracked, "_prev", lists=lists)
     now = F.struct(*tracked)
     points = seen.filter(F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(now)).drop("_prev")
     # Change points of equal time close at once and are empty spans; they stay,
     # as each of them was a version.
     spans = with_neighbor(
-        points, [key], [ts, event_id], [ts], "_next", following=True, chunk_rows=chunk_rows)
+        points, [key], [ts, event_id], [ts], "_next", following=True, lists=lists)
     columns = [c for c in changes.columns if c not in (ts, event_id)]
     return spans.select(
         surrogate_key(key, micros(ts), event_id).alias(sk), *columns,
