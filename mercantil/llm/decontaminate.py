@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -90,29 +91,34 @@ class Index:
         return places[np.bincount(of, copied[segments], len(places)) == 0]
 
     def grams(self, numbers: np.ndarray) -> list[np.ndarray]:
-        """Seeds of each kind by their first word; 0 where a word is not in the vocabulary."""
+        """Seeds of each kind by their first word, for numbers of known words."""
         out = []
         for kind, offsets in enumerate(SEEDS):
             n = max(0, len(numbers) - offsets[-1])
             a, b, c = (numbers[k:k + n] for k in offsets)
-            out.append(np.where((a > 0) & (b > 0) & (c > 0), ((kind * self.base + a) * self.base + b) * self.base + c, 0))
+            out.append(((kind * self.base + a) * self.base + b) * self.base + c)
         return out
 
     def numbers(self, found: list[str]) -> np.ndarray:
-        get = self.vocabulary.get
-        return np.fromiter((get(w, 0) for w in found), np.int64, len(found))
+        return np.fromiter(map(self.vocabulary.get, found, repeat(0)), np.int64, len(found))
 
     def hits(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of known seeds and their places in ``keys``."""
-        positions, places = [], []
-        for grams in self.grams(numbers) if len(self.keys) else []:
-            at = np.flatnonzero(grams)
-            place = np.minimum(np.searchsorted(self.keys, grams[at]), len(self.keys) - 1)
-            known = self.keys[place] == grams[at]
-            positions.append(at[known])
-            places.append(place[known])
+        """Positions of known seeds and their places in ``keys``; number 0 is a word of no item."""
         none = np.zeros(0, np.int64)
-        return np.concatenate([none, *positions]), np.concatenate([none, *places])
+        positions, places = [none], [none]
+        known = numbers > 0
+        for kind, offsets in enumerate(SEEDS):
+            n = len(numbers) - offsets[-1]
+            if n <= 0 or not len(self.keys):
+                continue
+            i, j, k = offsets
+            at = np.flatnonzero(known[i:i + n] & known[j:j + n] & known[k:k + n])
+            grams = ((kind * self.base + numbers[at]) * self.base + numbers[at + j]) * self.base + numbers[at + k]
+            place = np.minimum(np.searchsorted(self.keys, grams), len(self.keys) - 1)
+            met = self.keys[place] == grams
+            positions.append(at[met])
+            places.append(place[met])
+        return np.concatenate(positions), np.concatenate(places)
 
     def use(self, found: np.ndarray | None = None, counts: np.ndarray | None = None, documents: int = 0) -> None:
         """Where each seed starts an alignment: (segment, offset).
