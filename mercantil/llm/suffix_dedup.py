@@ -37,6 +37,8 @@ MASK = np.uint64((1 << 48) - 1)
 #: Different runs (of about 70 bytes) from which an anchor is split into windows. They are
 #: counted on one text in SAMPLE; what is split changes where windows meet, not the result.
 HOT_RUNS, SAMPLE = 16384, 16
+#: Least numbers of 2 to 8 bytes.
+_BYTES = np.uint64(1) << np.arange(8, 64, 8, dtype=np.uint64)
 _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -49,10 +51,7 @@ def _types(text: np.ndarray) -> np.ndarray:
     smaller = np.zeros(n, bool)
     if len(change):
         # Inside a run of one byte the type is that of the run's end.
-        run = np.searchsorted(change, np.arange(n))
-        known = run < len(change)
-        ends = change[run[known]]
-        smaller[known] = text[ends] < text[ends + 1]
+        smaller[:change[-1] + 1] = np.repeat(text[change] < text[change + 1], np.diff(change, prepend=-1))
     return smaller
 
 
@@ -67,8 +66,10 @@ def _words(text: np.ndarray) -> np.ndarray:
 def _direct(words: np.ndarray, positions: np.ndarray, depth: int) -> np.ndarray:
     """``positions`` sorted by their first ``depth`` bytes; only ties go on to the next eight."""
     n = len(words)
-    order = positions[np.argsort(words[positions], kind="stable")]
-    group = np.cumsum(np.concatenate([[0], words[order[1:]] != words[order[:-1]]])) if len(order) else order
+    key = words[positions]
+    place = np.argsort(key)
+    order, key = positions[place], key[place]
+    group = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]])) if len(order) else order
     open_at = np.arange(len(order))
     for at in range(8, depth, 8):
         same = np.zeros(len(open_at), bool)
@@ -79,25 +80,34 @@ def _direct(words: np.ndarray, positions: np.ndarray, depth: int) -> np.ndarray:
         open_at = open_at[same]
         if not len(open_at):
             break
-        own = order[open_at]
+        own, old = order[open_at], group[open_at]
         where = own + at
         key = np.where(where < n, words[np.minimum(where, n - 1)], np.uint64(0))
-        place = np.lexsort((key, group[open_at]))
-        order[open_at] = own[place]
-        key, old = key[place], group[open_at]
-        fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (old[1:] != old[:-1])])
+        new = np.concatenate([[True], old[1:] != old[:-1]])
+        # Groups that are in order already, such as copies that go on alike, stay as they are.
+        number = np.cumsum(new) - 1
+        wrong = np.zeros(number[-1] + 1, bool)
+        wrong[number[1:][~new[1:] & (key[1:] < key[:-1])]] = True
+        mixed = np.flatnonzero(wrong[number])
+        place = mixed[np.lexsort((key[mixed], number[mixed]))]
+        own[mixed], key[mixed] = own[place], key[place]
+        order[open_at] = own
+        fresh = new | np.concatenate([[True], key[1:] != key[:-1]])
         # New group names that keep their order: position of the first member.
         group[open_at] = np.maximum.accumulate(np.where(fresh, open_at, 0))
     return order
 
 
-def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of ``text`` (bytes as uint8) in order of their first ``depth`` bytes, in two stages."""
+def suffix_array(text: np.ndarray, depth: int, words: np.ndarray | None = None) -> np.ndarray:
+    """Suffixes of ``text`` (bytes as uint8) in order of their first ``depth`` bytes, in two stages.
+
+    ``words`` is ``_words(text)``, if it is known.
+    """
     n = len(text)
     if not n:
         return np.zeros(0, np.int64)
     smaller = _types(text)
-    sorted_b = _direct(_words(text), np.flatnonzero(smaller), depth)
+    sorted_b = _direct(_words(text) if words is None else words, np.flatnonzero(smaller), depth)
     cuts = np.searchsorted(text[sorted_b], np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
     out = []
@@ -134,16 +144,20 @@ def common_prefixes(words: np.ndarray, suffixes: np.ndarray, most: int) -> np.nd
     n = len(words)
     lcp = np.zeros(len(suffixes), np.int64)
     pairs = np.arange(1, len(suffixes))
+    a, b = suffixes[1:], suffixes[:-1]
     for at in range(0, most, 8):
-        a, b = suffixes[pairs] + at, suffixes[pairs - 1] + at
-        inside = (a < n) & (b < n)
-        pairs, a, b = pairs[inside], a[inside], b[inside]
+        if at:
+            a, b = a + 8, b + 8
+            inside = (a < n) & (b < n)
+            if not inside.all():
+                pairs, a, b = pairs[inside], a[inside], b[inside]
         differ = words[a] ^ words[b]
-        size = np.full(len(pairs), 8)
-        for k in range(7, -1, -1):  # leading equal bytes
-            size[(differ >> np.uint64(56 - 8 * k)) != 0] = k
-        lcp[pairs] += size
-        pairs = pairs[size == 8]
+        same = differ == 0
+        end = ~same
+        # Leading equal bytes of the words that differ.
+        lcp[pairs[end]] = at + 7 - np.searchsorted(_BYTES, differ[end], side="right")
+        pairs, a, b = pairs[same], a[same], b[same]
+        lcp[pairs] = at + 8
     return np.minimum(lcp, most)
 
 
@@ -160,8 +174,9 @@ def covered_windows(runs: list[bytes], owners: np.ndarray, length: int = LENGTH)
     starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
     run = np.repeat(np.arange(len(runs)), sizes + 1)
     valid = np.arange(len(text)) - starts[run] < windows[run]
-    suffixes = suffix_array(text, length + 8)
-    lcp = common_prefixes(_words(text), suffixes, length + 6)
+    words = _words(text)
+    suffixes = suffix_array(text, length + 8, words)
+    lcp = common_prefixes(words, suffixes, length + 6)
     owner = np.where(valid, owners[run], np.iinfo(np.int64).max)[suffixes]
     first = np.flatnonzero(lcp < length)
     least = np.repeat(np.minimum.reduceat(owner, first), np.diff(np.append(first, len(suffixes))))
