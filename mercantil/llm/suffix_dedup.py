@@ -34,6 +34,8 @@ ANCHOR = 16
 #: Bytes of text meant for one bucket.
 BUCKET_BYTES = 2 << 20
 MASK = np.uint64((1 << 48) - 1)
+#: Bits of a text's hash that join rows, beside their id.
+LOW = (1 << 32) - 1
 #: Different runs (of about 70 bytes) from which an anchor is split into windows. They are
 #: counted on one text in SAMPLE; what is split changes where windows meet, not the result.
 HOT_RUNS, SAMPLE = 16384, 16
@@ -283,74 +285,84 @@ def _slices(values: np.ndarray):
 
 
 def _repeated_anchors(rows: DataFrame, buckets: int) -> DataFrame:
-    """``_id, _h``: the anchors of each document that another document also has."""
+    """``_id, _s, _h``: the anchors of each row that a row of another id also has.
+
+    ``_s`` is part of the hash of the row's text, so that rows without id, or with a
+    repeated one, aren't one key. Where they share an anchor inside a batch, it may be
+    listed without need; whether it is shared with another id is settled later.
+    """
     def send(batches):
         for batch in batches:
-            hs, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            hs, owners, parts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if found := anchor_runs(text.encode()):
+                data = text.encode()
+                if found := anchor_runs(data):
                     own = np.unique(found[0] & MASK)
                     hs.append(own)
                     owners.append(np.full(len(own), key, np.int64))
-            h, owner = np.concatenate(hs), np.concatenate(owners)
+                    parts.append(np.full(len(own), xxhash.xxh64_intdigest(data) & LOW, np.uint32))
+            h, owner, part = np.concatenate(hs), np.concatenate(owners), np.concatenate(parts)
             order = np.lexsort((owner, h))
-            h, owner = h[order], owner[order]
+            h, owner, part = h[order], owner[order], part[order]
             first = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
             # Copies inside the batch: the smallest id stands for all, the others are known now.
             least = np.maximum.accumulate(np.where(first, np.arange(len(h)), 0)) if len(h) else np.zeros(0, np.int64)
-            other = ~first & (owner != owner[least])
             many = np.zeros(len(h), np.uint8)
-            many[least[other]] = 1
-            yield from _known(owner[other], h[other])
-            h, owner, many = h[first], owner[first], many[first]
+            many[least[owner != owner[least]]] = 1
+            yield from _known(owner[~first], part[~first], h[~first])
+            h, owner, part, many = h[first], owner[first], part[first], many[first]
             bucket = _bucket(h, buckets)
             order = np.lexsort((owner, bucket))
-            h, owner, many, bucket = h[order], owner[order], many[order], bucket[order]
-            out = [(b, e - s, _pack((h[s:e] >> np.uint64(32)).astype("<u2"), (h[s:e] & np.uint64(0xFFFFFFFF)).astype("<u4"),
-                                    many[s:e], np.diff(owner[s:e], prepend=0)))
+            h, owner, part, many, bucket = h[order], owner[order], part[order], many[order], bucket[order]
+            out = [(b, e - s, _pack((h[s:e] >> np.uint64(32)).astype("<u2"), (h[s:e] & np.uint64(LOW)).astype("<u4"),
+                                    many[s:e], np.diff(owner[s:e], prepend=0), part[s:e].astype("<u4")))
                    for b, s, e in _slices(bucket)]
             cols = list(zip(*out)) or [[], [], []]
             yield pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary())],
                                   names=["_at", "_n", "_data"])
 
-    def _known(owner, h):
+    def _known(owner, part, h):
         # Bucket -1 - k: answers that need no bucket, spread by the document.
         if len(owner):
-            part = owner % 64
-            order = np.argsort(part, kind="stable")
-            owner, h, part = owner[order], h[order], part[order]
-            out = [(-1 - p, e - s, _pack(h[s:e], owner[s:e])) for p, s, e in _slices(part)]
+            place = (owner + part) % 64
+            order = np.argsort(place, kind="stable")
+            owner, part, h, place = owner[order], part[order], h[order], place[order]
+            out = [(-1 - p, e - s, _pack(h[s:e], owner[s:e], part[s:e].astype("<u4"))) for p, s, e in _slices(place)]
             cols = list(zip(*out))
             yield pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary())],
                                   names=["_at", "_n", "_data"])
 
+    def found(owner, part, h):
+        return pa.record_batch([pa.array(owner, pa.int64()), pa.array(part.astype(np.int64), pa.int64()),
+                                pa.array(h.astype(np.int64), pa.int64())], names=["_id", "_s", "_h"])
+
     def answer(batches):
         for group in _groups(batches, 1):
             at, sizes, blobs = group.column(0)[0].as_py(), group.column(1).to_pylist(), group.column(2).to_pylist()
             if at < 0:
                 for n, x in zip(sizes, blobs):
-                    h, owner = _unpack(x, n, "<u8", "<i8")
-                    yield pa.record_batch([pa.array(owner, pa.int64()), pa.array(h.astype(np.int64), pa.int64())], names=["_id", "_h"])
+                    h, owner, part = _unpack(x, n, "<u8", "<i8", "<u4")
+                    yield found(owner, part, h)
                 continue
-            parts = [_unpack(x, n, "<u2", "<u4", "u1", "<i8") for n, x in zip(sizes, blobs)]
-            h = np.concatenate([(a.astype(np.uint64) << np.uint64(32)) | b for a, b, _, _ in parts])
-            many = np.concatenate([m for _, _, m, _ in parts]).astype(bool)
-            owner = np.concatenate([np.cumsum(d) for _, _, _, d in parts])
+            parts = [_unpack(x, n, "<u2", "<u4", "u1", "<i8", "<u4") for n, x in zip(sizes, blobs)]
+            h = np.concatenate([(a.astype(np.uint64) << np.uint64(32)) | b for a, b, _, _, _ in parts])
+            many = np.concatenate([m for _, _, m, _, _ in parts]).astype(bool)
+            owner = np.concatenate([np.cumsum(d) for _, _, _, d, _ in parts])
+            part = np.concatenate([p for *_, p in parts])
             order = np.lexsort((owner, h))
-            h, owner, many = h[order], owner[order], many[order]
+            h, owner, part, many = h[order], owner[order], part[order], many[order]
             first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
             last = np.append(first[1:], len(h)) - 1
             shared = (owner[first] != owner[last]) | np.logical_or.reduceat(many, first)
             keep = np.repeat(shared, last - first + 1)
-            yield pa.record_batch([pa.array(owner[keep], pa.int64()), pa.array(h[keep].astype(np.int64), pa.int64())],
-                                  names=["_id", "_h"])
+            yield found(owner[keep], part[keep], h[keep])
 
     return (rows.select("_id", "_t").mapInArrow(send, "_at long, _n long, _data binary")
-            .repartition("_at").sortWithinPartitions("_at").mapInArrow(answer, "_id long, _h long"))
+            .repartition("_at").sortWithinPartitions("_at").mapInArrow(answer, "_id long, _s long, _h long"))
 
 
 def _packed(rows: DataFrame) -> DataFrame:
-    """``_id, _th, _z``: texts compressed before they are shuffled, with a hash to tell rows of one id apart."""
+    """``_id, _s, _th, _z``: texts compressed before they are shuffled, with a hash to tell rows of one id apart."""
     def run(batches):
         pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
@@ -360,14 +372,15 @@ def _packed(rows: DataFrame) -> DataFrame:
                                   names=["_id", "_th", "_z", "_null"])
 
     # The filter is what an inner join adds anyway; with it, both joins share one shuffle.
-    return rows.mapInArrow(run, "_id long, _th long, _z binary, _null boolean").filter("_id IS NOT NULL")
+    return (rows.mapInArrow(run, "_id long, _th long, _z binary, _null boolean")
+            .withColumn("_s", F.col("_th").bitwiseAND(F.lit(LOW))).filter("_id IS NOT NULL AND _s IS NOT NULL"))
 
 
 def _covered(texts_: DataFrame, anchors: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
     """``_id, _th, _spans``: covered windows as pairs of 32-bit start and end; several rows a document."""
-    wanted = anchors.groupBy("_id").agg(F.collect_set("_h").alias("_hs"))
+    wanted = anchors.groupBy("_id", "_s").agg(F.collect_set("_h").alias("_hs"))
     # All columns stay, so that this shuffle of the texts also serves the last join.
-    rows = texts_.join(wanted, "_id").select("_id", "_th", "_z", "_hs", "_null")
+    rows = texts_.join(wanted, ["_id", "_s"]).select("_id", "_th", "_z", "_hs", "_null")
     schema = "_at long, _n long, _data binary, _id long, _th long, _spans binary"
 
     def known(key, th, spans):
@@ -392,16 +405,16 @@ def _covered(texts_: DataFrame, anchors: DataFrame, hot: np.ndarray, buckets: in
             spans: dict = {}
             for run, key, th, s, e in found_for:
                 if key > runs[run][0]:
-                    spans.setdefault((key, th), []).append((s, e))
+                    spans.setdefault((key, th), set()).add((s, e))
             if spans:
                 yield known([k for k, _ in spans], [t for _, t in spans],
-                            [np.array(x, "<u4").tobytes() for x in spans.values()])
+                            [np.array(list(x), "<u4").tobytes() for x in spans.values()])
             # Rows of one id, or one row with the run twice, that hold the smallest id.
             sent: dict = {}
             for run, key, th, s, e in found_for:
                 least = runs[run]
                 if key == least[0]:
-                    sent.setdefault((run, least[3]), []).append((key, th, s))
+                    sent.setdefault((run, least[3]), set()).add((key, th, s))
             if not sent:
                 continue
             own = np.array([h for _, h in sent], np.uint64)
@@ -478,7 +491,8 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     packed = _packed(rows)
     spans = (_covered(packed, _repeated_anchors(rows, buckets), hot_anchors(rows, size), buckets)
-             .groupBy("_id").agg(F.collect_list(F.struct("_th", "_spans")).alias("_spans")))
+             .withColumn("_s", F.col("_th").bitwiseAND(F.lit(LOW)))
+             .groupBy("_id", "_s").agg(F.collect_list(F.struct("_th", "_spans")).alias("_spans")))
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor()
@@ -504,6 +518,6 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield pa.record_batch([batch.column(0), *(pa.array(x, pa.int64()) for x in (n_bytes, removed, n_spans)),
                                    pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return (packed.join(spans, "_id", "left")
+    return (packed.join(spans, ["_id", "_s"], "left")
             .select(F.when(~F.col("_null"), F.col("_id")).alias("doc_id"), "_th", "_z", "_spans")
             .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))

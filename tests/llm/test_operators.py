@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -130,6 +131,22 @@ def test_suffix_dedup(spark):
     assert suffix_dedup.without_repeats(frame(spark, EMPTY)).count() == 0
 
 
+def test_suffix_dedup_rows_without_id(spark):
+    """Thousands of rows that share a null or repeated id take about as long as with ids, and give whole results."""
+    rng = random.Random(31)
+    some = lambda n: "".join(rng.choices("abcdefghijklmnop ", k=n))
+    shared = [some(90) for _ in range(40)]
+    texts = [some(40) + rng.choice(shared) + some(40) if k % 3 else rng.choice(shared) for k in range(4000)]
+    seconds = {}
+    for name, key in (("ids", lambda k: k), ("null", lambda k: None if k > 20 else k), ("same", lambda k: 7 if k > 20 else k % 9)):
+        rows = [(key(k), t) for k, t in enumerate(texts)]
+        begin = time.monotonic()
+        found = suffix_dedup.without_repeats(frame(spark, rows)).collect()
+        seconds[name] = time.monotonic() - begin
+        assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == sorted(brute_removed(rows))
+    assert max(seconds.values()) < 4 * seconds["ids"] + 5, seconds
+
+
 def test_suffix_dedup_passage_edges(spark, monkeypatch):
     """A passage in many documents: anchors at its edges would collect a run of each of them."""
     rng = random.Random(12)
