@@ -222,14 +222,15 @@ def split_runs(data: bytes, wanted: np.ndarray, hot: np.ndarray):
         return
     h, starts, ends = found
     own = h & MASK
-    for i in np.flatnonzero(_among(own, wanted)).tolist():
-        s, e = int(starts[i]), int(ends[i])
-        if _among(own[i:i + 1], hot)[0]:
-            for at in range(s, e):
-                window = data[at:at + LENGTH]
-                yield window, xxhash.xxh64_intdigest(window) & int(MASK), at, at + 1
+    at = np.flatnonzero(_among(own, wanted))
+    own = own[at]
+    for key, s, e, cut in zip(own.tolist(), starts[at].tolist(), ends[at].tolist(), _among(own, hot).tolist()):
+        if cut:
+            for i in range(s, e):
+                window = data[i:i + LENGTH]
+                yield window, xxhash.xxh64_intdigest(window) & int(MASK), i, i + 1
         else:
-            yield data[s:e + LENGTH - 1], int(own[i]), s, e
+            yield data[s:e + LENGTH - 1], key, s, e
 
 
 def _among(values: np.ndarray, listed: np.ndarray) -> np.ndarray:
@@ -392,44 +393,53 @@ def _covered(texts_: DataFrame, anchors: DataFrame, hot: np.ndarray, buckets: in
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             runs: dict = {}
-            found_for = []
+            homes, number, row, starts, ends = [], [], [], [], []
+            keys, ths = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            seen = set()
             for k in range(batch.num_rows):
-                key, th = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
+                if (keys[k], ths[k]) in seen:  # the same row again has the same spans
+                    continue
+                seen.add((keys[k], ths[k]))
                 data = unpack.decompress(batch.column(2)[k].as_py())
                 hs = np.sort(batch.column(3)[k].values.to_numpy().astype(np.uint64))
                 for run, own, s, e in split_runs(data, hs, hot):
-                    found_for.append((run, key, th, s, e))
-                    if run not in runs or key < runs[run][0]:
-                        runs[run] = (key, th, s, own)
-            # Runs equal inside the batch: the smallest id stands for all others.
-            spans: dict = {}
-            for run, key, th, s, e in found_for:
-                if key > runs[run][0]:
-                    spans.setdefault((key, th), set()).add((s, e))
-            if spans:
-                yield known([k for k, _ in spans], [t for _, t in spans],
-                            [np.array(list(x), "<u4").tobytes() for x in spans.values()])
-            # Rows of one id, or one row with the run twice, that hold the smallest id.
-            sent: dict = {}
-            for run, key, th, s, e in found_for:
-                least = runs[run]
-                if key == least[0]:
-                    sent.setdefault((run, least[3]), set()).add((key, th, s))
-            if not sent:
+                    j = runs.setdefault(run, len(runs))
+                    if j == len(homes):
+                        homes.append(own)
+                    number.append(j)
+                    row.append(k)
+                    starts.append(s)
+                    ends.append(e)
+            if not runs:
                 continue
-            own = np.array([h for _, h in sent], np.uint64)
-            bucket = _bucket(own, buckets)
-            order = np.lexsort((own, bucket))
-            items = list(sent.items())
+            number, row, starts, ends = (np.array(x, np.int64) for x in (number, row, starts, ends))
+            owner = keys[row]
+            least = np.full(len(runs), LAST_ID)
+            np.minimum.at(least, number, owner)
+            # Runs equal inside the batch: the smallest id stands for all others.
+            other = owner > least[number]
+            if other.any():
+                spans = np.stack([starts[other], ends[other]], 1).astype("<u4")
+                parts = list(_slices(row[other]))
+                where = [k for k, _, _ in parts]
+                yield known(keys[where], ths[where], [spans[s:e].tobytes() for _, s, e in parts])
+            # The rows that hold the smallest id; several, if rows share an id.
+            names, home = list(runs), np.array(homes, np.uint64)
+            bucket = _bucket(home, buckets)
+            order = np.lexsort((home, bucket))
+            rank = np.empty_like(order)
+            rank[order] = np.arange(len(order))
+            place = rank[number[~other]]
+            by_run = np.argsort(place, kind="stable")
+            place = place[by_run]
+            table = [x[~other][by_run].astype("<i8") for x in (owner, ths[row], starts)]
             out = []
             for b, s, e in _slices(bucket[order]):
-                part = [items[i] for i in order[s:e].tolist()]
-                flat = [(j, *x) for j, (_, where) in enumerate(part) for x in where]
-                table = np.array([x[0] for x in flat], "<i8"), np.array([x[1] for x in flat], "<i8"), \
-                    np.array([x[2] for x in flat], "<i8"), np.array([x[3] for x in flat], "<i8")
-                lengths = np.array([len(r) for (r, _), _ in part], "<i8")
-                raw = np.array([len(part), len(flat)], "<i8").tobytes() + lengths.tobytes() + b"".join(t.tobytes() for t in table) \
-                    + b"".join(r for (r, _), _ in part)
+                part = [names[i] for i in order[s:e].tolist()]
+                lo, hi = np.searchsorted(place, (s, e))
+                lengths = np.array([len(r) for r in part], "<i8")
+                raw = np.array([len(part), hi - lo], "<i8").tobytes() + lengths.tobytes() + (place[lo:hi] - s).astype("<i8").tobytes() \
+                    + b"".join(t[lo:hi].tobytes() for t in table) + b"".join(part)
                 out.append((b, len(part), zstandard.ZstdCompressor(level=3).compress(raw)))
             cols = list(zip(*out))
             m = len(out)
@@ -458,16 +468,21 @@ def _covered(texts_: DataFrame, anchors: DataFrame, hot: np.ndarray, buckets: in
             owners = np.full(len(names), np.iinfo(np.int64).max)
             np.minimum.at(owners, number, key)
             hit = covered_windows(names, owners)
-            spans: dict = {}
-            for j, k, t, at in zip(number.tolist(), key.tolist(), th.tolist(), s.tolist()):
-                if k > owners[j]:  # a smaller id has the whole run
-                    spans.setdefault((k, t), []).append((at, at + len(names[j]) - LENGTH + 1))
-                elif hit[j].any():
-                    edge = np.flatnonzero(np.diff(np.concatenate([[0], hit[j].view(np.int8), [0]]))) + at
-                    spans.setdefault((k, t), []).extend(edge.reshape(-1, 2).tolist())
-            if spans:
-                yield pa.record_batch([pa.array([k for k, _ in spans], pa.int64()), pa.array([t for _, t in spans], pa.int64()),
-                                       pa.array([np.array(x, "<u4").tobytes() for x in spans.values()], pa.binary())],
+            windows = np.array([len(x) for x in hit])
+            whole = key > owners[number]  # a smaller id has the whole run
+            some = np.logical_or.reduceat(np.concatenate(hit), np.concatenate([[0], np.cumsum(windows)[:-1]]))
+            found = [(key[whole], th[whole], s[whole], s[whole] + windows[number[whole]])]
+            for j, k, t, at in zip(*(x[~whole & some[number]].tolist() for x in (number, key, th, s))):
+                edge = np.flatnonzero(np.diff(np.concatenate([[0], hit[j].view(np.int8), [0]]))) + at
+                found.append((np.full(len(edge) // 2, k), np.full(len(edge) // 2, t), edge[::2], edge[1::2]))
+            key, th, s, e = (np.concatenate(x) for x in zip(*found))
+            if len(key):
+                order = np.lexsort((th, key))
+                key, th = key[order], th[order]
+                spans = np.stack([s[order], e[order]], 1).astype("<u4")
+                first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (th[1:] != th[:-1])]))
+                yield pa.record_batch([pa.array(key[first], pa.int64()), pa.array(th[first], pa.int64()),
+                                       pa.array([x.tobytes() for x in np.split(spans, first[1:])], pa.binary())],
                                       names=["_id", "_th", "_spans"])
 
     sent = rows.mapInArrow(send, schema)
