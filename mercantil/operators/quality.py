@@ -9,13 +9,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercantil.functions import constants as C
 from mercantil.functions.expressions import order_state_key
 
+# Declared signs (fixed values).
 NON_NEGATIVE = {
     "pedidos": ["subtotal", "descuento_total", "impuesto_total", "costo_envio", "total_final"],
     "detalle_pedidos": ["precio_unitario", "descuento_linea", "impuesto_linea", "total_linea"],
@@ -116,6 +117,51 @@ def orphan_keys(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return fact.filter(F.col(key).isNotNull()).join(dim.select(key), key, "left_anti")
 
 
+def overlapping_intervals(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """Rows that begin before an earlier interval of their key has ended; a null end is open."""
+    earlier = (Window.partitionBy(key).orderBy("_start", "_end")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    open_end = F.lit("9999-12-31 00:00:00").cast("timestamp")
+    return (
+        df.filter(F.col(start).isNotNull())
+        .select(key, F.col(start).cast("timestamp").alias("_start"),
+                F.coalesce(F.col(end).cast("timestamp"), open_end).alias("_end"))
+        .withColumn("_busy", F.max("_end").over(earlier))
+        .filter("_start < _busy").drop("_busy")
+    )
+
+
+def with_dimensions(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Mark per key of ``fact`` whether its dimension holds it, for ``missing_in_dimension``.
+
+    ``dims`` maps a key to a dimension with one row per key. All keys of a fact are
+    checked in one pass over it.
+    """
+    for key, dim in dims.items():
+        found = dim.select(F.col(key), F.lit(True).alias(f"_hay_{key}"))
+        fact = fact.join(found, key, "left")
+    return fact
+
+
+def missing_in_dimension(key: str) -> Column:
+    return F.col(key).isNotNull() & F.col(f"_hay_{key}").isNull()
+
+
+def repeated_keys(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Keys held by more than one row, counted per rule; all tables share one shuffle."""
+    rows = reduce(DataFrame.unionByName, [
+        df.filter(F.col(key).isNotNull()).select(
+            F.lit(rule).alias("regla"), F.col(key).cast("string").alias("clave"))
+        for rule, (df, key) in tables.items()])
+    counts = (duplicate_keys(rows, ["regla", "clave"])
+              .groupBy("regla").agg(F.count("*").alias("violaciones")))
+    # Rules that hold count zero.
+    names = rows.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(rule) for rule in tables])).alias("regla"),
+        F.lit(0).cast("bigint").alias("violaciones"))
+    return counts.unionByName(names).groupBy("regla").agg(F.sum("violaciones").alias("violaciones"))
+
+
 def stale_order_state(fact_pedidos: DataFrame, pedidos: DataFrame) -> DataFrame:
     """Order facts whose state differs from the source (some changes emit no event)."""
     source = pedidos.select("pedido_id", order_state_key("estado_actual").alias("_fuente"))

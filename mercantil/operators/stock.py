@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercantil.operators.ordered import CHUNK_ROWS, with_running_levels
@@ -35,6 +35,44 @@ def allocate_warehouse(lines: DataFrame, levels: DataFrame) -> DataFrame:
         F.when(enough, F.col("_almacen")).alias("almacen_id"))
 
 
+def allocate_competing(
+    lines: DataFrame, levels: DataFrame, order: list[str], chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """Lines of a variant draw on its stock in ``order``, the fullest warehouse first.
+
+    Running demand and running stock are intervals of one axis; a line gets what it
+    overlaps of each warehouse, so it may become several rows. What no warehouse has is
+    a row with null ``almacen_id``. A variant's intervals are at most one per warehouse;
+    lines are never paired with each other. Lines without quantity give no row.
+    """
+    wanted = lines.filter("cantidad > 0").withColumn("_demand", F.col("cantidad").cast("bigint"))
+    running = with_running_levels(
+        wanted.drop("almacen_id"), ["variante_id"], order, {"_to": ("_demand", None)},
+        floor_at_zero=False, chunk_rows=chunk_rows).withColumn("_from", F.col("_to") - F.col("_demand"))
+    fullest = Window.partitionBy("variante_id").orderBy(F.desc("cantidad_disponible"), "almacen_id")
+    upto = fullest.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    stock = (
+        levels.filter("cantidad_disponible > 0")
+        .withColumn("_end", F.sum(F.col("cantidad_disponible").cast("bigint")).over(upto))
+        .groupBy("variante_id").agg(
+            F.collect_list(F.struct(
+                F.col("almacen_id"), (F.col("_end") - F.col("cantidad_disponible")).alias("start"),
+                F.col("_end").alias("end"))).alias("_parts"),
+            F.max("_end").alias("_total")))
+    total = F.coalesce("_total", F.lit(0).cast("bigint"))
+    joined = running.join(stock, "variante_id", "left")
+    met = F.filter(F.coalesce("_parts", F.expr("array()")), lambda p: (p["start"] < F.col("_to")) & (p["end"] > F.col("_from")))
+    given = F.transform(met, lambda p: F.struct(
+        p["almacen_id"].alias("almacen_id"),
+        (F.least(p["end"], "_to") - F.greatest(p["start"], "_from")).alias("cantidad")))
+    rest = F.when(F.col("_to") > total, F.array(F.struct(
+        F.lit(None).cast(levels.schema["almacen_id"].dataType).alias("almacen_id"),
+        (F.col("_to") - F.greatest(total, "_from")).alias("cantidad"))))
+    kept = [c for c in lines.columns if c not in ("almacen_id", "cantidad")]
+    both = F.concat(given, F.coalesce(rest, F.filter(given, lambda _: F.lit(False))))
+    return joined.select(*kept, F.explode(both).alias("_p")).select(*kept, "_p.*")
+
+
 def mark_oversold(
     lines: DataFrame, levels: DataFrame, order: list[str], chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:

@@ -583,6 +583,21 @@ SQL: dict[str, str] = {
         FROM variantes JOIN ultimo_precio USING (variante_id) JOIN productos USING (producto_id)
         WHERE activa AND variante_id IN (SELECT variante_id FROM detalle)""",
     "allocate_warehouse": ASSIGNED,
+    "allocate_competing": """SELECT detalle_pedido_id, d.variante_id, almacen_id,
+          CAST(least(b, hasta) - greatest(a, desde) AS BIGINT) AS cantidad
+        FROM (SELECT detalle_pedido_id, variante_id, SUM(cantidad) OVER w AS b,
+                SUM(cantidad) OVER w - cantidad AS a FROM detalle WHERE cantidad > 0
+              WINDOW w AS (PARTITION BY variante_id ORDER BY pedido_id, detalle_pedido_id)) d
+        JOIN (SELECT variante_id, almacen_id, SUM(cantidad_disponible) OVER v AS hasta,
+                SUM(cantidad_disponible) OVER v - cantidad_disponible AS desde
+              FROM niveles WHERE cantidad_disponible > 0
+              WINDOW v AS (PARTITION BY variante_id ORDER BY cantidad_disponible DESC, almacen_id)
+              UNION ALL
+              SELECT variante_id, NULL, 1000000000000000, coalesce(total, 0)
+              FROM (SELECT DISTINCT variante_id FROM detalle) LEFT JOIN (
+                SELECT variante_id, SUM(cantidad_disponible) AS total FROM niveles
+                WHERE cantidad_disponible > 0 GROUP BY 1) USING (variante_id)) s
+          ON s.variante_id = d.variante_id AND desde < b AND hasta > a""",
     "mark_oversold": f"""SELECT detalle_pedido_id, a.almacen_id, demanda_acumulada,
           demanda_acumulada > cantidad_disponible AS excede_stock
         FROM (SELECT *, CAST(SUM(cantidad) OVER (PARTITION BY almacen_id, variante_id
@@ -713,37 +728,63 @@ def _dq() -> str:
         "pagos": ("pagos", "monto <= 0"),
         "niveles_stock": ("niveles", "cantidad_fisica < 0 OR cantidad_reservada < 0"),
         "detalle_devoluciones": ("detalle_dev", "cantidad_devuelta <= 0"),
+        "precios_producto": ("precios", "precio_lista < 0"),
+        "variantes_producto": ("variantes", "precio_costo < 0"),
+        "detalle_carritos": ("detalle_car", "precio_unitario < 0 OR cantidad <= 0"),
     }
-    tables = {"movimientos_inventario": "movimientos"}
+    tables = {"movimientos_inventario": "movimientos", "dlq_eventos": "cartas"}
+
+    def crossing(table: str, key: str, start: str, end: str) -> str:
+        return (f"SELECT 1 FROM (SELECT a, max(b) OVER (PARTITION BY k ORDER BY a, b ROWS BETWEEN "
+                f"UNBOUNDED PRECEDING AND 1 PRECEDING) AS antes FROM (SELECT {key} AS k, "
+                f"CAST({start} AS TIMESTAMP) AS a, coalesce(CAST({end} AS TIMESTAMP), "
+                f"TIMESTAMP '9999-12-31') AS b FROM {table} WHERE {start} IS NOT NULL)) "
+                "WHERE a < antes")
+
+    def outside(table: str, moment: str) -> str:
+        return (f"SELECT 1 FROM {table} WHERE CAST({moment} AS DATE) BETWEEN DATE '1995-01-01' AND "
+                f"DATE '2030-12-31' AND CAST({moment} AS DATE) NOT IN (SELECT fecha FROM dim_fecha)")
     rules = {
         "C1 total de pedido": "SELECT 1 FROM pedidos WHERE abs(total_final - (subtotal "
             "- descuento_total + impuesto_total + costo_envio)) > 2",
         "C4 lineas repetidas": "SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber "
             "HAVING COUNT(*) > 1",
-        "C4 pedidos repetidos": "SELECT 1 FROM orders GROUP BY o_orderkey HAVING COUNT(*) > 1",
         "C5 envio activo": "SELECT 1 FROM envios WHERE estado_envio NOT IN ('fallido', 'devuelto') "
             "GROUP BY pedido_id HAVING COUNT(*) > 1",
         "C6 devolucion activa": "SELECT 1 FROM devoluciones WHERE estado <> 'rechazada' "
             "GROUP BY pedido_id HAVING COUNT(*) > 1",
-        "C7 cierre de version": "SELECT 1 FROM orders WHERE false",
+        "C7 cierre de version": "SELECT 1 FROM (SELECT hasta, row_number() OVER (PARTITION BY "
+            "cliente_id ORDER BY cambiado_en DESC, cambio_id DESC) = 1 AS actual FROM versiones) "
+            "WHERE actual <> (hasta IS NULL)",
+        "C7 cruce de versiones": crossing("versiones", "cliente_id", "cambiado_en", "hasta"),
+        "C7 cruce de envios": crossing("envios", "pedido_id", "enviado_en", "entregado_en"),
         "C7 version actual": "SELECT 1 FROM versiones WHERE hasta IS NULL GROUP BY cliente_id "
             "HAVING COUNT(*) > 1",
-        "C8 cliente de pedido": "SELECT 1 FROM orders WHERE o_custkey NOT IN "
+        "C8 fact_pedidos.cliente_sk": "SELECT 1 FROM orders WHERE o_custkey NOT IN "
             "(SELECT c_custkey FROM customer)",
-        "C8 fecha de movimiento": "SELECT 1 FROM lineitem WHERE CAST(l_shipdate AS DATE) "
-            "BETWEEN DATE '1995-01-01' AND DATE '2030-12-31' AND CAST(l_shipdate AS DATE) NOT IN "
-            "(SELECT fecha FROM dim_fecha)",
+        "C8 fact_pedidos.fecha_sk": outside("orders", "o_orderdate"),
+        "C8 fact_detalle_pedidos.producto_sk": "SELECT 1 FROM lineitem WHERE l_partkey NOT IN "
+            "(SELECT p_partkey FROM part)",
+        "C8 fact_movimientos_inventario.fecha_sk": outside("lineitem", "l_shipdate"),
+        "C8 fact_movimientos_inventario.almacen_sk": "SELECT 1 FROM lineitem WHERE l_suppkey NOT IN "
+            "(SELECT almacen_id FROM almacenes)",
+        "C8 fact_devoluciones.producto_sk": "SELECT 1 FROM lineitem WHERE l_returnflag = 'R' AND "
+            "l_partkey NOT IN (SELECT p_partkey FROM part)",
+        "C8 fact_carritos.cliente_sk": "SELECT 1 FROM s_carritos WHERE user_id NOT IN "
+            "(SELECT c_custkey FROM customer)",
+        "C8 fact_carritos.fecha_sk": outside("s_carritos", "fecha"),
         "C9 calificacion": "SELECT 1 FROM lineitem WHERE l_linenumber NOT BETWEEN 1 AND 5",
         "C10 calendario": "SELECT 1 FROM orders HAVING date_diff('day', "
             "CAST(MIN(o_orderdate) AS DATE), CAST(MAX(o_orderdate) AS DATE)) + 1 < 365",
     }
     for name, (table, test) in negative.items():
         rules[f"C3 {name}"] = f"SELECT 1 FROM {table} WHERE {test}"
-    for table, column in (
-        ("clientes", "segmento"), ("clientes", "estado"), ("pedidos", "estado_actual"),
-        ("pedidos", "estado_pago"), ("pagos", "metodo_pago"), ("envios", "estado_envio"),
-        ("movimientos_inventario", "tipo_movimiento"), ("devoluciones", "motivo"),
-    ):
+    for table, key in (("pedidos", "pedido_id"), ("detalle", "detalle_pedido_id"), ("pagos", "pago_id"),
+                       ("envios", "envio_id"), ("carritos", "carrito_id"), ("devoluciones", "devolucion_id")):
+        name = {"detalle": "detalle_pedidos"}.get(table, table)
+        rules[f"C4 {name}.{key}"] = (f"SELECT 1 FROM {table} WHERE {key} IS NOT NULL GROUP BY {key} "
+                                     "HAVING COUNT(*) > 1")
+    for table, column in C.ENUMERATIONS:
         rules[f"C2 {table}.{column}"] = (
             f"SELECT 1 FROM {tables.get(table, table)} WHERE {column} NOT IN "
             f"({one_of(C.ENUMERATIONS[table, column])})")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercantil import schemas
+from mercantil.functions import constants as C
 from mercantil.functions import expressions as X
 from mercantil.functions.payload import CORRUPT, NAMES, parse_payload
 from mercantil.operators import dims as D
@@ -487,17 +488,28 @@ def _cart_links(s: Source) -> DataFrame:
 
 # --- quality ----------------------------------------------------------------
 
+#: Keys of the facts that must be in a dimension, and ids of source tables that must be unique.
+DIMENSION_KEYS = {
+    "fact_pedidos": ["cliente_sk", "fecha_sk"], "fact_detalle_pedidos": ["producto_sk"],
+    "fact_movimientos_inventario": ["fecha_sk", "almacen_sk"],
+    "fact_devoluciones": ["producto_sk"], "fact_carritos": ["cliente_sk", "fecha_sk"],
+}
+SOURCE_KEYS = {
+    "pedidos": "pedido_id", "detalle_pedidos": "detalle_pedido_id", "pagos": "pago_id",
+    "envios": "envio_id", "carritos": "carrito_id", "devoluciones": "devolucion_id",
+}
+
+
 def _dq_report(s: Source) -> DataFrame:
     o, star = s.oltp, s.star
-    listed = {
-        "clientes": ["segmento", "estado"], "pedidos": ["estado_actual", "estado_pago"],
-        "pagos": ["metodo_pago"], "envios": ["estado_envio"],
-        "movimientos_inventario": ["tipo_movimiento"], "devoluciones": ["motivo"],
-    }
-    signed = ["pedidos", "detalle_pedidos", "pagos", "niveles_stock", "detalle_devoluciones"]
+    listed: dict[str, list[str]] = {}
+    for table, column in C.ENUMERATIONS:
+        listed.setdefault(table, []).append(column)
+    signed = ["pedidos", "detalle_pedidos", "pagos", "niveles_stock", "detalle_devoluciones",
+              "precios_producto", "variantes_producto", "detalle_carritos"]
     row_rules: dict[str, tuple[DataFrame, dict]] = {}
     for table in dict.fromkeys([*listed, *signed]):
-        df = getattr(o, table)
+        df = _dlq(s) if table == "dlq_eventos" else getattr(o, table)
         rules = {f"C2 {table}.{c}": Q.not_listed(table, c) for c in listed.get(table, [])}
         if table in signed:
             rules[f"C3 {table}"] = Q.bad_sign(table, df.columns)
@@ -509,18 +521,25 @@ def _dq_report(s: Source) -> DataFrame:
     # The given tables hold no reviews; line numbers stand in for ratings.
     ratings = s.raw.lineitem.select(F.col("l_linenumber").alias("calificacion"))
     row_rules["resenas"] = (ratings, {"C9 calificacion": Q.bad_rating()})
+    dims = {"cliente_sk": star.dim_cliente, "fecha_sk": F.broadcast(star.dim_fecha),
+            "producto_sk": star.dim_producto, "almacen_sk": star.dim_almacen}
+    for fact, keys in DIMENSION_KEYS.items():
+        row_rules[fact] = (
+            Q.with_dimensions(getattr(star, fact), {k: dims[k] for k in keys}),
+            {f"C8 {fact}.{k}": Q.missing_in_dimension(k) for k in keys})
+    keys = Q.repeated_keys({
+        f"C4 {table}.{key}": (getattr(o, table), key) for table, key in SOURCE_KEYS.items()})
     return Q.dq_report(row_rules, {
         "C4 lineas repetidas": Q.duplicate_keys(s.raw.lineitem, ["l_orderkey", "l_linenumber"]),
-        "C4 pedidos repetidos": Q.duplicate_keys(o.pedidos, ["pedido_id"]),
         "C5 envio activo": Q.several_active_shipments(o.envios),
         "C6 devolucion activa": Q.several_active_returns(o.devoluciones),
         "C7 version actual": Q.several_current_versions(versions, "cliente_id"),
-        "C8 cliente de pedido": Q.orphan_keys(
-            star.fact_pedidos, star.dim_cliente, "cliente_sk"),
-        "C8 fecha de movimiento": Q.orphan_keys(
-            star.fact_movimientos_inventario, F.broadcast(star.dim_fecha), "fecha_sk"),
+        "C7 cruce de versiones": Q.overlapping_intervals(
+            versions, "cliente_id", "valido_desde", "valido_hasta"),
+        "C7 cruce de envios": Q.overlapping_intervals(
+            o.envios, "pedido_id", "enviado_en", "entregado_en"),
         "C10 calendario": Q.short_calendar(D.calendar_for(s.raw.orders, "o_orderdate")),
-    })
+    }).unionByName(keys)
 
 
 # Prices are looked at for every variant that was sold.
@@ -616,6 +635,9 @@ QUERIES: dict[str, Callable[[Source], DataFrame]] = {
     "price_orders": _price_orders,
     "product_snapshot": _snapshot,
     "allocate_warehouse": _allocated,
+    "allocate_competing": lambda s: K.allocate_competing(
+        s.oltp.detalle_pedidos.select("detalle_pedido_id", "pedido_id", "variante_id", "cantidad"),
+        s.oltp.niveles_stock, ["pedido_id", "detalle_pedido_id"]).drop("pedido_id"),
     "mark_oversold": _oversold,
     "reservation_movements": lambda s: _movement_columns(K.reservation_movements(_allocated(s))),
     "delivery_movements": lambda s: _movement_columns(K.delivery_movements(

@@ -278,6 +278,51 @@ def test_set_rules(spark):
     assert rows(Q.stale_order_state(stale, orders), "pedido_id") == [(2,), (3,)]
 
 
+def test_intervals_and_keys(spark):
+    spans = spark.createDataFrame(
+        [(1, ts("2024-01-01"), ts("2024-01-05")), (1, ts("2024-01-05"), None), (1, ts("2024-02-01"), None),
+         (2, ts("2024-01-01"), ts("2024-03-01")), (2, ts("2024-01-10"), ts("2024-01-11")),
+         (2, ts("2024-02-01"), ts("2024-02-02")), (2, ts("2024-03-01"), None), (3, None, None)],
+        "k bigint, a timestamp, b timestamp")
+    found = Q.overlapping_intervals(spans, "k", "a", "b")
+    assert rows(found, "k", "_start") == [
+        (1, ts("2024-02-01")), (2, ts("2024-01-10")), (2, ts("2024-02-01"))]
+    fact = spark.createDataFrame([(1, 5), (9, 5), (None, 6), (9, None)], "cliente_sk bigint, fecha_sk bigint")
+    marked = Q.with_dimensions(fact, {
+        "cliente_sk": spark.createDataFrame([(1,)], "cliente_sk bigint"),
+        "fecha_sk": spark.createDataFrame([(5,)], "fecha_sk bigint")})
+    assert rows(Q.count_violations(marked, {
+        k: Q.missing_in_dimension(k) for k in ("cliente_sk", "fecha_sk")})) == [("cliente_sk", 2), ("fecha_sk", 1)]
+    assert rows(Q.repeated_keys({"x": (fact, "cliente_sk"), "y": (spans, "a"), "z": (fact.limit(0), "fecha_sk")})) == [
+        ("x", 1), ("y", 2), ("z", 0)]
+
+
+@pytest.mark.parametrize("chunk", [3, 10**6])
+def test_allocate_competing(spark, chunk):
+    rng = random.Random(8)
+    lines = [(k, rng.randint(1, 5), rng.choice([0, 1, 2, 7, 30, None])) for k in range(200)]
+    levels = [(w, v, rng.choice([0, 3, 40, 40, 90])) for v in range(1, 5) for w in range(1, 5)]
+    left = {}
+    for w, v, n in sorted(levels, key=lambda x: (-x[2], x[0])):
+        left.setdefault(v, []).append([w, n])
+    expected = []
+    for k, v, n in lines:
+        for place in left.get(v, []):
+            part = min(n or 0, place[1])
+            if part:
+                expected.append((k, place[0], part))
+                place[1] -= part
+                n -= part
+        if n:
+            expected.append((k, None, n))
+    found = K.allocate_competing(
+        spark.createDataFrame(lines, "detalle_pedido_id bigint, variante_id bigint, cantidad int"),
+        spark.createDataFrame(levels, "almacen_id bigint, variante_id bigint, cantidad_disponible int"),
+        ["detalle_pedido_id"], chunk_rows=chunk)
+    got = [tuple(r) for r in found.select("detalle_pedido_id", "almacen_id", "cantidad").collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
 def test_contracts(spark):
     wanted = {"a": spark.createDataFrame([], "x bigint, y string").schema,
               "b": spark.createDataFrame([], "x bigint").schema}
