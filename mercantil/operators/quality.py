@@ -131,6 +131,33 @@ def overlapping_intervals(df: DataFrame, key: str, start: str, end: str) -> Data
     )
 
 
+def with_version_marks(versions: DataFrame, key: str) -> DataFrame:
+    """Type 2 versions with what their rules need, from one window for each key.
+
+    ``_busy`` is the latest end of the earlier versions, ``_current`` the number of
+    current versions so far.
+    """
+    open_end = F.lit("9999-12-31 00:00:00").cast("timestamp")
+    end = F.when(F.col("valido_desde").isNotNull(), F.coalesce("valido_hasta", open_end))
+    order = Window.partitionBy(key).orderBy("valido_desde", "_end")
+    return (
+        versions.withColumn("_end", end)
+        .withColumn("_busy", F.max("_end").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+        .withColumn("_current", F.count_if("es_actual").over(
+            order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    )
+
+
+def overlapping_version() -> Column:
+    """A version that begins before an earlier one of its key has ended."""
+    return F.col("valido_desde") < F.col("_busy")
+
+
+def second_current_version() -> Column:
+    """True once for each key with more than one current version."""
+    return F.col("es_actual") & (F.col("_current") == 2)
+
+
 def with_dimensions(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Mark per key of ``fact`` whether its dimension holds it, for ``missing_in_dimension``.
 

@@ -516,8 +516,11 @@ def _dq_report(s: Source) -> DataFrame:
         if table == "pedidos":
             rules["C1 total de pedido"] = Q.total_mismatch()
         row_rules[table] = (df, rules)
-    versions = s.customer_versions()
-    row_rules["versiones"] = (versions, {"C7 cierre de version": Q.incoherent_version()})
+    versions = Q.with_version_marks(s.customer_versions(), "cliente_id")
+    row_rules["versiones"] = (versions, {
+        "C7 cierre de version": Q.incoherent_version(),
+        "C7 version actual": Q.second_current_version(),
+        "C7 cruce de versiones": Q.overlapping_version()})
     # The given tables hold no reviews; line numbers stand in for ratings.
     ratings = s.raw.lineitem.select(F.col("l_linenumber").alias("calificacion"))
     row_rules["resenas"] = (ratings, {"C9 calificacion": Q.bad_rating()})
@@ -533,9 +536,6 @@ def _dq_report(s: Source) -> DataFrame:
         "C4 lineas repetidas": Q.duplicate_keys(s.raw.lineitem, ["l_orderkey", "l_linenumber"]),
         "C5 envio activo": Q.several_active_shipments(o.envios),
         "C6 devolucion activa": Q.several_active_returns(o.devoluciones),
-        "C7 version actual": Q.several_current_versions(versions, "cliente_id"),
-        "C7 cruce de versiones": Q.overlapping_intervals(
-            versions, "cliente_id", "valido_desde", "valido_hasta"),
         "C7 cruce de envios": Q.overlapping_intervals(
             o.envios, "pedido_id", "enviado_en", "entregado_en"),
         "C10 calendario": Q.short_calendar(D.calendar_for(s.raw.orders, "o_orderdate")),

@@ -287,6 +287,12 @@ def test_intervals_and_keys(spark):
     found = Q.overlapping_intervals(spans, "k", "a", "b")
     assert rows(found, "k", "_start") == [
         (1, ts("2024-02-01")), (2, ts("2024-01-10")), (2, ts("2024-02-01"))]
+    named = spans.select("k", F.col("a").alias("valido_desde"), F.col("b").alias("valido_hasta"),
+                         F.col("b").isNull().alias("es_actual"))
+    marked = Q.with_version_marks(named, "k")
+    assert rows(Q.violations(marked, Q.overlapping_version()), "k", "valido_desde") == [
+        (1, ts("2024-02-01")), (2, ts("2024-01-10")), (2, ts("2024-02-01"))]
+    assert rows(Q.violations(marked, Q.second_current_version()), "k") == [(1,)]
     fact = spark.createDataFrame([(1, 5), (9, 5), (None, 6), (9, None)], "cliente_sk bigint, fecha_sk bigint")
     marked = Q.with_dimensions(fact, {
         "cliente_sk": spark.createDataFrame([(1,)], "cliente_sk bigint"),
