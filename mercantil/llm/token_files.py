@@ -13,12 +13,12 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import re
 import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -58,22 +58,25 @@ class Recent:
 #: The splitter and normalizers under which a text's ids are those of its words.
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
-#: Letters that the normalizers only lower.
-LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: Marks that may follow a word's letters.
+MARKS = ".,;:!?|*#%$&()"
+#: Letters that the normalizers only lower, and the marks after them.
+LATIN = rf"^(?P<core>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[{MARKS}]*)$"
 
 
 class WordTokenizer:
-    """The library's tokenizer behind caches of words and of their letters.
-
-    Its splitter never crosses a blank, so a text's ids are those of its words. Missing
-    words go to the library together: letters only are one piece each, whose last token
-    is marked as a word end, which is where the ids of a joined call are cut. Lowered
-    Latin letters are what the normalizers and the splitter would give, so they go to
-    the library's model without those two steps. A tokenizer of other steps encodes
-    whole texts.
+    """The library's tokenizer behind a cache of words without case and marks.
+
+    Its splitter never crosses a blank, so a text's ids are those of its words. Words of
+    a batch are told apart, cut into letters and marks and put together again as Arrow
+    columns; only letters that the cache lacks go to the library, many in one call. These
+    are one piece each, whose last token is marked as a word end, which is where the ids
+    of a joined call are cut. Lowered Latin letters are what the normalizers and the
+    splitter would give, so they go to the library's model without those two steps. A
+    tokenizer of other steps encodes whole texts.
     """
 
-    def __init__(self, data: bytes, cache: int = 250_000):
+    def __init__(self, data: bytes, cache: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -87,10 +90,7 @@ class WordTokenizer:
         self.last = np.zeros(self.size, bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.last[i] = token.endswith("</w>")
-        self.words: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-        self.limit = cache
-        self.cores = Recent(cache)
+        self.known = Recent(cache)
         self.tails = Memo(self._direct, 10_000)
 
     @staticmethod
@@ -120,52 +120,55 @@ class WordTokenizer:
                 found += map(self._direct, part)
         return found
 
-    def _learn(self, missing: set[str]) -> None:
-        latin, others, waiting = {}, {}, []
-        before, letters, known = self.older.get, LATIN.fullmatch, self.cores.get
-        for word in missing:
-            own = before(word)
-            if own is not None:
-                self.words[word] = own
-                continue
-            core = word.rstrip(".,;:!?|*#%$&()")
-            if letters(core):
-                group, key = latin, core.lower()
-            elif core.isalpha():
-                group, key = others, core
-            else:
-                self.words[word] = self._direct(word)
-                continue
-            own = known(key)
-            if own is None:
-                group[key] = b""
-                waiting.append((word, key, len(core), group))
-            else:
-                self.words[word] = own + self.tails[word[len(core):]] if len(core) < len(word) else own
-        for tokenizer, group in ((self.letters, latin), (self.tokenizer, others)):
-            names = list(group)
-            for key, own in zip(names, self._joined(tokenizer, names)):
-                group[key] = own
-                self.cores.put(key, own)
-        for word, key, n, group in waiting:
-            self.words[word] = group[key] + self.tails[word[n:]] if n < len(word) else group[key]
-
-    def encode(self, found: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian integers of ``type``."""
+    def _cached(self, names: list[str], learn) -> list[bytes]:
+        """Ids of each of ``names``, all different; ``learn`` gives those of the unknown ones."""
+        found = list(map(self.known.get, names))
+        places = [i for i, own in enumerate(found) if own is None]
+        for i, own in zip(places, learn([names[i] for i in places])):
+            found[i] = own
+            self.known.put(names[i], own)
+        return found
+
+    def _others(self, names: list[str]) -> list[bytes]:
+        """Ids of words that are not Latin letters and marks."""
+        cores = [name.rstrip(MARKS) for name in names]
+        alpha = list({core for core in cores if core.isalpha()})
+        ids = dict(zip(alpha, self._joined(self.tokenizer, alpha)))
+        return [ids[core] + self.tails[name[len(core):]] if core in ids else self._direct(name)
+                for name, core in zip(names, cores)]
+
+    def _words(self, words: pa.Array) -> pa.Array:
+        """Ids of each of ``words``, all different."""
+        parts = pc.extract_regex(words, LATIN)
+        latin = pc.is_valid(parts).to_numpy(zero_copy_only=False)
+        cores, tails = (pc.struct_field(parts.filter(latin), i).dictionary_encode() for i in (0, 1))
+        lowered = pc.utf8_lower(cores.dictionary).dictionary_encode()
+        ids = _binary(self._cached(lowered.dictionary.to_pylist(), lambda x: self._joined(self.letters, x)))
+        marks = _binary(map(self.tails.__getitem__, tails.dictionary.to_pylist()))
+        simple = pc.binary_join_element_wise(ids.take(lowered.indices.take(cores.indices)), marks.take(tails.indices),
+                                             pa.scalar(b"", pa.large_binary()))
+        others = _binary(self._cached(words.filter(~latin).to_pylist(), self._others))
+        place = np.empty(len(words), np.int64)
+        place[latin] = np.arange(len(simple))
+        place[~latin] = len(simple) + np.arange(len(others))
+        return pa.concat_arrays([simple, others]).take(pa.array(place))
+
+    def encode(self, found: pa.Array) -> pa.Array:
+        """Ids of each text (never null) as little-endian integers of ``type``."""
         if not self.by_word:
-            return list(map(self._direct, found))
-        out = []
-        for at in range(0, len(found), 128):
-            split = [t.replace("\n", " ").split(" ") for t in found[at:at + 128]]
-            needed = set().union(*split)
-            missing = needed.difference(self.words)
-            if len(self.words) + len(missing) > self.limit:
-                self.older, self.words, missing = self.words, {"": b""}, needed - {""}
-            if missing:
-                self._learn(missing)
-            get = self.words.__getitem__
-            out += [b"".join(map(get, words)) for words in split]
-        return out
+            return _binary(map(self._direct, found.to_pylist()))
+        split = pc.split_pattern(pc.replace_substring(found, "\n", " "), " ")
+        words = split.flatten().dictionary_encode()
+        ids = self._words(words.dictionary).take(words.indices)
+        _, ends, joined = ids.buffers()
+        # A text's ids are neighbours: its bytes go from its first word's to its last one's.
+        ends = np.frombuffer(ends, np.int64)[ids.offset:ids.offset + len(ids) + 1]
+        offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
+        return pa.Array.from_buffers(pa.large_binary(), len(found), [None, pa.py_buffer(ends[offsets]), joined])
+
+
+def _binary(found) -> pa.Array:
+    return pa.array(list(found), pa.large_binary())
 
 
 _BUILT: dict = {}
@@ -186,10 +189,11 @@ def token_ids(df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "do
 
     def run(batches):
         tokenizer = _tokenizer(shared.value)
-        end = np.array([end_id], tokenizer.type).tobytes()
+        end = pa.scalar(np.array([end_id], tokenizer.type).tobytes(), pa.large_binary())
+        empty = pa.scalar(b"", pa.large_binary())
         for batch in sliced(batches):
-            ids = [x + end for x in tokenizer.encode(batch.column(1).to_pylist())]
-            yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary())], names=["_id", "_ids"])
+            ids = pc.binary_join_element_wise(tokenizer.encode(batch.column(1)), end, empty)
+            yield pa.record_batch([batch.column(0), ids.cast(pa.binary())], names=["_id", "_ids"])
 
     return texts(df, id_col, text_col).mapInArrow(run, "_id long, _ids binary")
 
