@@ -517,6 +517,24 @@ SQL: dict[str, str] = {
           CAST(SUM(cantidad * precio_unitario) AS DOUBLE) AS valor_total, estado = 'convertido' AS convertido
         FROM carritos LEFT JOIN detalle_car USING (carrito_id)
         WHERE carrito_id IN (SELECT carrito_id FROM buenos WHERE cargador = 'cart') GROUP BY ALL""",
+    "stream_stock": f"""SELECT movimiento_inventario_id AS movimiento_id, {fecha_sk('fecha_movimiento')} AS fecha_sk,
+          tipo_movimiento, {big('cantidad')}, tipo_referencia, referencia_id
+        FROM movimientos WHERE tipo_movimiento IN ('ingreso', 'reposicion', 'reserva', 'venta')""",
+    "stream_returns": f"""SELECT v0.devolucion_id, v0.pedido_id, {fecha_sk('v0.creado_en')} AS fecha_sk,
+          motivo, estado, CAST(coalesce(cantidad_devuelta, 0) AS BIGINT) AS cantidad_devuelta
+        FROM devoluciones v0 LEFT JOIN (SELECT * FROM detalle_dev WHERE detalle_devolucion_id % 2 = 0)
+            USING (devolucion_id)""",
+    "health_counters": """SELECT (SELECT COUNT(*) FROM buenos) AS procesados,
+          (SELECT COUNT(*) FROM leidos WHERE cargador IS NOT NULL AND documento_malo IS NOT NULL) AS errores,
+          (SELECT COUNT(*) FROM leidos WHERE cargador IS NULL) AS cartas,
+          (SELECT COUNT(*) FROM por_flujo)
+            + (SELECT COUNT(*) FROM detalle WHERE pedido_id IN (SELECT pedido_id FROM por_flujo))
+            + (SELECT COUNT(*) FROM pagos WHERE pago_id IN (SELECT pago_id FROM buenos WHERE cargador = 'payment'))
+            + (SELECT COUNT(*) FROM carritos WHERE carrito_id IN
+                (SELECT carrito_id FROM buenos WHERE cargador = 'cart')) AS insertados,
+          (SELECT COUNT(*) FROM (SELECT DISTINCT pedido_id FROM aportes))
+            + (SELECT COUNT(*) FROM carritos WHERE carrito_id IN
+                (SELECT carrito_id FROM buenos WHERE cargador = 'cart')) AS actualizados""",
     "retry_stream": """SELECT evento_negocio_id AS evento_id, tipo_evento,
           CASE WHEN cargador IS NULL THEN 'sin_handler' ELSE 'error_max_reintentos' END AS motivo,
           CASE WHEN cargador IS NOT NULL THEN 'payload ilegible: ' || documento_malo END AS error_detalle

@@ -254,8 +254,37 @@ def _merge_update(s: Source) -> DataFrame:
 
 # --- pipeline ---------------------------------------------------------------
 
+#: Files that a log is delivered in, and those that one micro-batch takes.
+FILES, FILES_PER_BATCH = 4, 2
+
+
+def _delivered(s: Source, log: DataFrame, name: str) -> tuple[str, DataFrame]:
+    """A log written as files, and the stream that reads some of them at a time."""
+    inbox = _folder(s, f"{name}-inbox")
+    extra = {"tipo_entidad": F.lit("x"), "entidad_id": F.lit(None).cast("bigint")}
+    envelopes = log.withColumns({name: value for name, value in extra.items() if name not in log.columns}).select(
+        *[c.split()[0] for c in schemas.EVENTS.split(", ")])
+    envelopes.repartition(FILES, "evento_negocio_id").write.parquet(inbox)
+    return inbox, E.read_events(s.spark, inbox, "parquet", files_per_trigger=FILES_PER_BATCH)
+
+
 def _read_events(s: Source) -> DataFrame:
-    return s.oltp.eventos_negocio
+    """The log as a stream in several micro-batches, stopped and started again for the later half.
+
+    The second run goes on where the first one's checkpoint ends.
+    """
+    path, log = _folder(s, "read"), s.oltp.eventos_negocio
+    inbox, events = _delivered(s, log.filter("evento_negocio_id % 2 = 0"), "read")
+
+    def run() -> None:
+        (events.select(*log.columns).writeStream.format("parquet").option("checkpointLocation", f"{path}/_checkpoint")
+         .trigger(availableNow=True).start(f"{path}/log").awaitTermination())
+
+    run()
+    late, _ = _delivered(s, log.filter("evento_negocio_id % 2 <> 0"), "late")
+    s.spark.read.schema(schemas.EVENTS).parquet(late).write.mode("append").parquet(inbox)
+    run()
+    return s.spark.read.schema(log.schema).parquet(f"{path}/log")
 
 
 def _parse_payload(s: Source) -> DataFrame:
@@ -370,6 +399,29 @@ def _stream_shipments(s: Source) -> DataFrame:
         "envio_id", "pedido_id", "fecha_envio_sk", "fecha_entrega_sk", "estado_envio", "transportista", "dias_entrega")
 
 
+def _loaded(s: Source, log: DataFrame, name: str) -> Catalog:
+    """The star after a log came in as several files, some of them a micro-batch."""
+    house = _house(s, name)
+    house.stream(_delivered(s, log, name)[1], name, available_now=True).awaitTermination()
+    return house.star()
+
+
+def _stream_stock(s: Source) -> DataFrame:
+    return _loaded(s, s.log.stock, "stock").fact_movimientos_inventario.select(
+        "movimiento_id", "fecha_sk", "tipo_movimiento", "cantidad", "tipo_referencia", "referencia_id")
+
+
+def _stream_returns(s: Source) -> DataFrame:
+    return _loaded(s, s.log.returns, "returns").fact_devoluciones.select(
+        "devolucion_id", "pedido_id", "fecha_sk", "motivo", "estado", "cantidad_devuelta")
+
+
+def _health_counters(s: Source) -> DataFrame:
+    """What the loader counted while the ``events`` table came in as a stream."""
+    return _streamed(s, _house(s, "counters")).counters().agg(
+        *[F.sum(c).alias(c) for c in ("procesados", "errores", "cartas", "insertados", "actualizados")])
+
+
 def _retry_stream(s: Source) -> DataFrame:
     """What becomes of the stream's faulty events, tried three times with no further file.
 
@@ -623,6 +675,9 @@ QUERIES: dict[str, Callable[[Source], DataFrame]] = {
     "stream_payments": _stream_payments,
     "stream_shipments": _stream_shipments,
     "stream_carts": _stream_carts,
+    "stream_stock": _stream_stock,
+    "stream_returns": _stream_returns,
+    "health_counters": _health_counters,
     "retry_stream": _retry_stream,
     "dedup_stream": _dedup_stream,
     "row_errors": _row_errors,

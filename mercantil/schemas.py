@@ -111,6 +111,8 @@ CONTROL = {
                    "error_detalle string, creado_en timestamp",
     "marcas_agua": "tabla_fuente string, ultima_carga timestamp, actualizado_en timestamp",
     "eventos_vistos": "evento_negocio_id bigint, dia date",
+    "conteos_carga": "escritor string, lote bigint, procesados bigint, errores bigint, cartas bigint, "
+                     "insertados bigint, actualizados bigint, cargado_en timestamp",
     "reintentos": f"{EVENTS}, intentos_olap int, error_olap string, pendiente boolean",
     "pedidos_plegados": f"pedido_id bigint, estado_pedido_sk bigint, estado_pedido_sk_en {_MARK}, "
                         f"estado_fulfillment string, estado_fulfillment_en {_MARK}, "
@@ -145,4 +147,5 @@ KEYS = {
     "marcas_agua": ["tabla_fuente"], "reintentos": ["evento_negocio_id"],
     "pedidos_plegados": ["pedido_id"], "envios_plegados": ["envio_id"],
     "carritos_plegados": ["carrito_id"], "eventos_vistos": ["dia"],
+    "conteos_carga": ["escritor"],
 }

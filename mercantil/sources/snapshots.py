@@ -49,6 +49,18 @@ class KeyedTable:
         """Last batch merged by ``writer``, -1 for none."""
         return self._manifest()["batches"].get(writer, -1)
 
+    def added(self, writer: str, batch_id: int) -> int:
+        """Rows that the last batch of ``writer`` wrote, 0 if ``batch_id`` is not that batch.
+
+        For ``insert`` these are the new rows alone. Counted from the footers of committed
+        files, so tasks that ran twice count once.
+        """
+        manifest = self._manifest()
+        if manifest["batches"].get(writer, -1) != batch_id:
+            return 0
+        folder = manifest.get("written", {}).get(writer)
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{folder}").count() if folder else 0
+
     def is_empty(self) -> bool:
         """Whether no batch has written any row."""
         return not self._manifest()["parts"]
@@ -119,21 +131,30 @@ class KeyedTable:
                 parts = Counter(bucket for bucket, _ in manifest["parts"])
                 replaced = set(touched) if replace else {
                     b for b in touched if parts[b] >= self.max_parts}
-                if replaced and not replace:
-                    result = self._read(manifest, sorted(replaced)).unionByName(
-                        result.select(*self.columns()))
-                    result = compact(result) if compact else result
                 folder, filled = self._write(result, manifest) if touched else ("", set())
             finally:
                 rows.unpersist()
-        kept = [part for part in manifest["parts"] if part[0] not in replaced]
+        parts, new = manifest["parts"], [[bucket, folder] for bucket in sorted(filled)]
+        if replace:
+            parts = [part for part in parts if part[0] not in replaced] + new
+        else:
+            parts = self._condensed(manifest, parts + new, replaced, compact)
         self._save({
             "version": manifest["version"] + 1,
             "batches": {**manifest["batches"], writer: batch_id},
-            "parts": kept + [[bucket, folder] for bucket in sorted(filled)],
+            "written": {**manifest.get("written", {}), writer: folder if filled else ""},
+            "parts": parts,
         })
         return True
 
+    def _condensed(self, manifest: dict, parts: list, buckets: set[int], compact) -> list:
+        """``parts`` with one folder for all that is in each of ``buckets``."""
+        if not buckets:
+            return parts
+        rows = self._read({**manifest, "parts": parts}, sorted(buckets))
+        folder, filled = self._write(compact(rows) if compact else rows, manifest)
+        return [part for part in parts if part[0] not in buckets] + [[b, folder] for b in sorted(filled)]
+
     def _empty(self) -> DataFrame:
         return self.spark.createDataFrame([], self.schema)
 

@@ -61,13 +61,17 @@ class Warehouse:
             schema = {**schemas.DIMENSIONS, **schemas.FACTS, **schemas.CONTROL}[name]
             keys = schemas.KEYS[name]
         # Control tables of a handful of rows need one bucket only.
-        buckets = 1 if name == "marcas_agua" else self.buckets
+        buckets = 1 if name in ("marcas_agua", "conteos_carga") else self.buckets
         return KeyedTable(self.spark, f"{self.path}/{name}", schema, keys, buckets)
 
     def ledger(self) -> EventLedger:
         """Ids of the events that are settled."""
         return EventLedger(self.table("eventos_vistos"))
 
+    def counters(self) -> DataFrame:
+        """Counts of every batch loaded: events, errors, dead letters, rows of facts."""
+        return self.table("conteos_carga").read()
+
     # --- reading ------------------------------------------------------------
 
     def star(self) -> Catalog:
@@ -174,15 +178,18 @@ class Warehouse:
         ctx = self._load_dims(good, present, batch_id, writer, start)
 
         steps: list[Callable[[], object]] = []
+        facts, folds = [], []
 
         def insert(name: str, rows: DataFrame) -> None:
             table = self.table(name)
+            facts.append(table)
             steps.append(lambda: table.insert(
                 rows, writer, batch_id, lambda old, new: new_rows(old, new, table.keys)))
 
         def fold(name: str, key: str, columns: list[str], contributions: DataFrame) -> None:
             # Folds add up when read, so a batch only appends its own.
             rows = L.fold(contributions, key, columns)
+            folds.append(self.table(name))
             steps.append(lambda: self.table(name).insert(
                 rows, writer, batch_id, lambda old, new: new, compact=lambda all_: L.refold(all_, key, columns)))
 
@@ -212,8 +219,21 @@ class Warehouse:
         self._run(steps + others)
         # A run repeated before this point sees the same events again, and then the same retries.
         ledger()
+        self._count(routed, facts, folds, batch_id, writer, now)
         retries()
 
+    def _count(self, routed, facts, folds, batch_id: int, writer: str, now: Column) -> None:
+        """Add the counts of a batch, one row; rows of tables are known from their own writes."""
+        def added(tables) -> Column:
+            return F.lit(sum(t.added(writer, batch_id) for t in tables)).cast("bigint")
+
+        known, good = F.col("cargador").isNotNull(), E.is_good(routed)
+        counts = routed.agg(F.count_if(good).alias("procesados"), F.count_if(known & ~good).alias("errores")).select(
+            F.lit(writer).alias("escritor"), F.lit(batch_id).cast("bigint").alias("lote"), "procesados", "errores",
+            added([self.table("dlq_eventos")]).alias("cartas"), added(facts).alias("insertados"),
+            added(folds).alias("actualizados"), now.alias("cargado_en"))
+        self.table("conteos_carga").insert(counts, writer, batch_id, lambda old, new: new)
+
     def _run(self, steps: list[Callable[[], object]]) -> None:
         """Run independent table loads side by side and wait for all."""
         with ThreadPoolExecutor(self.parallel) as pool:

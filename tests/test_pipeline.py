@@ -385,3 +385,29 @@ def test_a_running_stream_tries_again_without_new_files(spark, tmp_path):
     finally:
         query.stop()
     assert rows(w.star().dlq_eventos, "evento_id", "motivo") == [(12, "error_max_reintentos")]
+
+
+def test_counters_of_batches(spark, tmp_path):
+    w = house(spark, tmp_path)
+    w.load_batch(frame(spark, LOG[:6]), 0)
+    w.load_batch(frame(spark, LOG[6:]), 1)
+    w.load_batch(frame(spark, LOG[6:]), 1)
+    got = {r.lote: r.asDict() for r in w.counters().collect()}
+    assert sorted(got) == [0, 1]
+    facts = sum(getattr(w.star(), name).count() for name in FACTS)
+    assert got[0]["insertados"] + got[1]["insertados"] == facts
+    # Event 12 can't be read, 11 has no loader; 13 has no payload, which is not an error.
+    assert [got[k]["procesados"] for k in (0, 1)] == [6, 6]
+    assert [got[k]["errores"] for k in (0, 1)] == [0, 1]
+    assert [got[k]["cartas"] for k in (0, 1)] == [0, 1]
+    # Orders 1 and, by event 14, 2; the shipment and the cart.
+    assert [got[k]["actualizados"] for k in (0, 1)] == [1, 3]
+
+
+def test_counters_know_new_rows_from_condensed_ones(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), "k int, v int", ["k"], 1, max_parts=2)
+    for batch in range(6):
+        rows_ = spark.createDataFrame([(10 * batch + i, i) for i in range(batch)], "k int, v int")
+        table.insert(rows_, "a", batch, lambda old, new: new)
+        assert table.added("a", batch) == batch and table.added("a", batch - 1) == 0
+    assert table.read().count() == 15 and table.added("b", 0) == 0
