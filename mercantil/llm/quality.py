@@ -8,7 +8,8 @@ the training labels. Features describe style only (repeats, symbols, case, lines
 word shapes), no ids, sources or languages.
 
 Training takes at most ``MAX_ROWS`` positives and as many unlabelled documents, in the
-order of a hash of their id; every document is scored.
+order of a hash of their id; every document is scored, and the border between good and
+bad is placed on the scores of all documents.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercantil.llm.common import sliced, texts
+from mercantil.llm.common import sliced, stored, texts
 from mercantil.llm.toxicity import sampled
 
 #: Largest number of positives and of unlabelled rows a model is fitted on.
@@ -34,6 +35,9 @@ BATCH = 512
 THRESHOLD = 0.3
 #: How far the share of good rows may be from the prior.
 SLACK = 0.03
+#: Width of the bins that logits are counted in, and the largest logit told apart.
+BIN = 1 / 64
+REACH = 64
 SYMBOLS = "!|*#%$&<>{}=+_~^@/\\[]"
 NAMES = (
     "log_words", "log_chars", "mean_word", "long_words", "distinct_words", "pair_repeats",
@@ -97,9 +101,6 @@ class Network:
         z = np.clip((x - self.mean) / self.scale, -6, 6)
         return np.tanh(z @ self.w1 + self.b1) @ self.w2 + self.b2
 
-    def scores(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.logits(x), -30, 30))) if len(x) else np.zeros(0)
-
 
 def non_negative_risk(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[float, float]:
     """The two parts of the risk for logits, with the logistic loss."""
@@ -141,29 +142,58 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int =
             v[k] = 0.999 * v[k] + 0.001 * g * g
             param -= rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-8)
     net.b2 = float(params[3][0])
-    return placed(net, unlabelled, prior)
+    return net
 
 
-def placed(net: Network, unlabelled: np.ndarray, prior: float) -> Network:
-    """Shift the logits so that the share of unlabelled rows above the threshold is about the prior.
+def border(counts: dict[int, int], prior: float) -> float:
+    """Where to cut a histogram (rows by number of ``BIN``) so that about ``prior`` of the rows are above.
 
-    The border goes to the middle of the widest gap within ``SLACK`` of that share.
+    Of the bins whose shares of rows below and above are within ``SLACK`` of that, the
+    emptiest is cut, in the middle of the longest run of such bins; if there is no such
+    bin, the one in which the share is reached.
     """
-    logits = np.sort(net.logits(unlabelled))
-    n = len(logits)
-    low = max(0, int((1 - prior - SLACK) * n) - 1)
-    high = min(n - 1, int((1 - prior + SLACK) * n) + 1)
-    if high > low:
-        k = low + int(np.argmax(np.diff(logits[low:high + 1])))
-        net.b2 += math.log(THRESHOLD / (1 - THRESHOLD)) - float(logits[k] + logits[k + 1]) / 2
-    return net
+    first, last = min(counts), max(counts)
+    found = np.array([counts.get(k, 0) for k in range(first, last + 1)])
+    below = np.cumsum(found) / found.sum()
+    above = 1 - below + found / found.sum()
+    near = np.flatnonzero((below <= 1 - prior + SLACK) & (above <= prior + SLACK))
+    if not len(near):
+        near = np.array([min(int(np.searchsorted(below, 1 - prior)), len(found) - 1)])
+    least = near[found[near] == found[near].min()]
+    runs = np.split(least, np.flatnonzero(np.diff(least) > 1) + 1)
+    longest = max(runs, key=len)
+    return (first + (longest[0] + longest[-1] + 1) / 2) * BIN
 
 
 def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Network | None:
-    """Model from ``labels`` (doc_id, quality), which must hold training rows only.
+    """Model from ``labels``, its border placed on all rows of ``df``; see ``rated``."""
+    return rated(df, labels, id_col, text_col)[0]
 
-    None if there is no positive or no document. The prior is the share of good rows
-    among the training labels, kept within 0.05 and 0.95.
+
+def rated(df: DataFrame, labels: DataFrame, id_col: str = "doc_id",
+          text_col: str = "text") -> tuple[Network | None, DataFrame]:
+    """A model learned from ``labels`` (doc_id, quality), training rows only, and its ``doc_id, score``.
+
+    Every text is read once; the logits of all rows are stored, and their histogram
+    (one row a bin, at most ``2 * REACH / BIN + 1``) places the border. Null and empty
+    texts are scored on zero features. Without a positive or a document there is no
+    model, and every score is 0.
+    """
+    net = fitted(df, labels, id_col, text_col)
+    if net is None:
+        return None, quality_scores(df, None, id_col, text_col)
+    found = stored(logits(df, net, id_col, text_col), "logits")
+    bins = F.floor(F.greatest(F.least("logit", F.lit(REACH)), F.lit(-REACH)) / BIN)
+    counts = {r.b: r.n for r in found.groupBy(bins.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    move = math.log(THRESHOLD / (1 - THRESHOLD)) - border(counts, net.prior)
+    net.b2 += move
+    return net, _scores(found, move)
+
+
+def fitted(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Network | None:
+    """The network before its border is placed; None if there is no positive or no document.
+
+    The prior is the share of good rows among the training labels, kept within 0.05 and 0.95.
     """
     rows = texts(df, id_col, text_col)
     prior = labels.agg(F.avg("quality")).first()[0]
@@ -187,18 +217,29 @@ def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return fit(positive, unlabelled, float(min(0.95, max(0.05, prior))))
 
 
+def logits(df: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, logit`` for every row."""
+    packed = net.dumps()
+
+    def run(batches):
+        own = Network.loads(packed)
+        for batch in sliced(batches):
+            x = np.array([features(t) for t in batch.column(1).to_pylist()]).reshape(-1, len(NAMES))
+            yield pa.record_batch([batch.column(0), pa.array(own.logits(x), pa.float64())], names=["doc_id", "logit"])
+
+    return texts(df, id_col, text_col).mapInArrow(run, "doc_id long, logit double")
+
+
+def _scores(found: DataFrame, move: float = 0.0) -> DataFrame:
+    z = F.greatest(F.least(F.col("logit") + F.lit(move), F.lit(30.0)), F.lit(-30.0))
+    return found.select("doc_id", (1 / (1 + F.exp(-z))).alias("score"))
+
+
 def quality_scores(df: DataFrame, net: Network | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, score`` for every row.
 
     Null and empty texts are scored on zero features. Without a model every score is 0.
     """
-    shared = net.dumps() if net else None
-
-    def run(batches):
-        own = Network.loads(shared) if shared else None
-        for batch in sliced(batches):
-            found = batch.column(1).to_pylist()
-            scores = own.scores(np.array([features(t) for t in found]).reshape(-1, len(NAMES))) if own else np.zeros(len(found))
-            yield pa.record_batch([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
-
-    return texts(df, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+    if net is None:
+        return texts(df, id_col, text_col).select(F.col("_id").alias("doc_id"), F.lit(0.0).alias("score"))
+    return _scores(logits(df, net, id_col, text_col))

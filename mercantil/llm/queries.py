@@ -57,8 +57,8 @@ def _judged(scores: DataFrame, held_out, threshold: float) -> DataFrame:
 
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, held_out = documents(spark, folder), toxicity.fold_number(F.col("doc_id"), 5) == 0
-    net = quality.learn(docs, _labels(spark, folder).filter(~held_out))
-    return _judged(quality.quality_scores(docs, net), held_out, quality.THRESHOLD)
+    _, scores = quality.rated(docs, _labels(spark, folder).filter(~held_out))
+    return _judged(scores, held_out, quality.THRESHOLD)
 
 
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:

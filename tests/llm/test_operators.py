@@ -356,6 +356,20 @@ def test_quality(spark, data):
     assert all(0 <= s <= 1 for s in scores.values())
     assert [r.score for r in quality.quality_scores(frame(spark, [(1, None)]), None).collect()] == [0.0]
     assert quality.non_negative_risk(np.array([50.0]), np.array([50.0]), 0.9)[0] == pytest.approx(0)
+    net, rated = quality.rated(docs, labels)
+    assert {r.doc_id: r.score for r in rated.collect()} == pytest.approx(scores)
+    assert abs(np.mean([s >= quality.THRESHOLD for s in scores.values()]) - net.prior) < 2 * quality.SLACK
+    none, empty = quality.rated(frame(spark, []), labels)
+    assert none is None and empty.count() == 0
+
+
+def test_quality_border():
+    # The emptiest place near the share, in the middle of the longest one.
+    assert quality.border({0: 50, 1: 0, 10: 50}, 0.5) == pytest.approx(5.5 * quality.BIN)
+    assert quality.border({0: 490, 1: 10, 2: 3, 3: 10, 4: 487}, 0.5) == pytest.approx(2.5 * quality.BIN)
+    # No bin is near enough: the one in which the share is reached.
+    assert quality.border({7: 100}, 0.5) == pytest.approx(7.5 * quality.BIN)
+    assert quality.border({0: 100, 1: 100, 2: 100}, 0.5) == pytest.approx(1.5 * quality.BIN)
 
 
 def test_licenses(spark):
