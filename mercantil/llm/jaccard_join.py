@@ -2,10 +2,10 @@
 
 Every text becomes a set of shingles; rows with equal sets are one representative with
 a weight. Sets are embedded as 128 min-hash values, which act as tokens. A run starts
-with one sampled token and splits all representatives by its value; nodes that stay
-large are split again on two further tokens chosen by the node's path, small ones are
-compared by brute force on the embedding. Runs are repeated: a pair at the threshold
-shares the first token with probability 0.8, so eight runs leave 3 in a million.
+with one sampled token and splits all representatives by its value into nodes, which are
+compared by brute force on the embedding; large nodes are cut into blocks, and every two
+blocks are compared, so no pair of a node is left out. Runs are repeated: a pair at the
+threshold shares a token with probability 0.8, so sixteen runs leave 7 in a million million.
 Comparing never lists all pairs: members are joined to a pivot, and only members
 outside the largest cluster become pivots. What comes out is a forest of likely links.
 
@@ -28,12 +28,12 @@ from mercantil.llm.components import components
 
 SHINGLE = 5
 THRESHOLD = 0.8
-#: Values of the embedding, runs, and children of a node that is split again.
-VALUES, RUNS, CHILDREN = 128, 8, 2
-#: Largest node compared at once; larger ones are split, at most DEPTH times, then in chunks.
-LARGEST, DEPTH = 4096, 2
-#: Four standard deviations of the estimate below the threshold.
-LEAST_EQUAL = int(VALUES * (THRESHOLD - 4 * (THRESHOLD * (1 - THRESHOLD) / VALUES) ** 0.5))
+#: Values of the embedding, and runs.
+VALUES, RUNS = 128, 16
+#: Largest node compared at once; larger ones are cut into blocks of this size, compared two by two.
+LARGEST = 4096
+#: Five standard deviations of the estimate below the threshold.
+LEAST_EQUAL = int(VALUES * (THRESHOLD - 5 * (THRESHOLD * (1 - THRESHOLD) / VALUES) ** 0.5))
 #: Rows and shingles in a block of a component.
 BLOCK_ROWS, BLOCK_SHINGLES = 2048, 2_000_000
 
@@ -86,7 +86,10 @@ def _hashes(text: Column) -> list[Column]:
 
 
 def _embedded(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``_row, _id, _h1, _h2, _k1, _k2, _size, _mins`` for every row, stored."""
+    """``_row, _id, _h1, _h2, _k1, _k2, _size, _tokens, _low`` for every row, stored.
+
+    Of the embedding, ``_tokens`` has the values that runs split on, ``_low`` the lowest byte of each.
+    """
     def run(batches):
         for batch in sliced(batches):
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
@@ -95,22 +98,19 @@ def _embedded(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.record_batch([
                 *(batch.column(k) for k in (0, 2, 3)),
                 pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64()),
-                pa.array([len(s) for s in sets], pa.int64()), pa.array([m.tobytes() for m in mins], pa.binary())],
-                names=["_id", "_h1", "_h2", "_k1", "_k2", "_size", "_mins"])
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([m.tobytes() for m in mins[:, ::VALUES // RUNS]], pa.binary()),
+                pa.array([m.tobytes() for m in (mins & 0xFF).astype(np.uint8)], pa.binary())],
+                names=["_id", "_h1", "_h2", "_k1", "_k2", "_size", "_tokens", "_low"])
 
     rows = _hashed(df, id_col, text_col).mapInArrow(
-        run, "_id long, _h1 long, _h2 long, _k1 long, _k2 long, _size long, _mins binary")
+        run, "_id long, _h1 long, _h2 long, _k1 long, _k2 long, _size long, _tokens binary, _low binary")
     return stored(rows.withColumn("_row", F.monotonically_increasing_id()), "embedded")
 
 
-def _value(index: Column) -> Column:
-    return F.substring(F.col("_mins"), index * 4 + 1, F.lit(4))
-
-
 def _first_nodes(reps: DataFrame) -> DataFrame:
-    """``_node, _rep`` at the first level: run ``r`` splits on token ``r * VALUES / RUNS``."""
-    step = VALUES // RUNS
-    nodes = F.array(*[F.xxhash64(F.lit(r), _value(F.lit(r * step))) for r in range(RUNS)])
+    """``_node, _rep``: run ``r`` splits on its token."""
+    nodes = F.array(*[F.xxhash64(F.lit(r), F.substring("_tokens", r * 4 + 1, 4)) for r in range(RUNS)])
     return reps.select(F.explode(nodes).alias("_node"), "_rep")
 
 
@@ -120,34 +120,18 @@ def _sized(nodes: DataFrame) -> DataFrame:
 
 
 def _leaves(reps: DataFrame) -> DataFrame:
-    """``_node, _chunk, _rep``: nodes to compare by brute force, all with two members or more.
+    """``_node, _i, _j, _rep``: units to compare by brute force, all with two members or more.
 
-    A node that is still large after the last split (a group of very similar sets) is
-    cut into chunks, whose clusters are compared in the next round.
+    A node of more than LARGEST members is cut into blocks, and every two blocks are a
+    unit of their own: any two members of a node meet, however large it is.
     """
-    nodes = stored(_sized(_first_nodes(reps)), "nodes")
-    parts = [nodes.filter(F.col("_n") <= LARGEST).select("_node", F.lit(0).cast("long").alias("_chunk"), "_rep")]
-    for level in range(DEPTH):
-        large = nodes.filter(F.col("_n") > LARGEST)
-        if not large.limit(1).count():
-            return _union(parts)
-        # The token a node splits on is a hash of its path, so all its members agree.
-        children = F.array(*[F.xxhash64("_node", F.lit(c), _value(F.pmod(
-            F.xxhash64("_node", F.lit(c)), F.lit(VALUES)).cast("int"))) for c in range(CHILDREN)])
-        split = _sized(large.join(reps.select("_rep", "_mins"), "_rep").select(F.explode(children).alias("_node"), "_rep"))
-        nodes = stored(split, "nodes")
-        parts.append(nodes.filter(F.col("_n") <= LARGEST).select("_node", F.lit(0).cast("long").alias("_chunk"), "_rep"))
-    chunks = F.ceil(F.col("_n") / LARGEST)
-    parts.append(nodes.filter(F.col("_n") > LARGEST)
-                 .select("_node", (F.pmod(F.xxhash64("_rep", "_node"), chunks) + 1).alias("_chunk"), "_rep"))
-    return _union(parts)
-
-
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    nodes = _sized(_first_nodes(reps)).withColumn("_blocks", F.ceil(F.col("_n") / LARGEST))
+    placed = nodes.select("_node", "_rep", "_blocks", F.pmod(F.xxhash64("_rep", "_node"), F.col("_blocks")).alias("_block"))
+    # Members of one block meet in each of its units, so a block is paired with others only.
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1),
+                      lambda other: (other != F.col("_block")) | (F.col("_blocks") == 1))
+    return placed.select("_node", "_block", "_rep", F.explode(others).alias("_other")).select(
+        "_node", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"), "_rep")
 
 
 class Forest:
@@ -211,37 +195,19 @@ def _groups(batches, width: int):
         yield held
 
 
-def _connect(leaves: DataFrame, reps: DataFrame) -> DataFrame:
-    """``_node, a, b``: links to a cluster's head; heads of chunked nodes link to themselves."""
+def likely_links(reps: DataFrame) -> DataFrame:
+    """A forest ``a, b`` whose components hold every pair the runs have found: links to a cluster's head."""
     def run(batches):
-        for group in _groups(batches, 2):
-            ids = group.column(2).to_numpy()
-            values = np.frombuffer(b"".join(group.column(3).to_pylist()), "<u4").reshape(len(ids), VALUES)
-            roots = likely_clusters((values & 0xFF).astype(np.uint8))
-            own, chunk = np.arange(len(ids)), int(group.column(1)[0].as_py())
-            kept = (roots != own) | (chunk > 0)
-            a, b = ids[kept], ids[roots[kept]]
-            yield pa.record_batch([pa.array([group.column(0)[0].as_py()] * len(a), pa.int64()),
-                                   pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["_node", "a", "b"])
-
-    rows = leaves.join(reps.select("_rep", "_mins"), "_rep").select("_node", "_chunk", "_rep", "_mins")
-    return stored(rows.repartition("_node", "_chunk").sortWithinPartitions("_node", "_chunk", "_rep")
-                  .mapInArrow(run, "_node long, a long, b long"), "likely")
-
+        for group in _groups(batches, 3):
+            ids = group.column(3).to_numpy()
+            values = np.frombuffer(b"".join(group.column(4).to_pylist()), np.uint8).reshape(len(ids), VALUES)
+            roots = likely_clusters(values)
+            kept = roots != np.arange(len(ids))
+            yield pa.record_batch([pa.array(ids[kept], pa.int64()), pa.array(ids[roots[kept]], pa.int64())], names=["a", "b"])
 
-def likely_links(reps: DataFrame) -> DataFrame:
-    """A forest ``a, b`` whose components hold every pair the runs have found."""
-    leaves, links = _leaves(reps), []
-    while True:
-        found = _connect(leaves, reps)
-        links.append(found.filter("a <> b").select("a", "b"))
-        heads = found.filter("a = b").select("_node", F.col("a").alias("_rep"))
-        sized = stored(_sized(heads), "heads")
-        if not sized.limit(1).count():
-            return _union(links)
-        chunks = F.ceil(F.col("_n") / LARGEST)
-        leaves = sized.select("_node", F.when(chunks > 1, F.pmod(F.xxhash64("_rep", F.lit(len(links))), chunks) + 1)
-                              .otherwise(0).cast("long").alias("_chunk"), "_rep")
+    rows = _leaves(reps).join(reps.select("_rep", "_low"), "_rep").select("_node", "_i", "_j", "_rep", "_low")
+    return stored(rows.repartition("_node", "_i", "_j").sortWithinPartitions("_node", "_i", "_j", "_rep")
+                  .mapInArrow(run, "a long, b long"), "likely")
 
 
 def common_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -363,7 +329,7 @@ def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
     groups = stored(rows.filter("_size > 0").groupBy("_k1", "_k2").agg(
         F.min("_row").alias("_rep"), F.min(first).alias("_first"), F.count(F.lit(1)).alias("_m")), "groups")
     reps = stored(rows.filter("_size > 0").join(groups.select("_rep", "_m"), F.col("_row") == F.col("_rep"))
-                  .select("_rep", "_id", "_h1", "_h2", "_size", "_mins", "_m"), "representatives")
+                  .select("_rep", "_id", "_h1", "_h2", "_size", "_tokens", "_low", "_m"), "representatives")
     exact = _exact(df, reps, components(likely_links(reps)), id_col, text_col)
     counts = exact.groupBy("_rep").agg(F.sum("_texts").alias("_texts"), F.sum("_rows").alias("_rows"))
     forest = components(exact.filter("_rep <> _root").select(F.col("_rep").alias("a"), F.col("_root").alias("b")))

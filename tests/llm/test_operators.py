@@ -220,6 +220,30 @@ def test_jaccard_classes(spark, monkeypatch):
     assert jaccard_join.near_classes(frame(spark, EMPTY)).count() == 0
 
 
+def test_jaccard_large_nodes(spark, monkeypatch):
+    """Any two sets that share the token of a run meet, also in a node beyond the limit."""
+    rng = random.Random(21)
+    words = rng.choices("abcdefghijklmnopqrstuvwxyz", k=120)
+    rows = []
+    for k in range(40):  # a chain: neighbours are linked, the ends have little in common
+        words[3 * k % 120] = f"new{k}"
+        rows.append((k, " ".join(words)))
+    monkeypatch.setattr(jaccard_join, "LARGEST", 4)
+    reps = jaccard_join._embedded(frame(spark, rows), "doc_id", "text").withColumnRenamed("_row", "_rep")
+    units = {}
+    for *unit, rep in jaccard_join._leaves(reps).collect():
+        units.setdefault(tuple(unit), set()).add(rep)
+    together = {(a, b) for members in units.values() for a in members for b in members if a != b}
+    nodes = {}
+    for r in jaccard_join._first_nodes(reps).collect():
+        nodes.setdefault(r["_node"], set()).add(r["_rep"])
+    assert max(map(len, nodes.values())) > 8
+    assert {(a, b) for members in nodes.values() for a in members for b in members if a != b} <= together
+    sets = [set(jaccard_join.shingles(t).tolist()) for _, t in rows]
+    linked = [sum(a != b and len(a & b) / len(a | b) >= 0.8 for b in sets) for a in sets]
+    assert sorted((r.doc_id, r.n_links) for r in jaccard_join.near_classes(frame(spark, rows)).collect()) == list(enumerate(linked))
+
+
 def test_near_copies_by_row(spark):
     """Rows without id and rows that share one are judged by their own text."""
     rng = random.Random(11)
