@@ -47,18 +47,19 @@ def _digits(df: DataFrame, order: Sequence[str]) -> DataFrame:
 def cuts(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int = CHUNK_ROWS,
 ) -> list[DataFrame]:
-    """Groups and pieces of more than ``rows`` rows, by level, from one aggregate.
+    """Groups and pieces of more than ``rows`` rows, by level.
 
-    Each list has at most one entry for so many rows of the input, so it is broadcast. Lists
+    Each list has at most one entry for so many rows of the input, so it is broadcast. A
+    level counts only what the one before has listed: mostly the rows of no group. Lists
     made from more rows than a computation has serve it as well.
     """
-    keys = list(keys)
-    n = F.sum("_rows").alias("_rows")
-    low = _digits(df, order).groupBy(*keys, "_high", "_low").agg(F.count(F.lit(1)).alias("_rows"))
-    high = low.groupBy(*keys, "_high").agg(n)
-    return [
-        F.broadcast(counts.filter(F.col("_rows") > rows).drop("_rows").withColumn(flag, F.lit(True)))
-        for counts, flag in ((high.groupBy(*keys).agg(n), "_cut1"), (high, "_cut2"), (low, "_cut3"))]
+    marked, lists = _digits(df.select(*dict.fromkeys([*keys, order[0]])), order), []
+    for flag, names in (("_cut1", [*keys]), ("_cut2", [*keys, "_high"]), ("_cut3", [*keys, "_high", "_low"])):
+        if lists:
+            marked = marked.join(lists[-1], names[:-1], "left_semi")
+        counts = marked.groupBy(*names).agg(F.count(F.lit(1)).alias("_rows"))
+        lists.append(F.broadcast(counts.filter(F.col("_rows") > rows).drop("_rows").withColumn(flag, F.lit(True))))
+    return lists
 
 
 def with_chunk(
@@ -110,22 +111,32 @@ def with_neighbor(
 def with_running_levels(
     df: DataFrame, keys: Sequence[str], order: Sequence[str],
     deltas: dict[str, tuple[str, str | None]], floor_at_zero: bool = True, chunk_rows: int = CHUNK_ROWS,
+    lists: Sequence[DataFrame] | None = None, openings: DataFrame | None = None,
 ) -> DataFrame:
     """Add running levels of signed movements.
 
     ``deltas`` maps an output name to ``(delta column, opening level column)``.
     With ``floor_at_zero`` each step is clamped, ``level = max(level + delta, 0)``,
     in closed form: with prefix sums S the level is ``S + max(opening, -min(S))``.
-    Both S and its running minimum combine across chunks.
+    Both S and its running minimum combine across chunks. ``lists`` are those of ``cuts``,
+    made here if not given. ``openings`` have the opening levels by ``keys``, one row each,
+    where ``df`` does not.
     """
     keys, order = list(keys), list(order)
-    local = with_chunk(df, keys, order, cuts(df, keys, order, chunk_rows))
+    marked = with_chunk(df, keys, order, lists or cuts(df, keys, order, chunk_rows))
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    for name, (delta, _) in deltas.items():
-        local = local.withColumn(f"_s_{name}", F.sum(delta).over(upto))
-    for name in deltas:
-        local = local.withColumn(f"_m_{name}", F.min(f"_s_{name}").over(upto))
+
+    def prefixes(rows: DataFrame) -> DataFrame:
+        """Sums inside chunks and their running minimum."""
+        for name, (delta, _) in deltas.items():
+            rows = rows.withColumn(f"_s_{name}", F.sum(delta).over(upto))
+        for name in deltas:
+            rows = rows.withColumn(f"_m_{name}", F.min(f"_s_{name}").over(upto))
+        return rows
+
+    def opened(rows: DataFrame) -> DataFrame:
+        return rows if openings is None else rows.join(openings, keys, "left")
 
     def levels(rows: DataFrame, carried: bool) -> DataFrame:
         """Levels from local sums, plus what earlier chunks carry over."""
@@ -145,7 +156,7 @@ def with_running_levels(
         return rows.select(*df.columns, *made)
 
     # Cut groups: one row per chunk with its total and its lowest prefix.
-    split = local.filter("_cut")
+    split = prefixes(marked.filter("_cut"))
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     totals = split.groupBy(*keys, "_chunk").agg(*[
         F.sum(delta).alias(f"_t_{name}") for name, (delta, _) in deltas.items()
@@ -156,5 +167,6 @@ def with_running_levels(
         lowest = F.min(F.col(f"_b_{name}") + F.col(f"_l_{name}")).over(before)
         totals = totals.withColumn(f"_n_{name}", lowest)
     carried = totals.select(*keys, "_chunk", *[f"_{p}_{name}" for name in deltas for p in ("b", "n")])
-    return levels(local.filter("NOT _cut"), carried=False).unionByName(
-        levels(split.join(carried, [*keys, "_chunk"]), carried=True))
+    # Told apart before the windows, so that rows of small groups are shuffled and sorted once.
+    return levels(prefixes(opened(marked.filter("NOT _cut"))), carried=False).unionByName(
+        levels(opened(split.join(carried, [*keys, "_chunk"])), carried=True))

@@ -199,17 +199,15 @@ def stock_ledger(
         .withColumn("_fisica", physical_delta(kind, quantity))
         .withColumn("_reservada", reserved_delta(kind, quantity))
     )
+    keys, order = ["almacen_id", "variante_id"], ["fecha_movimiento", "movimiento_inventario_id"]
     starts: tuple[str | None, str | None] = (None, None)
     if opening is not None:
-        signed = signed.join(
-            opening.select("almacen_id", "variante_id", F.col("cantidad_fisica").alias("_f0"),
-                           F.col("cantidad_reservada").alias("_r0")),
-            ["almacen_id", "variante_id"], "left")
+        opening = opening.select(*keys, F.col("cantidad_fisica").alias("_f0"), F.col("cantidad_reservada").alias("_r0"))
         starts = ("_f0", "_r0")
     levels = with_running_levels(
-        signed, ["almacen_id", "variante_id"], ["fecha_movimiento", "movimiento_inventario_id"],
+        signed, keys, order,
         {"cantidad_fisica": ("_fisica", starts[0]), "cantidad_reservada": ("_reservada", starts[1])},
-        chunk_rows=chunk_rows)
+        chunk_rows=chunk_rows, openings=opening)
     return levels.select(
         "movimiento_inventario_id", "almacen_id", "variante_id", "tipo_movimiento", "cantidad",
         "fecha_movimiento", "cantidad_fisica", "cantidad_reservada",

@@ -102,3 +102,12 @@ def test_edges_do_not_depend_on_input_order(moves):
     shuffled = df.orderBy(F.xxhash64("id"))
     for edge in (first_per_key, last_per_key):
         assert rows(edge(df, ["k"], ["t", "id"])) == rows(edge(shuffled, ["k"], ["t", "id"]))
+
+
+def test_small_groups_are_sorted_once(spark):
+    """Where no group is cut, the plan for cut groups does not run."""
+    df = spark.createDataFrame([(k % 5, k, k, 1) for k in range(200)], "k int, t bigint, id bigint, d bigint")
+    got = ordered.with_running_levels(df, ["k"], ["t", "id"], {"n": ("d", None)})
+    assert max(r.n for r in got.collect()) == 40
+    final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Window [") <= 2
