@@ -25,14 +25,16 @@ def day_of_event() -> Column:
 class EventLedger:
     table: KeyedTable
 
-    def unseen(self, events: DataFrame) -> DataFrame:
-        """The events that are not settled yet."""
+    def unseen(self, events: DataFrame, among: DataFrame | None = None) -> DataFrame:
+        """The events that are not settled yet; ``among`` has all their days and is cheaper to read."""
         if self.table.is_empty():
             return events
         dated = events.withColumn("_dia", day_of_event())
-        known = self.table.read_for(dated.select(F.col("_dia").alias("dia")).distinct())
-        known = known.select(F.col("evento_negocio_id"), F.col("dia").alias("_dia"))
-        return dated.join(known, ["evento_negocio_id", "_dia"], "left_anti").select(*events.columns)
+        known = self.table.read_for((events if among is None else among).select(day_of_event().alias("dia")).distinct())
+        # Joined by id alone, as events are dealt for their deduplication: they are shuffled once.
+        known = known.groupBy(F.col("evento_negocio_id").alias("_visto")).agg(F.collect_set("dia").alias("_dias"))
+        same = (F.col("evento_negocio_id") == F.col("_visto")) & F.array_contains("_dias", F.col("_dia"))
+        return dated.join(known, same, "left_anti").select(*events.columns)
 
     def settle(self, events: DataFrame, writer: str, batch_id: int) -> bool:
         """Add the ids of ``events``; False if this batch was added before."""
