@@ -64,6 +64,26 @@ class Catalog:
             name: (lambda n=name: self.rows_for(n, ids)) for name in names if name in self})
 
 
+class BatchCatalog(Catalog):
+    """A catalog over ``base`` with ``rows`` of some tables at hand, by table and key column.
+
+    ``rows`` hold all that one batch looks up by that key, so a table is read once however
+    many loaders need it.
+    """
+
+    def __init__(self, base: Catalog, rows: Mapping[tuple[str, str], DataFrame]):
+        super().__init__({name: (lambda n=name: getattr(base, n)) for name in base.names()})
+        self._base, self._rows = base, dict(rows)
+
+    def rows_for(self, name: str, ids: DataFrame) -> DataFrame:
+        found = self._rows.get((name, *ids.columns))
+        return self._base.rows_for(name, ids) if found is None else found
+
+    def replace(self, **tables: DataFrame | Callable[[], DataFrame]) -> Catalog:
+        kept = {at: df for at, df in self._rows.items() if at[0] not in tables}
+        return BatchCatalog(self._base.replace(**tables), kept)
+
+
 class TypedCatalog(Catalog):
     """A catalog whose tables have the declared types; a value that doesn't fit is null.
 

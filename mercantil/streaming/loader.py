@@ -27,10 +27,10 @@ from mercantil.operators.merge import merge_upsert, new_rows
 from mercantil.operators.scd2 import scd2_apply
 from mercantil.sources.snapshots import KeyedTable
 from mercantil.sources.star import constant_dims
-from mercantil.sources.tables import Catalog, TypedCatalog
+from mercantil.sources.tables import BatchCatalog, Catalog, TypedCatalog
 from mercantil.streaming import events as E
 from mercantil.streaming.ledger import EventLedger
-from mercantil.streaming.row_errors import with_row_errors
+from mercantil.streaming.row_errors import CHECKED, with_row_errors
 
 Loader = Callable[[DataFrame, L.LoadContext], DataFrame]
 
@@ -143,21 +143,39 @@ class Warehouse:
         now = F.current_timestamp()
         waiting = self.table("reintentos").read().filter("pendiente").drop("error_olap", "pendiente")
         fresh = batch.select(*[c.split()[0] for c in schemas.EVENTS.split(", ")]).withColumn("intentos_olap", F.lit(0))
-        both = self.ledger().unseen(E.dedup_events(fresh.unionByName(waiting)))
+        every = fresh.unionByName(waiting)
+        both = self.ledger().unseen(E.dedup_events(every), among=every)
         read = E.route_events(parse_payload(both), {event: event for event in self.extra})
         read = read.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # At most one row per loader.
             newest = read.filter(E.is_good(read)).groupBy("cargador").agg(F.max("ocurrido_en").alias("t")).collect()
-            routed = with_row_errors(read, self.oltp, {r.cargador for r in newest}).persist(StorageLevel.MEMORY_AND_DISK)
+            held = self._named_rows(read, {r.cargador for r in newest})
+            oltp = BatchCatalog(self.oltp, held)
+            routed = with_row_errors(read, oltp, {r.cargador for r in newest}).persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                self._load(routed, {r.cargador: r.t for r in newest}, batch_id, writer, now)
+                self._load(routed, {r.cargador: r.t for r in newest}, batch_id, writer, now, oltp)
             finally:
-                routed.unpersist()
+                for df in (routed, *held.values()):
+                    df.unpersist()
         finally:
             read.unpersist()
         return True
 
+    def _named_rows(self, read: DataFrame, present: set[str]) -> dict[tuple[str, str], DataFrame]:
+        """Source rows that the events of a batch name, cached, by table and key.
+
+        Checks, dimensions and facts look them up by the same key. Orders are also looked up
+        by returns, whose events need not name them.
+        """
+        fields = {(table, key): field for loader, (field, tables) in CHECKED.items() if loader in present
+                  for table, key in tables.items() if table in self.oltp and (table != "pedidos" or "return" not in present)}
+        held = {}
+        for (table, key), field in fields.items():
+            ids = read.select(F.col(field).alias(key)).filter(F.col(key).isNotNull()).distinct()
+            held[table, key] = self.oltp.rows_for(table, ids).join(ids, key, "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
+        return held
+
     def drain(self) -> int:
         """Try the waiting events again until none is left; returns the rounds it took.
 
@@ -171,11 +189,13 @@ class Warehouse:
             self.load_batch(self.spark.createDataFrame([], schemas.EVENTS), k, f"drain:{run}")
         return C.MAX_ATTEMPTS
 
-    def _load(self, routed: DataFrame, newest: dict, batch_id: int, writer: str, now: Column) -> None:
+    def _load(
+        self, routed: DataFrame, newest: dict, batch_id: int, writer: str, now: Column, source: Catalog,
+    ) -> None:
         good, present = routed.filter(E.is_good(routed)), set(newest)
         # Versions start at the newest event of the batch, so a replay repeats them.
         start = F.lit(max((t for t in newest.values() if t), default=None)).cast("timestamp")
-        ctx = self._load_dims(good, present, batch_id, writer, start)
+        ctx = self._load_dims(good, present, batch_id, writer, start, source)
 
         steps: list[Callable[[], object]] = []
         facts, folds = [], []
@@ -276,12 +296,12 @@ class Warehouse:
 
         return [put, mark, remember, retry]
 
-    def _load_dims(self, good, present, batch_id, writer, start: Column) -> L.LoadContext:
+    def _load_dims(self, good, present, batch_id, writer, start: Column, source: Catalog) -> L.LoadContext:
         """Bring dimension versions up to date for the ids the batch touches.
 
         Returns what the fact loaders look values up in, cut down to those ids.
         """
-        oltp = TypedCatalog(self.oltp, schemas.SOURCES)
+        oltp = TypedCatalog(source, schemas.SOURCES)
 
         def rows(name: str, ids: DataFrame) -> DataFrame:
             return oltp.rows_for(name, ids).join(ids.distinct(), ids.columns, "left_semi")

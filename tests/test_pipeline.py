@@ -10,6 +10,7 @@ from mercantil import schemas
 from mercantil.functions.payload import CORRUPT, parse_payload
 from mercantil.plans import bi, views
 from mercantil.sources.snapshots import KeyedTable
+from mercantil.sources.tables import Catalog
 from mercantil.streaming import events as E
 from mercantil.streaming.health import ProgressLog
 from mercantil.streaming.loader import Warehouse
@@ -411,3 +412,39 @@ def test_counters_know_new_rows_from_condensed_ones(spark, tmp_path):
         table.insert(rows_, "a", batch, lambda old, new: new)
         assert table.added("a", batch) == batch and table.added("a", batch - 1) == 0
     assert table.read().count() == 15 and table.added("b", 0) == 0
+
+
+def test_a_batch_looks_source_rows_up_once(spark, tmp_path):
+    """Checks, dimensions, facts and folds share the rows that the events of a batch name."""
+    class Counted(Catalog):
+        asked = []
+
+        def rows_for(self, name, ids):
+            Counted.asked.append(name)
+            return super().rows_for(name, ids)
+
+    w = house(spark, tmp_path)
+    w.oltp = Counted(w.oltp._builders)
+    w.load_batch(frame(spark, LOG), 0)
+    for name in ("envios", "movimientos_inventario", "devoluciones", "detalle_devoluciones", "detalle_pedidos", "carritos"):
+        assert Counted.asked.count(name) == 1, name
+    assert state(w) == state_of(spark, tmp_path)
+
+
+def state_of(spark, tmp_path):
+    w = house(spark, tmp_path, "plain")
+    w.load_batch(frame(spark, LOG), 0)
+    return state(w)
+
+
+def test_settled_days_are_told_apart(spark, tmp_path):
+    """An id is settled for its own day; days may be looked up in rows that are not deduplicated."""
+    w = house(spark, tmp_path)
+    every = frame(spark, [event(1, "x", None, "2024-01-05T00:00:00"), event(2, "x", None, "2024-01-06T00:00:00"),
+                          event(None, "x", None, "2024-01-05T00:00:00")])
+    w.ledger().settle(every.filter("evento_negocio_id = 1 OR evento_negocio_id IS NULL"), "a", 0)
+    again = frame(spark, [event(1, "x", None, "2024-01-05T00:00:00"), event(1, "x", None, "2024-01-07T00:00:00"),
+                          event(None, "x", None, "2024-01-05T00:00:00"), event(2, "x", None, "2024-01-05T00:00:00")])
+    left = w.ledger().unseen(again, among=again.unionByName(every))
+    assert rows(left, "evento_negocio_id", "ocurrido_en") == [
+        (1, ts("2024-01-07")), (2, ts("2024-01-05")), (None, ts("2024-01-05"))]
