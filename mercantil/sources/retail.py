@@ -269,16 +269,25 @@ def stream_events(events: DataFrame) -> DataFrame:
 
 
 def numbered_lines(lineitem: DataFrame) -> DataFrame:
-    """Every line, with its number among those of the same order and line number."""
-    same = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*LINE_ORDER)
-    return lineitem.select(
+    """Every line, with its number among those of the same order and line number.
+
+    Lines are numbered by order first, so they are dealt as a join with orders needs them.
+    """
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", *LINE_ORDER)
+    same = (Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*LINE_ORDER)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    number = F.row_number().over(order)
+    return lineitem.withColumn("_n", number).select(
         "l_orderkey", "l_linenumber", *LINE_ORDER,
-        (F.row_number().over(same) - 1).cast("bigint").alias("l_copy"))
+        (F.col("_n") - F.min("_n").over(same)).cast("bigint").alias("l_copy"))
 
 
-def source_catalog(raw: Catalog) -> Catalog:
-    """The retail source tables as views over the given tables."""
-    lines: dict[str, DataFrame] = {}
+def source_catalog(raw: Catalog, numbered_rows: DataFrame | None = None) -> Catalog:
+    """The retail source tables as views over the given tables.
+
+    ``numbered_rows`` are those of ``numbered_lines``, where they were written already.
+    """
+    lines: dict[str, DataFrame] = {} if numbered_rows is None else {"n": numbered_rows}
 
     def numbered() -> DataFrame:
         if "n" not in lines:
