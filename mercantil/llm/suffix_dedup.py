@@ -7,7 +7,8 @@ windows whose anchor occurs in two documents are moved, to the bucket of the anc
 A bucket concatenates them and sorts their suffixes in two stages: suffixes smaller than
 their successor directly, all others induced by scans over the buckets of first bytes.
 Adjacent common prefixes of 50 bytes or more form groups; a window is covered when its
-group holds a document with a smaller id.
+group holds a document with a smaller id. Most different runs of a bucket share no window:
+a hash of each window tells which may, and only these are sorted.
 
 A batch sends each anchor, and later each different run, once, with its smallest id;
 for the other copies it already knows the answer. So a run inside a string that a third
@@ -33,6 +34,9 @@ LENGTH = 50
 ANCHOR = 16
 #: Bytes of text meant for one bucket.
 BUCKET_BYTES = 2 << 20
+#: A batch sends one message to each group of up to PER_GROUP buckets; fewer than GROUPS groups
+#: are not made. Messages would else grow with the square of the input, as do batches times buckets.
+PER_GROUP, GROUPS = 8, 512
 MASK = np.uint64((1 << 48) - 1)
 #: Bits of a text's hash that join rows, beside their id.
 LOW = (1 << 32) - 1
@@ -163,11 +167,56 @@ def common_prefixes(words: np.ndarray, suffixes: np.ndarray, most: int) -> np.nd
     return np.minimum(lcp, most)
 
 
+def hashes(text: np.ndarray, length: int) -> np.ndarray:
+    """A number for each string of ``length`` bytes in ``text`` (uint8), made of its bytes alone."""
+    x = text.astype(np.uint64) * _ODD[0]
+    h, power, size = (x ^ (x >> np.uint64(29))) * _ODD[1], _ODD[2], 1
+    out, done = None, 0
+    with np.errstate(over="ignore"):
+        while True:
+            if length & size:  # the next part of the string; its parts have sizes 1, 2, 4, ...
+                part = h[done:]
+                out = part if out is None else out[:len(part)] * power + part
+                done += size
+            if done == length:
+                return (out ^ (out >> np.uint64(32))) * _ODD[0]
+            h = h[:max(0, len(h) - size)] * power + h[size:]  # twice the length from two halves
+            power, size = power * power, 2 * size
+
+
+def may_share(text: np.ndarray, starts: np.ndarray, windows: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """For each run, whether one of its windows may occur elsewhere; never False for one that does.
+
+    Run ``k`` has ``windows[k]`` windows from ``starts[k]`` on. Equal windows have equal hashes.
+    """
+    number = np.repeat(np.arange(len(starts)), windows)
+    at = np.arange(len(number)) + np.repeat(starts - np.cumsum(windows) + windows, windows)
+    bits = np.uint64(len(starts).bit_length())
+    # One sort for both: the hash above, the number of the run below.
+    key = np.sort((hashes(text, length)[at] >> bits << bits) | number.astype(np.uint64))
+    same = key[1:] >> bits == key[:-1] >> bits
+    found = np.zeros(len(starts), bool)
+    for side in (key[1:], key[:-1]):
+        found[(side[same] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)] = True
+    return found
+
+
 def covered_windows(runs: list[bytes], owners: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
     """For each run of windows, which of them also start in a run of a smaller owner.
 
-    A run of ``n`` bytes holds ``n - length + 1`` windows. Bytes are separated by a
-    terminator below all of them, so nothing matches across runs.
+    A run of ``n`` bytes holds ``n - length + 1`` windows. Only runs that may share a window
+    are sorted.
+    """
+    sizes = np.array([len(r) for r in runs], np.int64)
+    met = may_share(np.frombuffer(b"".join(runs), np.uint8), np.cumsum(sizes) - sizes, sizes - length + 1, length)
+    found = iter(_sorted_windows([r for r, m in zip(runs, met.tolist()) if m], owners[met], length) if met.any() else ())
+    return [next(found) if m else np.zeros(n - length + 1, bool) for n, m in zip(sizes.tolist(), met.tolist())]
+
+
+def _sorted_windows(runs: list[bytes], owners: np.ndarray, length: int) -> list[np.ndarray]:
+    """``covered_windows`` by sorting all suffixes.
+
+    Bytes are separated by a terminator below all of them, so nothing matches across runs.
     """
     sizes = np.array([len(r) for r in runs], np.int64)
     windows = sizes - length + 1
@@ -194,14 +243,7 @@ def anchor_runs(data: bytes, length: int = LENGTH, anchor: int = ANCHOR):
     n = len(data)
     if n < length:
         return None
-    x = np.frombuffer(data, np.uint8).astype(np.uint64) * _ODD[0]
-    h = (x ^ (x >> np.uint64(29))) * _ODD[1]
-    size, power = 1, _ODD[2]
-    with np.errstate(over="ignore"):
-        while size < anchor:  # hashes of twice the length from two halves
-            h = h[:len(h) - size] * power + h[size:]
-            power, size = power * power, 2 * size
-        h = (h ^ (h >> np.uint64(32))) * _ODD[0]
+    h = hashes(np.frombuffer(data, np.uint8), anchor)
     width, size = length - anchor + 1, 1
     while 2 * size <= width:
         h = np.minimum(h[:len(h) - size], h[size:])
@@ -212,25 +254,30 @@ def anchor_runs(data: bytes, length: int = LENGTH, anchor: int = ANCHOR):
     return h[starts], starts, np.append(starts[1:], len(h))
 
 
-def split_runs(data: bytes, wanted: np.ndarray, hot: np.ndarray):
-    """``(run, key, start, end)`` for the runs of the ``wanted`` anchors; those of ``hot`` ones window by window.
+def run_places(data: bytes, wanted: np.ndarray, hot: np.ndarray):
+    """``(keys, starts, ends)`` for the runs of the ``wanted`` anchors; those of ``hot`` ones window by window.
 
-    ``key`` is the anchor, or the hash of the window. Both arrays are sorted.
+    A key is the anchor, or the hash of the window. Both arrays are sorted. None if too short.
     """
     found = anchor_runs(data)
     if found is None:
-        return
-    h, starts, ends = found
-    own = h & MASK
+        return None
+    own = found[0] & MASK
     at = np.flatnonzero(_among(own, wanted))
-    own = own[at]
-    for key, s, e, cut in zip(own.tolist(), starts[at].tolist(), ends[at].tolist(), _among(own, hot).tolist()):
-        if cut:
-            for i in range(s, e):
-                window = data[i:i + LENGTH]
-                yield window, xxhash.xxh64_intdigest(window) & int(MASK), i, i + 1
-        else:
-            yield data[s:e + LENGTH - 1], key, s, e
+    own, starts, ends = own[at], found[1][at], found[2][at]
+    cut = _among(own, hot)
+    if not cut.any():
+        return own, starts, ends
+    sizes = (ends - starts)[cut]
+    each = np.arange(sizes.sum()) + np.repeat(starts[cut] - np.cumsum(sizes) + sizes, sizes)
+    names = np.array([xxhash.xxh64_intdigest(data[i:i + LENGTH]) for i in each.tolist()], np.uint64) & MASK
+    return (np.concatenate([own[~cut], names]), np.concatenate([starts[~cut], each]), np.concatenate([ends[~cut], each + 1]))
+
+
+def split_runs(data: bytes, wanted: np.ndarray, hot: np.ndarray):
+    """``(run, key, start, end)`` for each of ``run_places``."""
+    for key, s, e in zip(*(x.tolist() for x in run_places(data, wanted, hot) or ())):
+        yield data[s:e + LENGTH - 1], key, s, e
 
 
 def _among(values: np.ndarray, listed: np.ndarray) -> np.ndarray:
@@ -246,15 +293,18 @@ def hot_anchors(rows: DataFrame, size: int) -> np.ndarray:
     """
     def run(batches):
         for batch in batches:
-            seen = set()
+            hs, runs = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
             for text in batch.column(0).to_pylist():
                 data = text.encode()
                 if found := anchor_runs(data):
-                    seen.update(zip((found[0] & MASK).tolist(), (
-                        xxhash.xxh64_intdigest(data[s:e + LENGTH - 1]) - (1 << 63)
-                        for s, e in zip(found[1].tolist(), found[2].tolist()))))
-            cols = list(zip(*seen)) or [[], []]
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in cols], names=["_h", "_run"])
+                    h, starts, ends = found
+                    # A run by its first and last window and its size.
+                    window = hashes(np.frombuffer(data, np.uint8), LENGTH)
+                    hs.append(h & MASK)
+                    runs.append((window[starts] * _ODD[1] + window[ends - 1]) * _ODD[2] + (ends - starts).astype(np.uint64))
+            h = np.concatenate(hs)
+            run_, first = np.unique(np.concatenate(runs), return_index=True)
+            yield pa.record_batch([pa.array(h[first].astype(np.int64)), pa.array(run_.view(np.int64))], names=["_h", "_run"])
 
     limit = max(HOT_RUNS, size >> 26) / SAMPLE
     found = (rows.filter(F.pmod(F.xxhash64("_t"), F.lit(SAMPLE)) == 0).select("_t").mapInArrow(run, "_h long, _run long")
@@ -377,8 +427,11 @@ def _packed(rows: DataFrame) -> DataFrame:
             .withColumn("_s", F.col("_th").bitwiseAND(F.lit(LOW))).filter("_id IS NOT NULL AND _s IS NOT NULL"))
 
 
-def _covered(texts_: DataFrame, anchors: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
-    """``_id, _th, _spans``: covered windows as pairs of 32-bit start and end; several rows a document."""
+def _covered(texts_: DataFrame, anchors: DataFrame, hot: np.ndarray, buckets: int, per: int) -> DataFrame:
+    """``_id, _th, _spans``: covered windows as pairs of 32-bit start and end; several rows a document.
+
+    ``per`` buckets are sent together, and sorted one by one.
+    """
     wanted = anchors.groupBy("_id", "_s").agg(F.collect_set("_h").alias("_hs"))
     # All columns stay, so that this shuffle of the texts also serves the last join.
     rows = texts_.join(wanted, ["_id", "_s"]).select("_id", "_th", "_z", "_hs", "_null")
@@ -390,10 +443,11 @@ def _covered(texts_: DataFrame, anchors: DataFrame, hot: np.ndarray, buckets: in
                                 pa.array(spans, pa.binary())], names=["_at", "_n", "_data", "_id", "_th", "_spans"])
 
     def send(batches):
-        unpack = zstandard.ZstdDecompressor()
+        unpack, pack = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=3)
         for batch in batches:
             runs: dict = {}
             homes, number, row, starts, ends = [], [], [], [], []
+            put = runs.setdefault
             keys, ths = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             seen = set()
             for k in range(batch.num_rows):
@@ -402,17 +456,17 @@ def _covered(texts_: DataFrame, anchors: DataFrame, hot: np.ndarray, buckets: in
                 seen.add((keys[k], ths[k]))
                 data = unpack.decompress(batch.column(2)[k].as_py())
                 hs = np.sort(batch.column(3)[k].values.to_numpy().astype(np.uint64))
-                for run, own, s, e in split_runs(data, hs, hot):
-                    j = runs.setdefault(run, len(runs))
-                    if j == len(homes):
-                        homes.append(own)
-                    number.append(j)
-                    row.append(k)
-                    starts.append(s)
-                    ends.append(e)
+                if (found := run_places(data, hs, hot)) is None:
+                    continue
+                own, s, e = found
+                number.append(np.array([put(data[a:b], len(runs)) for a, b in zip(s.tolist(), (e + (LENGTH - 1)).tolist())], np.int64))
+                homes.append(own)
+                row.append(np.full(len(own), k))
+                starts.append(s)
+                ends.append(e)
             if not runs:
                 continue
-            number, row, starts, ends = (np.array(x, np.int64) for x in (number, row, starts, ends))
+            homes, number, row, starts, ends = (np.concatenate(x) for x in (homes, number, row, starts, ends))
             owner = keys[row]
             least = np.full(len(runs), LAST_ID)
             np.minimum.at(least, number, owner)
@@ -424,7 +478,8 @@ def _covered(texts_: DataFrame, anchors: DataFrame, hot: np.ndarray, buckets: in
                 where = [k for k, _, _ in parts]
                 yield known(keys[where], ths[where], [spans[s:e].tobytes() for _, s, e in parts])
             # The rows that hold the smallest id; several, if rows share an id.
-            names, home = list(runs), np.array(homes, np.uint64)
+            names, home = list(runs), np.empty(len(runs), np.uint64)
+            home[number] = homes  # equal runs have one anchor
             bucket = _bucket(home, buckets)
             order = np.lexsort((home, bucket))
             rank = np.empty_like(order)
@@ -434,13 +489,14 @@ def _covered(texts_: DataFrame, anchors: DataFrame, hot: np.ndarray, buckets: in
             place = place[by_run]
             table = [x[~other][by_run].astype("<i8") for x in (owner, ths[row], starts)]
             out = []
-            for b, s, e in _slices(bucket[order]):
+            bucket = bucket[order]
+            for b, s, e in _slices(bucket // per):
                 part = [names[i] for i in order[s:e].tolist()]
                 lo, hi = np.searchsorted(place, (s, e))
                 lengths = np.array([len(r) for r in part], "<i8")
                 raw = np.array([len(part), hi - lo], "<i8").tobytes() + lengths.tobytes() + (place[lo:hi] - s).astype("<i8").tobytes() \
-                    + b"".join(t[lo:hi].tobytes() for t in table) + b"".join(part)
-                out.append((b, len(part), zstandard.ZstdCompressor(level=3).compress(raw)))
+                    + b"".join(t[lo:hi].tobytes() for t in table) + (bucket[s:e] % per).astype("u1").tobytes() + b"".join(part)
+                out.append((b, len(part), pack.compress(raw)))
             cols = list(zip(*out))
             m = len(out)
             yield pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary()),
@@ -454,20 +510,29 @@ def _covered(texts_: DataFrame, anchors: DataFrame, hot: np.ndarray, buckets: in
                 for b in group.select([3, 4, 5]).to_batches():
                     yield pa.record_batch(b.columns, names=["_id", "_th", "_spans"])
                 continue
-            runs, where = {}, []
+            runs, where, subs = {}, [], []
             for data in group.column(2).to_pylist():
                 raw = unpack.decompress(data)
                 n, m = np.frombuffer(raw, "<i8", 2)
                 lengths = np.frombuffer(raw, "<i8", n, 16)
                 j, key, th, s = (np.frombuffer(raw, "<i8", m, 16 + 8 * (n + i * m)) for i in range(4))
-                ends = 16 + 8 * (n + 4 * m) + np.cumsum(lengths)
+                sub = np.frombuffer(raw, "u1", n, 16 + 8 * (n + 4 * m))
+                ends = 16 + 8 * (n + 4 * m) + n + np.cumsum(lengths)
                 number = np.array([runs.setdefault(raw[e - l:e], len(runs)) for e, l in zip(ends.tolist(), lengths.tolist())], np.int64)
                 where.append(np.stack([number[j], key, th, s]))
+                subs.append((number, sub))
+            numbers, sub = (np.concatenate(x) for x in zip(*subs))
+            bucket = np.zeros(len(runs), np.uint8)
+            bucket[numbers] = sub
             number, key, th, s = np.concatenate(where, 1)
             names = list(runs)
             owners = np.full(len(names), np.iinfo(np.int64).max)
             np.minimum.at(owners, number, key)
-            hit = covered_windows(names, owners)
+            hit = [np.zeros(0, bool)] * len(names)
+            for b in np.unique(bucket):
+                own = np.flatnonzero(bucket == b)
+                for i, x in zip(own.tolist(), covered_windows([names[i] for i in own.tolist()], owners[own])):
+                    hit[i] = x
             windows = np.array([len(x) for x in hit])
             whole = key > owners[number]  # a smaller id has the whole run
             some = np.logical_or.reduceat(np.concatenate(hit), np.concatenate([[0], np.cumsum(windows)[:-1]]))
@@ -504,8 +569,9 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.coalesce("_id", F.lit(LAST_ID)).alias("_id"), "_t", F.col("_id").isNull().alias("_null"))
     size = rows.agg(F.sum(F.octet_length("_t"))).first()[0] or 0
     buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    per = min(PER_GROUP, max(1, buckets // max(GROUPS, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
     packed = _packed(rows)
-    spans = (_covered(packed, _repeated_anchors(rows, buckets), hot_anchors(rows, size), buckets)
+    spans = (_covered(packed, _repeated_anchors(rows, -(-buckets // per)), hot_anchors(rows, size), buckets, per)
              .withColumn("_s", F.col("_th").bitwiseAND(F.lit(LOW)))
              .groupBy("_id", "_s").agg(F.collect_list(F.struct("_th", "_spans")).alias("_spans")))
 
@@ -513,23 +579,31 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             n_bytes, removed, n_spans, kept = [], [], [], []
-            for th, z, found in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
+            listed = batch.column(3)
+            sizes = listed.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            cuts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+            ths, parts = listed.flatten().flatten()
+            # Rows may share an id, so a part is taken by the hash of its text.
+            own = ths.to_numpy() == np.repeat(batch.column(1).to_numpy(), sizes)
+            parts, own = parts.to_pylist(), own.tolist()
+            for z, a, b in zip(batch.column(2).to_pylist(), cuts[:-1], cuts[1:]):
                 data = unpack.decompress(z)
                 n_bytes.append(len(data))
-                spans = [x["_spans"] for x in found or () if x["_th"] == th]  # rows may share an id
-                if not spans:
+                raw = b"".join(x for x, mine in zip(parts[a:b], own[a:b]) if mine)
+                if not raw:
                     removed.append(0)
                     n_spans.append(0)
                     kept.append(data)
                     continue
-                found = np.frombuffer(b"".join(spans), "<u4").astype(np.int64).reshape(-1, 2)
-                edges = np.zeros(len(data) + 1, np.int64)
-                np.add.at(edges, found[:, 0], 1)
-                np.add.at(edges, found[:, 1] + LENGTH - 1, -1)
-                gone = np.cumsum(edges[:-1]) > 0
-                removed.append(int(gone.sum()))
-                n_spans.append(int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()))
-                kept.append(np.frombuffer(data, np.uint8)[~gone].tobytes())
+                found = np.frombuffer(raw, "<u4").astype(np.int64).reshape(-1, 2)
+                found = found[np.argsort(found[:, 0])]
+                # Bytes covered from each start on; a span goes on while the next one starts inside or at its end.
+                ends = np.maximum.accumulate(found[:, 1] + (LENGTH - 1))
+                new = np.concatenate([[True], found[1:, 0] > ends[:-1]])
+                starts, ends = found[new, 0], ends[np.append(new[1:], True)]
+                removed.append(int((ends - starts).sum()))
+                n_spans.append(len(starts))
+                kept.append(b"".join(data[x:y] for x, y in zip([0, *ends.tolist()], [*starts.tolist(), len(data)])))
             yield pa.record_batch([batch.column(0), *(pa.array(x, pa.int64()) for x in (n_bytes, removed, n_spans)),
                                    pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 

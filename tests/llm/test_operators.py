@@ -169,6 +169,39 @@ def test_suffix_dedup_passage_edges(spark, monkeypatch):
     assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == sorted(brute_removed(rows))
 
 
+def test_suffix_dedup_sorts_runs_that_may_share_a_window(monkeypatch):
+    """Different runs of one bucket that share no window are not sorted."""
+    rng = random.Random(44)
+    some = lambda n: bytes(rng.choices(b"abcdefgh ", k=n))
+    passage = some(60)
+    runs = [some(70) for _ in range(300)] + [passage + some(9), some(12) + passage, some(49) + b"x", b"ab" * 40]
+    owners = np.array([rng.randint(0, 400) for _ in runs])
+    sorted_bytes = []
+    real = suffix_dedup.suffix_array
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda text, *rest: sorted_bytes.append(len(text)) or real(text, *rest))
+    found = suffix_dedup.covered_windows(runs, owners)
+    least: dict = {}
+    for run, owner in zip(runs, owners.tolist()):
+        for i in range(len(run) - 49):
+            least[run[i:i + 50]] = min(least.get(run[i:i + 50], owner), owner)
+    for run, owner, hit in zip(runs, owners.tolist(), found):
+        assert hit.tolist() == [least[run[i:i + 50]] < owner for i in range(len(run) - 49)]
+    assert any(hit.any() for hit in found) and sum(sorted_bytes) < 300
+
+
+def test_suffix_dedup_buckets_sent_together(spark, monkeypatch):
+    """Many more buckets than messages of a batch: the result is the same."""
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 512)
+    monkeypatch.setattr(suffix_dedup, "GROUPS", 1)
+    sent = []
+    real = suffix_dedup._covered
+    monkeypatch.setattr(suffix_dedup, "_covered", lambda *a: sent.append(a[-2:]) or real(*a))
+    rows = odd_rows()
+    found = suffix_dedup.without_repeats(frame(spark, rows)).collect()
+    assert sent[0][0] > 8 * sent[0][1] > 8
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == sorted(brute_removed(rows))
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)]
