@@ -483,7 +483,7 @@ def _dedup_stream(s: Source) -> DataFrame:
 
     def load(batch: DataFrame, batch_id: int) -> None:
         fresh = E.dedup_events(ledger.unseen(batch)).persist()
-        seen.insert(fresh, "dedup", batch_id, lambda old, new: new)
+        seen.insert(fresh, "dedup", batch_id)
         ledger.settle(fresh, "dedup", batch_id)
         fresh.unpersist()
 

@@ -15,6 +15,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even when that costs the next aggregate a shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Shuffle files go with the query that wrote them, not with the driver's next collection of
+    # its garbage: a load of many queries would else hold the files of all of them.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 # Start values for a large cluster; pass to cluster_conf() and adjust.

@@ -85,14 +85,14 @@ class KeyedTable:
 
     def insert(
         self, rows: DataFrame, writer: str, batch_id: int,
-        keep: Callable[[DataFrame, DataFrame], DataFrame],
+        keep: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
         compact: Callable[[DataFrame], DataFrame] | None = None,
     ) -> bool:
         """Add ``keep(their rows, incoming rows)`` to touched buckets.
 
         ``keep`` returns the rows to add, such as those of unknown keys; only
-        the columns it uses are read from the table. ``compact`` may condense
-        the rows of buckets that are rewritten.
+        the columns it uses are read from the table; without it all rows are
+        added. ``compact`` may condense the rows of buckets that are rewritten.
         """
         return self._change(rows, writer, batch_id, keep, replace=False, compact=compact)
 
@@ -118,9 +118,11 @@ class KeyedTable:
         if batch_id <= manifest["batches"].get(writer, -1):
             return False
         replaced: set[int] = set()
-        if not manifest["parts"]:
-            # The first load touches what it touches; no need to look first.
-            folder, filled = self._write(how(self._empty(), rows), manifest)
+        parts = Counter(bucket for bucket, _ in manifest["parts"])
+        if not manifest["parts"] or how is None:
+            # The first load touches what it touches, and so do rows that are only added; no need to look first.
+            folder, filled = self._write(rows if how is None else how(self._empty(), rows), manifest)
+            replaced = {b for b in filled if parts[b] >= self.max_parts}
         else:
             # Rows are read for their buckets and again for their values.
             rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -128,7 +130,6 @@ class KeyedTable:
                 touched = sorted(
                     r.b for r in rows.select(self.bucket().alias("b")).distinct().collect())
                 result = how(self._read(manifest, touched), rows)
-                parts = Counter(bucket for bucket, _ in manifest["parts"])
                 replaced = set(touched) if replace else {
                     b for b in touched if parts[b] >= self.max_parts}
                 folder, filled = self._write(result, manifest) if touched else ("", set())
@@ -174,7 +175,7 @@ class KeyedTable:
             rows.select(*self.columns()).withColumn("bucket", self.bucket())
             # AQE splits buckets beyond the advisory size, so a hot key is no single task.
             .hint("rebalance", "bucket")
-            .write.partitionBy("bucket").parquet(f"{self.path}/{folder}")
+            .write.partitionBy("bucket").option("compression", "zstd").parquet(f"{self.path}/{folder}")
         )
         fs, made = self._fs(folder)
         names = [status.getPath().getName() for status in fs.listStatus(made)]

@@ -39,4 +39,4 @@ class EventLedger:
     def settle(self, events: DataFrame, writer: str, batch_id: int) -> bool:
         """Add the ids of ``events``; False if this batch was added before."""
         rows = events.select("evento_negocio_id", day_of_event().alias("dia"))
-        return self.table.insert(rows, writer, batch_id, lambda old, new: new, compact=DataFrame.distinct)
+        return self.table.insert(rows, writer, batch_id, compact=DataFrame.distinct)

@@ -8,6 +8,8 @@ running a batch again after a failure changes nothing.
 from __future__ import annotations
 
 import datetime as dt
+import gc
+import time
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -30,9 +32,13 @@ from mercantil.sources.star import constant_dims
 from mercantil.sources.tables import BatchCatalog, Catalog, TypedCatalog
 from mercantil.streaming import events as E
 from mercantil.streaming.ledger import EventLedger
-from mercantil.streaming.row_errors import CHECKED, with_row_errors
+from mercantil.streaming.row_errors import CHECKED, row_errors, with_errors
 
 Loader = Callable[[DataFrame, L.LoadContext], DataFrame]
+#: A batch that took longer frees its shuffle files at its end; a short one has few.
+RELEASE_SECONDS, RELEASE_WAIT = 15, 2
+#: Loaders that look shipments up.
+SHIPMENTS = {"shipment_delivered", "shipment_returned"}
 
 
 @dataclass
@@ -140,30 +146,58 @@ class Warehouse:
         """
         if batch_id <= self.table("reintentos").last_batch(writer):
             return False
+        begun = time.monotonic()
+        self._load_events(batch, batch_id, writer)
+        if time.monotonic() - begun > RELEASE_SECONDS:
+            # Spark drops the shuffle files behind a cache once the driver's garbage is collected,
+            # and py4j tells it on the side, about once a second, what Python no longer holds.
+            gc.collect()
+            time.sleep(RELEASE_WAIT)
+            self.spark.sparkContext._jvm.System.gc()
+        return True
+
+    def _load_events(self, batch: DataFrame, batch_id: int, writer: str) -> None:
         now = F.current_timestamp()
         waiting = self.table("reintentos").read().filter("pendiente").drop("error_olap", "pendiente")
         fresh = batch.select(*[c.split()[0] for c in schemas.EVENTS.split(", ")]).withColumn("intentos_olap", F.lit(0))
         every = fresh.unionByName(waiting)
         both = self.ledger().unseen(E.dedup_events(every), among=every)
         read = E.route_events(parse_payload(both), {event: event for event in self.extra})
-        read = read.persist(StorageLevel.MEMORY_AND_DISK)
+        cached: list[DataFrame] = []
+
+        def keep(df: DataFrame) -> DataFrame:
+            cached.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+            return df
+
         try:
+            read = keep(read)
             # At most one row per loader.
             newest = read.filter(E.is_good(read)).groupBy("cargador").agg(F.max("ocurrido_en").alias("t")).collect()
-            held = self._named_rows(read, {r.cargador for r in newest})
-            oltp = BatchCatalog(self.oltp, held)
-            routed = with_row_errors(read, oltp, {r.cargador for r in newest}).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                self._load(routed, {r.cargador: r.t for r in newest}, batch_id, writer, now, oltp)
-            finally:
-                for df in (routed, *held.values()):
-                    df.unpersist()
+            present = {r.cargador for r in newest}
+            dealt = {"envio_id": keep(self._shipment_events(read))} if present & SHIPMENTS else {}
+            oltp = BatchCatalog(self.oltp, {
+                at: keep(df) for at, df in self._named_rows(read, present, dealt).items()})
+            errors = row_errors(read, oltp, present, dealt)
+            # Mostly there is none, and the events are as they were read.
+            errors = None if errors is None or keep(errors).isEmpty() else errors
+            routed = with_errors(read, errors) if errors is None else keep(with_errors(read, errors))
+            shipped = dealt["envio_id"].filter("_bueno") if dealt else None
+            if dealt and errors is not None:
+                shipped = shipped.join(errors, "evento_negocio_id", "left_anti")
+            self._load(routed, {r.cargador: r.t for r in newest}, batch_id, writer, now, oltp, shipped)
         finally:
-            read.unpersist()
-        return True
+            for df in cached:
+                df.unpersist()
+
+    def _shipment_events(self, read: DataFrame) -> DataFrame:
+        """Events that name a shipment, dealt by it once for all that look shipments up."""
+        return read.filter("envio_id IS NOT NULL").select(
+            "envio_id", *L.EVENT_ORDER, "tipo_evento", E.is_good(read).alias("_bueno")).repartition("envio_id")
 
-    def _named_rows(self, read: DataFrame, present: set[str]) -> dict[tuple[str, str], DataFrame]:
-        """Source rows that the events of a batch name, cached, by table and key.
+    def _named_rows(
+        self, read: DataFrame, present: set[str], dealt: dict[str, DataFrame],
+    ) -> dict[tuple[str, str], DataFrame]:
+        """Source rows that the events of a batch name, by table and key; to be cached.
 
         Checks, dimensions and facts look them up by the same key. Orders are also looked up
         by returns, whose events need not name them.
@@ -172,8 +206,8 @@ class Warehouse:
                   for table, key in tables.items() if table in self.oltp and (table != "pedidos" or "return" not in present)}
         held = {}
         for (table, key), field in fields.items():
-            ids = read.select(F.col(field).alias(key)).filter(F.col(key).isNotNull()).distinct()
-            held[table, key] = self.oltp.rows_for(table, ids).join(ids, key, "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
+            ids = dealt.get(field, read).select(F.col(field).alias(key)).filter(F.col(key).isNotNull()).distinct()
+            held[table, key] = self.oltp.rows_for(table, ids).join(ids, key, "left_semi")
         return held
 
     def drain(self) -> int:
@@ -191,11 +225,12 @@ class Warehouse:
 
     def _load(
         self, routed: DataFrame, newest: dict, batch_id: int, writer: str, now: Column, source: Catalog,
+        shipped: DataFrame | None = None,
     ) -> None:
         good, present = routed.filter(E.is_good(routed)), set(newest)
         # Versions start at the newest event of the batch, so a replay repeats them.
         start = F.lit(max((t for t in newest.values() if t), default=None)).cast("timestamp")
-        ctx = self._load_dims(good, present, batch_id, writer, start, source)
+        ctx = self._load_dims(good, present, batch_id, writer, start, source, shipped)
 
         steps: list[Callable[[], object]] = []
         facts, folds = [], []
@@ -211,7 +246,7 @@ class Warehouse:
             rows = L.fold(contributions, key, columns)
             folds.append(self.table(name))
             steps.append(lambda: self.table(name).insert(
-                rows, writer, batch_id, lambda old, new: new, compact=lambda all_: L.refold(all_, key, columns)))
+                rows, writer, batch_id, compact=lambda all_: L.refold(all_, key, columns)))
 
         if "order_created" in present:
             insert("fact_pedidos", L.load_fact_orders(good, ctx))
@@ -224,9 +259,9 @@ class Warehouse:
             insert("fact_pagos", L.load_fact_payments(good, ctx))
         if "stock" in present:
             insert("fact_movimientos_inventario", L.load_fact_stock(good, ctx))
-        if present & {"shipment_delivered", "shipment_returned"}:
-            insert("fact_envios", L.load_fact_shipments(good, ctx))
-            fold("envios_plegados", "envio_id", L.SHIPMENT_FOLDED, L.shipment_contributions(good, ctx))
+        if present & SHIPMENTS:
+            insert("fact_envios", L.load_fact_shipments(shipped, ctx))
+            fold("envios_plegados", "envio_id", L.SHIPMENT_FOLDED, L.shipment_contributions(shipped, ctx))
         if "return" in present:
             insert("fact_devoluciones", L.load_fact_returns(good, ctx))
         if "cart" in present:
@@ -252,7 +287,7 @@ class Warehouse:
             F.lit(writer).alias("escritor"), F.lit(batch_id).cast("bigint").alias("lote"), "procesados", "errores",
             added([self.table("dlq_eventos")]).alias("cartas"), added(facts).alias("insertados"),
             added(folds).alias("actualizados"), now.alias("cargado_en"))
-        self.table("conteos_carga").insert(counts, writer, batch_id, lambda old, new: new)
+        self.table("conteos_carga").insert(counts, writer, batch_id)
 
     def _run(self, steps: list[Callable[[], object]]) -> None:
         """Run independent table loads side by side and wait for all."""
@@ -296,7 +331,9 @@ class Warehouse:
 
         return [put, mark, remember, retry]
 
-    def _load_dims(self, good, present, batch_id, writer, start: Column, source: Catalog) -> L.LoadContext:
+    def _load_dims(
+        self, good, present, batch_id, writer, start: Column, source: Catalog, shipped: DataFrame | None,
+    ) -> L.LoadContext:
         """Bring dimension versions up to date for the ids the batch touches.
 
         Returns what the fact loaders look values up in, cut down to those ids.
@@ -321,9 +358,8 @@ class Warehouse:
             moves = rows("movimientos_inventario", ids)
             variants.append(moves.select("variante_id"))
             warehouses.append(moves.select("almacen_id"))
-        if present & {"shipment_delivered", "shipment_returned"}:
-            ids = good.filter("envio_id IS NOT NULL").select("envio_id")
-            warehouses.append(rows("envios", ids).select("almacen_id"))
+        if present & SHIPMENTS:
+            warehouses.append(rows("envios", shipped.select("envio_id")).select("almacen_id"))
         if "return" in present:
             ids = L.touched_ids(good, "return", "devolucion_id")
             orders = rows("devoluciones", ids).select("pedido_id")

@@ -9,7 +9,7 @@ dead letters while the others load.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -64,18 +64,21 @@ def _cart_totals(rows: DataFrame) -> DataFrame:
         F.lit("carritos.valor_total: valor fuera de rango: "), F.col("v").cast("string")).alias(ERROR))
 
 
-def row_errors(events: DataFrame, oltp: Catalog, loaders: Iterable[str] = tuple(CHECKED)) -> DataFrame | None:
+def row_errors(
+    events: DataFrame, oltp: Catalog, loaders: Iterable[str] = tuple(CHECKED), dealt: Mapping[str, DataFrame] | None = None,
+) -> DataFrame | None:
     """``evento_negocio_id, error_fila`` for each event that names a row that doesn't fit.
 
     ``events`` are parsed and routed, ``oltp`` has the source tables as they are. Of several
     errors the first by text is told. Only rows that the events name are looked at, and only
-    for ``loaders``; None if nothing can be wrong there.
+    for ``loaders``; None if nothing can be wrong there. ``dealt`` has the events that fill a
+    payload field, where they are at hand by that field.
     """
     found = []
     for loader, (field, tables) in CHECKED.items():
         if loader not in loaders:
             continue
-        named = events_for(events, loader).filter(F.col(field).isNotNull())
+        named = events_for((dealt or {}).get(field, events), loader).filter(F.col(field).isNotNull())
         for table, key in tables.items():
             if table not in oltp:
                 continue
@@ -95,7 +98,11 @@ def row_errors(events: DataFrame, oltp: Catalog, loaders: Iterable[str] = tuple(
 
 def with_row_errors(routed: DataFrame, oltp: Catalog, loaders: Iterable[str] = tuple(CHECKED)) -> DataFrame:
     """Routed events with ``error_fila``, null for those whose rows fit."""
-    errors = row_errors(routed, oltp, loaders)
+    return with_errors(routed, row_errors(routed, oltp, loaders))
+
+
+def with_errors(routed: DataFrame, errors: DataFrame | None) -> DataFrame:
+    """Routed events with the errors found by ``row_errors``."""
     if errors is None:
         return routed.withColumn(ERROR, F.lit(None).cast("string"))
     return routed.join(errors, "evento_negocio_id", "left")

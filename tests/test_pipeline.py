@@ -2,16 +2,21 @@
 
 import datetime as dt
 import json
+import re
+import time
+from collections import Counter
 
 from pyspark.sql import functions as F
 
 from helpers import one, rows, ts
 from mercantil import schemas
 from mercantil.functions.payload import CORRUPT, parse_payload
+from mercantil.operators import facts as L
 from mercantil.plans import bi, views
 from mercantil.sources.snapshots import KeyedTable
 from mercantil.sources.tables import Catalog
 from mercantil.streaming import events as E
+from mercantil.streaming import loader
 from mercantil.streaming.health import ProgressLog
 from mercantil.streaming.loader import Warehouse
 from shop import event, order, shop
@@ -430,6 +435,94 @@ def test_a_batch_looks_source_rows_up_once(spark, tmp_path):
     assert one(w.shipments(), "true").estado_envio == "devuelto"
 
 
+def shuffle_files(spark):
+    """Ids of the shuffles that have files on this machine."""
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [found.apply(i).getName() for i in range(found.size())]
+    return {int(n.split("_")[1]) for n in names if n.startswith("shuffle_")}
+
+
+def gone(spark, before):
+    """Whether no shuffle files are left but those of ``before``; Spark deletes them on the side."""
+    for _ in range(40):
+        if not shuffle_files(spark) - before:
+            return True
+        time.sleep(0.25)
+    return False
+
+
+def test_shuffle_files_go_with_their_query(spark, tmp_path):
+    before = shuffle_files(spark)
+    counts = spark.range(1000).repartition(7).groupBy((F.col("id") % 10).alias("k")).count()
+    counts.write.parquet(str(tmp_path / "t"))
+    assert gone(spark, before)
+    # A result that is asked for again is made again.
+    assert rows(counts) == rows(counts) == [(k, 100) for k in range(10)]
+
+
+def test_a_long_batch_leaves_no_shuffle_files(spark, tmp_path, monkeypatch):
+    """Neither its queries nor its caches: several batches would else need the disk of all."""
+    before = shuffle_files(spark)
+    w = house(spark, tmp_path)
+    monkeypatch.setattr(loader, "RELEASE_SECONDS", 0)
+    for k in range(2):
+        w.load_batch(frame(spark, LOG[7 * k:7 * k + 7]), k)
+    assert gone(spark, before)
+    assert one(w.shipments(), "true").estado_envio == "devuelto"
+
+
+def test_shipment_events_are_dealt_once(spark, tmp_path, monkeypatch):
+    """Facts and folds of shipments get events that are dealt by shipment already."""
+    dealt = []
+    for name in ("load_fact_shipments", "shipment_contributions"):
+        def spy(events, ctx, real=getattr(L, name)):
+            # The plan of what is cached, its last shuffle first.
+            dealt.append(re.search(r"Exchange (\w+\(\w+)", events._jdf.queryExecution().withCachedData().toString()).group(1))
+            return real(events, ctx)
+        monkeypatch.setattr(L, name, spy)
+    w = house(spark, tmp_path)
+    w.load_batch(frame(spark, LOG[6:9:2]), 0)
+    assert dealt == ["hashpartitioning(envio_id"] * 2
+    assert one(w.shipments(), "true").estado_envio == "devuelto"
+
+
+def test_a_faulty_shipment_fails_its_events_only(spark, tmp_path):
+    """Its events wait or become dead letters, the other shipments of the batch load."""
+    stored = shop(spark).envios
+    fault = stored.withColumn("envio_id", F.lit(99).cast("bigint")).withColumn("transportista", F.lit("x" * 101))
+    w = house(spark, tmp_path)
+    w.oltp = w.oltp.replace(envios=stored.unionByName(fault))
+    log = [event(1, "envio_entregado", '{"envio_id":1}', "2024-01-09T00:00:00"),
+           event(2, "envio_entregado", '{"envio_id":99}', "2024-01-09T00:00:00"),
+           event(3, "envio_devuelto", '{"envio_id":99}', "2024-01-10T00:00:00"),
+           event(4, "envio_entregado", '{"envio_id":12345}', "2024-01-10T00:00:00")]
+    w.load_batch(frame(spark, log), 0)
+    assert rows(w.shipments(), "envio_id") == [(1,)]
+    assert rows(w.table("reintentos").read().filter("pendiente"), "evento_negocio_id") == [(2,), (3,)]
+    w.drain()
+    assert rows(w.star().dlq_eventos, "evento_id") == [(2,), (3,)] and rows(w.shipments(), "envio_id") == [(1,)]
+
+
+def test_rows_that_are_only_added_need_no_look(spark, tmp_path, monkeypatch):
+    """Without a choice of rows, an insert neither caches them nor reads the table."""
+    table = KeyedTable(spark, str(tmp_path / "t"), "k int, v int", ["k"], 2, max_parts=2)
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda *a: 1 / 0)
+    for batch in range(5):
+        table.insert(spark.createDataFrame([(k, batch) for k in range(4)], "k int, v int"), "a", batch)
+        assert table.added("a", batch) == 4
+    assert not table.insert(spark.createDataFrame([(1, 1)], "k int, v int"), "a", 4)
+    assert rows(table.read()) == [(k, v) for k in range(4) for v in range(5)]
+    assert max(Counter(bucket for bucket, _ in table._manifest()["parts"]).values()) <= 3
+
+
+def test_a_row_that_its_order_tells_is_sent_once(spark):
+    """Deduplication by all columns sends each event once, not as row and as order."""
+    log = frame(spark, [*LOG, *LOG]).withColumn("intentos_olap", F.lit(0))
+    found = E.dedup_events(log)
+    assert "min_by" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(found) == rows(frame(spark, LOG).withColumn("intentos_olap", F.lit(0)))
+
+
 def test_settled_days_are_told_apart(spark, tmp_path):
     """An id is settled for its own day; days may be looked up in rows that are not deduplicated."""
     w = house(spark, tmp_path)
